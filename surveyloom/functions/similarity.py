@@ -7,11 +7,12 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyloom.functions.columns import normal_text
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of characters in matching blocks (Ratcliff and Obershelp).
 
@@ -28,7 +29,7 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([ratio(a, b) for a, b in zip(left, right)], dtype="float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def two_decimals(value: pd.Series) -> pd.Series:
     """Exact half-even text with two decimals; Java's formatter rounds ties up."""
     return value.map(lambda v: None if pd.isna(v) else format(v, ".2f"))

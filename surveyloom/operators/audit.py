@@ -163,7 +163,9 @@ def audit_dictionary(
         F.col("role").alias("peran"),
         F.col("code_cell").alias("kode_kamus"),
         (F.col(other_code) if other_code in dictionary.columns else F.lit(None).cast("string")).alias("kode_eppgbm"),
-        F.when(is_derived, F.array_join("present", ", ")).otherwise(F.coalesce("found", blank)).alias("kode_ditemukan"),
+        F.coalesce(F.when(is_derived, F.array_join("present", ", ")).otherwise(F.col("found")), blank).alias(
+            "kode_ditemukan"
+        ),
         F.coalesce("label", blank).alias("label_aktual"),
         F.coalesce(two_decimals(sim), blank).alias("kemiripan_label"),
         F.coalesce("value_labels", blank).alias("value_label_aktual"),

@@ -11,7 +11,7 @@ grows: a lost executor costs a re-read of its splits.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -272,10 +272,19 @@ def _cells(batch: pa.RecordBatch, features: Sequence[str]) -> Iterator[tuple[int
 class ChainedImputer:
     """Fit and apply chained regressions for all cells of a table at once."""
 
-    def __init__(self, rule: ImputeRule, coded: frozenset[str] = frozenset(), label: str | None = None):
+    def __init__(
+        self,
+        rule: ImputeRule,
+        coded: frozenset[str] = frozenset(),
+        label: str | None = None,
+        present: Mapping[str, Iterable[str]] | None = None,
+    ):
+        """``present`` names, per value of the first cell column, the columns that source has:
+        a feature it never asked for gets no indicator there."""
         if label and label not in rule.exclude:
             raise ValueError(f"the label {label} must be excluded from imputation")
         self.rule, self.coded = rule, coded
+        self.present = {s: frozenset(c) for s, c in present.items()} if present else None
         self.features: list[str] = []
         self.cells: list[tuple] = []
         self.plans: list[CellPlan] = []
@@ -285,9 +294,14 @@ class ChainedImputer:
     # -- preparation
 
     def _prepare(self, df: DataFrame) -> DataFrame:
-        """Decide features per cell, then add the cell number, row hash and raw values."""
+        """Write the input with a row hash, decide the features per cell, and add cell number
+        and raw values. The written table spares every later pass what led to it."""
         rule, by = self.rule, list(self.rule.cell)
         columns = candidates_of(df, rule)
+        # a row is known by its content: equal rows get equal draws, wherever they lie
+        key = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__key")
+        df = materialise(spread(df.select(*[F.col(f"`{c}`") for c in df.columns], key)), "impute")
+        self.splits = df.rdd.getNumPartitions()
         rows = df.where(F.col(by[-1]).isNotNull())
         profile = feature_profile(rows, columns, by).limit(MAX_CELLS + 1).collect()
         if len(profile) > MAX_CELLS:
@@ -298,7 +312,7 @@ class ChainedImputer:
         self.indicators = {
             c: cells
             for c in columns
-            if (cells := [cell for cell, r in zip(self.cells, profile) if self._marks(c, r)])
+            if (cells := [cell for cell, r in zip(self.cells, profile) if self._marks(c, cell, r)])
         }
         eligible = [[c for c in columns if self._eligible(c, r)] for r in profile]
         self.features = [c for c in columns if any(c in e for e in eligible)]
@@ -330,7 +344,9 @@ class ChainedImputer:
         lo, hi = r[f"{c}|min"], r[f"{c}|max"]
         return c not in self.rule.never and r[f"{c}|known"] >= self.rule.min_values and lo < hi
 
-    def _marks(self, c: str, r) -> bool:
+    def _marks(self, c: str, cell: tuple, r) -> bool:
+        if self.present is not None and c not in self.present.get(cell[0], ()):
+            return False
         rate = 1 - r[f"{c}|filled"] / r["n"]
         return rate > 0 and (rate >= self.rule.indicator_rate or c in self.rule.never)
 
@@ -367,15 +383,13 @@ class ChainedImputer:
         by, spark = list(self.rule.cell), df.sparkSession
         schema = T.StructType([*df.select(*by).schema.fields, T.StructField("__cell", T.IntegerType())])
         numbers = spark.createDataFrame([(*cell, i) for i, cell in enumerate(self.cells)], schema)
-        # a row is known by its content: equal rows get equal draws, wherever they lie
-        key = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        return join_small(df.withColumn("__key", key), numbers, by, max_rows=MAX_CELLS).select(
-            *[F.col(f"`{c}`") for c in df.columns], "__key", "__cell"
+        numbered = join_small(df, numbers, by, max_rows=MAX_CELLS)
+        return numbered.select(
+            *[F.col(f"`{c}`") for c in df.columns],
+            "__cell",
+            *[numeric(df, c).alias(f"__x{i}") for i, c in enumerate(self.features)],
         )
 
-    def _with_features(self, keyed: DataFrame) -> DataFrame:
-        return keyed.withColumns({f"__x{i}": numeric(keyed, c) for i, c in enumerate(self.features)})
-
     # -- fitting
 
     def _blocks(self) -> list[list[int]]:
@@ -432,7 +446,7 @@ class ChainedImputer:
         rows = keyed.select(*columns).where(F.col("__cell").isNotNull())
         # fewer, longer tasks: each emits its matrices once, however much it scans
         most = 4 * spark.sparkContext.defaultParallelism
-        if rows.rdd.getNumPartitions() > most:
+        if self.splits > most:
             rows = rows.coalesce(most)
         parts = rows.mapInArrow(partials, "cell int, target int, gram array<double>")
         vector = array_to_vector(F.col("gram"))
@@ -471,12 +485,8 @@ class ChainedImputer:
         return steps
 
     def fit(self, df: DataFrame) -> "ChainedImputer":
-        """Learn all sweeps: one pass over the feature columns per block and sweep.
-
-        The input is written to the shared checkpoint folder first, so that the passes do not
-        redo what led to it.
-        """
-        self.keyed = self._with_features(materialise(spread(self._prepare(df)), "impute"))
+        """Learn all sweeps: one pass over the feature columns per block and sweep."""
+        self.keyed = self._prepare(df)
         if any(len(p.targets) for p in self.plans):
             for _ in range(self.rule.sweeps):
                 sweep: list[dict[int, list[Step]]] = []
@@ -504,7 +514,6 @@ class ChainedImputer:
         Known values pass unchanged. A coded feature takes the nearest observed code.
         """
         df = self.keyed
-        kept = [c for c in df.columns if not c.startswith("__")]
         marked = add_indicators(df, list(self.rule.cell), self.indicators)
         wanted = sorted({int(f) for p in self.plans for f in p.active[p.targets]})
         if not wanted:
@@ -523,7 +532,6 @@ class ChainedImputer:
                 out.append(back[c].cast(types[c] if whole else "double").alias(c))
             else:
                 out.append(F.col(f"`{c}`"))
-        assert set(kept) <= set(marked.columns)
         return filled.select(*out)
 
     def trace(self) -> DataFrame:
@@ -626,9 +634,15 @@ def _trace(batch, plans, history, features, seed):
         )
 
 
-def impute_linear(df: DataFrame, rule: ImputeRule, coded: frozenset[str] = frozenset(), label: str | None = None) -> DataFrame:
+def impute_linear(
+    df: DataFrame,
+    rule: ImputeRule,
+    coded: frozenset[str] = frozenset(),
+    label: str | None = None,
+    present: Mapping[str, Iterable[str]] | None = None,
+) -> DataFrame:
     """Chained ridge regressions, all cells in the same passes."""
-    return ChainedImputer(rule, coded, label).fit(df).transform()
+    return ChainedImputer(rule, coded, label, present).fit(df).transform()
 
 
 # -------------------------------------------------------------------------- tree regression
@@ -639,6 +653,7 @@ def impute_tree(
     rule: ImputeRule,
     coded: frozenset[str] = frozenset(),
     label: str | None = None,
+    present: Mapping[str, Iterable[str]] | None = None,
     trees: int = 10,
     depth: int = 5,
 ) -> DataFrame:
@@ -650,9 +665,8 @@ def impute_tree(
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    imputer = ChainedImputer(rule, coded, label)
-    keyed = imputer._with_features(materialise(spread(imputer._prepare(df)), "impute"))
-    marked = add_indicators(keyed, list(rule.cell), imputer.indicators)
+    imputer = ChainedImputer(rule, coded, label, present)
+    marked = add_indicators(imputer._prepare(df), list(rule.cell), imputer.indicators)
     types = {f.name: f.dataType for f in marked.schema.fields if not f.name.startswith("__")}
     wanted = {imputer.features[i] for p in imputer.plans for i in p.active[p.targets]}
     for c in wanted:
