@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,37 +24,66 @@ def is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
-def numeric_as(c: Column, dtype: T.DataType) -> Column:
-    """``c`` as double; what is not a number becomes null, NaN included."""
+# Rules over many columns are built as SQL text: one projection of a hundred columns is then
+# one call, where the Column API would take thousands.
+
+
+def ref(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def double(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def as_number(name: str, dtype: T.DataType) -> str:
+    """A column as double; what is not a number becomes null, NaN included."""
+    c = ref(name)
     if is_text(dtype):
-        return F.when(c.rlike(NUMERIC_TEXT), c).try_cast("double")
+        return f"CASE WHEN {c} RLIKE {text(NUMERIC_TEXT)} THEN try_cast({c} AS DOUBLE) END"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        value = c.cast("double")
-        return F.when(~F.isnan(value), value)
+        return f"CAST(nullif({c}, double('NaN')) AS DOUBLE)"
     if is_number(dtype) or isinstance(dtype, T.BooleanType):
-        return c.cast("double")
-    return F.lit(None).cast("double")
+        return f"CAST({c} AS DOUBLE)"
+    return "CAST(NULL AS DOUBLE)"
+
+
+def number(df: DataFrame, name: str) -> str:
+    """``as_number`` of a column of ``df``."""
+    return as_number(name, df.schema[name].dataType)
 
 
 def numeric(df: DataFrame, name: str) -> Column:
     """Column ``name`` of ``df`` coerced to double by its type."""
-    return numeric_as(F.col(f"`{name}`"), df.schema[name].dataType)
+    return F.expr(number(df, name))
+
+
+def rewrite(df: DataFrame, changes: Mapping[str, str]) -> DataFrame:
+    """Replace or add columns given as SQL text, in one projection."""
+    kept = [f"{changes[c]} AS {ref(c)}" if c in changes else ref(c) for c in df.columns]
+    new = [f"{e} AS {ref(c)}" for c, e in changes.items() if c not in df.columns]
+    return df.selectExpr(*kept, *new) if changes else df
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Spark keeps NaN and null apart (NaN > 6 holds); use null only, from ingest on."""
     return df.select(
         *[
-            F.when(~F.isnan(F.col(f"`{f.name}`")), F.col(f"`{f.name}`")).alias(f.name, metadata=f.metadata)
+            F.expr(f"nullif({ref(f.name)}, double('NaN'))").alias(f.name, metadata=f.metadata)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f"`{f.name}`")
+            else F.col(ref(f.name))
             for f in df.schema.fields
         ]
     )
 
 
-def outside(value: Column, lo: float, hi: float) -> Column:
-    return (value < F.lit(float(lo))) | (value > F.lit(float(hi)))
+def outside(value: str, lo: float, hi: float) -> str:
+    return f"({value} < {double(lo)} OR {value} > {double(hi)})"
 
 
 def within(value: Column, lo: float, hi: float) -> Column:
@@ -63,24 +91,18 @@ def within(value: Column, lo: float, hi: float) -> Column:
     return F.when(value.between(F.lit(float(lo)), F.lit(float(hi))), value)
 
 
-def has_code(value: Column, codes: Iterable[float]) -> Column:
-    return value.isin([float(code) for code in codes])
+def in_codes(value: str, codes: Iterable[float]) -> str:
+    return f"{value} IN ({', '.join(double(code) for code in codes)})"
 
 
-def map_codes(value: Column, pairs: Mapping[float, float | None], otherwise: Column | None = None) -> Column:
+def map_codes(value: str, pairs: Mapping[float, float | None], otherwise: str = "NULL") -> str:
     """Code to code through one CASE; a target of None and unlisted codes give ``otherwise``."""
-    listed = [(float(k), float(v)) for k, v in pairs.items() if v is not None]
-    if not listed:
-        return F.lit(None).cast("double") if otherwise is None else otherwise
-    case = reduce(lambda acc, kv: acc.when(value == F.lit(kv[0]), F.lit(kv[1])), listed[1:],
-                  F.when(value == F.lit(listed[0][0]), F.lit(listed[0][1])))
-    return case if otherwise is None else case.otherwise(otherwise)
+    whens = [f"WHEN {double(k)} THEN {double(v)}" for k, v in pairs.items() if v is not None]
+    return f"CASE {value} {' '.join(whens)} ELSE {otherwise} END" if whens else f"CAST({otherwise} AS DOUBLE)"
 
 
-def binary(value: Column, ones: Iterable[float], zeros: Iterable[float]) -> Column:
-    return (
-        F.when(has_code(value, ones), F.lit(1)).when(has_code(value, zeros), F.lit(0)).cast("tinyint")
-    )
+def binary(value: str, ones: Iterable[float], zeros: Iterable[float]) -> str:
+    return f"CASE WHEN {in_codes(value, ones)} THEN 1Y WHEN {in_codes(value, zeros)} THEN 0Y END"
 
 
 def lms_z(value: Column, l: Column, m: Column, s: Column) -> Column:

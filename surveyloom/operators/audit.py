@@ -114,8 +114,8 @@ def audit_dictionary(
     rows = match_audit(rows, catalogue, "main_code")
     derived = rows.where(F.col("status") == "derivasi")
     rows = rows.join(component_audit(derived, catalogue), ["source", "pos"], "left")
-    labels = catalogue.select(
-        "source", F.col("code").alias("found"), F.coalesce("label", F.lit("")).alias("label"),
+    labels = catalogue.groupBy("source", F.col("code").alias("found")).agg(
+        F.max_by(F.coalesce("label", F.lit("")), "pos").alias("label")
     )
     rows = rows.join(labels, ["source", "found"], "left")
     shown = first_labels(value_labels, SHOWN_LABELS).withColumnRenamed("code", "found")

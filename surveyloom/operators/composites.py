@@ -4,41 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from operator import add, and_
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions.columns import numeric
+from surveyloom.functions.columns import double, number, numeric, rewrite
 from surveyloom.session import join_small
 from surveyloom.specs import Composites
 
 
-def _any(values: Sequence[Column]) -> Column:
-    return F.coalesce(*values).isNotNull()
+# Row-wise composites take and give SQL text of numbers.
 
 
-def row_sum(values: Sequence[Column]) -> Column:
+def row_sum(values: Sequence[str]) -> str:
     """Sum of the known values, null if none is known."""
-    return F.when(_any(values), reduce(add, [F.coalesce(v, F.lit(0.0)) for v in values]))
+    total = " + ".join(f"coalesce({v}, 0D)" for v in values)
+    return f"CASE WHEN coalesce({', '.join(values)}) IS NOT NULL THEN {total} END"
 
 
-def row_count_of(values: Sequence[Column], code: float = 1.0) -> Column:
+def row_count_of(values: Sequence[str], code: float = 1.0) -> str:
     """How many equal ``code``, null if none is known."""
-    hits = [F.when(v == F.lit(code), 1.0).otherwise(0.0) for v in values]
-    return F.when(_any(values), reduce(add, hits))
+    hits = " + ".join(f"CASE WHEN {v} = {double(code)} THEN 1D ELSE 0D END" for v in values)
+    return f"CASE WHEN coalesce({', '.join(values)}) IS NOT NULL THEN {hits} END"
 
 
-def at_least(value: Column, threshold: float) -> Column:
+def at_least(value: str, threshold: float) -> str:
     """1 from the threshold on, 0 below, null if unknown."""
-    return (value >= F.lit(float(threshold))).cast("bigint")
+    return f"CAST({value} >= {double(threshold)} AS BIGINT)"
 
 
-def all_equal(values: Sequence[Column], code: float = 1.0) -> Column:
+def all_equal(values: Sequence[str], code: float = 1.0) -> str:
     """1 if all equal ``code``, else 0; an unknown value is not equal, so never null."""
-    return reduce(and_, [v.eqNullSafe(F.lit(code)) for v in values]).cast("bigint")
+    return f"CAST({' AND '.join(f'({v}) <=> {double(code)}' for v in values)} AS BIGINT)"
 
 
 def first_moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -114,21 +114,17 @@ def index_weights(moments: DataFrame, columns: Sequence[str], by: Sequence[str],
     return moments.mapInPandas(solve, schema)
 
 
-def wealth_index(
-    df: DataFrame,
-    columns: Sequence[str],
-    output: str = "wealth_index",
-    by: Sequence[str] = (),
-    orient: str = "code_sum",
+def wealth_weights(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), orient: str = "code_sum"
 ) -> DataFrame:
-    """First principal component of the standardised columns, per group.
+    """Centre and slope of every column per group, from two passes over these columns only."""
+    return index_weights(cross_moments(df, columns, by), columns, by, orient)
 
-    Nulls count as the column mean. Needs three columns; with fewer the frame is unchanged.
-    """
-    columns = [c for c in columns if c in df.columns]
-    if len(columns) < 3:
-        return df
-    weights = index_weights(cross_moments(df, columns, by), columns, by, orient)
+
+def wealth_score(
+    df: DataFrame, weights: DataFrame, columns: Sequence[str], output: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """The index of each row; a null counts as the mean, a group without weights gets null."""
     if by:
         named = weights.withColumnsRenamed({"centre": "__centre", "slope": "__slope"})
         joined = join_small(df, named, on=list(by), how="left")
@@ -142,38 +138,62 @@ def wealth_index(
             for i, c in enumerate(columns)
         ],
     )
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c != output], score.alias(output))
+    known = F.when(F.col("__slope").isNotNull(), score)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c != output], known.alias(output))
 
 
-def add_composites(
+def wealth_index(
     df: DataFrame,
-    names: Sequence[str],
-    spec: Composites,
+    columns: Sequence[str],
+    output: str = "wealth_index",
     by: Sequence[str] = (),
     orient: str = "code_sum",
 ) -> DataFrame:
-    """All composites whose inputs exist; ``names`` are the dictionary's standard names."""
+    """First principal component of the standardised columns, per group.
+
+    Nulls count as the column mean. Needs three columns; with fewer the frame is unchanged.
+    """
+    columns = [c for c in columns if c in df.columns]
+    if len(columns) < 3:
+        return df
+    return wealth_score(df, wealth_weights(df, columns, by, orient), columns, output, by)
+
+
+def asset_columns(df: DataFrame, names: Sequence[str], spec: Composites) -> list[str]:
+    return [c for c in names if c.startswith(spec.asset_prefix) and c in df.columns]
+
+
+def add_row_composites(df: DataFrame, names: Sequence[str], spec: Composites) -> DataFrame:
+    """The composites that need one row only, if their inputs exist; ``names`` are the
+    dictionary's standard names."""
 
     def named(prefix: str) -> list[str]:
         return [c for c in names if c.startswith(prefix) and c in df.columns]
 
-    def values(columns: Sequence[str]) -> list[Column]:
-        return [numeric(df, c) for c in columns]
+    def values(columns: Sequence[str]) -> list[str]:
+        return [number(df, c) for c in columns]
 
-    wealth, visits, food, tablets, vaccines = spec.outputs
+    _, visits, food, tablets, vaccines = spec.outputs
     inputs = {
         visits: named(spec.visit_prefix),
         food: named(spec.food_prefix),
         vaccines: [c for c in named(spec.vaccine_prefix) if c not in spec.vaccine_not],
     }
-    added: dict[str, Column] = {}
+    added: dict[str, str] = {}
     if inputs[visits]:
         added[visits] = row_sum(values(inputs[visits]))
     if inputs[food]:
         added[food] = row_count_of(values(inputs[food]))
     if spec.tablets in df.columns:
-        added[tablets] = at_least(numeric(df, spec.tablets), spec.tablets_enough)
+        added[tablets] = at_least(number(df, spec.tablets), spec.tablets_enough)
     if inputs[vaccines]:
         added[vaccines] = all_equal(values(inputs[vaccines]))
-    assets = named(spec.asset_prefix)
-    return wealth_index(df.withColumns(added), assets, wealth, by, orient)
+    return rewrite(df, added)
+
+
+def add_composites(
+    df: DataFrame, names: Sequence[str], spec: Composites, by: Sequence[str] = (), orient: str = "code_sum"
+) -> DataFrame:
+    """All composites of one table."""
+    out = add_row_composites(df, names, spec)
+    return wealth_index(out, asset_columns(df, names, spec), spec.outputs[0], by, orient)

@@ -93,6 +93,21 @@ def eligibility(df: DataFrame, columns: Sequence[str], by: Sequence[str], rule:
     ).na.fill({"eligible": False})
 
 
+def imputation_matrix(df: DataFrame, rule: ImputeRule, cohort: str) -> DataFrame:
+    """The features a cohort can be imputed from, as numbers: filled enough and not constant.
+
+    Features the imputation leaves alone are left out, as they are when it runs.
+    """
+    rows = df.where(F.col(rule.cell[-1]) == cohort)
+    columns = candidates_of(df, rule)
+    facts = feature_profile(rows, columns, []).first()
+
+    def eligible(c: str) -> bool:
+        return c not in rule.never and facts[f"{c}|known"] >= rule.min_values and facts[f"{c}|min"] < facts[f"{c}|max"]
+
+    return rows.select(*[numeric(rows, c).alias(c) for c in columns if eligible(c)])
+
+
 def missing_rates(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Long null rates per cell and column."""
     return filled_counts(df, columns, by).withColumn("missing_rate", 1 - F.col("filled") / F.col("n"))

@@ -8,10 +8,12 @@ size is checked before it is broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions.columns import lms_z, numeric, within
+from surveyloom.functions.columns import double, lms_z, number, ref, rewrite, within
 from surveyloom.session import pin_small
 from surveyloom.specs import Measures
 
@@ -37,46 +39,36 @@ def segments(lms: DataFrame, bucket: float = 1.0) -> DataFrame:
     return ends.withColumn("bucket", F.explode(buckets))
 
 
+#: A lookup to make: column with the indicator, column with the key.
+Lookup = tuple[str, str]
+
+
 def lookup(
-    df: DataFrame,
-    segs: DataFrame,
-    indicator: Column,
-    sex: Column,
-    x: Column,
-    prefix: str,
-    bucket: float = 1.0,
-    broadcast: bool = True,
+    df: DataFrame, segs: DataFrame, sex: str, wanted: Mapping[str, Lookup], bucket: float = 1.0, broadcast: bool = True
 ) -> DataFrame:
-    """Add ``<prefix>_l``, ``_m``, ``_s`` for key ``x``; null outside the table. Rows are kept."""
-    names = ["indicator", "sex", "bucket", "x", "x1", "l", "l1", "m", "m1", "s", "s1"]
-    right = segs.select(*[F.col(n).alias(f"__r_{n}") for n in names])
-    keyed = df.withColumns(
-        {
-            "__indicator": indicator,
-            "__sex": F.when(sex.isin(1.0, 2.0), sex.cast("int")),
-            "__bucket": F.floor(x / F.lit(float(bucket))),
-            "__x": x,
-        }
-    )
-    r = lambda n: F.col(f"__r_{n}")
-    inside = (F.col("__x") >= r("x")) & (
-        (F.col("__x") < r("x1")) | (r("x1").isNull() & (F.col("__x") == r("x")))
-    )
-    on = (
-        (F.col("__indicator") == r("indicator"))
-        & (F.col("__sex") == r("sex"))
-        & (F.col("__bucket") == r("bucket"))
-        & inside
-    )
-    joined = keyed.join(F.broadcast(right) if broadcast else right, on, "left")
-    share = (F.col("__x") - r("x")) / F.nullif(r("x1") - r("x"), F.lit(0.0))
-    mixed = {
-        f"{prefix}_{n}": F.when(F.col("__x") == r("x"), r(n)).otherwise(
-            r(n) + share * (r(f"{n}1") - r(n))
-        )
-        for n in ("l", "m", "s")
+    """For each prefix in ``wanted`` add ``<prefix>_l``, ``_m``, ``_s`` of the reference at the
+    key; null outside the table. ``sex`` names a column of 1 or 2. Rows are kept: a key
+    meets at most one segment.
+    """
+    keys = {
+        f"__b_{p}": f"CAST(floor({ref(x)} / {double(bucket)}) AS BIGINT)" for p, (_, x) in wanted.items()
     }
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[e.alias(n) for n, e in mixed.items()])
+    out = rewrite(df, {"__sex": f"CASE WHEN {ref(sex)} IN (1D, 2D) THEN CAST({ref(sex)} AS INT) END", **keys})
+    added = []
+    for p, (indicator, x) in wanted.items():
+        r = f"__r_{p}_"
+        right = segs.toDF(*[r + c for c in segs.columns])
+        on = F.expr(
+            f"{ref(indicator)} = {r}indicator AND __sex = {r}sex AND __b_{p} = {r}bucket AND {ref(x)} >= {r}x "
+            f"AND ({ref(x)} < {r}x1 OR ({r}x1 IS NULL AND {ref(x)} = {r}x))"
+        )
+        out = out.join(F.broadcast(right) if broadcast else right, on, "left")
+        share = f"try_divide({ref(x)} - {r}x, {r}x1 - {r}x)"
+        added += [
+            f"CASE WHEN {ref(x)} = {r}x THEN {r}{n} ELSE {r}{n} + {share} * ({r}{n}1 - {r}{n}) END AS {p}_{n}"
+            for n in ("l", "m", "s")
+        ]
+    return out.selectExpr(*[ref(c) for c in df.columns], *added)
 
 
 def standing_height(height: Column, age: Column, position: Column, cut: float, shift: float) -> Column:
@@ -91,46 +83,52 @@ def standing_height(height: Column, age: Column, position: Column, cut: float, s
     )
 
 
-def growth_indices(df: DataFrame, lms: DataFrame, measures: Measures, bucket: float = 1.0) -> DataFrame:
-    """Height and weight for age, weight for height, and the label of low height for age.
+def growth_inputs(df: DataFrame, measures: Measures) -> dict[str, str]:
+    """Measurements as numbers, under names of their own, as SQL text."""
+    named = {
+        "__h": measures.height, "__w": measures.weight, "__a": measures.age, "__s": measures.sex,
+        "__p": measures.position,
+    }
+    return {k: number(df, c) if c and c in df.columns else "CAST(NULL AS DOUBLE)" for k, c in named.items()}
 
-    Three lookups, all broadcast in one stage. Height for age uses the corrected height,
-    weight for height the height as measured. Implausible scores become null.
+
+def score_growth(df: DataFrame, lms: DataFrame, measures: Measures, bucket: float = 1.0) -> DataFrame:
+    """Scores and label of a table that has the ``growth_inputs`` columns.
+
+    Height and weight for age and weight for height: three lookups, all broadcast in one stage.
+    Height for age uses the corrected height, weight for height the height as measured.
+    Implausible scores become null.
     """
     pinned, small = pin_small(lms)
-    segs = segments(pinned, bucket)
-    height, weight, age, sex = (
-        numeric(df, c) for c in (measures.height, measures.weight, measures.age, measures.sex)
-    )
-    if measures.position and measures.position in df.columns:
-        position = numeric(df, measures.position)
-    else:
-        position = F.lit(None).cast("double")
-    young = age < F.lit(float(measures.cut))
-    keys = {
-        "__h": height,
-        "__w": weight,
-        "__a": age,
-        "__s": sex,
-        "__hc": standing_height(height, age, position, measures.cut, measures.shift),
-        "__haz": F.when(young, "haz_l").when(age.isNotNull(), "haz_h"),
-        "__waz": F.when(age.isNotNull(), "waz"),
-        "__whz": F.when(young, "whz_l").when(age.isNotNull(), "whz_h"),
-    }
-    out = df.withColumns(keys)
-    for name, key, value in (("haz", "__a", "__hc"), ("waz", "__a", "__w"), ("whz", "__h", "__w")):
-        out = lookup(
-            out, segs, F.col(f"__{name}"), F.col("__s"), F.col(key), f"__{name}", bucket, broadcast=small
-        )
-        z = lms_z(F.col(value), *[F.col(f"__{name}_{p}") for p in ("l", "m", "s")])
-        lo, hi = measures.flags[f"{name}_score"]
-        out = out.withColumn(f"{name}_score", within(z, lo, hi))
-    out = out.withColumn(
-        measures.label, (F.col("haz_score") < F.lit(measures.label_below)).cast("bigint")
+    cut = double(measures.cut)
+    keyed = rewrite(
+        df,
+        {
+            "__i_haz": f"CASE WHEN __a < {cut} THEN 'haz_l' WHEN __a >= {cut} THEN 'haz_h' END",
+            "__i_waz": "CASE WHEN __a IS NOT NULL THEN 'waz' END",
+            "__i_whz": f"CASE WHEN __a < {cut} THEN 'whz_l' WHEN __a >= {cut} THEN 'whz_h' END",
+        },
     )
-    scores = ["haz_score", "waz_score", "whz_score", measures.label]
-    kept = [c for c in df.columns if c not in scores]
-    return out.select(*[F.col(f"`{c}`") for c in kept], *scores)
+    wanted = {"__haz": ("__i_haz", "__a"), "__waz": ("__i_waz", "__a"), "__whz": ("__i_whz", "__h")}
+    found = lookup(keyed, segments(pinned, bucket), "__s", wanted, bucket, broadcast=small)
+    corrected = standing_height(F.col("__h"), F.col("__a"), F.col("__p"), measures.cut, measures.shift)
+    scores = {}
+    for name, value in (("haz", corrected), ("waz", F.col("__w")), ("whz", F.col("__w"))):
+        z = lms_z(value, *[F.col(f"__{name}_{p}") for p in ("l", "m", "s")])
+        scores[f"{name}_score"] = within(z, *measures.flags[f"{name}_score"])
+    added = {*scores, measures.label}
+    kept = [c for c in df.columns if c not in added and c not in GROWTH_INPUTS]
+    # the label is computed from the finished score in a second projection
+    scored = found.select(*[ref(c) for c in kept], *[z.alias(c) for c, z in scores.items()])
+    return rewrite(scored, {measures.label: f"CAST(haz_score < {double(measures.label_below)} AS BIGINT)"})
+
+
+GROWTH_INPUTS = ("__h", "__w", "__a", "__s", "__p")
+
+
+def growth_indices(df: DataFrame, lms: DataFrame, measures: Measures, bucket: float = 1.0) -> DataFrame:
+    """``score_growth`` of a table with the measurements under their own names."""
+    return score_growth(rewrite(df, growth_inputs(df, measures)), lms, measures, bucket)
 
 
 def index_counts(df: DataFrame, label: str, by: list[str]) -> DataFrame:

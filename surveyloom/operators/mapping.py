@@ -7,8 +7,10 @@ many thousands of source tables: only equi-joins on pre-aggregated keys, no nest
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import INVISIBLE, normal_name, strip
@@ -183,18 +185,17 @@ def rename_map(dictionary: DataFrame, catalogue: DataFrame) -> DataFrame:
     )
 
 
-def rename_pairs(mapped: DataFrame, source: str) -> dict[str, str]:
-    """Raw name to standard name for one source; bounded by its number of columns."""
-    rows = (
-        mapped.where((F.col("source") == source) & (F.col("status") == "mapped"))
-        .select("code", "standard_name")
-        .collect()
-    )
-    pairs = {r["code"]: r["standard_name"] for r in rows}
-    twice = sorted({n for n in pairs.values() if list(pairs.values()).count(n) > 1})
-    if twice:
-        raise ValueError(f"several columns of {source} map to one standard name: {twice}")
-    return pairs
+def rename_pairs(mapped: DataFrame) -> dict[str, dict[str, str]]:
+    """Per source raw name to standard name; bounded by the number of columns."""
+    out: dict[str, dict[str, str]] = {}
+    for r in mapped.where(F.col("status") == "mapped").select("source", "code", "standard_name").collect():
+        out.setdefault(r["source"], {})[r["code"]] = r["standard_name"]
+    for source, pairs in out.items():
+        names = list(pairs.values())
+        twice = sorted({n for n in names if names.count(n) > 1})
+        if twice:
+            raise ValueError(f"several columns of {source} map to one standard name: {twice}")
+    return out
 
 
 def apply_rename(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
@@ -203,16 +204,14 @@ def apply_rename(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in taken]).withColumnsRenamed(dict(pairs))
 
 
-def pii_codes(dictionary: DataFrame, source: str, role: str) -> list[str]:
-    """Raw codes of the dictionary rows whose role says personal data."""
+def pii_codes(dictionary: DataFrame, role: str) -> dict[str, set[str]]:
+    """Per source the raw codes of the dictionary rows whose role says personal data."""
     cell = F.trim("code_cell")
-    rows = (
-        dictionary.where((F.col("source") == source) & (F.col("role") == role))
-        .where(~cell.isin(*NO_CODE))
-        .select(cell.alias("code"))
-        .collect()
-    )
-    return [r["code"] for r in rows]
+    rows = dictionary.where((F.col("role") == role) & ~cell.isin(*NO_CODE)).select("source", cell.alias("code"))
+    out: dict[str, set[str]] = {}
+    for r in rows.collect():
+        out.setdefault(r["source"], set()).add(r["code"])
+    return out
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -225,13 +224,13 @@ def allow_list(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c in keep])
 
 
-def names_where(
+def dictionary_rows(
     dictionary: DataFrame,
     prefix: str | None = None,
     role: str | None = None,
     category: str | None = None,
-) -> list[str]:
-    """Standard names in dictionary order, by prefix, role and category."""
+) -> DataFrame:
+    """(standard_name, pos) of the variables of a name prefix, role and category."""
     rows = dictionary
     if prefix:
         rows = rows.where(F.col("standard_name").startswith(prefix))
@@ -239,8 +238,38 @@ def names_where(
         rows = rows.where(F.col("role") == role)
     if category:
         rows = rows.where(F.col("category") == category)
-    ordered = rows.groupBy("standard_name").agg(F.min("pos").alias("pos")).orderBy("pos")
-    return [r["standard_name"] for r in ordered.collect()]
+    return rows.groupBy("standard_name").agg(F.min("pos").alias("pos"))
+
+
+def names_where(dictionary: DataFrame, **which: str | None) -> list[str]:
+    """Standard names of ``dictionary_rows`` in dictionary order."""
+    return [r["standard_name"] for r in dictionary_rows(dictionary, **which).orderBy("pos").collect()]
+
+
+def near_names(catalogue: DataFrame, hints: Mapping[str, Sequence[str]], most: int = 10) -> DataFrame:
+    """(source, required, code): for each required column a source lacks, its first columns
+    with a hint in the name. Row-local up to the rank, which tasks cut before the shuffle."""
+    lowered = F.lower("code")
+
+    def near(column: str) -> Column:
+        hit = reduce(or_, [lowered.contains(h) for h in hints[column]])
+        return F.when(hit, F.lit(column))
+
+    has = catalogue.groupBy("source").agg(
+        F.array_compact(
+            F.array(*[F.when(F.max(F.col("code") == c) == F.lit(False), F.lit(c)) for c in hints])
+        ).alias("lacks")
+    )
+    offers = catalogue.select(
+        "source", "pos", "code", F.explode(F.array_compact(F.array(*[near(c) for c in hints]))).alias("required")
+    )
+    wanted = offers.join(has.select("source", F.explode("lacks").alias("required")), ["source", "required"])
+    order = Window.partitionBy("source", "required").orderBy("pos")
+    return (
+        wanted.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= most)
+        .select("source", "required", "rank", "code")
+    )
 
 
 def require_columns(df: DataFrame, hints: Mapping[str, Sequence[str]], most: int = 10) -> None:

@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from surveyloom.operators import availability as ops
-from surveyloom.operators.cleaning import cohort_column, null_codes
+from surveyloom.operators.cleaning import add_cohort, null_codes
 from surveyloom.operators.combine import stack
-from surveyloom.plans.harmonise import map_source
+from surveyloom.plans.harmonise import map_sources
 from surveyloom.specs import Profile
 
 
@@ -24,9 +24,8 @@ def availability(sources: Mapping[str, DataFrame], dictionary: DataFrame, profil
     named = ops.candidates(dictionary, profile.meta_role, exclude)
     variables = [r["standard_name"] for r in named.orderBy("pos").collect()]
     frames = {}
-    for source, df in sources.items():
-        table = map_source(df, source, dictionary, profile).table
-        table = table.withColumn(rule.output, cohort_column(table, rule, null_is_old=True))
+    for source, table in map_sources(sources, dictionary, profile).tables.items():
+        table = add_cohort(table, rule, null_is_old=True)
         table = null_codes(table, profile.special_codes, profile.encoding["meta"])
         kept = [c for c in table.columns if c in variables]
         frames[source] = table.select(*kept, rule.output)

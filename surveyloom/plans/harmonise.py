@@ -4,71 +4,77 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.functions.columns import number, rewrite
 from surveyloom.operators import cleaning, combine, composites, indices, mapping
 from surveyloom.operators.impute import impute_linear, impute_tree
+from surveyloom.session import pin_small
 from surveyloom.sources.tables import catalogue_of
-from surveyloom.specs import Profile
+from surveyloom.specs import Encoding, Profile
 
 MODES = ("parity", "clean")
 
 
 @dataclass
 class Mapped:
-    """A source under standard names, with the outcome of the dictionary matching."""
+    """All sources under standard names, with the outcome of the dictionary matching."""
 
-    table: DataFrame
+    tables: dict[str, DataFrame]
     outcome: DataFrame
 
 
-def map_source(df: DataFrame, source: str, dictionary: DataFrame, profile: Profile) -> Mapped:
-    """Drop personal data, then rename source columns to standard names."""
-    safe = mapping.drop_columns(df, mapping.pii_codes(dictionary, source, profile.pii_role))
-    outcome = mapping.rename_map(
-        dictionary.where(F.col("source") == source), catalogue_of(safe, source)
-    )
-    return Mapped(mapping.apply_rename(safe, mapping.rename_pairs(outcome, source)), outcome)
+def map_sources(sources: Mapping[str, DataFrame], dictionary: DataFrame, profile: Profile) -> Mapped:
+    """Drop personal data, then rename source columns to standard names. The matching of all
+    sources is one small job on their column catalogues."""
+    private = mapping.pii_codes(dictionary, profile.pii_role)
+    safe = {s: mapping.drop_columns(df, private.get(s, ())) for s, df in sources.items()}
+    catalogue = reduce(DataFrame.unionByName, [catalogue_of(df, s) for s, df in safe.items()])
+    outcome, _ = pin_small(mapping.rename_map(dictionary.where(F.col("source").isin(*safe)), catalogue))
+    pairs = mapping.rename_pairs(outcome)
+    return Mapped({s: mapping.apply_rename(df, pairs.get(s, {})) for s, df in safe.items()}, outcome)
 
 
-def harmonise_rows(
-    df: DataFrame, source: str, names: list[str], lms: DataFrame, profile: Profile, mode: str = "parity"
-) -> DataFrame:
-    """Ranges, cohort, indices, composites, recodes and encoding of one mapped source.
+def prepare_rows(df: DataFrame, source: str, names: list[str], profile: Profile, mode: str) -> DataFrame:
+    """Ranges, cohort, position codes and row-wise composites of one mapped source.
 
-    ``parity`` computes composites before special codes are cleared and values recoded, and
-    clears special codes in measurements too, as published results did. ``clean`` clears
-    codes (measurements excepted) and recodes first, and lets wealth grow with ownership.
+    ``parity`` computes composites before special codes are cleared and values recoded, as
+    published results did. ``clean`` clears codes (measurements excepted) and recodes vaccine
+    answers first.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode is one of {MODES}")
-    clean = mode == "clean"
-    measured = (profile.measures.height, profile.measures.weight, profile.measures.age)
-    enc = profile.encoding
     mapping.require_columns(df, profile.name_hints)
     df = mapping.allow_list(df, {*names, *profile.computed})
     df = cleaning.null_outside(df, profile.ranges)
     df = cleaning.assign_cohort(df, profile.cohort)
     df = cleaning.swap_codes(df, profile.recodes, source)
-    if clean:
-        df = cleaning.null_codes(df, profile.special_codes, (*enc["meta"], *measured))
-    df = indices.growth_indices(df, lms, profile.measures)
-    if clean:
-        # counts of answers 1 need the recoded answers; the encoding below keeps 0 and 1
-        inputs = [c for c in names if c.startswith(profile.composites.vaccine_prefix) and c in enc["biner"]]
-        df = cleaning.encode_binary(df, inputs, profile.recodes, source)
-    df = composites.add_composites(
-        df, names, profile.composites, orient="ownership" if clean else "code_sum"
-    )
-    df = mapping.allow_list(df, {*names, *profile.computed})
+    if mode == "clean":
+        df = cleaning.null_codes(df, profile.special_codes, (*profile.encoding["meta"], *measured(profile)))
+        df = cleaning.encode_binary(df, answers(names, profile), profile.recodes, source)
+    return composites.add_row_composites(df, names, profile.composites)
+
+
+def measured(profile: Profile) -> tuple[str, ...]:
+    return (profile.measures.height, profile.measures.weight, profile.measures.age)
+
+
+def answers(names: list[str], profile: Profile) -> list[str]:
+    """Binary inputs of the all-vaccines flag, whose recode may differ by source."""
+    prefix = profile.composites.vaccine_prefix
+    return [c for c in names if c.startswith(prefix) and c in profile.encoding["biner"]]
+
+
+def encode_rows(df: DataFrame, source: str, names: list[str], profile: Profile, mode: str) -> DataFrame:
+    """Recodes and encoding of one prepared source. Columns named ``__`` are working copies."""
     df = cleaning.recode(df, profile.recodes, source)
-    if clean:
-        done = [c for c in enc["biner"] if c in inputs]
-        keep = {g: tuple(c for c in enc[g] if c not in done) for g in enc.groups}
-        return cleaning.encode(df, type(enc)(keep), profile.recodes, source, profile.special_codes, measured)
-    return cleaning.encode(df, enc, profile.recodes, source, profile.special_codes)
+    copies = [c for c in df.columns if c.startswith("__")]
+    encoding, keep = profile.encoding, (*copies,)
+    if mode == "clean":
+        done, keep = set(answers(names, profile)), (*copies, *measured(profile))
+        encoding = Encoding({g: tuple(c for c in encoding[g] if c not in done) for g in encoding.groups})
+    return cleaning.encode(df, encoding, profile.recodes, source, profile.special_codes, keep)
 
 
 def harmonise(
@@ -81,18 +87,40 @@ def harmonise(
 ) -> DataFrame:
     """All sources through all stages, stacked. ``impute`` is linear, tree or None.
 
-    The cells of all sources are imputed in the same passes. Each keeps its own means,
+    What needs whole columns runs for all sources at once: the wealth index in two passes over
+    the assets, and the imputation of all cells. Each source keeps its own means, weights,
     regressions and code lists, so no source learns from another.
     """
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {MODES}")
+    tag, wealth = profile.source_column, profile.composites.outputs[0]
     names = mapping.names_where(dictionary)
-    frames = {
-        s: harmonise_rows(map_source(df, s, dictionary, profile).table, s, names, lms, profile, mode)
-        for s, df in sources.items()
+    lms, _ = pin_small(lms)
+    mapped = map_sources(sources, dictionary, profile).tables
+    prepared = {s: prepare_rows(df, s, names, profile, mode) for s, df in mapped.items()}
+    assets = {s: composites.asset_columns(df, names, profile.composites) for s, df in prepared.items()}
+    # indices need values as they were before encoding: numeric copies travel along
+    raw = {s: columns for s, columns in assets.items() if len(columns) >= 3}
+    frames = {}
+    for s, df in prepared.items():
+        copies = indices.growth_inputs(df, profile.measures)
+        copies |= {f"__raw_{c}": number(df, c) for c in raw.get(s, ())}
+        frames[s] = encode_rows(rewrite(df, copies), s, names, profile, mode)
+    present = {
+        s: [*df.columns, *profile.measures.flags, *([wealth] if s in raw else [])] for s, df in frames.items()
     }
+    stacked = indices.score_growth(combine.stack(frames, tag), lms, profile.measures)
+    stacked = cleaning.encode_binary(stacked, [profile.measures.label], profile.recodes, "")
+    if raw:
+        used = list(dict.fromkeys(f"__raw_{c}" for columns in raw.values() for c in columns))
+        orient = "ownership" if mode == "clean" else "code_sum"
+        codes = {s: prepared[s].selectExpr(*[f"{number(prepared[s], c)} AS __raw_{c}" for c in raw[s]]) for s in raw}
+        weights = composites.wealth_weights(combine.stack(codes, tag), used, [tag], orient)
+        stacked = composites.wealth_score(stacked, weights, used, wealth, [tag]).drop(*used)
+        stacked = cleaning.null_codes(stacked, profile.special_codes, [c for c in stacked.columns if c != wealth])
     # text left over by the encoding is never imputed, so its types can be settled first
-    stacked = cleaning.infer_types(combine.stack(frames, profile.source_column))
+    stacked = cleaning.infer_types(stacked, like=combine.stack(prepared, "__source"))
     if impute is not None:
         method = {"linear": impute_linear, "tree": impute_tree}[impute]
-        present = {s: df.columns for s, df in frames.items()}
         stacked = method(stacked, profile.impute, profile.encoding.coded, profile.label, present)
     return combine.fill_indicators(stacked)

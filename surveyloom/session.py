@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Settings the wide harmonised table (more than 130 columns) profits from.
@@ -20,6 +20,9 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Settings to start a session with. Call sites in expressions cost more than a wide plan.
+STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 #: Largest table that is pinned and broadcast. Anything above joins by shuffle.
 SMALL_ROWS = 100_000
 
@@ -94,11 +97,3 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    """OR of conditions, false for none."""
-    out = F.lit(False)
-    for condition in conditions:
-        out = out | condition
-    return out

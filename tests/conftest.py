@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from surveyloom.session import DEFAULTS  # noqa: E402
+from surveyloom.session import DEFAULTS, STATIC  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,7 +19,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **STATIC}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
