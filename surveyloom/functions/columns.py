@@ -86,11 +86,6 @@ def outside(value: str, lo: float, hi: float) -> str:
     return f"({value} < {double(lo)} OR {value} > {double(hi)})"
 
 
-def within(value: Column, lo: float, hi: float) -> Column:
-    """``value`` if it lies in [lo, hi], else null."""
-    return F.when(value.between(F.lit(float(lo)), F.lit(float(hi))), value)
-
-
 def in_codes(value: str, codes: Iterable[float]) -> str:
     return f"{value} IN ({', '.join(double(code) for code in codes)})"
 

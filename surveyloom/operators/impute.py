@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from surveyloom.functions.columns import is_number, is_text, numeric, snap_expr
 from surveyloom.operators.availability import filled_counts
-from surveyloom.session import SMALL_ROWS, join_small, materialise, spread
+from surveyloom.session import SMALL_ROWS, join_small, materialise
 from surveyloom.specs import ImputeRule
 
 MAX_CELLS = 10_000
@@ -315,7 +315,7 @@ class ChainedImputer:
         columns = candidates_of(df, rule)
         # a row is known by its content: equal rows get equal draws, wherever they lie
         key = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__key")
-        df = materialise(spread(df.select(*[F.col(f"`{c}`") for c in df.columns], key)), "impute")
+        df = materialise(df.select(*[F.col(f"`{c}`") for c in df.columns], key), "impute")
         self.splits = df.rdd.getNumPartitions()
         rows = df.where(F.col(by[-1]).isNotNull())
         profile = feature_profile(rows, columns, by).limit(MAX_CELLS + 1).collect()

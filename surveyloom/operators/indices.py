@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions.columns import double, lms_z, number, ref, rewrite, within
+from surveyloom.functions.columns import double, lms_z, number, ref, rewrite
 from surveyloom.session import pin_small
 from surveyloom.specs import Measures
 
@@ -99,7 +99,7 @@ def score_growth(df: DataFrame, lms: DataFrame, measures: Measures, bucket: floa
     Height for age uses the corrected height, weight for height the height as measured.
     Implausible scores become null.
     """
-    pinned, small = pin_small(lms)
+    segs, small = pin_small(segments(lms, bucket))
     cut = double(measures.cut)
     keyed = rewrite(
         df,
@@ -110,17 +110,19 @@ def score_growth(df: DataFrame, lms: DataFrame, measures: Measures, bucket: floa
         },
     )
     wanted = {"__haz": ("__i_haz", "__a"), "__waz": ("__i_waz", "__a"), "__whz": ("__i_whz", "__h")}
-    found = lookup(keyed, segments(pinned, bucket), "__s", wanted, bucket, broadcast=small)
+    found = lookup(keyed, segs, "__s", wanted, bucket, broadcast=small)
     corrected = standing_height(F.col("__h"), F.col("__a"), F.col("__p"), measures.cut, measures.shift)
-    scores = {}
-    for name, value in (("haz", corrected), ("waz", F.col("__w")), ("whz", F.col("__w"))):
-        z = lms_z(value, *[F.col(f"__{name}_{p}") for p in ("l", "m", "s")])
-        scores[f"{name}_score"] = within(z, *measures.flags[f"{name}_score"])
-    added = {*scores, measures.label}
-    kept = [c for c in df.columns if c not in added and c not in GROWTH_INPUTS]
-    # the label is computed from the finished score in a second projection
+    scores = {
+        f"{name}_score": lms_z(value, *[F.col(f"__{name}_{p}") for p in ("l", "m", "s")])
+        for name, value in (("haz", corrected), ("waz", F.col("__w")), ("whz", F.col("__w")))
+    }
+    kept = [c for c in df.columns if c not in {*scores, measures.label} and c not in GROWTH_INPUTS]
+    # one projection each for formula, bounds and label: none evaluates the one below twice
     scored = found.select(*[ref(c) for c in kept], *[z.alias(c) for c, z in scores.items()])
-    return rewrite(scored, {measures.label: f"CAST(haz_score < {double(measures.label_below)} AS BIGINT)"})
+    bounded = rewrite(
+        scored, {c: f"CASE WHEN {c} BETWEEN {double(lo)} AND {double(hi)} THEN {c} END" for c, (lo, hi) in measures.flags.items()}
+    )
+    return rewrite(bounded, {measures.label: f"CAST(haz_score < {double(measures.label_below)} AS BIGINT)"})
 
 
 GROWTH_INPUTS = ("__h", "__w", "__a", "__s", "__p")

@@ -33,7 +33,8 @@ def map_sources(sources: Mapping[str, DataFrame], dictionary: DataFrame, profile
     private = mapping.pii_codes(dictionary, profile.pii_role)
     safe = {s: mapping.drop_columns(df, private.get(s, ())) for s, df in sources.items()}
     catalogue = reduce(DataFrame.unionByName, [catalogue_of(df, s) for s, df in safe.items()])
-    outcome, _ = pin_small(mapping.rename_map(dictionary.where(F.col("source").isin(*safe)), catalogue))
+    wanted = dictionary.where(F.col("source").isin(*safe))
+    outcome, _ = pin_small(mapping.rename_map(wanted.coalesce(1), catalogue.coalesce(1)))
     pairs = mapping.rename_pairs(outcome)
     return Mapped({s: mapping.apply_rename(df, pairs.get(s, {})) for s, df in safe.items()}, outcome)
 
@@ -95,7 +96,6 @@ def harmonise(
         raise ValueError(f"mode is one of {MODES}")
     tag, wealth = profile.source_column, profile.composites.outputs[0]
     names = mapping.names_where(dictionary)
-    lms, _ = pin_small(lms)
     mapped = map_sources(sources, dictionary, profile).tables
     prepared = {s: prepare_rows(df, s, names, profile, mode) for s, df in mapped.items()}
     assets = {s: composites.asset_columns(df, names, profile.composites) for s, df in prepared.items()}

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.session import configure
+from surveyloom.session import configure, spread
 
 
 def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -56,7 +56,7 @@ SURVEY_SQL = select(SURVEY, "lineitem")
 
 
 def survey(spark: SparkSession, sf: str) -> DataFrame:
-    return derive(load(spark, sf, "lineitem"), SURVEY)
+    return derive(spread(load(spark, sf, "lineitem")), SURVEY)
 
 
 #: Parts as dictionary rows of 25 sources (p_brand), with all shapes a code cell can have.
