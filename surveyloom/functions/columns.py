@@ -130,7 +130,7 @@ def normal_name(c: Column) -> Column:
 
 def normal_text(c: Column) -> Column:
     """A label for comparison: lower case words separated by one space, null as empty."""
-    words = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[^\p{L}\p{N}_]+", " ")
+    words = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}_]+", " ")
     return F.trim(words)
 
 

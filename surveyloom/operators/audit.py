@@ -181,28 +181,27 @@ def pii_scan(catalogue: DataFrame, keywords: Sequence[str], code: str | None = "
     the label or the code. Words are looked for with blanks around, so the scan is row-local
     and reads each text once: no explode, no join.
     """
-    pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    found = catalogue.withColumn("__label", normal_text(F.col(label)))
-    found = found.withColumn("__words", pad(F.col("__label")))
-    found = found.withColumn("__code", pad(normal_text(F.col(code))) if code else F.lit(""))
-    hits = []
-    for word in keywords:
-        if len(word.split()) > 1:
-            hit = F.col("__label").contains(word)
-        else:
-            hit = F.col("__words").contains(f" {word} ")
-            if code:
-                hit = hit | F.col("__code").contains(f" {word} ")
-        hits.append((hit, word))
-    first = F.when(hits[0][0], hits[0][1])
-    for hit, word in hits[1:]:
-        first = first.when(hit, word)
-    return (
-        found.withColumn("kata_kunci", first)
-        .where(F.col("kata_kunci").isNotNull())
-        .drop("__label", "__words", "__code")
+    texts = F.struct(
+        normal_text(F.col(label)).alias("label"), (normal_text(F.col(code)) if code else F.lit("")).alias("code")
     )
 
+    def first_hit(t: Column) -> Column:
+        words = F.concat(F.lit(" "), t["label"], F.lit(" "))
+        codes = F.concat(F.lit(" "), t["code"], F.lit(" "))
+        out = None
+        for keyword in keywords:
+            if len(keyword.split()) > 1:
+                hit = t["label"].contains(keyword)
+            else:
+                hit = words.contains(f" {keyword} ") | codes.contains(f" {keyword} ")
+            out = F.when(hit, keyword) if out is None else out.when(hit, keyword)
+        return out
+
+    # The lambda binds the normalised texts once. As plain columns they would be put in place
+    # of every mention when Spark moves the filter below the projection.
+    found = F.transform(F.array(texts), first_hit)[0]
+    return catalogue.withColumn("kata_kunci", found).where(F.col("kata_kunci").isNotNull())
+
 
 def status_summary(report: DataFrame) -> DataFrame:
     """Per source the number of rows by words in their status."""

@@ -72,9 +72,13 @@ def contract_from_data(
     defaults: Mapping[str, float],
 ) -> Contract:
     """Profile a table into a contract: three passes, each with a result the size of metadata."""
-    profile = contract_profile(df, source, cohort).collect()
-    whole = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first().asDict()
-    coded = [c for c in df.columns if c in encoding.coded and c != label]
+    columns = [c for c in df.columns if c not in (source, cohort)]
+    counts = filled_counts(df, columns, [source, cohort]).collect()
+    profile = [r for r in counts if r[source] is not None and r[cohort] is not None]
+    known: dict[str, int] = {}
+    for r in counts:
+        known[r["variable"]] = known.get(r["variable"], 0) + r["filled"]
+    coded = [c for c in columns if c in encoding.coded and c != label]
     domains: dict[str, list[int]] = {c: [] for c in coded}
     if coded:
         for r in value_domains(df, coded, [], whole=True).collect():
@@ -82,16 +86,16 @@ def contract_from_data(
     shares = df.where(F.col(cohort).isNotNull()).groupBy(cohort).agg(F.avg(F.col(label).cast("double")).alias("p"))
     prevalence = dict(defaults)
     prevalence |= {r[cohort]: r["p"] for r in shares.collect() if r[cohort] in defaults and r["p"] is not None}
-    cells = {(r["source"], r["cohort"]): r["n"] for r in profile}
+    cells = {(r[source], r[cohort]): r["n"] for r in profile}
     return Contract(
         columns=list(df.columns),
         dtype={f.name: f.dataType.simpleString() for f in df.schema.fields},
         domains={c: sorted(v) for c, v in domains.items()},
         struct_absent={
-            c: sorted([r["source"], r["cohort"]] for r in profile if r["column"] == c and r["absent"])
+            c: sorted([r[source], r[cohort]] for r in profile if r["variable"] == c and not r["filled"])
             for c in df.columns
         },
-        allnan=[c for c in df.columns if whole[c] == 0],
+        allnan=[c for c in columns if not known.get(c)],
         cell_counts={f"{s}|{k}": n for (s, k), n in sorted(cells.items())},
         prevalensi=prevalence,
         source_vals=sorted({s for s, _ in cells}),

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from surveyloom.functions.columns import is_number, is_text, numeric, snap_expr
 from surveyloom.operators.availability import filled_counts
-from surveyloom.session import SMALL_ROWS, join_small, materialise
+from surveyloom.session import SMALL_ROWS, join_small, materialise, pin_small
 from surveyloom.specs import ImputeRule
 
 MAX_CELLS = 10_000
@@ -177,38 +178,50 @@ def value_domains(df: DataFrame, columns: Sequence[str], by: Sequence[str], whol
     return out
 
 
-def snap_to_codes(df: DataFrame, column: str, codes: DataFrame, value: str = "value", literal: int = 64) -> DataFrame:
+def snap_to_codes(
+    df: DataFrame, column: str, codes: DataFrame, value: str = "value", literal: int = 64, most: int = SMALL_ROWS
+) -> DataFrame:
     """Replace each value of ``column`` by the nearest code, the lower one on a tie.
 
-    A short code list becomes one CASE. A long one becomes segments between the halfway
-    points, cut at quantiles into buckets of like size, and an equi-join on the bucket.
+    A short code list becomes one CASE, a longer one a binary search in Arrow batches. A list
+    too long to ship to tasks is cut into ranges and joined on the range.
     """
     distinct = codes.select(F.col(value).cast("double").alias("code")).where("code is not null").distinct()
-    few = [r["code"] for r in distinct.limit(literal + 1).collect()]
+    listed = [r["code"] for r in distinct.limit(most + 1).collect()]
     target = numeric(df, column)
-    if len(few) <= literal:
-        return df.withColumn(column, snap_expr(target, few))
-    cuts = distinct.agg(F.percentile_approx("code", [i / 256 for i in range(257)], 10_000)).first()[0]
+    if len(listed) > most:
+        return _snap_by_join(df, column, target, distinct)
+    if len(listed) <= literal:
+        return df.withColumn(column, snap_expr(target, listed))
+    ordered = np.array(sorted(listed))
+
+    @F.pandas_udf(T.DoubleType())
+    def nearest(values: pd.Series) -> pd.Series:
+        found = values.to_numpy(dtype=float, copy=True)
+        known = ~np.isnan(found)
+        found[known] = _nearest(ordered, found[known])
+        return pd.Series(found)
+
+    return df.withColumn(column, F.nullif(nearest(target), F.lit(float("nan"))))
+
+
+def _snap_by_join(df: DataFrame, column: str, target: Column, distinct: DataFrame, ranges: int = 4096) -> DataFrame:
+    """Nearest code through an equi-join on ranges that hold about as many codes each. A range
+    also knows the last code before and the first after it."""
+    cuts = distinct.agg(F.percentile_approx("code", [i / ranges for i in range(ranges + 1)], 100_000)).first()[0]
     cuts = sorted(set(cuts))
 
-    def bucket(x: Column) -> Column:
+    def place(x: Column) -> Column:
         return F.size(F.filter(F.lit(cuts).cast("array<double>"), lambda cut: cut <= x))
 
-    # neighbours inside a bucket; the two edges of a bucket look one code over
-    edges = distinct.withColumn("bucket", bucket(F.col("code")))
-    ends = edges.groupBy("bucket").agg(F.min("code").alias("lo"), F.max("code").alias("hi"))
-    ends = join_small(
-        ends, ends.select((F.col("bucket") + 1).alias("bucket"), F.col("hi").alias("before")), "bucket"
-    )
-    ends = join_small(
-        ends, ends.select((F.col("bucket") - 1).alias("bucket"), F.col("lo").alias("after")), "bucket"
-    )
-    reach = edges.select("bucket", "code").unionByName(
-        ends.select("bucket", F.col("before").alias("code")).where("code is not null")
-    ).unionByName(ends.select("bucket", F.col("after").alias("code")).where("code is not null"))
-    lists = reach.groupBy("bucket").agg(F.sort_array(F.collect_set("code")).alias("__codes"))
-    keyed = df.withColumns({"__v": target, "__b": F.greatest(F.lit(1), bucket(target))})
-    joined = join_small(keyed, lists.withColumnRenamed("bucket", "__b"), "__b")
+    inside = distinct.withColumn("place", F.greatest(F.lit(1), place(F.col("code"))))
+    ends, _ = pin_small(inside.groupBy("place").agg(F.min("code").alias("lo"), F.max("code").alias("hi")))
+    before = ends.select((F.col("place") + 1).alias("place"), F.col("hi").alias("code"))
+    after = ends.select((F.col("place") - 1).alias("place"), F.col("lo").alias("code"))
+    reach = inside.select("place", "code").unionByName(before).unionByName(after)
+    lists = reach.groupBy("place").agg(F.sort_array(F.collect_set("code")).alias("__codes"))
+    keyed = df.withColumns({"__v": target, "__place": F.greatest(F.lit(1), place(target))})
+    joined = keyed.join(lists.withColumnRenamed("place", "__place"), "__place", "left")
     best = F.array_min(
         F.transform("__codes", lambda code: F.struct(F.abs(F.col("__v") - code).alias("d"), code.alias("c")))
     )["c"]
@@ -465,13 +478,15 @@ class ChainedImputer:
             rows = rows.coalesce(most)
         parts = rows.mapInArrow(partials, "cell int, target int, gram array<double>")
         vector = array_to_vector(F.col("gram"))
-        # two levels, so that no single task receives a matrix from every task
-        slot = parts.withColumn("slot", F.spark_partition_id() % 64).groupBy("cell", "target", "slot")
-        merged = (
-            slot.agg(Summarizer.sum(vector).alias("g"))
-            .groupBy("cell", "target")
-            .agg(vector_to_array(Summarizer.sum(F.col("g"))).alias("g"))
-        )
+        keys, merged = ["cell", "target"], parts
+        if self.splits > 512:
+            # two levels, so that no single task receives a matrix from every task
+            merged = (
+                merged.withColumn("slot", F.spark_partition_id() % 64)
+                .groupBy(*keys, "slot")
+                .agg(vector_to_array(Summarizer.sum(vector)).alias("gram"))
+            )
+        merged = merged.groupBy(*keys).agg(vector_to_array(Summarizer.sum(vector)).alias("g"))
         out = {}
         for r in merged.collect():
             gram = np.array(r["g"])

@@ -10,6 +10,7 @@ from surveyloom.functions.columns import normal_text as normal_text_expr
 from surveyloom.operators import audit as ops
 from surveyloom.operators.mapping import parse_cell
 from surveyloom.queries.base import CATALOGUE_SQL, DICTIONARY_SQL, catalogue, derive, dictionary, load, select
+from surveyloom.session import spread
 from surveyloom.queries.mapping import _CLEAN, _MAIN, _SQUEEZE, _STATUS
 
 #: Keywords of the personal-data scan, words and phrases, first hit wins.
@@ -41,7 +42,8 @@ REPORT = {
 
 
 def normal_text(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "documents").select("doc_id", normal_text_expr(F.col("text")).alias("words"))
+    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", normal_text_expr(F.col("text")).alias("words"))
 
 
 def token_jaccard(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +89,7 @@ def audit_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pii_scan(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
     return ops.pii_scan(docs, KEYWORDS, code=None, label="text").select("doc_id", "kata_kunci")
 
 

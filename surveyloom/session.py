@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # larger batches for numpy; Spark bounds the bytes of a batch as well
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "50000",
     # whole-stage codegen is off above this many columns; the default is 100
     "spark.sql.codegen.maxFields": "400",
     # The JVM does not compile methods above 8000 bytes, and wide projections generate such
