@@ -143,7 +143,7 @@ def structural_gaps(
     skip = set(skip) | {cohort}
     columns = [c for c in df.columns if c not in skip]
     filled = filled_counts(df, columns, [cohort])
-    null_rate = 1 - F.col("filled") / F.col("n")
+    null_rate = (F.col("n") - F.col("filled")) / F.col("n")
 
     def rate(which: str) -> Column:
         return F.max(F.when(F.col(cohort) == which, null_rate))

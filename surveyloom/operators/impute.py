@@ -24,12 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyloom.functions.columns import is_number, is_text, numeric, snap_expr
+from surveyloom.functions.columns import hash_uniform, is_number, is_text, numeric, snap_expr
 from surveyloom.operators.availability import filled_counts
 from surveyloom.session import SMALL_ROWS, join_small, materialise, pin_small
 from surveyloom.specs import ImputeRule
 
 MAX_CELLS = 10_000
+#: Known values per cell and feature from which gaps draw their start.
+POOL = 256
 #: Codes 0..62 of a column fit the bits of one long.
 BITS = 62
 
@@ -82,7 +84,7 @@ def eligibility(df: DataFrame, columns: Sequence[str], by: Sequence[str], rule:
     decisions, ``eligible`` and ``indicator``. One pass; min < max stands for two values."""
     long = profile_long(feature_profile(df, columns, by), columns, by)
     never = F.col("feature").isin(*rule.never)
-    rate = 1 - F.col("filled") / F.col("n")
+    rate = (F.col("n") - F.col("filled")) / F.col("n")
     return long.select(
         *by,
         "feature",
@@ -111,7 +113,7 @@ def imputation_matrix(df: DataFrame, rule: ImputeRule, cohort: str) -> DataFrame
 
 def missing_rates(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Long null rates per cell and column."""
-    return filled_counts(df, columns, by).withColumn("missing_rate", 1 - F.col("filled") / F.col("n"))
+    return filled_counts(df, columns, by).withColumn("missing_rate", (F.col("n") - F.col("filled")) / F.col("n"))
 
 
 def add_indicators(df: DataFrame, by: Sequence[str], wanted: dict[str, list[tuple]]) -> DataFrame:
@@ -240,7 +242,7 @@ class CellPlan:
     targets: np.ndarray  # positions, within ``active``, of those with gaps
     mean: np.ndarray
     sd: np.ndarray
-    start: np.ndarray  # per active feature the quantiles draws are taken from
+    start: list[np.ndarray]  # per active feature the known values that draws are taken from
     codes: dict[int, np.ndarray] = field(default_factory=dict)
 
 
@@ -359,10 +361,7 @@ class ChainedImputer:
                     targets=np.array(targets, dtype=int),
                     mean=np.array([r[f"{c}|mean"] for c in names], dtype=float),
                     sd=np.where(sd > 0, sd, 1.0),
-                    start=np.array(
-                        [starts.get((cell, c)) if (cell, c) in starts else np.full(rule.bins, r[f"{c}|mean"]) for c in names],
-                        dtype=float,
-                    ).reshape(len(names), rule.bins),
+                    start=[starts.get((cell, c), np.array([r[f"{c}|mean"]])) for c in names],
                     codes={j: codes[cell, names[j]] for j in targets if (cell, names[j]) in codes},
                 )
             )
@@ -375,23 +374,51 @@ class ChainedImputer:
     def _marks(self, c: str, cell: tuple, r) -> bool:
         if self.present is not None and c not in self.present.get(cell[0], ()):
             return False
-        rate = 1 - r[f"{c}|filled"] / r["n"]
+        rate = (r["n"] - r[f"{c}|filled"]) / r["n"]
         return rate > 0 and (rate >= self.rule.indicator_rate or c in self.rule.never)
 
     def _start_pools(self, rows: DataFrame, columns: list[str]) -> dict[tuple, np.ndarray]:
-        """Quantiles of the known values, from which gaps draw their start."""
+        """Known values from which gaps draw their start: some ``POOL`` per cell and feature.
+
+        The row hash decides which values are in a pool, so it is the same for any
+        partitioning. Pools set start values only; every row takes part in the fit.
+        """
         if not columns or self.rule.start == "mean":
             return {}
-        at = [(i + 0.5) / self.rule.bins for i in range(self.rule.bins)]
-        got = rows.groupBy(*self.rule.cell).agg(
-            *[F.percentile_approx(numeric(rows, c), at, 1000).alias(c) for c in columns]
+        by, spark = list(self.rule.cell), rows.sparkSession
+        pool = max(16, min(POOL, 4_000_000 // (len(self.cells) * len(columns))))
+        rates = []
+        for cell, r in zip(self.cells, self.stats):
+            each = [min(1.0, pool / max(1, r[f"{c}|known"])) for c in columns]
+            rates.append((*cell, each, max(each)))
+        schema = T.StructType(
+            [
+                *rows.select(*by).schema.fields,
+                T.StructField("__rates", T.ArrayType(T.DoubleType())),
+                T.StructField("__top", T.DoubleType()),
+            ]
         )
-        return {
-            (tuple(r[k] for k in self.rule.cell), c): np.array(r[c], dtype=float)
-            for r in got.collect()
-            for c in columns
-            if r[c]
-        }
+        u = hash_uniform(F.col("__key"), "start", self.rule.seed)
+        chosen = join_small(
+            rows.select(*by, u.alias("__u"), *[numeric(rows, c).alias(c) for c in columns]),
+            spark.createDataFrame(rates, schema),
+            by,
+            "inner",
+            MAX_CELLS,
+        ).where("__u < __top")
+        picks = F.array(
+            *[
+                F.when(
+                    (F.col("__u") < F.col("__rates")[i]) & F.col(f"`{c}`").isNotNull(),
+                    F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v")),
+                )
+                for i, c in enumerate(columns)
+            ]
+        )
+        out: dict[tuple, list[float]] = {}
+        for r in chosen.select(*by, F.explode(F.array_compact(picks)).alias("p")).select(*by, "p.i", "p.v").collect():
+            out.setdefault((tuple(r[k] for k in by), columns[r["i"]]), []).append(r["v"])
+        return {k: np.array(sorted(v)) for k, v in out.items()}
 
     def _code_lists(self, rows: DataFrame, columns: list[str]) -> dict[tuple, np.ndarray]:
         """Sorted observed codes per cell and coded feature, if the lists are short enough
@@ -738,7 +765,7 @@ def impute_tree(
 
 
 def _draw_expr(plan: CellPlan, j: int, seed: int) -> Column:
-    """A start value from the cell's quantiles, picked by the row hash."""
+    """A start value from the cell's known values, picked by the row hash."""
     pool = F.lit(plan.start[j].tolist()).cast("array<double>")
     pick = F.pmod(F.xxhash64(F.col("__key"), F.lit(int(plan.active[j])), F.lit(seed)), F.lit(len(plan.start[j])))
     return pool[pick.cast("int")]

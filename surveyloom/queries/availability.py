@@ -123,8 +123,8 @@ SQL = {
     "structural_gaps": """WITH c AS (SELECT CASE WHEN p_size < 24 THEN 'baduta' ELSE 'balita_tua' END AS kohort,
    CASE WHEN p_partkey % 3 <> 0 AND p_size < 24 THEN p_size END AS food_1, p_brand AS brand,
    CASE WHEN p_size >= 24 OR p_partkey % 4 = 0 THEN p_retailprice END AS price FROM part),
- r AS (SELECT kohort, 1 - count(food_1) / count(*) AS food_1, 1 - count(brand) / count(*) AS brand,
-   1 - count(price) / count(*) AS price FROM c GROUP BY 1),
+ r AS (SELECT kohort, (count(*) - count(food_1)) / count(*) AS food_1, (count(*) - count(brand)) / count(*) AS brand,
+   (count(*) - count(price)) / count(*) AS price FROM c GROUP BY 1),
  u AS (UNPIVOT r ON food_1, brand, price INTO NAME variable VALUE rate),
  g AS (SELECT variable, max(CASE WHEN kohort = 'baduta' THEN rate END) AS null_young,
    max(CASE WHEN kohort = 'balita_tua' THEN rate END) AS null_old FROM u GROUP BY 1)

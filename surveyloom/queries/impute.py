@@ -184,13 +184,13 @@ _TRACE = f"""trace AS (SELECT cell, feature, iteration, round(avg(value), 6) AS
 
 SQL = {
     "missing_rates": f"""WITH clean AS ({CLEAN_SQL}), long AS ({_LONG})
- SELECT source_flag, kohort, feature AS variable, n, filled, 1 - filled / n AS missing_rate FROM long""",
+ SELECT source_flag, kohort, feature AS variable, n, filled, (n - filled) / n AS missing_rate FROM long""",
     "feature_eligibility": f"""WITH clean AS ({CLEAN_SQL}), long AS ({_LONG})
- SELECT source_flag, kohort, feature, n, filled, 1 - filled / n AS missing_rate,
+ SELECT source_flag, kohort, feature, n, filled, (n - filled) / n AS missing_rate,
  coalesce(feature NOT IN ('visit_1', 'visit_2') AND filled >= 100 AND varies, false) AS eligible,
- filled < n AND (1 - filled / n >= 0.10 OR feature IN ('visit_1', 'visit_2')) AS indicator FROM long""",
+ filled < n AND ((n - filled) / n >= 0.10 OR feature IN ('visit_1', 'visit_2')) AS indicator FROM long""",
     "missing_indicators": f"""WITH clean AS ({CLEAN_SQL}),
- rates AS (SELECT source_flag, kohort, {', '.join(f'1 - count({c}) / count(*) AS r_{c}' for c in ('visit_1', 'food_1', 'ttd_count', 'asset_a'))}
+ rates AS (SELECT source_flag, kohort, {', '.join(f'(count(*) - count({c})) / count(*) AS r_{c}' for c in ('visit_1', 'food_1', 'ttd_count', 'asset_a'))}
    FROM clean GROUP BY 1, 2)
  SELECT id_ruta, source_flag, kohort, visit_1, food_1, ttd_count, asset_a,
  CASE WHEN r_visit_1 > 0 THEN CAST(visit_1 IS NULL AS TINYINT) END AS visit_1_missing,

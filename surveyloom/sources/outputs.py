@@ -41,7 +41,7 @@ def write_contract(spark: SparkSession, contract: Contract, path: str) -> None:
 
 
 def read_contract(spark: SparkSession, path: str) -> Contract:
-    return Contract.from_json(spark.read.option("wholetext", True).text(path).first()["value"])
+    return Contract.from_json(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def _write_document(spark: SparkSession, text: str, path: str) -> None:

@@ -155,7 +155,7 @@ def load_lms(spark: SparkSession, files: Mapping[tuple[str, int], str]) -> DataF
 
 def load_encoding(spark: SparkSession, path: str) -> Encoding:
     """Encoding schema from its JSON document (group -> list of columns)."""
-    lines = spark.read.option("wholetext", True).text(path).limit(2).collect()
+    lines = spark.read.text(path, wholetext=True).limit(2).collect()
     if len(lines) != 1:
         raise ValueError(f"{path} is not one JSON document")
     return Encoding.from_json(lines[0]["value"])
