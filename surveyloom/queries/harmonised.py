@@ -33,7 +33,7 @@ PROFILE = Profile(
                 "visit_2", "ttd_count", "imm_vit_a_count", "wealth_index", "ANC_total_visit", "food_diversity_score",
             ),
             "meta": ("source_flag", "kohort", "svy_weight", "id_ruta"),
-            "drop": ("measure_position",),
+            "drop": ("measure_position", "pii_identitas"),
         }
     ),
     recodes=Recodes(
@@ -190,7 +190,36 @@ _HARMONISED = f"""WITH RECURSIVE {_PREPARED}, {scores_sql('SELECT * FROM masked'
  {_composed('scored').format(score=SCORE)},
  encoded AS ({_encoded(', '.join(f'{_cleared(c)} AS {c}' for c in _MEASURED), f'{_IMM_1} AS imm_1, {_flag("imm_2")} AS imm_2')})"""
 
+_CANDIDATES = [c for c in NAMES if c not in ("id_ruta", "svy_weight", "measure_position")]
+_CELLS = [(s, k) for s in SOURCES for k in ("baduta", "balita_tua")]
+
+
+def _known(c: str) -> str:
+    # text is not cleared of codes; what is left under a raw name counts as there
+    return f"count({c})" if c == "water_source" else f"count({_cleared(c)})"
+
+
+_SHARES = " UNION ALL ".join(
+    f"SELECT '{c}' AS variabel, source_flag, kohort, {_known(c)} / count(*) AS share FROM aged GROUP BY 2, 3" for c in _CANDIDATES
+)
+_PIVOT = ", ".join(
+    f"coalesce(max(CASE WHEN source_flag = '{s}' AND kohort = '{k}' THEN share END), 0) AS \"{s}_{k}\"" for s, k in _CELLS
+)
+
+
+def _sources_with(k: str) -> str:
+    return " + ".join(f'CASE WHEN "{s}_{k}" >= 0.5 THEN 1 ELSE 0 END' for s in SOURCES)
+
+
+_AVAILABLE = f"""WITH aged AS (SELECT *, CASE WHEN age_child_months < 24 THEN 'baduta' ELSE 'balita_tua' END AS kohort FROM ({SURVEY_SQL})),
+ shares AS ({_SHARES}), wide AS (SELECT variabel, {_PIVOT} FROM shares GROUP BY 1)
+ SELECT variabel, 'any' AS kategori, {', '.join(f'round_even("{s}_{k}", 3) AS "{s}_{k}"' for s, k in _CELLS)},
+ CAST({_sources_with('baduta')} AS INT) AS n_sumber_baduta, CAST({_sources_with('balita_tua')} AS INT) AS n_sumber_balita_tua,
+ CASE {_sources_with('baduta')} WHEN 3 THEN 'kuat' WHEN 2 THEN 'sebagian' WHEN 1 THEN 'lemah' ELSE 'tidak' END AS lintas_sumber_baduta
+ FROM wide"""
+
 SQL = {
+    "availability_of_sources": _AVAILABLE,
     "harmonised_rows": f"{_HARMONISED} SELECT * FROM encoded",
     "harmonised_clean_mode": f"""WITH RECURSIVE {_PREPARED}, cleared AS (SELECT * REPLACE ({_ALL_CLEARED}) FROM masked),
  {scores_sql('SELECT * FROM cleared')}, {moments_sql(SURVEY_SQL)}, {weights_sql()},
