@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.operators.availability import filled_counts
 from surveyloom.operators.impute import value_domains
+from surveyloom.session import fetch_small
 from surveyloom.specs import Encoding
 
 # A share up to this is structural absence, and default code domains.
@@ -73,7 +74,7 @@ def contract_from_data(
 ) -> Contract:
     """Profile a table into a contract: three passes, each with a result the size of metadata."""
     columns = [c for c in df.columns if c not in (source, cohort)]
-    counts = filled_counts(df, columns, [source, cohort]).collect()
+    counts = fetch_small(filled_counts(df, columns, [source, cohort]), "cells of the contract")
     profile = [r for r in counts if r[source] is not None and r[cohort] is not None]
     known: dict[str, int] = {}
     for r in counts:
@@ -81,11 +82,11 @@ def contract_from_data(
     coded = [c for c in columns if c in encoding.coded and c != label]
     domains: dict[str, list[int]] = {c: [] for c in coded}
     if coded:
-        for r in value_domains(df, coded, [], whole=True).collect():
+        for r in fetch_small(value_domains(df, coded, [], whole=True), "code domains of the contract"):
             domains[r["variable"]].append(int(r["value"]))
     shares = df.where(F.col(cohort).isNotNull()).groupBy(cohort).agg(F.avg(F.col(label).cast("double")).alias("p"))
     prevalence = dict(defaults)
-    prevalence |= {r[cohort]: r["p"] for r in shares.collect() if r[cohort] in defaults and r["p"] is not None}
+    prevalence |= {r[cohort]: r["p"] for r in fetch_small(shares, "cohorts") if r[cohort] in defaults and r["p"] is not None}
     cells = {(r[source], r[cohort]): r["n"] for r in profile}
     return Contract(
         columns=list(df.columns),
@@ -126,7 +127,7 @@ def contract_from_schema(
     if matrix is not None:
         cells = {f"{s}_{k}": [s, k] for s in sources for k in cohorts}
         known = [c for c in cells if c in matrix.columns]
-        for r in absent_cells(matrix, known, columns).collect():
+        for r in fetch_small(absent_cells(matrix, known, columns), "absent cells"):
             absent[r["variabel"]].append(cells[r["cell"]])
     domains = {c: [0, 1] for c in encoding["biner"] if c != label}
     for c in (*encoding["ordinal"], *encoding["nominal"]):

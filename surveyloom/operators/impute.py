@@ -26,12 +26,13 @@ from pyspark.sql import types as T
 
 from surveyloom.functions.columns import hash_uniform, is_number, is_text, numeric, snap_expr
 from surveyloom.operators.availability import filled_counts
-from surveyloom.session import SMALL_ROWS, join_small, materialise, pin_small
+from surveyloom.session import SMALL_ROWS, fetch_small, join_small, materialise, pin_small
 from surveyloom.specs import ImputeRule
 
 MAX_CELLS = 10_000
 #: Known values per cell and feature from which gaps draw their start.
 POOL = 256
+POOL_TOTAL = 1_000_000
 #: Codes 0..62 of a column fit the bits of one long.
 BITS = 62
 
@@ -333,9 +334,7 @@ class ChainedImputer:
         df = materialise(df.select(*[F.col(f"`{c}`") for c in df.columns], key), "impute")
         self.splits = df.rdd.getNumPartitions()
         rows = df.where(F.col(by[-1]).isNotNull())
-        profile = feature_profile(rows, columns, by).limit(MAX_CELLS + 1).collect()
-        if len(profile) > MAX_CELLS:
-            raise ValueError(f"more than {MAX_CELLS} cells; choose coarser cells")
+        profile = fetch_small(feature_profile(rows, columns, by), "cells", MAX_CELLS)
         profile.sort(key=lambda r: tuple(str(r[k]) for k in by))
         self.stats = [r.asDict() for r in profile]
         self.cells = [tuple(r[k] for k in by) for r in profile]
@@ -383,10 +382,11 @@ class ChainedImputer:
         The row hash decides which values are in a pool, so it is the same for any
         partitioning. Pools set start values only; every row takes part in the fit.
         """
-        if not columns or self.rule.start == "mean":
+        # with very many cells the pools would outgrow the driver: gaps then start at means
+        pool = min(POOL, POOL_TOTAL // max(1, len(self.cells) * len(columns)))
+        if not columns or self.rule.start == "mean" or pool < 16:
             return {}
         by, spark = list(self.rule.cell), rows.sparkSession
-        pool = max(16, min(POOL, 4_000_000 // (len(self.cells) * len(columns))))
         rates = []
         for cell, r in zip(self.cells, self.stats):
             each = [min(1.0, pool / max(1, r[f"{c}|known"])) for c in columns]
@@ -426,9 +426,7 @@ class ChainedImputer:
         if not columns:
             return {}
         by = list(self.rule.cell)
-        found = value_domains(rows, columns, by).limit(SMALL_ROWS + 1).collect()
-        if len(found) > SMALL_ROWS:
-            raise ValueError(f"coded columns hold more than {SMALL_ROWS} codes: check the encoding")
+        found = fetch_small(value_domains(rows, columns, by), "observed codes of coded columns")
         out: dict[tuple, list[float]] = {}
         for r in found:
             out.setdefault((tuple(r[k] for k in by), r["variable"]), []).append(r["value"])

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import INVISIBLE, normal_name, strip
+from surveyloom.session import fetch_small
 
 # Cells that say a source has no such variable, the derived-variable mark,
 # and the person a suffixed column is about.
@@ -188,7 +189,7 @@ def rename_map(dictionary: DataFrame, catalogue: DataFrame) -> DataFrame:
 def rename_pairs(mapped: DataFrame) -> dict[str, dict[str, str]]:
     """Per source raw name to standard name; bounded by the number of columns."""
     out: dict[str, dict[str, str]] = {}
-    for r in mapped.where(F.col("status") == "mapped").select("source", "code", "standard_name").collect():
+    for r in fetch_small(mapped.where(F.col("status") == "mapped").select("source", "code", "standard_name"), "renames"):
         out.setdefault(r["source"], {})[r["code"]] = r["standard_name"]
     for source, pairs in out.items():
         names = list(pairs.values())
@@ -209,7 +210,7 @@ def pii_codes(dictionary: DataFrame, role: str) -> dict[str, set[str]]:
     cell = F.trim("code_cell")
     rows = dictionary.where((F.col("role") == role) & ~cell.isin(*NO_CODE)).select("source", cell.alias("code"))
     out: dict[str, set[str]] = {}
-    for r in rows.collect():
+    for r in fetch_small(rows, "codes of personal data"):
         out.setdefault(r["source"], set()).add(r["code"])
     return out
 
@@ -243,7 +244,8 @@ def dictionary_rows(
 
 def names_where(dictionary: DataFrame, **which: str | None) -> list[str]:
     """Standard names of ``dictionary_rows`` in dictionary order."""
-    return [r["standard_name"] for r in dictionary_rows(dictionary, **which).orderBy("pos").collect()]
+    rows = fetch_small(dictionary_rows(dictionary, **which), "dictionary")
+    return [r["standard_name"] for r in sorted(rows, key=lambda r: r["pos"])]
 
 
 def near_names(catalogue: DataFrame, hints: Mapping[str, Sequence[str]], most: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: Settings the wide harmonised table (more than 130 columns) profits from.
@@ -89,6 +89,14 @@ def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, boo
     return df.sparkSession.createDataFrame(rows, df.schema).coalesce(1), True
 
 
+def fetch_small(df: DataFrame, what: str, max_rows: int = SMALL_ROWS) -> list[Row]:
+    """Rows of a result that is metadata by its nature; an error, not a cut, if it is not."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows, too many for metadata")
+    return rows
+
+
 def join_small(
     left: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = SMALL_ROWS
 ) -> DataFrame:
