@@ -573,21 +573,20 @@ class ChainedImputer:
         wanted = sorted({int(f) for p in self.plans for f in p.active[p.targets]})
         if not wanted:
             return marked.select(*[c for c in marked.columns if not c.startswith("__")])
-        filled = marked.mapInArrow(
-            self._replay(_fill), T.StructType([*marked.schema.fields])
-        )
         types = {f.name: f.dataType for f in marked.schema.fields}
-        back = {self.features[i]: F.col(f"__x{i}") for i in wanted}
-        out = []
-        for c in marked.columns:
-            if c.startswith("__"):
-                continue
-            if c in back:
-                whole = c in self.coded and isinstance(types[c], (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-                out.append(back[c].cast(types[c] if whole else "double").alias(c))
-            else:
-                out.append(F.col(f"`{c}`"))
-        return filled.select(*out)
+        back = {self.features[i]: f"__x{i}" for i in wanted}
+        # features to fill go to Python and back once, as their numeric copies
+        sent = marked.drop(*back)
+        filled = sent.mapInArrow(self._replay(_fill), sent.schema)
+        integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+        def column(c: str) -> Column:
+            if c not in back:
+                return F.col(f"`{c}`")
+            whole = c in self.coded and isinstance(types[c], integral)
+            return F.col(back[c]).cast(types[c] if whole else "double").alias(c)
+
+        return filled.select(*[column(c) for c in marked.columns if not c.startswith("__")])
 
     def trace(self) -> DataFrame:
         """Mean of the imputed values per cell, feature and sweep, with the number of gaps and
