@@ -48,7 +48,7 @@ def lms_scores(spark: SparkSession, sf: str) -> DataFrame:
     skew = F.when(F.col("l_linenumber") % 3 == 0, 0.0).when(F.col("l_linenumber") % 3 == 1, 1.0).otherwise(-0.35)
     median = 30_000.0 + F.col("l_quantity") * 100.0
     z = lms_z_expr(value, skew, median, F.lit(0.125))
-    return li.select("l_orderkey", "l_linenumber", F.round(z, 6).alias("z"))
+    return li.select("l_orderkey", "l_linenumber", F.round(z, 9).alias("z"))
 
 
 def standing_height(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +141,7 @@ SQL = {
     "lms_scores": f"""WITH v AS (SELECT l_orderkey, l_linenumber,
    l_extendedprice - CASE WHEN l_linenumber = 7 THEN 60000e0 ELSE 0e0 END AS v,
    CASE l_linenumber % 3 WHEN 0 THEN 0e0 WHEN 1 THEN 1e0 ELSE -0.35e0 END AS l, 30000e0 + l_quantity * 100e0 AS m FROM lineitem)
- SELECT l_orderkey, l_linenumber, round({z_of('v', 'l', 'm', '0.125e0')}, 6) AS z FROM v""",
+ SELECT l_orderkey, l_linenumber, round({z_of('v', 'l', 'm', '0.125e0')}, 9) AS z FROM v""",
     "standing_height": f"SELECT id_ruta, height_child_cm, round({_CORRECTED}, 6) AS corrected FROM ({SURVEY_SQL})",
     "growth_indices": f"""WITH {scores_sql(_ROWS)}
  SELECT source_flag, id_ruta, age_child_months, round(haz_score, 6) AS haz_score, round(waz_score, 6) AS waz_score,
