@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
 from functools import reduce
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -235,17 +235,21 @@ def _snap_by_join(df: DataFrame, column: str, target: Column, distinct: DataFram
 # --------------------------------------------------------------- replay of the fitted steps
 
 
-@dataclass
-class CellPlan:
-    """What tasks need to know of one cell: features, scaling and start values."""
+def cell_plan(
+    active: np.ndarray,
+    targets: np.ndarray,
+    mean: np.ndarray,
+    sd: np.ndarray,
+    start: list[np.ndarray],
+    codes: dict[int, np.ndarray],
+) -> SimpleNamespace:
+    """What tasks need to know of one cell: positions of its eligible features, positions
+    within these of the ones with gaps, scaling, and per feature the known values draws are taken
+    from and the observed codes. A plain namespace, so that tasks can unpickle it anywhere."""
+    return SimpleNamespace(active=active, targets=targets, mean=mean, sd=sd, start=start, codes=codes)
 
-    active: np.ndarray  # positions of eligible features
-    targets: np.ndarray  # positions, within ``active``, of those with gaps
-    mean: np.ndarray
-    sd: np.ndarray
-    start: list[np.ndarray]  # per active feature the known values that draws are taken from
-    codes: dict[int, np.ndarray] = field(default_factory=dict)
 
+CellPlan = SimpleNamespace
 
 #: One step: position of the target within ``active``, intercept, slopes (0 for itself).
 Step = tuple[int, float, np.ndarray]
@@ -355,7 +359,7 @@ class ChainedImputer:
             # fewest gaps first, so that early regressions lean on known values
             targets.sort(key=lambda j: r["n"] - r[f"{names[j]}|known"])
             self.plans.append(
-                CellPlan(
+                cell_plan(
                     active=np.array([place[c] for c in names], dtype=int),
                     targets=np.array(targets, dtype=int),
                     mean=np.array([r[f"{c}|mean"] for c in names], dtype=float),
