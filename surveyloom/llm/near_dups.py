@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.components import connected
+from surveyloom.llm.filters import filter_of, may_hold
 from surveyloom.llm.store import Scratch
 from surveyloom.llm.words import BLANKS, LOWER, U64, as_long, mix, split_words, windows
 
@@ -155,14 +156,10 @@ def _estimate(percent: int):
     return run
 
 
-def _sets(size: int, flags: np.ndarray | None, bits: int):
+def _sets(size: int, flags: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if flags is not None:
-                ids = batch.column(0).to_numpy()
-                cell = _cell(ids, bits)
-                hit = (flags[cell >> 6] >> (cell & 63).astype(U64)) & U64(1)
-                batch = batch.filter(pa.array(hit.astype(bool)))
+            batch = batch.filter(pa.array(may_hold(flags, batch.column(0).to_numpy())))
             if batch.num_rows:
                 sets = [own.tobytes() for own in shingle_sets(batch.column(1), size)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.large_binary())], ["doc_id", "shingles"])
@@ -170,34 +167,6 @@ def _sets(size: int, flags: np.ndarray | None, bits: int):
     return run
 
 
-def _cell(ids: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(U64)) >> U64(64 - bits)).astype(np.int64)
-
-
-#: Bits of the filter that spares texts whose sets nobody asks for: 2 MiB at every size.
-FILTER_BITS = 24
-
-
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        cell = _cell(batch.column(0).to_numpy(), FILTER_BITS)
-        bit = np.left_shift(U64(1), (cell & 63).astype(U64))
-        yield pa.RecordBatch.from_arrays([pa.array(cell >> 6), pa.array(as_long(bit))], ["word", "bit"])
-
-
-def filter_of(ids: DataFrame) -> np.ndarray:
-    """A bit for each hash cell that some of the ids fall in; of fixed size.
-
-    It may let others through, more of them the more ids there are, so a join must
-    follow; it never holds one of the ids back.
-    """
-    rows = ids.mapInArrow(_cells, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    flags = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    found = rows.toPandas()
-    flags[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return flags.view(U64)
-
-
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +188,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scrat
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids"
     )
     made = docs.where("doc_id is not null").mapInArrow(
-        _sets(rule.shingle, filter_of(ids), FILTER_BITS), "doc_id long, shingles binary"
+        _sets(rule.shingle, filter_of(ids)), "doc_id long, shingles binary"
     )
     sets = scratch.keep(made, f"{name}-sets")
     wanted = scratch.keep(sets.join(ids, "doc_id", "left_semi"), f"{name}-wanted")

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyloom.llm.line_dedup import drop_repeated_lines
 from surveyloom.llm.near_dups import NearRule, near_duplicates
+from surveyloom.llm.substring_dedup import remove_repeats
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,8 +19,18 @@ def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), NearRule(shingle=2))
 
 
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf, "documents")).drop("text_key", "kept_text")
+
+
+def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeats(table(spark, sf, "documents")).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 SQL: dict[str, str] = {}
