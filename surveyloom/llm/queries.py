@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.llm.line_dedup import drop_repeated_lines
 from surveyloom.llm.near_dups import NearRule, near_duplicates
+from surveyloom.llm.packing import pack
 from surveyloom.llm.substring_dedup import remove_repeats
 
 
@@ -19,6 +20,10 @@ def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), NearRule(shingle=2))
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf, "documents")).drop("text_key", "kept_text")
 
@@ -29,6 +34,7 @@ def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op3_packing": op3_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_repeated_passages": op10_repeated_passages,
 }
