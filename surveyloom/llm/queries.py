@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.llm.line_dedup import drop_repeated_lines
+from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import NearRule, near_duplicates
 from surveyloom.llm.packing import pack
 from surveyloom.llm.substring_dedup import remove_repeats
+from surveyloom.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +26,14 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(table(spark, sf, "documents")).drop("text_key")
+
+
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf, "documents")).drop("text_key", "kept_text")
 
@@ -35,6 +45,8 @@ def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op3_packing": op3_packing,
+    "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_repeated_passages": op10_repeated_passages,
 }
