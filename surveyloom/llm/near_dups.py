@@ -5,8 +5,12 @@ the hash range: the bucket's smallest hash, kept as its number of leading zeros
 bits after the leading one. A bucket without a shingle takes the shingle that is least
 under the bucket's own permutation, so that equal registers stay as likely as the
 sets are alike, for short texts too. Bands of registers that agree make candidates; the
-share of equal registers, corrected for accidental agreement, drops those far below the threshold;
+share of equal registers, corrected for accidental agreement, drops those well below the threshold;
 the rest is compared on full sets.
+
+Links only have to join what belongs together. So a bucket's members are first compared with the
+bucket's first one; only buckets whose members are in different parts after that are compared
+member by member, on registers, in blocks, across parts alone.
 """
 
 from __future__ import annotations
@@ -25,14 +29,19 @@ from surveyloom.llm.filters import filter_of, may_hold
 from surveyloom.llm.store import Scratch
 from surveyloom.llm.words import BLANKS, LOWER, U64, as_long, mix, split_words, windows
 
-#: Buckets of a sketch, and registers put together in a band.
-BUCKET_BITS = 8
+#: Buckets of a sketch; registers put together in a band, and bands.
+BUCKET_BITS = 9
 BUCKETS = 1 << BUCKET_BITS
-BAND = 5
-BANDS = 34
-USED = BAND * BANDS
-#: Bits kept after the leading one.
-MANTISSA = 10
+BAND = 6
+BANDS = 42
+#: A register in a byte: leading zeros up to 15, and bits kept after the leading one.
+MANTISSA = 4
+#: Standard errors of the estimate below the threshold at which a pair is still compared.
+ERRORS = 4.0
+#: Band hashes in a pack, and ranges of the hash for each so many documents.
+PACK = 1 << 20
+RANGE_DOCS = 10_000
+RANGES = 64
 #: Members of a bucket compared with one another in one block.
 BLOCK = 512
 
@@ -64,10 +73,11 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def _registers(values: np.ndarray) -> np.ndarray:
-    """Leading zeros (6 bits) and the bits after the leading one of 48-bit values."""
+    """Leading zeros (up to 15) and the bits after the leading one of 48-bit values."""
     zeros = 48 - np.frexp(values.astype(np.float64))[1]
     tail = (values << (zeros + 1).astype(U64)) & U64((1 << 48) - 1)
-    return ((zeros.astype(U64) << U64(MANTISSA)) | (tail >> U64(48 - MANTISSA))).astype(np.uint16)
+    tail >>= U64(48 - MANTISSA)
+    return (np.minimum(zeros, 15) << MANTISSA).astype(np.uint8) | tail.astype(np.uint8)
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -78,11 +88,13 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     low[bucket[first]] = (shingles[first] << U64(BUCKET_BITS)) >> U64(16)
     empty = np.ones(BUCKETS, dtype=bool)
     empty[bucket[first]] = False
-    empty[USED:] = False
-    if empty.any():
-        own = (shingles[None, :] ^ _SEED[empty][:, None]) * _ODD[empty][:, None]
-        low[empty] = own.min(axis=1) >> U64(16)
-    return _registers(low)[:USED]
+    empty = np.flatnonzero(empty)
+    step = max(1, (1 << 18) // len(shingles))
+    for at in range(0, len(empty), step):
+        part = empty[at : at + step]
+        own = (shingles[None, :] ^ _SEED[part][:, None]) * _ODD[part][:, None]
+        low[part] = own.min(axis=1) >> U64(16)
+    return _registers(low)
 
 
 def _sign(size: int):
@@ -108,39 +120,85 @@ def _sign(size: int):
     return run
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), USED)
+def _matrix(values: list) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), BUCKETS)
+
+
+PACKED = "part int, band binary, doc binary"
+PACK_NAMES = ["part", "band", "doc"]
+
 
+def _bands(ranges: int):
+    """Packs of band hashes with the first document that has each.
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document and band: a hash of the band's registers and its number."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        groups = _matrix(batch.column(1)).astype(U64).reshape(-1, BANDS, BAND)
-        out = np.broadcast_to(_SEED[:BANDS], groups.shape[:2])
-        for k in range(BAND):
-            out = mix((out ^ groups[:, :, k]) + U64(0x9E3779B97F4A7C15))
-        docs = np.repeat(batch.column(0).to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(as_long(out.ravel())), pa.array(docs)], ["band", "doc_id"])
+    Documents that share a band within a pack are known at once (part -1), so a band that very
+    many documents have is one entry of a pack.
+    """
+    bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(U64)
+
+    def flush(parts) -> Iterator[pa.RecordBatch]:
+        bands, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((docs, bands))
+        bands, docs = bands[order], docs[order]
+        first = np.append(True, bands[1:] != bands[:-1])
+        shared = ~first
+        shared[:-1] |= ~first[1:]
+        one = [x[first] for x in (bands, docs)]
+        cuts = np.concatenate([[0], np.searchsorted(one[0], bounds), [len(one[0])]])
+        filled = np.flatnonzero(np.diff(cuts))
+        rows = [[x[cuts[i] : cuts[i + 1]].tobytes() for i in filled] + [y.tobytes()] for x, y in zip(one, (bands[shared], docs[shared]), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*filled, -1], pa.int32()), *[pa.array(r, pa.binary()) for r in rows]], PACK_NAMES
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            regs = _matrix(batch.column(1).to_pylist())[:, : BANDS * BAND].astype(U64)
+            groups = regs.reshape(-1, BANDS, BAND)
+            out = np.broadcast_to(_SEED[:BANDS], groups.shape[:2])
+            for k in range(BAND):
+                out = mix((out ^ groups[:, :, k]) + U64(0x9E3779B97F4A7C15))
+            parts.append((out.ravel(), np.repeat(batch.column(0).to_numpy(), BANDS)))
+            size += out.size
+            if size >= PACK:
+                yield from flush(parts)
+                parts, size = [], 0
+        if size:
+            yield from flush(parts)
+
+    return run
+
+
+def _shared(rows: pd.DataFrame) -> pd.DataFrame:
+    """Documents of bands that several packs have; those known within a pack go on as they are."""
+    bands = np.frombuffer(b"".join(rows["band"]), U64)
+    docs = np.frombuffer(b"".join(rows["doc"]), np.int64)
+    if len(rows) and rows["part"].iloc[0] >= 0:
+        order = np.argsort(bands, kind="stable")
+        bands, docs = bands[order], docs[order]
+        again = np.append(False, bands[1:] == bands[:-1])[: len(bands)]
+        again[:-1] |= again[1:]
+        bands, docs = bands[again], docs[again]
+    return pd.DataFrame({"band": as_long(bands), "doc_id": docs})
 
 
 def likeness(equal: np.ndarray) -> np.ndarray:
     """Jaccard estimate from the share of equal registers.
 
-    Registers of different values agree by accident when zeros and mantissa do:
-    with probability one third of ``2**-MANTISSA`` over the zeros' distribution.
+    Registers of different values agree by accident when zeros and mantissa do: one third of the
+    pairs agree in the zeros, and of these one in ``2**MANTISSA`` in the bits.
     """
     accident = 2.0**-MANTISSA / 3
     return (equal - accident) / (1 - accident)
 
 
 def hopeful(equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs whose sizes allow the threshold and whose estimate is within six errors of it."""
+    """Pairs whose sizes allow the threshold and whose estimate is within its error of it."""
     low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
     t = percent / 100
-    error = np.sqrt(t * (1 - t) / np.minimum(USED, high))
-    return (100 * low >= percent * high) & (likeness(equal) >= t - 6 * error)
+    error = ERRORS * np.sqrt(t * (1 - t) / BUCKETS)
+    return (100 * low >= percent * high) & (likeness(equal) >= t - error)
 
 
 def _estimate(percent: int):
@@ -149,7 +207,7 @@ def _estimate(percent: int):
             if not batch.num_rows:
                 continue
             a, b, n_a, n_b = (batch.column(i).to_numpy() for i in range(4))
-            equal = (_matrix(batch.column(4)) == _matrix(batch.column(5))).mean(axis=1)
+            equal = (_matrix(batch.column(4).to_pylist()) == _matrix(batch.column(5).to_pylist())).mean(axis=1)
             keep = hopeful(equal, n_a, n_b, percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
@@ -203,20 +261,31 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scrat
 
 
 def _across(percent: int):
-    """Within a block of a bucket: pairs of different parts that the estimate allows."""
+    """Within a block of a bucket: pairs of different parts that the estimate allows.
+
+    A pair that shares several bands is looked at in the first of them only.
+    """
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        left = block[block["left"]].reset_index(drop=True)
-        right = block[~block["left"]].reset_index(drop=True)
-        regs = [np.frombuffer(b"".join(x["registers"]), np.uint16).reshape(len(x), USED) for x in (left, right)]
+        sides = [block[block["left"]], block[~block["left"]]]
+        docs, parts, sizes = ([x[c].to_numpy() for x in sides] for c in ("doc_id", "part", "n"))
+        regs = [_matrix(list(x["registers"])) for x in sides]
         a, b = [], []
-        for i in range(len(left)):
-            row = left.iloc[i]
-            keep = hopeful((regs[1] == regs[0][i]).mean(axis=1), row["n"], right["n"].to_numpy(), percent)
-            keep &= (right["part"] != row["part"]).to_numpy()
-            a += [row["doc_id"]] * int(keep.sum())
-            b += list(right["doc_id"][keep])
-        return pd.DataFrame({"a": np.minimum(a, b).astype("int64"), "b": np.maximum(a, b).astype("int64")})
+        for i in range(len(docs[0])):
+            other = np.flatnonzero(parts[1] != parts[0][i])
+            equal = regs[1][other] == regs[0][i]
+            keep = hopeful(equal.mean(axis=1), sizes[0][i], sizes[1][other], percent)
+            in_bands = equal[keep][:, : BANDS * BAND].reshape(-1, BANDS, BAND).all(axis=2)
+            this = (regs[0][i][: BANDS * BAND].reshape(BANDS, BAND)).astype(U64)
+            hashes = _SEED[:BANDS]
+            for k in range(BAND):
+                hashes = mix((hashes ^ this[:, k]) + U64(0x9E3779B97F4A7C15))
+            here = int(np.flatnonzero(as_long(hashes) == block["band"].iloc[0])[0])
+            hit = other[keep][in_bands.argmax(axis=1) == here]
+            a.append(np.minimum(docs[0][i], docs[1][hit]))
+            b.append(np.maximum(docs[0][i], docs[1][hit]))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+        return pd.DataFrame({"a": a, "b": b})
 
     return run
 
@@ -248,11 +317,16 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         ),
         "classes",
     )
-    bands = classes.select("doc_id", "registers").mapInArrow(_bands, "band long, doc_id long")
+    ranges = max(RANGES, -(-classes.count() // RANGE_DOCS))
+    packs = classes.select("doc_id", "registers").mapInArrow(_bands(ranges), PACKED)
+    known = -1 - F.pmod(F.xxhash64("doc"), F.lit(ranges))
+    packs = packs.withColumn("group", F.when(F.col("part") < 0, known).otherwise(F.col("part")))
+    found = packs.groupBy("group").applyInPandas(_shared, "band long, doc_id long").distinct()
+    found = scratch.keep(found, "found")
     shared = scratch.keep(
-        bands.groupBy("band").agg(F.min("doc_id").alias("centre"), F.count("*").alias("size")).where("size > 1"), "shared"
+        found.groupBy("band").agg(F.min("doc_id").alias("centre"), F.count("*").alias("size")), "shared"
     )
-    members = scratch.keep(bands.join(shared, "band"), "members")
+    members = scratch.keep(found.join(shared, "band"), "members")
     # every member with the first of its bucket
     sized = classes.select("doc_id", "n", "registers")
     stars = scratch.keep(
@@ -284,12 +358,12 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
             .withColumn("left", F.lit(False))
         )
         blocked = as_left.unionByName(as_right).select("band", "own", "other", "left", "doc_id", "part", "n", "registers")
-        found = blocked.groupBy("band", "own", "other").applyInPandas(_across(rule.percent), "a long, b long").distinct()
-        second = scratch.keep(scratch.keep(found, "found").join(stars, ["a", "b"], "left_anti"), "across")
+        across = blocked.groupBy("band", "own", "other").applyInPandas(_across(rule.percent), "a long, b long")
+        second = scratch.keep(scratch.keep(across.distinct(), "pairs").join(stars, ["a", "b"], "left_anti"), "across")
         if not second.isEmpty():
             links = first.unionByName(_confirmed(second, docs, rule, scratch, "second"))
             parts = connected(links, scratch, "parts-2")
-    scratch.drop("members", "shared", "stars", "likely", "open", "mixed", "rows", "found", "across")
+    scratch.drop("found", "members", "shared", "stars", "likely", "open", "mixed", "rows", "pairs", "across")
     of_class = classes.select("key_1", "key_2", "doc_id").join(
         parts.select(F.col("node").alias("doc_id"), "part"), "doc_id", "left"
     )
