@@ -10,7 +10,9 @@ from surveyloom.llm.line_dedup import drop_repeated_lines
 from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import NearRule, near_duplicates
 from surveyloom.llm.packing import pack
+from surveyloom.llm.pii import digests, find_personal_data
 from surveyloom.llm.substring_dedup import remove_repeats
+from surveyloom.llm.topk import quantised, top_scores
 from surveyloom.llm.toxicity import toxicity
 
 
@@ -34,6 +36,15 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op7_top_scores(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = quantised(table(spark, sf, "embeddings"))
+    return top_scores(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return digests(find_personal_data(table(spark, sf, "documents")))
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf, "documents")).drop("text_key", "kept_text")
 
@@ -47,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_top_scores": op7_top_scores,
+    "op8_personal_data": op8_personal_data,
     "op9_line_dedup": op9_line_dedup,
     "op10_repeated_passages": op10_repeated_passages,
 }
