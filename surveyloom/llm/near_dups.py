@@ -30,8 +30,7 @@ from surveyloom.llm.store import Scratch
 from surveyloom.llm.words import BLANKS, LOWER, U64, as_long, mix, split_words, windows
 
 #: Buckets of a sketch; registers put together in a band, and bands.
-BUCKET_BITS = 9
-BUCKETS = 1 << BUCKET_BITS
+BUCKETS = 640
 BAND = 6
 BANDS = 42
 #: A register in a byte: leading zeros up to 15, and bits kept after the leading one.
@@ -82,10 +81,10 @@ def _registers(values: np.ndarray) -> np.ndarray:
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
     """Registers of one set of sorted hashes; sets of one shingle and more."""
-    bucket = (shingles >> U64(64 - BUCKET_BITS)).astype(np.int64)
+    bucket = ((shingles >> U64(32)) * U64(BUCKETS) >> U64(32)).astype(np.int64)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))
     low = np.zeros(BUCKETS, dtype=U64)
-    low[bucket[first]] = (shingles[first] << U64(BUCKET_BITS)) >> U64(16)
+    low[bucket[first]] = np.minimum.reduceat(mix(shingles), first) >> U64(16)
     empty = np.ones(BUCKETS, dtype=bool)
     empty[bucket[first]] = False
     empty = np.flatnonzero(empty)
