@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 
 #: Lanes of 32 bits of the exact part, and of 20 bits (five hex digits) of the part for likeness.
 EXACT = 16
-LIKE = 128
+LIKE = 126
 _EXACT_HEX, _LIKE_HEX = 8, 5
 _LIKE_SPAN = 1 << (4 * _LIKE_HEX)
+#: Three lanes are summed in one long, 21 bits apart: a bit of the hash for each, and room for one carry.
+_TRIPLE = 1 | 1 << 21 | 1 << 42
+_ROOM = (_LIKE_SPAN - 1) * _TRIPLE
 #: Bytes of text in a range of ids, and ranges at least.
 RANGE_BYTES = 8 << 20
 RANGES = 64
@@ -50,7 +53,8 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """
     own = f"coalesce({text}, '')"
     hashes, sentences = f"__{name}_hashes", f"__{name}_sentences"
-    bits = [f"__{name}_bits_{k}" for k in range(LIKE // 64)]
+    bits = [f"__{name}_bits_{k}" for k in range(LIKE // 63)]
+    sums = [f"__{name}_sums_{k}" for k in range(LIKE // 63)]
     df = df.withColumn(
         hashes,
         F.expr(f"transform(IF({own} = '', CAST(array() AS ARRAY<STRING>), split({own}, '\\n')), p -> sha2(p, 512))"),
@@ -61,11 +65,15 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     for i in range(EXACT):
         lane = _lane("h", 1 + _EXACT_HEX * i, _EXACT_HEX)
         parts.append(_hex(f"pmod(aggregate({hashes}, 0L, (a, h) -> a + {lane}), {1 << 32})", _EXACT_HEX))
-    for column in bits:
-        for j in range(64):
-            ones = f"aggregate({column}, 0L, (a, x) -> a + (shiftrightunsigned(x, {j}) & 1L))"
-            parts.append(_hex(f"pmod(2 * {ones} - size({sentences}), {_LIKE_SPAN})", _LIKE_HEX))
-    return df.withColumn(name, F.expr(f"concat({', '.join(parts)})")).drop(hashes, sentences, *bits)
+    for column, total in zip(bits, sums, strict=True):
+        ones = [
+            f"aggregate({column}, 0L, (a, x) -> (a + (shiftrightunsigned(x, {j}) & {_TRIPLE}L)) & {_ROOM}L)" for j in range(21)
+        ]
+        df = df.withColumn(total, F.expr(f"array({', '.join(ones)})"))
+        for j in range(63):
+            lane = f"(shiftright({total}[{j % 21}], {j // 21 * 21}) & {_LIKE_SPAN - 1})"
+            parts.append(_hex(f"pmod(2 * {lane} - size({sentences}), {_LIKE_SPAN})", _LIKE_HEX))
+    return df.withColumn(name, F.expr(f"concat({', '.join(parts)})")).drop(hashes, sentences, *bits, *sums)
 
 
 def combined(a: str, b: str, sign: str = "+") -> Column:

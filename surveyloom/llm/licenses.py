@@ -52,11 +52,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class LicenseRule:
-    """Words of a gram, how far apart merged diagonals may be, and the share of grams a place needs."""
+    """Words of a gram, how far apart merged diagonals may be, and the share of grams a place needs.
+
+    Templates of up to ``whole`` grams need all of them: in so few words, one more or less is another license.
+    """
 
     gram: int = 3
     slack: int = 2
     share: float = 0.75
+    whole: int = 6
     base: Mapping[str, str] = field(default_factory=lambda: BASE)
     templates: Mapping[str, str] = field(default_factory=lambda: TEMPLATES)
 
@@ -118,7 +122,7 @@ def license_places(docs: DataFrame, rule: LicenseRule = LicenseRule()) -> DataFr
     score = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
     return (
         found.withColumn("score", score)
-        .where(F.col("score") >= rule.share)
+        .where((F.col("score") == 1) | ((F.col("score") >= rule.share) & (F.col("grams") > rule.whole)))
         .select(
             "doc_id", "text_key", "template", "label", "base", F.col("first_word").cast("long").alias("first_word"),
             (F.col("last") + rule.gram - 1).cast("long").alias("last_word"), "score",

@@ -18,8 +18,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from surveyloom.llm.components import connected
 from surveyloom.llm.filters import either, filter_of, may_hold
@@ -365,28 +366,30 @@ def _wanted(rule: LineRule, flags: np.ndarray):
     return run
 
 
-CUT = "doc long, text_key long, n_lines long, n_removed long, removed array<int>, kept_text string, kept_sha256 string"
+CUT = "doc long, text_key long, n_lines long, n_removed long, removed array<int>, n_links long, kept_text string, kept_sha256 string"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_lines, removed, kept = [], [], []
-        for text, drop in zip(_texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+        for text, drop in zip(_texts(batch.column("text")), batch.column("gone").to_pylist(), strict=True):
             lines, gone = text.split("\n"), set(drop or ())
             n_lines.append(len(lines))
             removed.append(sorted(gone))
             kept.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                batch.column(1),
+                batch.column("doc"),
+                batch.column("text_key"),
                 pa.array(n_lines, pa.int64()),
                 pa.array([len(x) for x in removed], pa.int64()),
                 pa.array(removed, pa.list_(pa.int32())),
+                batch.column("n_links").fill_null(0),
                 pa.array(kept, pa.string()),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in kept], pa.string()),
+                batch.column("carried"),
             ],
-            ["doc", "text_key", "n_lines", "n_removed", "removed", "kept_text", "kept_sha256"],
+            [*[x.split()[0] for x in CUT.split(", ")], "carried"],
         )
 
 
@@ -438,14 +441,14 @@ def line_classes(docs: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame
     )
 
 
-def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule(), carried: Column | None = None) -> DataFrame:
     """Texts without the lines that repeat an earlier one, exactly or within a few edits.
 
-    ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are left out. Returns
-    ``doc_id, text_key, n_lines, n_removed, removed, n_links, kept_text, kept_sha256``, a row per input row. Lines are what
-    ``\\n`` separates. Long lines linked within the threshold, directly or through others, are a class;
+    ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are left out, but for what ``carried`` takes along.
+    Returns ``doc_id, n_lines, n_removed, removed, n_links, kept_text, kept_sha256, carried``, a row per input row.
+    Lines are what ``\\n`` separates. Long lines linked within the threshold, directly or through others, are a class;
     its line with the smallest ``doc_id`` and place stays. ``removed`` are the numbers (from 0) of the
-    lines taken out, ``n_links`` the links that these have.
+    lines taken out, ``n_links`` the links these have to other distinct lines.
 
     Defined cases: null and empty texts have one empty line; lines below ``least`` characters stay, however
     often they occur; rows with one ``doc_id`` are one document, so equal places in them are the same
@@ -456,23 +459,18 @@ def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule()) -> DataFra
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("doc"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
         "text",
+        (F.lit(None).cast("int") if carried is None else carried).alias("carried"),
     )
-    repeats = line_classes(rows, rule, scratch)
+    repeats = line_classes(rows.drop("carried"), rule, scratch)
     gone = repeats.groupBy("doc", "text_key").agg(F.collect_list("line").alias("gone"), F.sum("n_links").alias("n_links"))
     flags = filter_of(repeats.select("doc").distinct())
-    kind = "doc long, text_key long, text string"
-    near = rows.mapInArrow(either(flags, True), kind).join(gone, ["doc", "text_key"], "left")
-    far = rows.mapInArrow(either(flags, False), kind).select(
+    # a text none of whose lines goes is not moved
+    near = rows.mapInArrow(either(flags, True), rows.schema).join(gone, ["doc", "text_key"], "left")
+    far = rows.mapInArrow(either(flags, False), rows.schema).select(
         "*", F.lit(None).cast("array<int>").alias("gone"), F.lit(0).cast("long").alias("n_links")
     )
-    order = ["doc", "text_key", "text", "gone", "n_links"]
-    cut = near.select(order).unionByName(far.select(order)).mapInArrow(_with_links, CUT + ", n_links long")
+    order = ["doc", "text_key", "text", "carried", "gone", "n_links"]
+    schema = StructType.fromDDL(CUT).add(rows.schema["carried"])
+    cut = near.select(order).unionByName(far.select(order)).mapInArrow(_cut, schema)
     doc = F.when(F.col("doc") != F.lit(int(LAST)), F.col("doc")).alias("doc_id")
-    return cut.select(doc, "text_key", "n_lines", "n_removed", "removed", "n_links", "kept_text", "kept_sha256")
-
-
-def _with_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        links = batch.column(4).fill_null(0)
-        for cut in _cut([batch]):
-            yield cut.append_column("n_links", links)
+    return cut.select(doc, "n_lines", "n_removed", "removed", "n_links", "kept_text", "kept_sha256", "carried")

@@ -105,7 +105,7 @@ def _last(seed: int):
 
 
 def mix_sources(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
-    """Copies of every document: ``doc_id, text_key, size, source_size, target, copies, taken``.
+    """Copies of every document: ``doc_id, text_key, source, size, source_size, target, copies, taken``.
 
     ``docs`` needs ``doc_id`` (integer), ``text`` and ``source``; other columns are left out. A row per input
     row. Size is the number of words ``[^\\x20\\x09-\\x0D]+``; ``taken`` is ``copies * size``. Coins are
@@ -158,7 +158,7 @@ def mix_sources(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     for more in done[1:]:
         out = out.unionByName(more)
     copies = (F.floor("owed") + F.col("chance")).cast("long")
-    out = out.join(sources.drop("buckets", "source"), "source_no").withColumn("copies", copies)
+    out = out.join(sources.drop("buckets"), "source_no").withColumn("copies", copies)
     return out.select(
-        "doc_id", "text_key", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "text_key", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )

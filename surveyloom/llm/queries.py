@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyloom.llm.fingerprints import edited_fingerprints
+from surveyloom.llm.licenses import license_scan
 from surveyloom.llm.line_dedup import drop_repeated_lines
 from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import NearRule, near_duplicates
@@ -24,10 +26,18 @@ def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), NearRule(shingle=2))
 
 
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan(table(spark, sf, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents")).drop("text_key")
 
@@ -46,7 +56,7 @@ def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf, "documents")).drop("text_key", "kept_text")
+    return drop_repeated_lines(table(spark, sf, "documents")).drop("kept_text", "carried")
 
 
 def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +65,9 @@ def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
+    "op4_licenses": op4_licenses,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_top_scores": op7_top_scores,

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from surveyloom.llm.words import LOWER, NOT_LETTERS, U64, mix, split_words
 
@@ -144,24 +145,21 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
     return fit(found["toxic"].to_numpy(float), terms, rule)
 
 
-def score(docs: DataFrame, machine: Machine, rule: ToxicRule = ToxicRule(), also: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); ``also`` names columns to keep."""
+def score(docs: DataFrame, machine: Machine, rule: ToxicRule, carried: F.Column) -> DataFrame:
+    """``carried, score`` (0 to 1) and ``predicted`` (1 from 0.5 on) of column ``text``, a row per input row."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margins = [np.zeros(0)]
-            margins += [shared.value.margins(t, f) for t, f in terms_of(batch.column("text"), rule)]
+            margins += [shared.value.margins(t, f) for t, f in terms_of(batch.column(0), rule)]
             chance = 1 / (1 + np.exp(-np.clip(np.concatenate(margins).astype(float), -30, 30)))
-            keep = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))], [*names, "score", "predicted"]
-            )
+            columns = [batch.column(1), pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["carried", "score", "predicted"])
 
-    names = list(also) or ["doc_id"]
-    rows = docs.select(*dict.fromkeys([*names, "text"]))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
-    return rows.mapInArrow(run, f"{kinds}, score double, predicted int")
+    rows = docs.select("text", carried.alias("carried"))
+    schema = StructType().add(rows.schema["carried"]).add("score", "double").add("predicted", "integer")
+    return rows.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) -> DataFrame:
@@ -175,5 +173,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule())
     labels every text scores one in twenty; a null ``doc_id`` is not held out. An empty table gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = score(docs, train(docs, labels, rule), rule)
+    scored = score(docs, train(docs, labels, rule), rule, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
