@@ -410,7 +410,8 @@ def line_classes(docs: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame
     packs = docs.select("text").mapInArrow(_index(rule, ranges), PACKED)
     pairs = packs.groupBy("part").applyInPandas(_meet(rule.edits), "a long, b long").distinct()
     pairs = scratch.keep(pairs, "pairs")
-    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    left, right = (pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b"))
+    ids = scratch.keep(left.unionByName(right).distinct(), "ids")
     texts = docs.select("text").mapInArrow(_wanted(rule, filter_of(ids)), "id long, line_text string")
     texts = scratch.keep(
         texts.join(ids, "id", "left_semi").groupBy("id").agg(F.first("line_text").alias("line_text")), "texts"
@@ -422,7 +423,8 @@ def line_classes(docs: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame
     links = scratch.keep(links, "links")
     scratch.drop("pairs", "ids", "texts", "half")
     parts = connected(links, scratch, "line-parts")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     parts = parts.join(degree, "node", "left")
     place = F.struct("doc", "line")
     seen = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("times"))

@@ -241,9 +241,8 @@ def _confirm(percent: int):
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scratch, name: str) -> DataFrame:
     """Pairs that hold on full sets, which are made again from the texts concerned."""
-    ids = scratch.keep(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids"
-    )
+    left, right = (pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b"))
+    ids = scratch.keep(left.unionByName(right).distinct(), f"{name}-ids")
     made = docs.where("doc_id is not null").mapInArrow(
         _sets(rule.shingle, filter_of(ids)), "doc_id long, shingles binary"
     )
@@ -298,7 +297,7 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     share the smallest ``doc_id`` that can be reached as ``component_id``.
 
     Defined cases: a text without words, empty or null is linked with nothing; equal
-    sets are one class at once; rows that repeat a ``doc_id`` each follow their own text;
+    sets are one class at once; rows that repeat a ``doc_id`` are one document with the links of all its texts;
     a row without ``doc_id`` counts its shingles, but takes no part (``component_id`` null, kept).
     An empty table gives an empty one.
     """
@@ -332,7 +331,7 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars"
     )
     likely = scratch.keep(_likely(stars, sized, rule, scratch, "stars"), "likely")
-    first = _confirmed(likely, docs, rule, scratch, "first")
+    first = _confirmed(likely, docs, rule, scratch, "first").unionByName(_same_id(part_of, classes, scratch))
     parts = connected(first, scratch, "parts-1")
     # Buckets of three and more whose members are still in different parts: compare across parts.
     named = parts.select(F.col("node").alias("doc_id"), "part")
@@ -378,6 +377,17 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+def _same_id(signed: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between the classes of different texts under one id."""
+    key = F.struct("key_1", "key_2")
+    several = signed.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).where("low <> high")
+    several = scratch.keep(several.select(F.col("doc_id").alias("id")), "several")
+    own = signed.select(F.col("doc_id").alias("id"), "key_1", "key_2").join(several, "id").distinct()
+    own = own.join(classes.select("key_1", "key_2", "doc_id"), ["key_1", "key_2"]).select("id", "doc_id")
+    low = own.groupBy("id").agg(F.min("doc_id").alias("a"))
+    return scratch.keep(own.join(low, "id").where("a <> doc_id").select("a", F.col("doc_id").alias("b")), "same-id")
+
+
 def _likely(pairs: DataFrame, sized: DataFrame, rule: NearRule, scratch: Scratch, name: str) -> DataFrame:
     x = sized.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     y = sized.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
