@@ -1,11 +1,14 @@
 """Chained-equation imputation per cell, its missing indicators and its trace.
 
-The data never moves. A sweep learns, for each incomplete feature, a regression on all
-other features, from rows where that feature is known. What a regression needs is a sum of
-outer products, so each pass over the data adds up small matrices per task and only these
-are shuffled. The fitted steps are a few numbers per cell; the next pass replays them
-on the rows it scans. So there is no table to rewrite between sweeps and no lineage that
-grows: a lost executor costs a re-read of its splits.
+Cells are independent, so nothing in one of them changes the values of another. A sweep learns, for each
+incomplete feature of a cell, a regression on all other features from rows where that feature is
+known. What a regression needs is a sum of outer products: tasks add up small matrices of the cells they
+hold, Spark sums these, and tasks solve them; only coefficients come back. After a sweep
+the standardised features are written once, so the next one reads its start instead of repeating
+what was before. A lost executor costs a re-read of its splits.
+
+Cells are taken in batches whose matrices fit a task, however many there are; a batch holds whole cells, so
+it changes no number.
 """
 
 from __future__ import annotations
@@ -20,21 +23,19 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyloom.functions.columns import hash_uniform, is_number, is_text, numeric, snap_expr
+from surveyloom.functions.columns import is_number, is_text, numeric
 from surveyloom.operators.availability import filled_counts
-from surveyloom.session import SMALL_ROWS, fetch_small, join_small, materialise, pin_small
+from surveyloom.session import drop_table, materialise
 from surveyloom.specs import ImputeRule
 
-MAX_CELLS = 10_000
-#: Known values per cell and feature from which gaps draw their start.
-POOL = 256
-POOL_TOTAL = 1_000_000
-#: Codes 0..62 of a column fit the bits of one long.
-BITS = 62
+#: Ranges that distinct values and codes are sorted in when values snap to codes.
+RANGES = 200
+#: Rows of one cell kept together in the written state.
+STATE_ROWS = 8192
 
 
 # --------------------------------------------------------------------------- eligibility
@@ -117,138 +118,100 @@ def missing_rates(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> D
     return filled_counts(df, columns, by).withColumn("missing_rate", (F.col("n") - F.col("filled")) / F.col("n"))
 
 
-def add_indicators(df: DataFrame, by: Sequence[str], wanted: dict[str, list[tuple]]) -> DataFrame:
-    """``<feature>_missing`` as 0/1 in the listed cells, null in the others."""
+def missing_indicators(
+    df: DataFrame, rule: ImputeRule, present: Mapping[str, Iterable[str]] | None = None
+) -> DataFrame:
+    """``df`` with ``<feature>_missing`` as 0/1 in the cells where enough is missing, null in the others.
 
-    def in_cells(cells: list[tuple]) -> Column:
-        out = F.lit(False)
-        for cell in cells:
-            hit = F.lit(True)
-            for name, value in zip(by, cell):
-                hit = hit & F.col(name).eqNullSafe(F.lit(value))
-            out = out | hit
-        return out
+    ``present`` names, per value of the first cell column, the columns that source has: a feature
+    it never asked for gets no indicator there. One pass decides; the decisions are joined, a row per cell.
+    """
+    by, columns = list(rule.cell), candidates_of(df, rule)
+    profile = feature_profile(df.where(F.col(by[-1]).isNotNull()), columns, by)
+    marks = materialise(profile.select(*by, *_marks(columns, rule, present)), "indicators")
+    return _add_indicators(df, marks, by, columns)
+
+
+def _marks(columns: Sequence[str], rule: ImputeRule, present: Mapping[str, Iterable[str]] | None) -> list[Column]:
+    out = []
+    for i, c in enumerate(columns):
+        rate = (F.col("n") - F.col(f"`{c}|filled`")) / F.col("n")
+        mark = (rate > 0) & ((rate >= rule.indicator_rate) | F.lit(c in rule.never))
+        if present is not None:
+            mark &= F.col(rule.cell[0]).isin([s for s, names in present.items() if c in set(names)])
+        out.append(F.coalesce(mark, F.lit(False)).alias(f"__m{i}"))
+    return out
 
-    return df.withColumns(
-        {
-            f"{c}_missing": F.when(in_cells(cells), F.col(f"`{c}`").isNull().cast("tinyint"))
-            for c, cells in wanted.items()
-        }
-    )
+
+def _add_indicators(df: DataFrame, marks: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    any_cell = marks.agg(*[F.max(f"__m{i}").alias(f"__m{i}") for i in range(len(columns))]).first()
+    wanted = {f"__m{i}": c for i, c in enumerate(columns) if any_cell[f"__m{i}"]}
+    if not wanted:
+        return df
+    joined = df.join(marks.select(*by, *wanted), list(by), "left").select(*[F.col(f"`{c}`") for c in df.columns], *wanted)
+    return joined.withColumns(
+        {f"{c}_missing": F.when(F.col(m), F.col(f"`{c}`").isNull().cast("tinyint")) for m, c in wanted.items()}
+    ).drop(*wanted)
 
 
 # ----------------------------------------------------------------------------- code lists
 
 
 def value_domains(df: DataFrame, columns: Sequence[str], by: Sequence[str], whole: bool = False) -> DataFrame:
-    """Distinct values (by..., variable, value) of coded columns, exact for any codes.
+    """Distinct values (by..., variable, value) of coded columns. ``whole`` rounds half to even first."""
+    return value_counts(df, columns, by, whole).drop("n")
 
-    Codes 0..62 are collected as bits of a long, a fixed-size aggregate that combines on the
-    map side. Columns that hold anything else are unpivoted and counted as rows, so no
-    group of values is ever gathered in one place. ``whole`` rounds half to even first.
-    """
-    columns = list(columns)
+
+def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str], whole: bool = False) -> DataFrame:
+    """How often each value (by..., variable, value) occurs. The grouped count combines on the map side, so
+    only distinct values are shuffled and no group of values is gathered in one place."""
     value = {c: (F.rint(numeric(df, c)) if whole else numeric(df, c)) for c in columns}
-    is_bit = {c: (v == F.rint(v)) & v.between(0.0, float(BITS)) for c, v in value.items()}
-    bits = df.groupBy(*by).agg(
-        *[
-            F.bit_or(F.when(is_bit[c], F.call_function("shiftleft", F.lit(1).cast("bigint"), v.cast("int")))).alias(f"b_{c}")
-            for c, v in value.items()
-        ],
-        *[F.count_if(~is_bit[c]).alias(f"o_{c}") for c in columns],
-    )
-    rows = bits.limit(MAX_CELLS + 1).collect()
-    small = len(rows) <= MAX_CELLS
-    other = [c for c in columns if not small or any(r[f"o_{c}"] for r in rows)]
-    plain = [c for c in columns if c not in other]
-    names = df.select(*by).schema
-    schema = T.StructType([*names.fields, T.StructField("variable", T.StringType()), T.StructField("value", T.DoubleType())])
-    listed = [
-        (*[r[k] for k in by], c, float(code))
-        for r in (rows if small else [])
-        for c in plain
-        if r[f"b_{c}"]
-        for code in range(BITS + 1)
-        if (r[f"b_{c}"] >> code) & 1
-    ]
-    out = df.sparkSession.createDataFrame(listed, schema)
-    if other:
-        long = df.select(*by, *[value[c].alias(c) for c in other]).unpivot(list(by), other, "variable", "value")
-        # a grouped count combines on the map side: only distinct values are shuffled
-        out = out.unionByName(
-            long.where(F.col("value").isNotNull()).groupBy(*by, "variable", "value").agg(F.lit(1)).select(*by, "variable", "value")
-        )
-    return out
+    long = df.select(*by, *[v.alias(c) for c, v in value.items()]).unpivot(list(by), list(value), "variable", "value")
+    return long.where(F.col("value").isNotNull()).groupBy(*by, "variable", "value").agg(F.count("*").alias("n"))
 
 
-def snap_to_codes(
-    df: DataFrame, column: str, codes: DataFrame, value: str = "value", literal: int = 64, most: int = SMALL_ROWS
-) -> DataFrame:
+def snap_to_codes(df: DataFrame, column: str, codes: DataFrame, value: str = "value") -> DataFrame:
     """Replace each value of ``column`` by the nearest code, the lower one on a tie.
 
-    A short code list becomes one CASE, a longer one a binary search in Arrow batches. A list
-    too long to ship to tasks is cut into ranges and joined on the range.
+    Distinct values and codes are sorted together in ranges; a value's neighbours are the last code
+    up to it and the first from it on. The distinct values are joined back: Spark broadcasts them if they are few.
     """
-    distinct = codes.select(F.col(value).cast("double").alias("code")).where("code is not null").distinct()
-    listed = [r["code"] for r in distinct.limit(most + 1).collect()]
+    listed = codes.select(F.col(value).cast("double").alias("v")).where("v is not null").distinct()
+    own = df.select(numeric(df, column).alias("v")).where("v is not null").distinct()
+    both = own.withColumn("code", F.lit(None).cast("double")).unionByName(listed.withColumn("code", F.col("v")))
+    cuts = both.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0]
+    places = F.lit(sorted(set(cuts or []))).cast("array<double>")
+    ranged = both.withColumn("range", F.size(F.filter(places, lambda cut: cut <= F.col("v"))))
+    # at most RANGES rows: the codes next to a range that has none on that side
+    ends = ranged.groupBy("range").agg(F.min("code").alias("lo"), F.max("code").alias("hi")).withColumn("one", F.lit(1))
+    along = Window.partitionBy("one").orderBy("range")
+    ends = ends.select(
+        "range",
+        F.max("hi").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.min("lo").over(along.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
+    )
+    inside = Window.partitionBy("range").orderBy("v")
+    low = F.last("code", True).over(inside.rangeBetween(Window.unboundedPreceding, 0))
+    high = F.first("code", True).over(inside.rangeBetween(0, Window.unboundedFollowing))
+    near = ranged.withColumns({"low": low, "high": high}).where("code is null").join(ends, "range")
+    near = near.select("v", F.coalesce("low", "before").alias("low"), F.coalesce("high", "after").alias("high"))
+    nearer = F.when(F.col("low").isNull(), F.col("high")).when(F.col("high").isNull(), F.col("low"))
+    nearer = nearer.otherwise(F.when(F.col("v") - F.col("low") <= F.col("high") - F.col("v"), F.col("low")).otherwise(F.col("high")))
+    near = near.select(F.col("v").alias("__code_of"), F.lit(0).alias("__code_salt"), nearer.alias("__snapped"))
+    # gaps have no partner; a salt spreads them over the tasks of a shuffle join
     target = numeric(df, column)
-    if len(listed) > most:
-        return _snap_by_join(df, column, target, distinct)
-    if len(listed) <= literal:
-        return df.withColumn(column, snap_expr(target, listed))
-    ordered = np.array(sorted(listed))
-
-    @F.pandas_udf(T.DoubleType())
-    def nearest(values: pd.Series) -> pd.Series:
-        found = values.to_numpy(dtype=float, copy=True)
-        known = ~np.isnan(found)
-        found[known] = _nearest(ordered, found[known])
-        return pd.Series(found)
-
-    return df.withColumn(column, F.nullif(nearest(target), F.lit(float("nan"))))
-
-
-def _snap_by_join(df: DataFrame, column: str, target: Column, distinct: DataFrame, ranges: int = 4096) -> DataFrame:
-    """Nearest code through an equi-join on ranges that hold about as many codes each. A range
-    also knows the last code before and the first after it."""
-    cuts = distinct.agg(F.percentile_approx("code", [i / ranges for i in range(ranges + 1)], 100_000)).first()[0]
-    cuts = sorted(set(cuts))
-
-    def place(x: Column) -> Column:
-        return F.size(F.filter(F.lit(cuts).cast("array<double>"), lambda cut: cut <= x))
-
-    inside = distinct.withColumn("place", F.greatest(F.lit(1), place(F.col("code"))))
-    ends, _ = pin_small(inside.groupBy("place").agg(F.min("code").alias("lo"), F.max("code").alias("hi")))
-    before = ends.select((F.col("place") + 1).alias("place"), F.col("hi").alias("code"))
-    after = ends.select((F.col("place") - 1).alias("place"), F.col("lo").alias("code"))
-    reach = inside.select("place", "code").unionByName(before).unionByName(after)
-    lists = reach.groupBy("place").agg(F.sort_array(F.collect_set("code")).alias("__codes"))
-    keyed = df.withColumns({"__v": target, "__place": F.greatest(F.lit(1), place(target))})
-    joined = keyed.join(lists.withColumnRenamed("place", "__place"), "__place", "left")
-    best = F.array_min(
-        F.transform("__codes", lambda code: F.struct(F.abs(F.col("__v") - code).alias("d"), code.alias("c")))
-    )["c"]
-    snapped = F.when(F.col("__v").isNotNull(), best).alias(column)
-    return joined.select(*[snapped if c == column else F.col(f"`{c}`") for c in df.columns])
-
-
-# --------------------------------------------------------------- replay of the fitted steps
-
-
-def cell_plan(
-    active: np.ndarray,
-    targets: np.ndarray,
-    mean: np.ndarray,
-    sd: np.ndarray,
-    start: list[np.ndarray],
-    codes: dict[int, np.ndarray],
-) -> SimpleNamespace:
-    """What tasks need to know of one cell: positions of its eligible features, positions
-    within these of the ones with gaps, scaling, and per feature the known values draws are taken
-    from and the observed codes. A plain namespace, so that tasks can unpickle it anywhere."""
-    return SimpleNamespace(active=active, targets=targets, mean=mean, sd=sd, start=start, codes=codes)
+    salt = F.when(target.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(1000)).cast("int")).otherwise(F.lit(0))
+    keyed = df.withColumns({"__v": target, "__salt": salt})
+    joined = keyed.join(near, (F.col("__v") == F.col("__code_of")) & (F.col("__salt") == F.col("__code_salt")), "left")
+    return joined.select(*[F.col("__snapped").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
+
 
+# ----------------------------------------------------------------------- start and steps
 
+
+#: What tasks need to know of a cell: positions of its eligible features, positions within these of
+#: the ones with gaps in the order they are imputed, scaling, bounds, and per coded feature the observed codes
+#: with the share of rows up to each. A plain namespace, so that tasks can unpickle it anywhere.
 CellPlan = SimpleNamespace
 
 #: One step: position of the target within ``active``, intercept, slopes (0 for itself).
@@ -256,7 +219,7 @@ Step = tuple[int, float, np.ndarray]
 
 
 def _draws(keys: np.ndarray, feature: int, seed: int) -> np.ndarray:
-    """Uniform numbers from row hash, feature and seed: the same wherever the row lies."""
+    """Uniform numbers from row key, feature and seed: the same wherever the row lies."""
     mask = (1 << 64) - 1
     salt = np.uint64(((feature + 1) * 0x9E3779B97F4A7C15 + seed * 0xBF58476D1CE4E5B9) & mask)
     x = keys.astype(np.uint64) ^ salt
@@ -266,46 +229,162 @@ def _draws(keys: np.ndarray, feature: int, seed: int) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
-def start_values(plan: CellPlan, raw: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Standardised features with gaps at their start values, and the gap mask."""
+def start_values(plan: CellPlan, raw: np.ndarray, keys: np.ndarray, seed: int, start: str) -> tuple[np.ndarray, np.ndarray]:
+    """Standardised features with gaps at their start values, and the gap mask.
+
+    A coded feature starts at an observed code, drawn as often as it occurs; another at a normal draw around the
+    mean, within the observed range.
+    """
     x = raw[:, plan.active]
     gaps = np.isnan(x)
     for j in plan.targets:
         rows = np.flatnonzero(gaps[:, j])
-        if len(rows):
-            pool = plan.start[j]
-            u = _draws(keys[rows], int(plan.active[j]), seed)
-            x[rows, j] = pool[np.minimum((u * len(pool)).astype(int), len(pool) - 1)]
+        if not len(rows):
+            continue
+        feature = int(plan.active[j])
+        if start == "mean":
+            x[rows, j] = plan.mean[j]
+        elif j in plan.codes:
+            codes, upto = plan.codes[j]
+            u = _draws(keys[rows], feature, seed)
+            x[rows, j] = codes[np.minimum(np.searchsorted(upto, u, "right"), len(codes) - 1)]
+        else:
+            u, v = _draws(keys[rows], feature, seed), _draws(keys[rows], feature, seed + 1)
+            normal = np.sqrt(-2 * np.log(1 - u)) * np.cos(2 * np.pi * v)
+            x[rows, j] = np.clip(plan.mean[j] + plan.sd[j] * normal, plan.low[j], plan.high[j])
     return (x - plan.mean) / plan.sd, gaps
 
 
-def apply_block(z: np.ndarray, gaps: np.ndarray, block: Sequence[Step]) -> None:
-    """Update the gaps of a block of targets one after the other, each from the values the
+def apply_steps(z: np.ndarray, gaps: np.ndarray, steps: Sequence[Step]) -> None:
+    """Update the gaps of targets one after the other, each from the values the
     ones before it left. (Updating all at once need not converge.)"""
-    for t, intercept, slopes in block:
+    for t, intercept, slopes in steps:
         rows = np.flatnonzero(gaps[:, t])
         if len(rows):
             z[rows, t] = intercept + z[rows] @ slopes
 
 
-def _cells(batch: pa.RecordBatch, features: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(cell, row positions, raw features, row hashes) of a batch; rows of no cell left out."""
-    cell = batch.column("__cell").to_numpy(zero_copy_only=False)
-    known = ~np.isnan(cell.astype(float))
-    raw = np.column_stack(
-        [batch.column(f"__x{i}").to_numpy(zero_copy_only=False) for i in range(len(features))]
-    ).astype(float)
-    keys = batch.column("__key").to_numpy(zero_copy_only=False)
-    for c in np.unique(cell[known]).astype(int):
-        rows = np.flatnonzero(known & (cell == c))
+def _cells(
+    cell: pa.Array, key: pa.Array, features: Sequence[pa.Array]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(cell, row positions, raw features, row keys) of a batch; rows of no cell left out."""
+    number = cell.to_numpy(zero_copy_only=False).astype(float)
+    known = ~np.isnan(number)
+    raw = np.column_stack([x.to_numpy(zero_copy_only=False) for x in features]).astype(float)
+    keys = key.to_numpy(zero_copy_only=False)
+    for c in np.unique(number[known]).astype(int):
+        rows = np.flatnonzero(known & (number == c))
         yield int(c), rows, raw[rows], keys[rows]
 
 
+def _nearest(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Nearest of the sorted codes, the lower one on a tie."""
+    if len(codes) == 1:
+        return np.full(len(values), codes[0])
+    high = np.clip(np.searchsorted(codes, values), 1, len(codes) - 1)
+    low = high - 1
+    return np.where(values - codes[low] <= codes[high] - values, codes[low], codes[high])
+
+
+# ------------------------------------------------------------------------ passes over a batch
+
+STATE = "cell int, rows int, z binary, gaps binary"
+
+
+def _state_row(cell: int, z: np.ndarray, gaps: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([cell], pa.int32()), pa.array([len(z)], pa.int32())]
+    columns += [pa.array([x.tobytes()], pa.binary()) for x in (z, gaps)]
+    return pa.RecordBatch.from_arrays(columns, ["cell", "rows", "z", "gaps"])
+
+
+def _states(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for r in batch.to_pylist():
+        z = np.frombuffer(r["z"], np.float64).reshape(r["rows"], -1).copy()
+        yield r["cell"], z, np.frombuffer(r["gaps"], bool).reshape(z.shape)
+
+
+def _first_state(state, seed: int, start: str) -> Callable:
+    """Rows of a cell at their start values, some thousands to a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in batches:
+            for cell, _, raw, keys in _cells(batch.column(0), batch.column(1), batch.columns[2:]):
+                plan = state.value[cell]
+                if len(plan.targets):
+                    held.setdefault(cell, []).append(start_values(plan, raw, keys, seed, start))
+                    if sum(len(z) for z, _ in held[cell]) >= STATE_ROWS:
+                        yield _state_row(cell, *map(np.concatenate, zip(*held.pop(cell), strict=True)))
+        for cell, parts in held.items():
+            yield _state_row(cell, *map(np.concatenate, zip(*parts, strict=True)))
+
+    return run
+
+
+def _next_state(steps) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cell, z, gaps in _states(batch):
+                apply_steps(z, gaps, steps.value.get(cell, ()))
+                yield _state_row(cell, z, gaps)
+
+    return run
+
+
+def _grams(state, steps, block: slice) -> Callable:
+    """Sums of outer products per cell: of all rows (-1) and of the rows where a target of
+    the block has a gap. Known rows are their difference, so work grows with gaps. Steps are those
+    of the sweep's earlier blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for cell, z, gaps in _states(batch):
+                apply_steps(z, gaps, steps.value.get(cell, ()))
+                full = np.column_stack([np.ones(len(z)), z])
+                groups = [(-1, full)] + [(int(j), full[gaps[:, j]]) for j in state.value[cell].targets[block]]
+                for t, part in groups:
+                    gram = part.T @ part
+                    have = total.get((cell, t))
+                    total[cell, t] = gram if have is None else have + gram
+        if total:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "cell": pa.array([k[0] for k in total], pa.int32()),
+                    "target": pa.array([k[1] for k in total], pa.int32()),
+                    "gram": pa.array([g.ravel() for g in total.values()], pa.list_(pa.float64())),
+                }
+            )
+
+    return run
+
+
+def _solve(ridge: float) -> Callable:
+    """The regressions of a cell's targets, from their summed matrices."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        grams = {t: np.array(g) for t, g in zip(rows["target"], rows["gram"], strict=True)}
+        side = math.isqrt(len(grams[-1]))
+        whole, out = grams.pop(-1).reshape(side, side), []
+        for j, gap in grams.items():
+            gram = whole - gap.reshape(side, side)
+            others = np.array([i for i in range(side) if i != j + 1])
+            a = gram[np.ix_(others, others)].copy()
+            a[np.arange(1, side - 1), np.arange(1, side - 1)] += ridge * gram[0, 0]
+            b = np.linalg.lstsq(a, gram[others, j + 1], rcond=None)[0]
+            slopes = np.zeros(side - 1)
+            slopes[others[1:] - 1] = b[1:]
+            out.append((int(rows["cell"].iloc[0]), int(j), float(b[0]), slopes.tolist()))
+        return pd.DataFrame(out, columns=["cell", "target", "intercept", "slopes"])
+
+    return run
+
+
 # ---------------------------------------------------------------------------- the imputer
 
 
 class ChainedImputer:
-    """Fit and apply chained regressions for all cells of a table at once."""
+    """Fit and apply chained regressions for all cells of a table."""
 
     def __init__(
         self,
@@ -318,378 +397,246 @@ class ChainedImputer:
         a feature it never asked for gets no indicator there."""
         if label and label not in rule.exclude:
             raise ValueError(f"the label {label} must be excluded from imputation")
-        self.rule, self.coded = rule, coded
-        self.present = {s: frozenset(c) for s, c in present.items()} if present else None
+        self.rule, self.coded, self.present = rule, coded, present
         self.features: list[str] = []
-        self.cells: list[tuple] = []
-        self.plans: list[CellPlan] = []
+        #: by batch: plans of its cells and, by sweep, their steps
+        self.plans: list[dict[int, CellPlan]] = []
         self.history: list[list[dict[int, list[Step]]]] = []
-        self.stats: list = []
 
     # -- preparation
 
-    def _prepare(self, df: DataFrame) -> DataFrame:
-        """Write the input with a row hash, decide the features per cell, and add cell number
-        and raw values. The written table spares every later pass what led to it."""
+    def _prepare(self, df: DataFrame) -> None:
+        """Write the input with a key per row, number the cells and put them in batches. The written table spares
+        every later pass what led to it."""
         rule, by = self.rule, list(self.rule.cell)
-        columns = candidates_of(df, rule)
-        # a row is known by its content: equal rows get equal draws, wherever they lie
-        key = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__key")
-        df = materialise(df.select(*[F.col(f"`{c}`") for c in df.columns], key), "impute")
-        self.splits = df.rdd.getNumPartitions()
-        rows = df.where(F.col(by[-1]).isNotNull())
-        profile = fetch_small(feature_profile(rows, columns, by), "cells", MAX_CELLS)
-        profile.sort(key=lambda r: tuple(str(r[k]) for k in by))
-        self.stats = [r.asDict() for r in profile]
-        self.cells = [tuple(r[k] for k in by) for r in profile]
-        self.indicators = {
-            c: cells
-            for c in columns
-            if (cells := [cell for cell, r in zip(self.cells, profile) if self._marks(c, cell, r)])
-        }
-        eligible = [[c for c in columns if self._eligible(c, r)] for r in profile]
-        self.features = [c for c in columns if any(c in e for e in eligible)]
-        gaps = {c for c, e, r in ((c, e, r) for e, r in zip(eligible, profile) for c in e) if r[f"{c}|known"] < r["n"]}
-        starts = self._start_pools(rows, sorted(gaps))
-        codes = self._code_lists(rows, sorted(gaps & self.coded))
+        self.columns = candidates_of(df, rule)
+        # the rule names what identifies a row; else its number, given once
+        key = F.xxhash64(*rule.row_key) if rule.row_key else F.monotonically_increasing_id()
+        self.table = materialise(df.select(*[F.col(f"`{c}`") for c in df.columns], key.alias("__key")), "impute")
+        profile = feature_profile(self.table.where(F.col(by[-1]).isNotNull()), self.columns, by)
+        able, open_ = {}, {}
+        for i, c in enumerate(self.columns):
+            known = F.col(f"`{c}|known`")
+            enough = (known >= rule.min_values) & (F.col(f"`{c}|min`") < F.col(f"`{c}|max`")) & F.lit(c not in rule.never)
+            able[i] = F.coalesce(enough, F.lit(False))
+            open_[i] = able[i] & (known < F.col("n"))
+        width = reduce(lambda a, b: a + b, [a.cast("int") for a in able.values()], F.lit(1))
+        targets = reduce(lambda a, b: a + b, [o.cast("int") for o in open_.values()], F.lit(1))
+        order = Window.partitionBy("__one").orderBy(*by)
+        spent = F.sum("__cost").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        # a row per cell; whole cells make a batch whose matrices fit a task
+        profile = profile.withColumns({"__cost": (targets * width * width * 8).cast("long"), "__one": F.lit(1)}).withColumns(
+            {
+                "__cell": F.row_number().over(order) - 1,
+                "__batch": F.floor(F.coalesce(spent, F.lit(0)) / rule.gram_bytes).cast("int"),
+                **{f"__able{i}": a for i, a in able.items()},
+                **{f"__open{i}": o for i, o in open_.items()},
+            }
+        )
+        marks = _marks(self.columns, rule, self.present)
+        self.profile = materialise(profile.select("*", *marks).drop("__cost", "__one"), "impute-cells")
+        self.cells = self.profile.select(*by, "__cell", "__batch")
+        any_cell = self.profile.agg(*[F.max(f"__{k}{i}").alias(f"{k}{i}") for i in able for k in ("able", "open")]).first()
+        self.features = [c for i, c in enumerate(self.columns) if any_cell[f"able{i}"]]
+        self.gaps = [c for i, c in enumerate(self.columns) if any_cell[f"open{i}"]]
+        self.batches = [r["__batch"] for r in self.cells.select("__batch").distinct().orderBy("__batch").collect()]
+        self.keyed = self.table.join(self.cells, by, "left").select(
+            *[F.col(f"`{c}`") for c in df.columns], "__key", "__cell", "__batch"
+        )
+        self.names = df.columns
+
+    def _inputs(self, df: DataFrame) -> list[Column]:
+        return [numeric(df, c).alias(f"__x{i}") for i, c in enumerate(self.features)]
+
+    def _plan(self, batch: int) -> dict[int, CellPlan]:
+        """What tasks need to know of the cells of a batch."""
         place = {c: i for i, c in enumerate(self.features)}
-        for cell, names, r in zip(self.cells, eligible, profile):
+        rows = self.keyed.where(F.col("__batch") == batch)
+        codes: dict[tuple[int, str], list[tuple[float, int]]] = {}
+        listed = [c for c in self.gaps if c in self.coded]
+        if listed:
+            for r in value_counts(rows, listed, ["__cell"]).collect():
+                codes.setdefault((r["__cell"], r["variable"]), []).append((r["value"], r["n"]))
+        plans = {}
+        for r in self.profile.where(F.col("__batch") == batch).collect():
+            number = {c: i for i, c in enumerate(self.columns)}
+            names = [c for c in self.features if r[f"__able{number[c]}"]]
             sd = np.array([r[f"{c}|sd"] or 0.0 for c in names])
-            targets = [j for j, c in enumerate(names) if r[f"{c}|known"] < r["n"]]
+            targets = [j for j, c in enumerate(names) if r[f"__open{number[c]}"]]
             # fewest gaps first, so that early regressions lean on known values
-            targets.sort(key=lambda j: r["n"] - r[f"{names[j]}|known"])
-            self.plans.append(
-                cell_plan(
-                    active=np.array([place[c] for c in names], dtype=int),
-                    targets=np.array(targets, dtype=int),
-                    mean=np.array([r[f"{c}|mean"] for c in names], dtype=float),
-                    sd=np.where(sd > 0, sd, 1.0),
-                    start=[starts.get((cell, c), np.array([r[f"{c}|mean"]])) for c in names],
-                    codes={j: codes[cell, names[j]] for j in targets if (cell, names[j]) in codes},
-                )
+            targets.sort(key=lambda j: (r["n"] - r[f"{names[j]}|known"], place[names[j]]))
+            own = {}
+            for j in targets:
+                if found := sorted(codes.get((r["__cell"], names[j]), [])):
+                    value, n = np.array(found).T
+                    own[j] = (value, np.cumsum(n) / n.sum())
+            plans[r["__cell"]] = CellPlan(
+                active=np.array([place[c] for c in names], dtype=int),
+                targets=np.array(targets, dtype=int),
+                mean=np.array([r[f"{c}|mean"] for c in names], dtype=float),
+                sd=np.where(sd > 0, sd, 1.0),
+                low=np.array([r[f"{c}|min"] for c in names], dtype=float),
+                high=np.array([r[f"{c}|max"] for c in names], dtype=float),
+                codes=own,
             )
-        return self._keyed(df)
-
-    def _eligible(self, c: str, r) -> bool:
-        lo, hi = r[f"{c}|min"], r[f"{c}|max"]
-        return c not in self.rule.never and r[f"{c}|known"] >= self.rule.min_values and lo < hi
+        return plans
 
-    def _marks(self, c: str, cell: tuple, r) -> bool:
-        if self.present is not None and c not in self.present.get(cell[0], ()):
-            return False
-        rate = (r["n"] - r[f"{c}|filled"]) / r["n"]
-        return rate > 0 and (rate >= self.rule.indicator_rate or c in self.rule.never)
+    # -- fitting
 
-    def _start_pools(self, rows: DataFrame, columns: list[str]) -> dict[tuple, np.ndarray]:
-        """Known values from which gaps draw their start: some ``POOL`` per cell and feature.
+    def fit(self, df: DataFrame) -> ChainedImputer:
+        """Learn all sweeps: a pass over the written features per block, and one that writes the next ones."""
+        self._prepare(df)
+        for batch in self.batches:
+            plans = self._plan(batch)
+            self.plans.append(plans)
+            self.history.append(self._fit(batch, plans) if any(len(p.targets) for p in plans.values()) else [])
+        return self
 
-        The row hash decides which values are in a pool, so it is the same for any
-        partitioning. Pools set start values only; every row takes part in the fit.
-        """
-        # with very many cells the pools would outgrow the driver: gaps then start at means
-        pool = min(POOL, POOL_TOTAL // max(1, len(self.cells) * len(columns)))
-        if not columns or self.rule.start == "mean" or pool < 16:
-            return {}
-        by, spark = list(self.rule.cell), rows.sparkSession
-        rates = []
-        for cell, r in zip(self.cells, self.stats):
-            each = [min(1.0, pool / max(1, r[f"{c}|known"])) for c in columns]
-            rates.append((*cell, each, max(each)))
-        schema = T.StructType(
-            [
-                *rows.select(*by).schema.fields,
-                T.StructField("__rates", T.ArrayType(T.DoubleType())),
-                T.StructField("__top", T.DoubleType()),
-            ]
-        )
-        u = hash_uniform(F.col("__key"), "start", self.rule.seed)
-        chosen = join_small(
-            rows.select(*by, u.alias("__u"), *[numeric(rows, c).alias(c) for c in columns]),
-            spark.createDataFrame(rates, schema),
-            by,
-            "inner",
-            MAX_CELLS,
-        ).where("__u < __top")
-        picks = F.array(
-            *[
-                F.when(
-                    (F.col("__u") < F.col("__rates")[i]) & F.col(f"`{c}`").isNotNull(),
-                    F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v")),
+    def _fit(self, batch: int, plans: dict[int, CellPlan]) -> list[dict[int, list[Step]]]:
+        rule, spark = self.rule, self.table.sparkSession
+        shared = spark.sparkContext.broadcast(plans)
+        most = max(len(p.targets) for p in plans.values())
+        size = rule.block_size or most
+        rows = self.keyed.where(F.col("__batch") == batch)
+        rows = rows.select("__cell", "__key", *self._inputs(self.keyed))
+        state = materialise(rows.mapInArrow(_first_state(shared, rule.seed, rule.start), STATE), "impute-state")
+        history = []
+        for sweep in range(rule.sweeps):
+            steps: dict[int, list[Step]] = {}
+            for at in range(0, most, size):
+                before = spark.sparkContext.broadcast(steps)
+                block = slice(at, at + size)
+                parts = state.mapInArrow(_grams(shared, before, block), "cell int, target int, gram array<double>")
+                # two levels, so that no task receives a matrix from every task
+                vector = array_to_vector(F.col("gram"))
+                slots = parts.groupBy("cell", "target", (F.spark_partition_id() % 64).alias("slot")).agg(
+                    vector_to_array(Summarizer.sum(vector)).alias("gram")
                 )
-                for i, c in enumerate(columns)
-            ]
-        )
-        out: dict[tuple, list[float]] = {}
-        for r in chosen.select(*by, F.explode(F.array_compact(picks)).alias("p")).select(*by, "p.i", "p.v").collect():
-            out.setdefault((tuple(r[k] for k in by), columns[r["i"]]), []).append(r["v"])
-        return {k: np.array(sorted(v)) for k, v in out.items()}
-
-    def _code_lists(self, rows: DataFrame, columns: list[str]) -> dict[tuple, np.ndarray]:
-        """Sorted observed codes per cell and coded feature, if the lists are short enough
-        to ship to tasks; a longer list is not a code list."""
-        if not columns:
-            return {}
-        by = list(self.rule.cell)
-        found = fetch_small(value_domains(rows, columns, by), "observed codes of coded columns")
-        out: dict[tuple, list[float]] = {}
-        for r in found:
-            out.setdefault((tuple(r[k] for k in by), r["variable"]), []).append(r["value"])
-        return {k: np.array(sorted(v)) for k, v in out.items()}
-
-    def _keyed(self, df: DataFrame) -> DataFrame:
-        by, spark = list(self.rule.cell), df.sparkSession
-        schema = T.StructType([*df.select(*by).schema.fields, T.StructField("__cell", T.IntegerType())])
-        numbers = spark.createDataFrame([(*cell, i) for i, cell in enumerate(self.cells)], schema)
-        numbered = join_small(df, numbers, by, max_rows=MAX_CELLS)
-        return numbered.select(
-            *[F.col(f"`{c}`") for c in df.columns],
-            "__cell",
-            *[numeric(df, c).alias(f"__x{i}") for i, c in enumerate(self.features)],
-        )
-
-    # -- fitting
-
-    def _blocks(self) -> list[list[int]]:
-        """Features whose regressions are learnt in one pass. A block's matrices must fit a task and the driver."""
-        width = max((len(p.active) for p in self.plans), default=0) + 1
-        wanted = [i for i in range(len(self.features)) if any(i in p.active[p.targets] for p in self.plans)]
-        most = max(1, self.rule.gram_bytes // max(1, len(self.plans) * width * width * 8) - 1)
-        size = max(1, min(self.rule.block_size or len(wanted) or 1, most))
-        gaps = {
-            i: sum(s["n"] - s[f"{self.features[i]}|known"] for s in self.stats) for i in wanted
-        }
-        order = sorted(wanted, key=lambda i: (gaps[i], i))
-        return [order[i : i + size] for i in range(0, len(order), size)]
-
-    def _grams(self, keyed: DataFrame, block: list[int]) -> dict[tuple[int, int], np.ndarray]:
-        """Sums of outer products per cell: of all rows (-1) and of the rows where a target of
-        the block has a gap. Known rows are their difference, so work grows with gaps."""
-        features, plans, history, seed = self.features, self.plans, self.history, self.rule.seed
-        wanted = set(block)
-        state = keyed.sparkSession.sparkContext.broadcast((plans, history))
-
-        def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            plans, history = state.value
-            total: dict[tuple[int, int], np.ndarray] = {}
-            for batch in batches:
-                for cell, _, raw, keys in _cells(batch, features):
-                    plan = plans[cell]
-                    if not len(plan.targets):
-                        continue
-                    z, gaps = start_values(plan, raw, keys, seed)
-                    for sweep in history:
-                        for step in sweep:
-                            apply_block(z, gaps, step.get(cell, ()))
-                    full = np.column_stack([np.ones(len(z)), z])
-                    groups = [(-1, full)] + [
-                        (int(j), full[gaps[:, j]]) for j in plan.targets if plan.active[j] in wanted
-                    ]
-                    for t, part in groups:
-                        if len(part):
-                            gram = part.T @ part
-                            have = total.get((cell, t))
-                            total[cell, t] = gram if have is None else have + gram
-            if total:
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "cell": pa.array([k[0] for k in total], pa.int32()),
-                        "target": pa.array([k[1] for k in total], pa.int32()),
-                        "gram": pa.array([g.ravel() for g in total.values()], pa.list_(pa.float64())),
-                    }
+                summed = slots.groupBy("cell", "target").agg(vector_to_array(Summarizer.sum(vector)).alias("gram"))
+                solved = summed.groupBy("cell").applyInPandas(
+                    _solve(rule.ridge), "cell int, target int, intercept double, slopes array<double>"
                 )
-
-        columns = ["__cell", "__key", *[f"__x{i}" for i in range(len(features))]]
-        spark = keyed.sparkSession
-        rows = keyed.select(*columns).where(F.col("__cell").isNotNull())
-        # fewer, longer tasks: each emits its matrices once, however much it scans
-        most = 4 * spark.sparkContext.defaultParallelism
-        if self.splits > most:
-            rows = rows.coalesce(most)
-        parts = rows.mapInArrow(partials, "cell int, target int, gram array<double>")
-        vector = array_to_vector(F.col("gram"))
-        keys, merged = ["cell", "target"], parts
-        if self.splits > 512:
-            # two levels, so that no single task receives a matrix from every task
-            merged = (
-                merged.withColumn("slot", F.spark_partition_id() % 64)
-                .groupBy(*keys, "slot")
-                .agg(vector_to_array(Summarizer.sum(vector)).alias("gram"))
-            )
-        merged = merged.groupBy(*keys).agg(vector_to_array(Summarizer.sum(vector)).alias("g"))
-        out = {}
-        for r in merged.collect():
-            gram = np.array(r["g"])
-            side = math.isqrt(len(gram))
-            out[r["cell"], r["target"]] = gram.reshape(side, side)
-        state.unpersist()
-        return out
-
-    def _solve(self, grams: dict[tuple[int, int], np.ndarray], block: list[int]) -> dict[int, list[Step]]:
-        steps: dict[int, list[Step]] = {}
-        place = {f: i for i, f in enumerate(block)}
-        for cell, plan in enumerate(self.plans):
-            targets = [int(j) for j in plan.targets if plan.active[j] in place]
-            for j in sorted(targets, key=lambda j: place[int(plan.active[j])]):
-                if (cell, j) not in grams:
-                    continue
-                gram = grams[cell, -1] - grams[cell, j]
-                others = np.array([0, *[i + 1 for i in range(len(plan.active)) if i != j]])
-                a = gram[np.ix_(others, others)].copy()
-                penalty = self.rule.ridge * gram[0, 0]
-                a[np.arange(1, len(others)), np.arange(1, len(others))] += penalty
-                b = np.linalg.solve(a, gram[others, j + 1])
-                slopes = np.zeros(len(plan.active))
-                slopes[others[1:] - 1] = b[1:]
-                steps.setdefault(cell, []).append((j, float(b[0]), slopes))
-        return steps
-
-    def fit(self, df: DataFrame) -> "ChainedImputer":
-        """Learn all sweeps: one pass over the feature columns per block and sweep."""
-        self.keyed = self._prepare(df)
-        if any(len(p.targets) for p in self.plans):
-            for _ in range(self.rule.sweeps):
-                sweep: list[dict[int, list[Step]]] = []
-                self.history.append(sweep)
-                for block in self._blocks():
-                    sweep.append(self._solve(self._grams(self.keyed, block), block))
-        return self
+                found = {(r["cell"], r["target"]): (r["target"], r["intercept"], np.array(r["slopes"])) for r in solved.collect()}
+                steps = {k: list(v) for k, v in steps.items()}
+                for cell, plan in plans.items():
+                    steps.setdefault(cell, []).extend(found[cell, int(j)] for j in plan.targets[block])
+            history.append(steps)
+            if sweep + 1 < rule.sweeps:
+                shared_steps = spark.sparkContext.broadcast(steps)
+                after = materialise(state.mapInArrow(_next_state(shared_steps), STATE), "impute-state")
+                drop_table(state)
+                state = after
+        drop_table(state)
+        return history
 
     # -- applying
 
-    def _replay(self, each: Callable) -> Callable:
-        features, seed = self.features, self.rule.seed
-        state = self.keyed.sparkSession.sparkContext.broadcast((self.plans, self.history))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            plans, history = state.value
-            for batch in batches:
-                yield from each(batch, plans, history, features, seed)
-
-        return run
-
     def transform(self) -> DataFrame:
         """The table with gaps of eligible features filled and the missing indicators added.
 
-        Known values pass unchanged. A coded feature takes the nearest observed code.
+        Known values pass unchanged. A coded feature takes the nearest observed code. Only features go through
+        Arrow, and only their filled values come back.
         """
-        df = self.keyed
-        marked = add_indicators(df, list(self.rule.cell), self.indicators)
-        wanted = sorted({int(f) for p in self.plans for f in p.active[p.targets]})
-        if not wanted:
-            return marked.select(*[c for c in marked.columns if not c.startswith("__")])
-        types = {f.name: f.dataType for f in marked.schema.fields}
-        back = {self.features[i]: f"__x{i}" for i in wanted}
-        # features to fill go to Python and back once, as their numeric copies
-        sent = marked.drop(*back)
-        filled = sent.mapInArrow(self._replay(_fill), sent.schema)
-        integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-        def column(c: str) -> Column:
-            if c not in back:
-                return F.col(f"`{c}`")
-            whole = c in self.coded and isinstance(types[c], integral)
-            return F.col(back[c]).cast(types[c] if whole else "double").alias(c)
-
-        return filled.select(*[column(c) for c in marked.columns if not c.startswith("__")])
+        marked = _add_indicators(self.keyed, self.profile, list(self.rule.cell), self.columns)
+        parts = []
+        for k, batch in enumerate(self.batches):
+            here = F.col("__batch") == batch
+            rows = marked.where(here | F.col("__batch").isNull() if k == 0 else here)
+            parts.append(self._filled(rows, self.plans[k], self.history[k]))
+        df = reduce(DataFrame.unionByName, parts) if parts else marked
+        return df.drop("__key", "__cell", "__batch")
+
+    def _filled(self, rows: DataFrame, plans: dict[int, CellPlan], history: list[dict[int, list[Step]]]) -> DataFrame:
+        if not self.gaps:
+            return rows
+        state = rows.sparkSession.sparkContext.broadcast((plans, history))
+        places = [self.features.index(c) for c in self.gaps]
+        filled = _fill(state, places, self.rule.seed, self.rule.start)
+        fill = F.arrow_udf(filled, T.StructType([T.StructField(f"x{i}", T.DoubleType()) for i in range(len(places))]))
+        done = rows.withColumn("__filled", fill("__cell", "__key", *self._inputs(rows)))
+        return done.select(*[self._back(rows, c) for c in rows.columns])
+
+    def _back(self, rows: DataFrame, c: str) -> Column:
+        if c not in self.gaps:
+            return F.col(f"`{c}`")
+        kind = rows.schema[c].dataType
+        whole = c in self.coded and isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        return F.col(f"__filled.x{self.gaps.index(c)}").cast(kind if whole else "double").alias(c)
 
     def trace(self) -> DataFrame:
         """Mean of the imputed values per cell, feature and sweep, with the number of gaps and
         the standard deviation of the known values. One pass for all sweeps."""
-        by, features = list(self.rule.cell), self.features
-        if not self.history:
+        by = list(self.rule.cell)
+        if not any(self.history):
             raise ValueError("nothing was imputed, so there is no trace")
-        rows = self.keyed.select("__cell", "__key", *[f"__x{i}" for i in range(len(features))])
-        sums = (
-            rows.where(F.col("__cell").isNotNull())
-            .mapInArrow(self._replay(_trace), "cell int, feature int, iteration int, total double, n bigint")
-            .groupBy("cell", "feature", "iteration")
-            .agg((F.sum("total") / F.sum("n")).alias("mean_imputed"), F.sum("n").alias("n_missing"))
-        )
-        spark = self.keyed.sparkSession
-        facts = [
-            (cell, int(f), *key, features[f], float(plan.sd[j]), int(j))
-            for cell, (key, plan) in enumerate(zip(self.cells, self.plans))
-            for j, f in enumerate(plan.active)
-        ]
-        schema = T.StructType(
-            [
-                T.StructField("cell", T.IntegerType()),
-                T.StructField("feature", T.IntegerType()),
-                *self.keyed.select(*by).schema.fields,
-                T.StructField("name", T.StringType()),
-                T.StructField("sd_obs", T.DoubleType()),
-                T.StructField("position", T.IntegerType()),
-            ]
+        parts = []
+        for batch, plans, history in zip(self.batches, self.plans, self.history, strict=True):
+            state = self.table.sparkSession.sparkContext.broadcast((plans, history))
+            rows = self.keyed.where(F.col("__batch") == batch).select("__cell", "__key", *self._inputs(self.keyed))
+            parts.append(rows.mapInArrow(_trace(state, tuple(self.features), self.rule.seed, self.rule.start), TRACE))
+        keys = ["__cell", "feature", "iteration", "sd_obs", "position"]
+        sums = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
+            (F.sum("total") / F.sum("n")).alias("mean_imputed"), F.sum("n").alias("n_missing")
         )
-        return join_small(sums, spark.createDataFrame(facts, schema), ["cell", "feature"], "inner").select(
-            *by, F.col("name").alias("feature"), "iteration", "mean_imputed", "n_missing", "sd_obs", "position"
+        return sums.join(self.cells, "__cell").select(
+            *by, "feature", "iteration", "mean_imputed", "n_missing", "sd_obs", "position"
         )
 
 
-def _fill(batch, plans, history, features, seed):
-    """Replay all steps and write the final values over the raw copies ``__x<i>``."""
-    values = {}
-    for cell, rows, raw, keys in _cells(batch, features):
-        plan = plans[cell]
-        if not len(plan.targets):
-            continue
-        z, gaps = start_values(plan, raw, keys, seed)
-        for sweep in history:
-            for step in sweep:
-                apply_block(z, gaps, step.get(cell, ()))
-        for j in plan.targets:
-            at = np.flatnonzero(gaps[:, j])
-            if not len(at):
-                continue
-            f = int(plan.active[j])
-            new = z[at, j] * plan.sd[j] + plan.mean[j]
-            if j in plan.codes:
-                new = _nearest(plan.codes[j], new)
-            if f not in values:
-                values[f] = batch.column(f"__x{f}").to_numpy(zero_copy_only=False).astype(float)
-            values[f][rows[at]] = new
-    arrays, names = [], batch.schema.names
-    for name in names:
-        f = int(name[3:]) if name.startswith("__x") else None
-        if f in values:
-            arrays.append(pa.array(values[f], pa.float64(), from_pandas=True))
-        else:
-            arrays.append(batch.column(name))
-    yield pa.RecordBatch.from_arrays(arrays, names=names)
+TRACE = "__cell int, feature string, iteration int, sd_obs double, position int, total double, n bigint"
 
 
-def _nearest(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Nearest of the sorted codes, the lower one on a tie."""
-    high = np.clip(np.searchsorted(codes, values), 1, max(1, len(codes) - 1))
-    if len(codes) == 1:
-        return np.full(len(values), codes[0])
-    low = high - 1
-    return np.where(values - codes[low] <= codes[high] - values, codes[low], codes[high])
+def _fill(state, places: Sequence[int], seed: int, start: str) -> Callable:
+    """Repeat all steps on the rows of a batch; the values of the features with gaps, filled."""
+
+    def run(*columns: pa.Array) -> pa.Array:
+        plans, history = state.value
+        cell, key, features = columns[0], columns[1], columns[2:]
+        values = {f: features[f].to_numpy(zero_copy_only=False).astype(float) for f in places}
+        for c, rows, raw, keys in _cells(cell, key, features):
+            plan = plans[c]
+            if not len(plan.targets):
+                continue
+            z, gaps = start_values(plan, raw, keys, seed, start)
+            for steps in history:
+                apply_steps(z, gaps, steps.get(c, ()))
+            for j in plan.targets:
+                at = np.flatnonzero(gaps[:, j])
+                new = z[at, j] * plan.sd[j] + plan.mean[j]
+                if j in plan.codes:
+                    new = _nearest(plan.codes[j][0], new)
+                values[int(plan.active[j])][rows[at]] = new
+        arrays = [pa.array(values[f], pa.float64(), from_pandas=True) for f in places]
+        return pa.StructArray.from_arrays(arrays, names=[f"x{i}" for i in range(len(places))])
 
+    return run
 
-def _trace(batch, plans, history, features, seed):
+
+def _trace(state, names: Sequence[str], seed: int, start: str) -> Callable:
     """Per cell, feature and sweep the sum and number of imputed values."""
-    out: list[tuple[int, int, int, float, int]] = []
-    for cell, _, raw, keys in _cells(batch, features):
-        plan = plans[cell]
-        if not len(plan.targets):
-            continue
-        z, gaps = start_values(plan, raw, keys, seed)
-        for i, sweep in enumerate(history, 1):
-            for step in sweep:
-                apply_block(z, gaps, step.get(cell, ()))
-            for j in plan.targets:
-                n = int(gaps[:, j].sum())
-                if n:
-                    total = float((z[gaps[:, j], j] * plan.sd[j] + plan.mean[j]).sum())
-                    out.append((cell, int(plan.active[j]), i, total, n))
-    if out:
-        cell, feature, iteration, total, n = zip(*out)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell, pa.int32()), pa.array(feature, pa.int32()), pa.array(iteration, pa.int32()),
-             pa.array(total, pa.float64()), pa.array(n, pa.int64())],
-            names=["cell", "feature", "iteration", "total", "n"],
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plans, history = state.value
+        for batch in batches:
+            out = []
+            for cell, _, raw, keys in _cells(batch.column(0), batch.column(1), batch.columns[2:]):
+                plan = plans[cell]
+                if not len(plan.targets):
+                    continue
+                z, gaps = start_values(plan, raw, keys, seed, start)
+                for i, steps in enumerate(history, 1):
+                    apply_steps(z, gaps, steps.get(cell, ()))
+                    for j in plan.targets:
+                        n = int(gaps[:, j].sum())
+                        if n:
+                            total = float((z[gaps[:, j], j] * plan.sd[j] + plan.mean[j]).sum())
+                            out.append((cell, names[plan.active[j]], i, float(plan.sd[j]), int(j), total, n))
+            if out:
+                kinds = (pa.int32(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.int64())
+                columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in TRACE.split(", ")])
+
+    return run
 
 
 def impute_linear(
@@ -715,58 +662,62 @@ def impute_tree(
     trees: int = 10,
     depth: int = 5,
 ) -> DataFrame:
-    """The same chain with boosted regression trees of MLlib, cell by cell.
+    """The same chain with boosted regression trees of MLlib, one model per feature and sweep for all cells.
 
-    Trees take a job per split level, so this is for few features with gaps. The filled
-    table is written to the shared checkpoint folder after each sweep.
+    The cell is an input of the trees. Gaps start at the cell's mean; features are written after each
+    model, so none repeats the ones before it. Trees take a job per split level: this is for features that are
+    not near to linear.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     imputer = ChainedImputer(rule, coded, label, present)
-    marked = add_indicators(imputer._prepare(df), list(rule.cell), imputer.indicators)
-    types = {f.name: f.dataType for f in marked.schema.fields if not f.name.startswith("__")}
-    wanted = {imputer.features[i] for p in imputer.plans for i in p.active[p.targets]}
-    for c in wanted:
-        if c not in coded or isinstance(types[c], (T.DoubleType, T.FloatType, T.StringType)):
-            types[c] = T.DoubleType()
-    parts = [(marked.where(F.col("__cell").isNull()), {})]
-    for cell, plan in enumerate(imputer.plans):
-        rows, filled = marked.where(F.col("__cell") == cell), {}
-        names = [imputer.features[i] for i in plan.active]
-        known = {j: F.col(f"__x{i}") for j, i in enumerate(plan.active)}
-        if len(plan.targets):
-            rows = rows.withColumns(
-                {f"__v{j}": F.coalesce(known[j], _draw_expr(plan, j, rule.seed)) for j in known}
+    imputer._prepare(df)
+    number = {c: i for i, c in enumerate(imputer.columns)}
+    features, gaps = imputer.features, imputer.gaps
+    facts = imputer.profile.select(
+        "__cell",
+        *[F.when(F.col(f"__able{number[c]}"), F.col(f"`{c}|mean`")).alias(f"__s{i}") for i, c in enumerate(features)],
+        *[F.col(f"__open{number[c]}").alias(f"__o{i}") for i, c in enumerate(gaps)],
+    )
+    keyed = imputer.keyed.where(F.col("__cell").isNotNull())
+    state = keyed.select("__cell", "__key", *imputer._inputs(keyed)).join(facts, "__cell")
+    # a feature the cell cannot use is the same for all its rows
+    values = {f"__v{i}": F.coalesce(F.when(F.col(f"__s{i}").isNotNull(), F.coalesce(f"__x{i}", f"__s{i}")), F.lit(0.0)) for i in range(len(features))}
+    state = materialise(state.withColumns(values).drop(*[f"__s{i}" for i in range(len(features))]), "tree-state")
+    known = state.agg(*[F.count(f"__x{i}").alias(f"n{i}") for i in range(len(features))]).first()
+    order = sorted(gaps, key=lambda c: (-known[f"n{features.index(c)}"], features.index(c)))
+    for _ in range(rule.sweeps):
+        for c in order:
+            j, gap = features.index(c), gaps.index(c)
+            inputs = ["__cell", *[f"__v{i}" for i in range(len(features)) if i != j]]
+            assembled = VectorAssembler(inputCols=inputs, outputCol="__in").transform(state)
+            learner = GBTRegressor(
+                featuresCol="__in", labelCol=f"__x{j}", predictionCol="__p", maxIter=trees, maxDepth=depth,
+                maxBins=rule.bins, minInstancesPerNode=rule.min_leaf, seed=rule.seed,
             )
-        for sweep in range(rule.sweeps if len(plan.targets) else 0):
-            for j in plan.targets:
-                assembler = VectorAssembler(inputCols=[f"__v{i}" for i in known if i != j], outputCol="__in")
-                learner = GBTRegressor(
-                    featuresCol="__in", labelCol="__y", predictionCol="__p", maxIter=trees, maxDepth=depth,
-                    maxBins=rule.bins, minInstancesPerNode=rule.min_leaf, seed=rule.seed,
-                )
-                observed = assembler.transform(rows.where(known[j].isNotNull()).withColumn("__y", known[j]))
-                model = learner.fit(observed.select("__in", "__y"))
-                rows = (
-                    model.transform(assembler.transform(rows))
-                    .withColumn(f"__v{j}", F.coalesce(known[j], F.col("__p")))
-                    .drop("__in", "__p")
-                )
-            rows = materialise(rows, f"impute-{cell}-{sweep}")
-        for j in plan.targets:
-            value = F.col(f"__v{j}")
-            filled[names[j]] = snap_expr(value, plan.codes[j].tolist()) if j in plan.codes else value
-        parts.append((rows, filled))
-    done = [
-        rows.select(*[filled.get(c, F.col(f"`{c}`")).cast(t).alias(c) for c, t in types.items()])
-        for rows, filled in parts
-    ]
-    return reduce(DataFrame.unionByName, done)
-
-
-def _draw_expr(plan: CellPlan, j: int, seed: int) -> Column:
-    """A start value from the cell's known values, picked by the row hash."""
-    pool = F.lit(plan.start[j].tolist()).cast("array<double>")
-    pick = F.pmod(F.xxhash64(F.col("__key"), F.lit(int(plan.active[j])), F.lit(seed)), F.lit(len(plan.start[j])))
-    return pool[pick.cast("int")]
+            model = learner.fit(assembled.where(F.col(f"__x{j}").isNotNull()).select("__in", f"__x{j}"))
+            new = F.when(F.col(f"__x{j}").isNull() & F.col(f"__o{gap}"), F.col("__p")).otherwise(F.col(f"__v{j}"))
+            after = materialise(model.transform(assembled).withColumn(f"__v{j}", new).select(*state.columns), "tree-state")
+            drop_table(state)
+            state = after
+    listed = [c for c in gaps if c in coded]
+    filled = state.select("__cell", "__key", *[F.when(F.col(f"__o{i}"), F.col(f"__v{features.index(c)}")).alias(f"x{i}") for i, c in enumerate(gaps)])
+    if listed:
+        # the codes of a cell and feature, as they are in the contract of a coded column
+        codes = value_counts(keyed, listed, ["__cell"]).groupBy("__cell", "variable").agg(F.sort_array(F.collect_list("value")).alias("codes"))
+        codes = materialise(codes.groupBy("__cell").pivot("variable", listed).agg(F.first("codes")), "tree-codes")
+        filled = filled.join(codes, "__cell", "left")
+        for c in listed:
+            x = f"x{gaps.index(c)}"
+            near = F.array_min(F.transform(f"`{c}`", lambda v, x=F.col(x): F.struct(F.abs(x - v).alias("d"), v.alias("v"))))["v"]
+            filled = filled.withColumn(x, F.when(F.col(x).isNotNull(), near))
+    filled = filled.select("__key", F.struct(*[f"x{i}" for i in range(len(gaps))]).alias("__filled")) if gaps else None
+    marked = _add_indicators(imputer.keyed, imputer.profile, list(rule.cell), imputer.columns)
+    if filled is None:
+        return marked.drop("__key", "__cell", "__batch")
+    done = marked.join(filled, "__key", "left")
+    done = done.withColumn("__filled", F.struct(*[
+        F.coalesce(numeric(marked, c), F.col(f"__filled.x{i}")).alias(f"x{i}") for i, c in enumerate(gaps)
+    ]))
+    return done.select(*[imputer._back(marked, c) for c in marked.columns]).drop("__key", "__cell", "__batch")

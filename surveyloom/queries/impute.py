@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from surveyloom.operators import convergence, impute as ops
 from surveyloom.operators.cleaning import assign_cohort
 from surveyloom.queries.availability import COHORT, cleaned
 from surveyloom.queries.base import SURVEY_SQL, derive, load, select, survey
+from surveyloom.session import materialise
 from surveyloom.specs import ImputeRule
 
 BY = ["source_flag", "kohort"]
@@ -17,7 +21,8 @@ FEATURES = [
     "asset_c", "visit_1", "visit_2", "food_1", "food_2", "imm_1", "imm_2", "ttd_count", "occupation_mother", "edu_mother",
 ]
 RULE = ImputeRule(
-    exclude=frozenset({"source_flag", "kohort", "id_ruta", "svy_weight"}), never=frozenset({"visit_1", "visit_2"})
+    exclude=frozenset({"source_flag", "kohort", "id_ruta", "svy_weight"}), never=frozenset({"visit_1", "visit_2"}),
+    row_key=("id_ruta",),
 )
 CODED = frozenset({"sex_child", "measure_position", "area_type", "asset_a", "asset_c", "food_1", "food_2", "imm_1", "imm_2", "edu_mother"})
 
@@ -35,6 +40,18 @@ LINEAR = {
 LINEAR_RULE = ImputeRule(
     exclude=frozenset({"source_flag", "kohort", "row_key"}), never=frozenset({"visit"}), ridge=0.0
 )
+#: A target with noise and one predictor: what is filled in is the regression line of each cell.
+NOISY = {
+    "source_flag": "l_returnflag",
+    "kohort": "CASE WHEN l_quantity < 24 THEN 'baduta' ELSE 'balita_tua' END",
+    "row_key": "l_orderkey",
+    "line": "l_linenumber",
+    "x": "CAST(l_partkey % 31 AS DOUBLE)",
+    "target": "CASE WHEN (l_orderkey + l_suppkey) % 7 = 0 THEN NULL ELSE 3e0 + 0.5e0 * (l_partkey % 31) + (l_orderkey % 23) END",
+}
+NOISY_RULE = ImputeRule(exclude=frozenset({"source_flag", "kohort", "row_key", "line"}), ridge=0.0, sweeps=2)
+#: Observed codes of coded features with gaps, special codes taken out.
+OBSERVED = {"edu_mother": (0, 1, 3, 4, 5, 6, 7), "imm_1": (1, 3, 4), "sex_child": (1, 3), "measure_position": (1, 3)}
 #: A trace out of the event stream: ten sweeps of fifty features in five cells.
 TRACE = {
     "cell": "event_type",
@@ -58,9 +75,7 @@ def feature_eligibility(spark: SparkSession, sf: str) -> DataFrame:
 
 def missing_indicators(spark: SparkSession, sf: str) -> DataFrame:
     df = cleaned(spark, sf).select("id_ruta", *BY, "visit_1", "food_1", "ttd_count", "asset_a")
-    plan = ops.ChainedImputer(RULE)
-    plan._prepare(df)
-    return ops.add_indicators(df, BY, plan.indicators)
+    return ops.missing_indicators(df, RULE)
 
 
 def imputation_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,11 +124,49 @@ def impute_observed_kept(spark: SparkSession, sf: str) -> DataFrame:
         F.count("asset_c").alias("asset_c"),
         F.count("visit_1").alias("visit_1"),
         F.sum(F.when(F.col("edu_mother_missing") == 0, F.col("edu_mother"))).alias("edu_observed"),
-        F.count_if(~F.col("asset_a").isin(1, 2)).alias("asset_a_strange"),
+        *[F.count_if(~F.col(c).isin(*codes)).alias(f"{c}_strange") for c, codes in OBSERVED.items()],
         F.sum(F.col("visit_1_missing").cast("bigint")).alias("visit_1_missing"),
     )
 
 
+def impute_noisy(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps of a noisy target lie on the line through the known values of their cell."""
+    out = ops.impute_linear(derive(load(spark, sf, "lineitem"), NOISY), NOISY_RULE)
+    return out.withColumn("target", F.round("target", 6))
+
+
+def impute_alone(spark: SparkSession, sf: str) -> DataFrame:
+    """A source imputed alone and among all sources: rows, filled values, and values that differ."""
+    df = cleaned(spark, sf).select("id_ruta", *BY, *FEATURES, "svy_weight")
+    rule = replace(RULE, row_key=("id_ruta", "svy_weight"), exclude=RULE.exclude | {"__row"})
+    # a number per row, given once, to put both results side by side
+    df = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "alone")
+    whole = ops.impute_linear(df, rule, CODED).where("source_flag = 'R'")
+    alone = ops.impute_linear(df.where("source_flag = 'R'"), rule, CODED)
+    filled = ["ttd_count", "height_child_cm", "weight_child_kg", "edu_mother", "imm_1"]
+    a = whole.select("__row", *BY, *[F.col(c).alias(f"a_{c}") for c in filled], "ttd_count_missing")
+    b = alone.select("__row", *[F.col(c).alias(f"b_{c}") for c in filled])
+    # sums of doubles differ in their last digits with the order they are added in
+    differ = [F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) > 1e-6 * (1 + F.abs(f"a_{c}")) for c in filled]
+    off = reduce(lambda x, y: x | y, [F.coalesce(d, F.lit(True)) for d in differ])
+    return a.join(b, "__row").groupBy(*BY).agg(
+        F.count("*").alias("n"), F.sum(F.col("ttd_count_missing").cast("bigint")).alias("filled"), F.count_if(off).alias("different")
+    )
+
+
+def impute_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Trees: what they may not change, and that they find a relation that is no line."""
+    columns = LINEAR | {"target": "CASE WHEN (l_orderkey + l_suppkey) % 7 = 0 THEN NULL ELSE abs(l_quantity - 25e0) END"}
+    df = derive(load(spark, sf, "lineitem"), columns)
+    out = ops.impute_tree(df, replace(LINEAR_RULE, sweeps=1, min_leaf=5), trees=6, depth=4)
+    off = F.abs(F.col("target") - F.abs(F.col("a") - 25))
+    return out.groupBy(*BY).agg(
+        F.count("*").alias("n"), F.count("target").alias("filled"), F.count("visit").alias("visits"),
+        F.count_if((F.col("target_missing") == 0) & (off > 0)).alias("changed"),
+        (F.avg(F.when(F.col("target_missing") == 1, off)) < 2).alias("near"),
+    )
+
+
 def _trace(spark: SparkSession, sf: str) -> DataFrame:
     rows = derive(load(spark, sf, "events"), TRACE)
     return rows.groupBy("cell", "feature", "iteration").agg(
@@ -146,7 +199,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         missing_rates, feature_eligibility, missing_indicators, imputation_matrix, snap_codes, snap_many_codes,
-        impute_exact, imputation_trace, impute_linear, impute_observed_kept, convergence_verdicts, convergence_cells,
+        impute_exact, impute_noisy, impute_alone, impute_trees, imputation_trace, impute_linear, impute_observed_kept, convergence_verdicts, convergence_cells,
         convergence_unstable, convergence_top,
     )
 }
@@ -213,6 +266,14 @@ SQL = {
     "impute_exact": f"""WITH t AS ({select(_TRUE, 'lineitem')})
  SELECT source_flag, kohort, row_key, a, b, c, round(target, 4) AS target, visit, CAST(gap AS TINYINT) AS target_missing,
  CAST(visit IS NULL AS TINYINT) AS visit_missing FROM t""",
+    "impute_noisy": f"""WITH t AS ({select(NOISY, 'lineitem')}),
+ line AS (SELECT source_flag, kohort, regr_slope(target, x) AS slope, regr_intercept(target, x) AS base FROM t GROUP BY 1, 2)
+ SELECT source_flag, kohort, row_key, line, x, round(coalesce(target, base + slope * x), 6) AS target,
+ CAST(target IS NULL AS TINYINT) AS target_missing FROM t JOIN line USING (source_flag, kohort)""",
+    "impute_alone": f"""WITH clean AS ({CLEAN_SQL}) SELECT source_flag, kohort, count(*) AS n,
+ CAST(count(*) - count(ttd_count) AS BIGINT) AS filled, CAST(0 AS BIGINT) AS different FROM clean WHERE source_flag = 'R' GROUP BY 1, 2""",
+    "impute_trees": f"""WITH t AS ({select(LINEAR, 'lineitem')}) SELECT source_flag, kohort, count(*) AS n, count(*) AS filled,
+ count(visit) AS visits, CAST(0 AS BIGINT) AS changed, true AS near FROM t GROUP BY 1, 2""",
     "imputation_trace": f"""WITH t AS ({select(_TRUE, 'lineitem')})
  SELECT source_flag, kohort, 'target' AS feature, CAST(i AS INT) AS iteration, round(avg(CASE WHEN gap THEN target END), 5) AS mean_imputed,
  count(CASE WHEN gap THEN 1 END) AS n_missing, round(stddev_pop(CASE WHEN NOT gap THEN target END), 5) AS sd_obs
@@ -220,7 +281,7 @@ SQL = {
     "impute_observed_kept": f"""WITH clean AS ({CLEAN_SQL})
  SELECT source_flag, kohort, count(*) AS n, count(*) AS ttd_count,
  count(CASE WHEN (SELECT min(asset_c) = max(asset_c) FROM clean) THEN asset_c ELSE 1 END) AS asset_c,
- count(visit_1) AS visit_1, sum(edu_mother) AS edu_observed, CAST(0 AS BIGINT) AS asset_a_strange,
+ count(visit_1) AS visit_1, sum(edu_mother) AS edu_observed, {', '.join(f'CAST(0 AS BIGINT) AS {c}_strange' for c in OBSERVED)},
  CAST(count(*) - count(visit_1) AS BIGINT) AS visit_1_missing FROM clean GROUP BY 1, 2""",
     "convergence_verdicts": f"""WITH {_TRACE} SELECT cell, feature, n_missing, n_sweeps, round(level, 5) AS level, converged_at,
  round(drift, 5) AS drift, round(deviation, 5) AS deviation, measured, unstable FROM stable""",

@@ -72,7 +72,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = os.path.join(checkpoint_root(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove a table that ``materialise`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:

@@ -124,9 +124,14 @@ class ImputeRule:
     bins: int = 127
     indicator_rate: float = 0.10
     ridge: float = 1e-3
+    #: "draw" or "mean"
     start: str = "draw"
+    #: targets learnt in one pass; None: a whole sweep
     block_size: int | None = None
+    #: bytes of matrices a task may hold: cells beyond are taken in further batches
     gram_bytes: int = 64 << 20
+    #: columns that identify a row, so that draws do not depend on the table's layout; None: the row's number
+    row_key: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from surveyloom.operators import impute as I
 from surveyloom.specs import ImputeRule
 
 BY = ["source_flag", "kohort"]
-RULE = ImputeRule(exclude=frozenset({"source_flag", "kohort", "id", "label"}), never=frozenset({"visits"}), min_values=50)
+RULE = ImputeRule(exclude=frozenset({"source_flag", "kohort", "id", "label"}), never=frozenset({"visits"}), min_values=50, row_key=("id",))
 CODED = frozenset({"code"})
 
 
@@ -97,6 +97,39 @@ def test_same_for_any_partitioning_and_blocks(table, filled):
     assert np.std(off) < 0.1
 
 
+def test_cells_do_not_depend_on_others_or_on_batches(spark, table, filled):
+    present = {"a": ["x", "y", "z", "code", "visits", "constant"], "b": table.columns}
+    more = spark.range(60_000).selectExpr(
+        "CAST(100000 + id AS INT) AS id", "concat('m', id % 1000) AS source_flag", "'old' AS kohort", "0 AS label",
+        "CAST(id % 13 AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y", "IF(id % 5 = 0, NULL, CAST(id % 11 AS DOUBLE)) AS z",
+        "IF(id % 3 = 0, NULL, CAST(9 + id % 2 AS DOUBLE)) AS code", "1D AS visits", "1D AS only_b", "7D AS constant",
+    )
+    # matrices of very few cells fit a batch
+    rule = replace(RULE, gram_bytes=30_000)
+    imputer = I.ChainedImputer(rule, CODED, "label", present).fit(table.unionByName(more))
+    assert len(imputer.batches) > 2
+    again = rows_of(imputer.transform().where("id < 100000"))
+    for i, r in filled.items():
+        for c in ("y", "z", "code"):
+            assert again[i][c] == (None if r[c] is None else pytest.approx(r[c], abs=1e-7))
+
+
+def test_only_coefficients_reach_the_driver(table, monkeypatch):
+    seen = []
+    real = I.DataFrame.collect
+    monkeypatch.setattr(I.DataFrame, "collect", lambda df: (seen.append(df.columns), real(df))[1])
+    imputer = I.ChainedImputer(replace(RULE, sweeps=2), CODED, "label").fit(table)
+    assert not any("gram" in c for columns in seen for c in columns)
+    plan = imputer.transform()._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
+def test_codes_would_be_missed_without_snapping(table, monkeypatch):
+    monkeypatch.setattr(I, "_nearest", lambda codes, values: values)
+    out = I.impute_linear(table, RULE, CODED, "label")
+    assert out.where("kohort IS NOT NULL AND code NOT IN (1, 2, 3, 4)").count() > 0
+
+
 def test_never_reads_the_label(table, filled):
     flipped = table.withColumn("label", 1 - F.col("label"))
     with pytest.raises(ValueError, match="excluded"):
@@ -147,14 +180,13 @@ def test_trees(spark, table):
             assert r["z"] == before[i]["z"]
 
 
-@pytest.mark.parametrize("bounds", [(64, 100_000), (2, 100_000), (2, 10)])
-def test_snap_on_every_path(spark, bounds):
+def test_snap_to_the_nearest_code(spark):
     rng = np.random.default_rng(1)
     codes = sorted({float(v) for v in np.round(rng.gamma(1.0, 20.0, 60), 1)})
     values = [*rng.uniform(-10, 120, 500), *codes, *[(a + b) / 2 for a, b in zip(codes, codes[1:])]]
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)] + [(-1, None)], "i int, v double")
     table = spark.createDataFrame([(c,) for c in codes * 3], "value double")
-    got = {r["i"]: r["v"] for r in I.snap_to_codes(df, "v", table, literal=bounds[0], most=bounds[1]).collect()}
+    got = {r["i"]: r["v"] for r in I.snap_to_codes(df, "v", table).collect()}
     assert got.pop(-1) is None and len(got) == len(values)
     for i, v in enumerate(values):
         assert got[i] == min(codes, key=lambda c: (abs(v - c), c))
