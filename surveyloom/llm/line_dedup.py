@@ -25,18 +25,18 @@ from pyspark.sql.types import StructType
 from surveyloom.llm.components import connected
 from surveyloom.llm.filters import either, filter_of, may_hold
 from surveyloom.llm.store import Scratch
-from surveyloom.llm.words import U64, as_long, mix
+from surveyloom.llm.words import U64, as_long, mix, slices
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: Entries in a pack, bytes of text for a range, and ranges at least.
-PACK = 1 << 20
+PACK = 1 << 18
 RANGE_BYTES = 8 << 20
 RANGES = 64
 #: Pairs looked at in one go by the bag filter, and characters of a batch of comparisons.
-PAIRS = 1 << 20
-CELLS = 4 << 20
+PAIRS = 1 << 18
+CELLS = 2 << 20
 #: Characters of text worked on at a time.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -159,7 +159,7 @@ def _list(rule: LineRule):
     """Ids of the long lines of each text, with their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             ids, numbers = [b""] * n, [b""] * n
             for lines in long_lines(_texts(batch.column(2)), rule.least):
@@ -216,7 +216,7 @@ def _index(rule: LineRule, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for lines in long_lines(_texts(batch.column(0)), rule.least):
                 ids, first = np.unique(lines.ids(), return_index=True)
                 bags = lines.bags()[first]
@@ -339,7 +339,7 @@ def within(left: list[str], right: list[str], edits: int) -> np.ndarray:
 
 def _compare(edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             if batch.num_rows:
                 mask = pa.array(within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), edits))
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
@@ -351,7 +351,7 @@ def _wanted(rule: LineRule, flags: np.ndarray):
     """Id and text of the lines the filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = _texts(batch.column(0))
             for lines in long_lines(texts, rule.least):
                 ids = as_long(lines.ids())
@@ -370,7 +370,7 @@ CUT = "doc long, text_key long, n_lines long, n_removed long, removed array<int>
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         n_lines, removed, kept = [], [], []
         for text, drop in zip(_texts(batch.column("text")), batch.column("gone").to_pylist(), strict=True):
             lines, gone = text.split("\n"), set(drop or ())

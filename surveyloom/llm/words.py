@@ -90,6 +90,13 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, for work that makes Python objects or large arrays of each."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def split_words(column: pa.Array, ends_at: np.ndarray, fold: np.ndarray | None = None) -> Iterator[Words]:
     """Words of every text in order, in chunks of whole texts."""
     if not len(column):
