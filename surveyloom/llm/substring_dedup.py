@@ -30,7 +30,7 @@ from surveyloom.llm.words import BLANKS, U64, mix, split_words, windows
 #: Smallest sets of residues whose differences are all residues, by period.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 #: Hashes in a pack, and bytes of text per hash range; both bound a task's memory.
-PACK = 1 << 20
+PACK = 1 << 18
 RANGE_BYTES = 8 << 20
 #: Ranges at least, so that a small input is spread as well.
 RANGES = 64
