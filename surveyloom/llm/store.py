@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from surveyloom.session import checkpoint_root
 
 
+#: Rows and bytes of a batch that goes to Python: documents are long, and a task holds several copies of a batch.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to a size that suits documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Scratch:
     """Intermediate tables as Parquet under ``spark.checkpoint.dir``.
 
@@ -19,6 +29,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.root = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from surveyloom.llm.store import small_batches
 from surveyloom.llm.words import LOWER, NOT_LETTERS, U64, mix, split_words
 
 
@@ -133,6 +134,7 @@ def held_out(doc_id) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) -> Machine:
     """Fit on at most ``rule.sample`` labelled documents, chosen by a hash of their id."""
+    small_batches(docs.sparkSession)
     marked = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # the bound of the sample is the bound of what is broadcast
