@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import double, lms_z, number, ref, rewrite
-from surveyloom.session import pin_small
+from surveyloom.session import materialise
 from surveyloom.specs import Measures
 
 
@@ -44,12 +44,14 @@ Lookup = tuple[str, str]
 
 
 def lookup(
-    df: DataFrame, segs: DataFrame, sex: str, wanted: Mapping[str, Lookup], bucket: float = 1.0, broadcast: bool = True
+    df: DataFrame, segs: DataFrame, sex: str, wanted: Mapping[str, Lookup], bucket: float = 1.0
 ) -> DataFrame:
     """For each prefix in ``wanted`` add ``<prefix>_l``, ``_m``, ``_s`` of the reference at the
     key; null outside the table. ``sex`` names a column of 1 or 2. Rows are kept: a key
-    meets at most one segment.
+    meets at most one segment. The segments are written first: Spark broadcasts them by their bytes, or
+    shuffles both sides if they are too many.
     """
+    segs = materialise(segs, "segments")
     keys = {
         f"__b_{p}": f"CAST(floor({ref(x)} / {double(bucket)}) AS BIGINT)" for p, (_, x) in wanted.items()
     }
@@ -62,7 +64,7 @@ def lookup(
             f"{ref(indicator)} = {r}indicator AND __sex = {r}sex AND __b_{p} = {r}bucket AND {ref(x)} >= {r}x "
             f"AND ({ref(x)} < {r}x1 OR ({r}x1 IS NULL AND {ref(x)} = {r}x))"
         )
-        out = out.join(F.broadcast(right) if broadcast else right, on, "left")
+        out = out.join(right, on, "left")
         share = f"try_divide({ref(x)} - {r}x, {r}x1 - {r}x)"
         added += [
             f"CASE WHEN {ref(x)} = {r}x THEN {r}{n} ELSE {r}{n} + {share} * ({r}{n}1 - {r}{n}) END AS {p}_{n}"
@@ -95,11 +97,10 @@ def growth_inputs(df: DataFrame, measures: Measures) -> dict[str, str]:
 def score_growth(df: DataFrame, lms: DataFrame, measures: Measures, bucket: float = 1.0) -> DataFrame:
     """Scores and label of a table that has the ``growth_inputs`` columns.
 
-    Height and weight for age and weight for height: three lookups, all broadcast in one stage.
+    Height and weight for age and weight for height: three lookups in one stage if the reference is small.
     Height for age uses the corrected height, weight for height the height as measured.
     Implausible scores become null.
     """
-    segs, small = pin_small(segments(lms, bucket))
     cut = double(measures.cut)
     keyed = rewrite(
         df,
@@ -110,7 +111,7 @@ def score_growth(df: DataFrame, lms: DataFrame, measures: Measures, bucket: floa
         },
     )
     wanted = {"__haz": ("__i_haz", "__a"), "__waz": ("__i_waz", "__a"), "__whz": ("__i_whz", "__h")}
-    found = lookup(keyed, segs, "__s", wanted, bucket, broadcast=small)
+    found = lookup(keyed, segments(lms, bucket), "__s", wanted, bucket)
     corrected = standing_height(F.col("__h"), F.col("__a"), F.col("__p"), measures.cut, measures.shift)
     scores = {
         f"{name}_score": lms_z(value, *[F.col(f"__{name}_{p}") for p in ("l", "m", "s")])

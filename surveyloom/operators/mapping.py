@@ -14,15 +14,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import INVISIBLE, normal_name, strip
-from surveyloom.session import fetch_small
 
 # Cells that say a source has no such variable, the derived-variable mark,
-# and the person a suffixed column is about.
+# the person a suffixed column is about, what a component of a derived variable looks like, and the word
+# between two names that claim one column.
 NO_CODE = ("—", "", "nan")
 DERIVED = "DERIVASI"
 SUBJECTS = {"ibu": ("mother", "ibu"), "ayah": ("father", "ayah")}
 DEFAULT_SUBJECT = "anak"
 COMPONENT = r"[A-Za-z].*\d|\d.*[A-Za-z]|[a-z]{3,}"
+CLASH = " bentrok "
+
+#: Slots that rows without a key are spread over: they have no partner, but would meet in one task.
+SLOTS = 1000
+
+
+def spread_gaps(key: Column) -> Column:
+    """A second join key: 0 where there is a key, else one of many numbers no partner has."""
+    return F.when(key.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SLOTS)).cast("int") + 1).otherwise(0)
 
 
 def clean_name(name: str) -> str:
@@ -84,74 +93,57 @@ def match_mapping(dictionary: DataFrame, catalogue: DataFrame) -> DataFrame:
     person the standard name is about. The suffix match is an equi-join too: each column
     offers all its ``prefix_suffix`` splits, reduced to one row per prefix before the join.
     """
-    columns = catalogue.select("source", "code", F.col("pos").alias("at")).withColumn(
-        "norm", normal_name(F.col("code"))
-    )
-    same = columns.groupBy("source", "norm").agg(F.max_by("code", "at").alias("same_code"))
-    words = F.split("norm", "_")
-    splits = F.transform(
-        F.sequence(F.lit(1), F.size(words) - 1),
+    norm = normal_name(F.col("code"))
+    columns = catalogue.select("source", "code", F.col("pos").alias("at"), norm.alias("whole"))
+    words = F.split("whole", "_")
+    # the whole name, and all its cuts into prefix and suffix
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.size(words)),
         lambda i: F.struct(
             F.array_join(F.slice(words, F.lit(1), i), "_").alias("norm"),
             F.array_join(F.slice(words, i + 1, F.size(words) - i), "_").alias("suffix"),
+            (i == F.size(words)).alias("same"),
         ),
     )
-    offers = (
-        columns.where(F.size(words) > 1)
-        .select("source", "code", "at", F.explode(splits).alias("cut"))
-        .select("source", "code", "at", "cut.norm", "cut.suffix")
-        .where(F.col("suffix") != "")
-    )
+    offers = columns.select("source", "code", "at", F.explode(cuts).alias("cut")).select("source", "code", "at", "cut.*")
+    part = ~F.col("same") & (F.col("suffix") != "")
     people = [*SUBJECTS, DEFAULT_SUBJECT]
-    by_prefix = offers.groupBy("source", "norm").agg(
-        F.count(F.lit(1)).alias("offers"),
-        F.min_by("code", "at").alias("only_code"),
-        *[
-            F.min(F.when(F.col("suffix") == p, F.struct("at", "code")))["code"].alias(f"for_{p}")
-            for p in people
-        ],
+    by_name = offers.groupBy("source", "norm").agg(
+        F.max(F.when(F.col("same"), F.struct("at", "code")))["code"].alias("same_code"),
+        F.count_if(part).alias("offers"),
+        F.min(F.when(part, F.struct("at", "code")))["code"].alias("only_code"),
+        *[F.min(F.when(part & (F.col("suffix") == p), F.struct("at", "code")))["code"].alias(f"for_{p}") for p in people],
     )
     subject = subject_of(F.col("standard_name"))
     for_person = F.coalesce(*[F.when(subject == p, F.col(f"for_{p}")) for p in people])
-    return (
-        dictionary.withColumn("norm", normal_name(clean_cell(F.col("code_cell"))))
-        .join(same, ["source", "norm"], "left")
-        .join(by_prefix, ["source", "norm"], "left")
-        .withColumn(
-            "code",
-            F.when(
-                F.col("norm") != "",
-                F.coalesce("same_code", F.when(F.col("offers") == 1, F.col("only_code")).otherwise(for_person)),
-            ),
-        )
-        .select(*dictionary.columns, "code")
-    )
+    # cells that name no column stay out of the join's tasks
+    own = normal_name(clean_cell(F.col("code_cell")))
+    wanted = dictionary.withColumn("norm", F.when(~own.isin("", NO_CODE[0]), own)).withColumn("slot", spread_gaps(F.col("norm")))
+    found = wanted.join(by_name.withColumn("slot", F.lit(0)), ["source", "norm", "slot"], "left")
+    code = F.coalesce("same_code", F.when(F.col("offers") == 1, F.col("only_code")).otherwise(for_person))
+    return found.withColumn("code", code).select(*dictionary.columns, "code")
 
 
 def match_audit(wanted: DataFrame, catalogue: DataFrame, key: str) -> DataFrame:
     """Adds ``found``: column named ``key`` exactly, else ignoring case, else ignoring
-    case, ``_`` and blanks as well. Of equal candidates the last in the catalogue wins."""
+    case, ``_`` and blanks as well. Of equal candidates the last in the catalogue wins.
+
+    Names that are equal exactly or but for case are equal without ``_`` and blanks too, so one join on these offers all.
+    """
     squeeze = lambda c: F.regexp_replace(F.lower(c), r"(?U)[_\s]", "")
-    columns = catalogue.select("source", "code", F.col("pos").alias("at"))
-
-    def ranked(expr: Column, name: str) -> DataFrame:
-        return columns.groupBy("source", expr.alias(f"k_{name}")).agg(
-            F.max_by("code", "at").alias(f"c_{name}")
-        )
-
-    out = wanted.withColumns(
-        {
-            "k_exact": F.col(key),
-            "k_lower": F.lower(F.col(key)),
-            "k_bare": squeeze(F.col(key)),
-        }
-    )
-    out = out.join(ranked(F.col("code"), "exact"), ["source", "k_exact"], "left")
-    out = out.join(ranked(F.lower("code"), "lower"), ["source", "k_lower"], "left")
-    out = out.join(ranked(squeeze(F.col("code")), "bare"), ["source", "k_bare"], "left")
-    return out.withColumn("found", F.coalesce("c_exact", "c_lower", "c_bare")).select(
-        *wanted.columns, "found"
+    offers = catalogue.groupBy("source", squeeze(F.col("code")).alias("__bare")).agg(
+        F.collect_list(F.struct(F.col("pos").alias("at"), "code")).alias("__offers")
     )
+    out = wanted.withColumn("__bare", squeeze(F.col(key))).withColumn("__slot", spread_gaps(F.col("__bare")))
+    out = out.join(offers.withColumn("__slot", F.lit(0)), ["source", "__bare", "__slot"], "left")
+
+    def last(of: Column) -> Column:
+        return F.array_max(of)["code"]
+
+    exact = F.filter("__offers", lambda o: o["code"] == F.col(key))
+    lower = F.filter("__offers", lambda o: F.lower(o["code"]) == F.lower(F.col(key)))
+    found = F.coalesce(last(exact), last(lower), last(F.col("__offers")))
+    return out.withColumn("found", found).select(*wanted.columns, "found")
 
 
 def rename_map(dictionary: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -162,14 +154,11 @@ def rename_map(dictionary: DataFrame, catalogue: DataFrame) -> DataFrame:
     """
     cell = F.trim(F.coalesce("code_cell", F.lit("")))
     skipped = cell.isin(*NO_CODE) | F.upper(cell).startswith(DERIVED)
-    matched = match_mapping(dictionary, catalogue).withColumn(
-        "code", F.when(~skipped, F.col("code"))
-    )
-    first = (
-        matched.where(F.col("code").isNotNull())
-        .groupBy("source", "code")
-        .agg(F.min_by("standard_name", "pos").alias("owner"))
-    )
+    matched = match_mapping(dictionary, catalogue).withColumn("code", F.when(~skipped, F.col("code")))
+    # rows that claim one column are few; those without one are spread
+    rows = matched.withColumn("slot", spread_gaps(F.col("code")))
+    claims = Window.partitionBy("source", "code", "slot").orderBy("pos")
+    rows = rows.withColumn("owner", F.when(F.col("code").isNotNull(), F.first("standard_name").over(claims)))
     status = (
         F.when(skipped, "skipped")
         .when(F.col("code").isNull(), "unmatched")
@@ -177,19 +166,17 @@ def rename_map(dictionary: DataFrame, catalogue: DataFrame) -> DataFrame:
         .otherwise("mapped")
     )
     reason = F.when(status == "unmatched", cell).when(
-        status == "claimed", F.concat(cell, F.lit("->"), "code", F.lit(" bentrok "), "owner")
+        status == "claimed", F.concat(cell, F.lit("->"), "code", F.lit(CLASH), "owner")
     )
-    return (
-        matched.join(first, ["source", "code"], "left")
-        .withColumns({"status": status, "reason": reason})
-        .select("source", "pos", "standard_name", "code_cell", "code", "status", "reason")
+    return rows.withColumns({"status": status, "reason": reason}).select(
+        "source", "pos", "standard_name", "code_cell", "code", "status", "reason"
     )
 
 
 def rename_pairs(mapped: DataFrame) -> dict[str, dict[str, str]]:
     """Per source raw name to standard name; bounded by the number of columns."""
     out: dict[str, dict[str, str]] = {}
-    for r in fetch_small(mapped.where(F.col("status") == "mapped").select("source", "code", "standard_name"), "renames"):
+    for r in mapped.where(F.col("status") == "mapped").select("source", "code", "standard_name").collect():
         out.setdefault(r["source"], {})[r["code"]] = r["standard_name"]
     for source, pairs in out.items():
         names = list(pairs.values())
@@ -207,10 +194,10 @@ def apply_rename(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
 
 def pii_codes(dictionary: DataFrame, role: str) -> dict[str, set[str]]:
     """Per source the raw codes of the dictionary rows whose role says personal data."""
-    cell = F.trim("code_cell")
+    cell = strip(F.col("code_cell"))
     rows = dictionary.where((F.col("role") == role) & ~cell.isin(*NO_CODE)).select("source", cell.alias("code"))
     out: dict[str, set[str]] = {}
-    for r in fetch_small(rows, "codes of personal data"):
+    for r in rows.collect():
         out.setdefault(r["source"], set()).add(r["code"])
     return out
 
@@ -244,7 +231,7 @@ def dictionary_rows(
 
 def names_where(dictionary: DataFrame, **which: str | None) -> list[str]:
     """Standard names of ``dictionary_rows`` in dictionary order."""
-    rows = fetch_small(dictionary_rows(dictionary, **which), "dictionary")
+    rows = dictionary_rows(dictionary, **which).collect()
     return [r["standard_name"] for r in sorted(rows, key=lambda r: r["pos"])]
 
 

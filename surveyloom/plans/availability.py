@@ -10,7 +10,6 @@ from surveyloom.operators import availability as ops
 from surveyloom.operators.cleaning import add_cohort, null_codes
 from surveyloom.operators.combine import stack
 from surveyloom.plans.harmonise import map_sources
-from surveyloom.session import fetch_small
 from surveyloom.specs import Profile
 
 
@@ -23,7 +22,7 @@ def availability(sources: Mapping[str, DataFrame], dictionary: DataFrame, profil
     rule = profile.cohort
     exclude = {*profile.impute.exclude, *profile.encoding["drop"]}
     named = ops.candidates(dictionary, profile.meta_role, exclude)
-    variables = [r["standard_name"] for r in sorted(fetch_small(named, "candidates"), key=lambda r: r["pos"])]
+    variables = [r["standard_name"] for r in sorted(named.collect(), key=lambda r: r["pos"])]
     frames = {}
     for source, table in map_sources(sources, dictionary, profile).tables.items():
         table = add_cohort(table, rule, null_is_old=True)

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import number, rewrite
-from surveyloom.operators import cleaning, combine, composites, indices, mapping
+from surveyloom.operators import availability, cleaning, combine, composites, indices, mapping
 from surveyloom.operators.impute import impute_linear, impute_tree
-from surveyloom.session import pin_small
+from surveyloom.session import materialise
+from surveyloom.sources import outputs
 from surveyloom.sources.tables import catalogue_of
 from surveyloom.specs import Encoding, Profile
 
@@ -34,7 +35,7 @@ def map_sources(sources: Mapping[str, DataFrame], dictionary: DataFrame, profile
     safe = {s: mapping.drop_columns(df, private.get(s, ())) for s, df in sources.items()}
     catalogue = reduce(DataFrame.unionByName, [catalogue_of(df, s) for s, df in safe.items()])
     wanted = dictionary.where(F.col("source").isin(*safe))
-    outcome, _ = pin_small(mapping.rename_map(wanted.coalesce(1), catalogue.coalesce(1)))
+    outcome = materialise(mapping.rename_map(wanted, catalogue), "renames")
     pairs = mapping.rename_pairs(outcome)
     return Mapped({s: mapping.apply_rename(df, pairs.get(s, {})) for s, df in safe.items()}, outcome)
 
@@ -124,3 +125,18 @@ def harmonise(
         method = {"linear": impute_linear, "tree": impute_tree}[impute]
         stacked = method(stacked, profile.impute, profile.encoding.coded, profile.label, present)
     return combine.fill_indicators(stacked)
+
+
+def finish(table: DataFrame, path: str, profile: Profile) -> str:
+    """The last stage: the table by cell, the validation report, the variables one cohort lacks, and the encoding.
+
+    Written below ``path`` as ``table``, ``report``, ``gaps`` and ``encoding``; returns the table's folder.
+    """
+    tag, cohort = profile.source_column, profile.cohort
+    outputs.write_table(table, f"{path}/table", profile.impute.cell)
+    outputs.write_report(combine.validation_report(table, tag, cohort.output, profile.label), f"{path}/report")
+    known = {tag, *profile.encoding["meta"], *profile.encoding["drop"]}
+    gaps = availability.structural_gaps(table, cohort.output, cohort.young, cohort.old, cohort.young_only, known)
+    outputs.write_report(gaps, f"{path}/gaps")
+    outputs.write_encoding(table.sparkSession, profile.encoding, f"{path}/encoding")
+    return f"{path}/table"

@@ -1,4 +1,4 @@
-"""Session defaults, the shared checkpoint folder and size-checked small tables."""
+"""Session defaults, the shared checkpoint folder and the tables written there."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the wide harmonised table (more than 130 columns) profits from.
 DEFAULTS = {
@@ -34,9 +33,6 @@ STATIC = {
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
-#: Largest table that is pinned and broadcast. Anything above joins by shuffle.
-SMALL_ROWS = 100_000
-
 _local_checkpoints: dict[str, str] = {}
 
 
@@ -84,37 +80,10 @@ def drop_table(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """Fetch a metadata-sized table once, if it is one.
-
-    Reads at most ``max_rows + 1`` rows. Within the bound the rows become a local table
-    that is safe to broadcast and is not computed again; above it the frame is
-    returned as it was and ``False`` tells the caller to join by shuffle.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df, False
-    # one partition: what is joined or grouped further stays in one task without a shuffle
-    return df.sparkSession.createDataFrame(rows, df.schema).coalesce(1), True
-
-
-def fetch_small(df: DataFrame, what: str, max_rows: int = SMALL_ROWS) -> list[Row]:
-    """Rows of a result that is metadata by its nature; an error, not a cut, if it is not."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows, too many for metadata")
-    return rows
-
-
-def join_small(
-    left: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """Join a table expected to be small: broadcast if its size is proven, else shuffle.
-
-    The shuffle join leaves hot keys to AQE's skew-join splitting.
-    """
-    pinned, is_small = pin_small(small, max_rows)
-    return left.join(F.broadcast(pinned) if is_small else small, on, how)
+def join_small(left: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a table expected to be small. It is written first, so that Spark knows its bytes: below its threshold
+    it is broadcast, above it both sides are shuffled and hot keys left to AQE."""
+    return left.join(materialise(small, "pinned"), on, how)
 
 
 def spread(df: DataFrame) -> DataFrame:

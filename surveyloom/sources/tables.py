@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from surveyloom.functions.columns import nan_to_null
 from surveyloom.operators.cleaning import infer_types
 from surveyloom.operators.mapping import clean_name, clean_names
-from surveyloom.session import pin_small
 from surveyloom.specs import Encoding
 
 FORMATS = ("parquet", "csv", "orc", "json")
@@ -95,14 +94,16 @@ def load_dictionary(
     sources: Sequence[str],
     fmt: str = "csv",
     other: str | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """The variable dictionary in long form: one row per standard name and source.
 
-    The file has a row per variable, in order: standard_name, category, concept, role and
-    one column of code cells per source. ``other`` names a further code column to carry along.
+    The file has a row per variable: standard_name, category, concept, role and
+    one column of code cells per source. ``other`` names a further code column to carry along, ``position``
+    the column that orders the variables. A single file without one is in the order of its rows; several files need one.
     Columns: pos, standard_name, category, concept, role, source, code_cell, other_code.
     """
-    fields = ["standard_name", "category", "concept", "role", *sources, *([other] if other else [])]
+    fields = ["standard_name", "category", "concept", "role", *sources, *(c for c in (other, position) if c)]
     if fmt == "csv":
         wide = read_any(spark, path, "csv", quote='"', escape='"', multiLine=True)
     else:
@@ -110,22 +111,17 @@ def load_dictionary(
     lacking = [c for c in fields if c not in wide.columns]
     if lacking:
         raise ValueError(f"dictionary file lacks columns {lacking}")
-    rows, small = pin_small(wide.select(*[F.col(f"`{c}`").cast("string") for c in fields]))
-    if not small:
-        raise ValueError("the dictionary has more rows than one survey family can have")
-    ordered = rows.collect()
-    schema = (
-        "pos int, standard_name string, category string, concept string, role string, "
-        "source string, code_cell string, other_code string"
-    )
-    return spark.createDataFrame(
-        [
-            (i, r["standard_name"], r["category"], r["concept"], r["role"], s, r[s], r[other] if other else None)
-            for i, r in enumerate(ordered, 1)
-            for s in sources
-        ],
-        schema,
-    )
+    if not position and len(wide.inputFiles()) > 1:
+        raise ValueError("a dictionary of several files needs a column of positions")
+    place = F.col(f"`{position}`") if position else F.monotonically_increasing_id() + 1
+    cells = [F.struct(F.lit(s).alias("source"), F.col(f"`{s}`").cast("string").alias("code_cell")) for s in sources]
+    # numbered before a row becomes one row per source
+    return wide.withColumn("__pos", place).select(
+        F.col("__pos").cast("int").alias("pos"),
+        *[F.col(c).cast("string").alias(c) for c in ("standard_name", "category", "concept", "role")],
+        (F.col(f"`{other}`") if other else F.lit(None)).cast("string").alias("other_code"),
+        F.inline(F.array(*cells)),
+    ).select("pos", "standard_name", "category", "concept", "role", "source", "code_cell", "other_code")
 
 
 def load_lms(spark: SparkSession, files: Mapping[tuple[str, int], str]) -> DataFrame:

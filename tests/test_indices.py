@@ -104,8 +104,7 @@ def test_plan_is_broadcast_hash_joins(spark, lms):
     assert "Exchange hashpartitioning" not in plan
 
 
-def test_large_reference_joins_by_shuffle(spark, lms, monkeypatch):
-    monkeypatch.setattr(I, "pin_small", lambda df, *a: (df, False))
+def test_large_reference_joins_by_shuffle(spark, lms):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.range(60).selectExpr("50D + id AS height_child_cm", "10D AS weight_child_kg", "double(id) AS age_child_months", "1D + id % 2 AS sex_child")
@@ -114,5 +113,4 @@ def test_large_reference_joins_by_shuffle(spark, lms, monkeypatch):
         by_shuffle = sorted(map(str, out.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    monkeypatch.undo()
     assert by_shuffle == sorted(map(str, I.growth_indices(df, lms, Measures()).collect()))

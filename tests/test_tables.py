@@ -151,10 +151,9 @@ def test_written_table_has_a_folder_per_cell(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 2
 
 
-def test_small_tables_are_checked(spark):
+def test_small_tables_join(spark):
     df = spark.range(50)
-    assert session.pin_small(df, 50)[1] is True and session.pin_small(df, 49)[1] is False
-    joined = session.join_small(spark.range(100), df.withColumn("v", F.lit(1)), ["id"], max_rows=10)
+    joined = session.join_small(spark.range(100), df.withColumn("v", F.lit(1)), ["id"])
     assert joined.count() == 100 and joined.where("v = 1").count() == 50
     assert session.spread(spark.range(0, 10, 1, 2)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 10, 1, 64)
