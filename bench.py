@@ -35,6 +35,7 @@ HEADLINE = (
     "availability_of_sources",
     "harmonised_rows",
     "harmonised_imputed",
+    "convergence_of_sources",
 )
 
 

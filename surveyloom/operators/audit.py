@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import normal_text, number_text
 from surveyloom.functions.similarity import label_similarity, two_decimals
-from surveyloom.operators.mapping import match_audit, parse_cell
+from surveyloom.operators.mapping import match_audit, parse_cell, spread_gaps
 
 # Thresholds, statuses and notes of the published audit report.
 SAME = 0.70
@@ -117,9 +117,11 @@ def audit_dictionary(
     labels = catalogue.groupBy("source", F.col("code").alias("found")).agg(
         F.max_by(F.coalesce("label", F.lit("")), "pos").alias("label")
     )
-    rows = rows.join(labels, ["source", "found"], "left")
+    # rows without a column have no label: they are spread instead of meeting in one task
+    rows = rows.withColumn("__slot", spread_gaps(F.col("found")))
+    rows = rows.join(labels.withColumn("__slot", F.lit(0)), ["source", "found", "__slot"], "left")
     shown = first_labels(value_labels, SHOWN_LABELS).withColumnRenamed("code", "found")
-    rows = rows.join(shown, ["source", "found"], "left")
+    rows = rows.join(shown.withColumn("__slot", F.lit(0)), ["source", "found", "__slot"], "left")
     notes = expectation_notes(expectations, rows, value_labels)
     rows = rows.join(notes, ["source", "standard_name"], "left")
     rows = rows.withColumn(

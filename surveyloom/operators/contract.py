@@ -22,7 +22,10 @@ OTHER_DOMAIN = (1, 2, 3, 4, 5, 6)
 
 @dataclass
 class Contract:
-    """What a table of the same schema must look like. Metadata-sized."""
+    """What a table of the same schema must look like. Metadata-sized.
+
+    Fixed values: the names of the fields are those of the published contract file.
+    """
 
     columns: list[str]
     dtype: dict[str, str]

@@ -6,7 +6,7 @@ number of partitions and any of them can be made again after a loss.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +23,42 @@ WEIGHT_SIGMA = 0.4
 WEIGHT_BOUNDS = (0.05, 12.0)
 UNKNOWN_LABEL_SHARE = 0.15
 
+#: Buckets of row numbers in which a row looks for its cell.
+BUCKETS = 4096
 
-def cell_quotas(contract: Contract, n: int) -> list[tuple[str, str, int]]:
-    """(source, cohort, rows) in proportion to the contract's cell counts."""
+
+def cell_quotas(
+    contract: Contract, n: int, shares: Mapping[tuple[str, str], float] | None = None
+) -> list[tuple[str, str, int]]:
+    """(source, cohort, rows) in proportion to the contract's cell counts.
+
+    If these give no row, by ``shares`` of source and cohort, or evenly without them.
+    """
     total = sum(contract.cell_counts.values()) or 1
-    return [(*key.split("|"), round(n * count / total)) for key, count in contract.cell_counts.items()]
+    out = [(*key.split("|"), round(n * count / total)) for key, count in contract.cell_counts.items()]
+    if not any(q for *_, q in out):
+        cells = [(s, k) for s in contract.source_vals for k in contract.kohort_vals]
+        out = [(s, k, round(n * (shares[s, k] if shares else 1 / len(cells)))) for s, k in cells]
+    return out
+
+
+def quota_table(spark: SparkSession, contract: Contract, quotas: Sequence[tuple[str, str, int]], absent: Sequence[str]) -> DataFrame:
+    """Cells by the row numbers they take, cut at bucket bounds so that a row number finds its cell by equality.
+
+    At most ``BUCKETS`` rows more than there are cells.
+    """
+    rows, end = [], 0
+    width = max(1, -(-sum(q for *_, q in quotas) // BUCKETS))
+    gone = {c: {tuple(cell) for cell in contract.struct_absent.get(c, [])} for c in absent}
+    for s, k, quota in quotas:
+        share = float(contract.prevalensi.get(k, UNKNOWN_LABEL_SHARE))
+        base = (contract.source_vals.index(s) + 1) * HOUSEHOLD_BASE
+        facts = (s, k, share, base, max(1, int(quota / PER_HOUSEHOLD)), [(s, k) in gone[c] for c in absent])
+        for b in range(end // width, -(-(end + quota) // width)):
+            rows.append((b, end, end + quota, *facts))
+        end += quota
+    kinds = "__bucket long, __lo long, __hi long, __s string, __k string, __share double, __base long, __size long, __gone array<boolean>"
+    return spark.createDataFrame(rows, kinds)
 
 
 def clipped_normal(key: Column, name: str, seed: int, shapes: Mapping[str, tuple]) -> Column:
@@ -51,22 +82,17 @@ def synthetic_table(
     cohort: str = "kohort",
     household: str = "id_ruta",
     weight: str = "svy_weight",
+    shares: Mapping[tuple[str, str], float] | None = None,
 ) -> DataFrame:
     """A table of about ``n`` rows with the contract's columns, types, cells and absences."""
-    quotas = cell_quotas(contract, n)
+    quotas = cell_quotas(contract, n, shares)
     rows = sum(q for *_, q in quotas)
-    key = F.col("id")
-    ends, end = [], 0
-    for s, k, quota in quotas:
-        end += quota
-        ends.append((end, s, k, quota))
-
-    def by_cell(pick) -> Column:
-        case = None
-        for upto, s, k, quota in ends:
-            value = pick(s, k, quota)
-            case = F.when(key < upto, value) if case is None else case.when(key < upto, value)
-        return case if case is not None else F.lit(None)
+    absent = [c for c in contract.columns if contract.struct_absent.get(c)]
+    key, width = F.col("id"), max(1, -(-rows // BUCKETS))
+    cells = quota_table(spark, contract, quotas, absent)
+    numbered = spark.range(rows).withColumn("__bucket", F.floor(key / F.lit(width)))
+    # the table has a bounded number of rows beyond the cells of the contract
+    joined = numbered.join(F.broadcast(cells), "__bucket").where((key >= F.col("__lo")) & (key < F.col("__hi")))
 
     def index(name: str, size: Column) -> Column:
         return F.floor(hash_uniform(key, name, seed) * size)
@@ -75,8 +101,7 @@ def synthetic_table(
         u = hash_uniform(key, name, seed)
         domain = contract.domains.get(name)
         if name == label:
-            share = by_cell(lambda s, k, q: F.lit(float(contract.prevalensi.get(k, UNKNOWN_LABEL_SHARE))))
-            return (u < share).cast("double")
+            return (u < F.col("__share")).cast("double")
         if domain:
             codes = F.lit([float(v) for v in domain]).cast("array<double>")
             return codes[index(name, F.lit(len(domain))).cast("int")]
@@ -86,28 +111,24 @@ def synthetic_table(
             drawn = F.exp(F.lit(WEIGHT_SIGMA) * hash_normal(key, name, seed))
             return F.least(F.greatest(drawn, F.lit(WEIGHT_BOUNDS[0])), F.lit(WEIGHT_BOUNDS[1]))
         if name == household:
-            base = by_cell(lambda s, k, q: F.lit((contract.source_vals.index(s) + 1) * HOUSEHOLD_BASE))
-            size = by_cell(lambda s, k, q: F.lit(max(1, int(q / PER_HOUSEHOLD))))
-            return (base + index(name, size)).cast("double")
+            return (F.col("__base") + index(name, F.col("__size"))).cast("double")
         if name in DESIGN_CODES:
             return (F.lit(1) + index(name, F.lit(DESIGN_CODES[name] - 1))).cast("double")
         return index(name, F.lit(2)).cast("double")
 
     def column(name: str) -> Column:
         if name == source:
-            return by_cell(lambda s, k, q: F.lit(s))
+            return F.col("__s")
         if name == cohort:
-            return by_cell(lambda s, k, q: F.lit(k))
+            return F.col("__k")
         if name in contract.allnan:
             return F.lit(None).cast("double")
-        absent = [tuple(cell) for cell in contract.struct_absent.get(name, [])]
-        if not absent:
+        if name not in absent:
             return value(name)
-        here = by_cell(lambda s, k, q: F.lit((s, k) not in absent))
-        return F.when(here, value(name))
+        return F.when(~F.col("__gone")[absent.index(name)], value(name))
 
     base = [c for c in contract.columns if not c.endswith("_missing")]
-    made = spark.range(rows).select(*[column(c).alias(c) for c in base])
+    made = joined.select(*[column(c).alias(c) for c in base])
     flagged = add_missing_flags(made, [c for c in contract.columns if c.endswith("_missing")])
     return cast_to_contract(flagged, contract)
 

@@ -9,7 +9,9 @@ from surveyloom.functions import similarity
 from surveyloom.functions.columns import normal_text as normal_text_expr
 from surveyloom.operators import audit as ops
 from surveyloom.operators.mapping import parse_cell
-from surveyloom.queries.base import CATALOGUE_SQL, DICTIONARY_SQL, catalogue, derive, dictionary, load, select
+from surveyloom.queries.base import (
+    CATALOGUE_SQL, DICTIONARY, DICTIONARY_SQL, LABEL, catalogue, derive, dictionary, load, select,
+)
 from surveyloom.session import spread
 from surveyloom.queries.mapping import _CLEAN, _MAIN, _SQUEEZE, _STATUS
 
@@ -29,6 +31,21 @@ EXPECTED = {
     "value": "CAST(p_partkey + p_size % 2 AS DOUBLE)",
     "keyword": "CASE p_partkey % 2 WHEN 0 THEN 'ya' ELSE 'tidak' END",
 }
+#: The dictionary and columns of the audit: derived cells with all, some and no components, and labels that
+#: have the words of the concept and one more, whose characters are far apart.
+_PART = "CAST(p_partkey AS STRING)"
+AUDIT_CELL = (
+    f"CASE WHEN p_partkey % 10 = 4 AND p_size % 3 = 1 THEN 'DERIVASI' WHEN p_partkey % 10 = 4 AND p_size % 3 = 2 "
+    f"THEN 'DERIVASI p' || {_PART} || '_a+P' || {_PART} || '_A' ELSE code_cell END"
+)
+FILLER = "q" * 40
+AUDIT_LABEL = (
+    "CASE WHEN p_partkey % 10 = 2 THEN '' WHEN p_size % 3 = 0 THEN p_name WHEN p_size % 3 = 1 THEN '' "
+    f"WHEN p_size % 2 = 0 THEN split_part(p_name, ' ', 2) || ' {FILLER} ' || split_part(p_name, ' ', 1) END"
+)
+AUDIT_DICTIONARY = {**DICTIONARY, "code_cell": AUDIT_CELL.replace("code_cell", f"({DICTIONARY['code_cell']})")}
+AUDIT_DICTIONARY_SQL = select(AUDIT_DICTIONARY, "part")
+AUDIT_CATALOGUE_SQL = CATALOGUE_SQL.replace(LABEL, AUDIT_LABEL)
 REPORT = {
     "sumber": "o_orderstatus",
     "kategori": "o_orderpriority",
@@ -83,9 +100,10 @@ def label_expectations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit_report(spark: SparkSession, sf: str) -> DataFrame:
-    """All eight statuses. Labels equal the concept or are empty, so likeness is 1 or 0."""
+    """All eight statuses. Labels equal the concept, are empty, or share two words of three."""
     expected = derive(load(spark, sf, "part"), {**EXPECTED, "standard_name": "'asset_' || CAST(p_partkey AS STRING)"})
-    return ops.audit_dictionary(dictionary(spark, sf), catalogue(spark, sf), _labels(spark, sf), expected).drop("kode_eppgbm")
+    rows = derive(load(spark, sf, "part"), AUDIT_DICTIONARY)
+    return ops.audit_dictionary(rows, catalogue(spark, sf, AUDIT_LABEL), _labels(spark, sf), expected).drop("kode_eppgbm")
 
 
 def pii_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,6 +180,7 @@ _BASE = f"""d AS (SELECT *, {_STATUS} AS status, CASE WHEN {_STATUS} = 'tersedia
  hits AS ({_looked_up('parts', 'r.component', 'r.*')}),
  comp AS (SELECT source, pos, coalesce(string_agg(CASE WHEN found IS NOT NULL THEN found END, ', ' ORDER BY place), '') AS present,
    coalesce(string_agg(CASE WHEN found IS NULL THEN component END, ', ' ORDER BY place), '') AS lost FROM hits GROUP BY 1, 2)"""
+_AUDIT_BASE = _BASE.replace(DICTIONARY_SQL, AUDIT_DICTIONARY_SQL).replace(CATALOGUE_SQL, AUDIT_CATALOGUE_SQL)
 _EXPECTED_REPORT = select({**EXPECTED, "standard_name": "'asset_' || CAST(p_partkey AS STRING)"}, "part")
 
 SQL = {
@@ -174,25 +193,26 @@ SQL = {
     "derived_components": f"WITH {_BASE} SELECT source, pos, present, lost FROM comp",
     "label_expectations": "WITH f AS (SELECT DISTINCT source, standard_name, 'P' || substr(standard_name, 2) AS found FROM (" + select(EXPECTED, "part") + ")) "
     + _NOTES.format(words=_normal("text"), expected=select(EXPECTED, "part"), found="f", labels=select(LABELS, "part")),
-    "audit_report": f"""WITH {_BASE},
+    "audit_report": f"""WITH {_AUDIT_BASE},
  f AS ({_looked_up('d', 'r.main_code', 'r.*')}),
  notes AS ({_NOTES.format(words=_normal('text'), expected=_EXPECTED_REPORT, found='f', labels=select(LABELS, 'part'))}),
  shown AS ({_SHOWN.format(most=6)}),
  j AS (SELECT f.*, comp.present, comp.lost, coalesce(c.label, '') AS label, coalesce(shown.value_labels, '') AS vl,
-   coalesce(notes.note, '') AS note, CASE WHEN f.found IS NOT NULL THEN CASE WHEN coalesce(c.label, '') = concept THEN 1 ELSE 0 END END AS sim
+   coalesce(notes.note, '') AS note, CASE WHEN f.found IS NOT NULL THEN CASE WHEN coalesce(c.label, '') = concept THEN 1 WHEN contains(c.label, 'qqq') THEN 0.67 ELSE 0 END END AS sim,
+   status = 'derivasi' AND comp.pos IS NULL AS bare
    FROM f LEFT JOIN comp ON comp.source = f.source AND comp.pos = f.pos
    LEFT JOIN (SELECT source, code, arg_max(coalesce(label, ''), pos) AS label FROM c GROUP BY 1, 2) c
      ON c.source = f.source AND c.code = f.found
    LEFT JOIN shown ON shown.source = f.source AND shown.code = f.found
    LEFT JOIN notes ON notes.source = f.source AND notes.standard_name = f.standard_name)
  SELECT source AS sumber, pos AS no, category AS kategori, standard_name AS nama_standar, concept AS konsep, role AS peran,
- code_cell AS kode_kamus, CASE WHEN status = 'derivasi' THEN present ELSE coalesce(found, '') END AS kode_ditemukan, label AS label_aktual,
- CASE sim WHEN 1 THEN '1.00' WHEN 0 THEN '0.00' ELSE '' END AS kemiripan_label, vl AS value_label_aktual,
+ code_cell AS kode_kamus, CASE WHEN status = 'derivasi' THEN coalesce(present, '') ELSE coalesce(found, '') END AS kode_ditemukan, label AS label_aktual,
+ CASE sim WHEN 1 THEN '1.00' WHEN 0 THEN '0.00' WHEN 0.67 THEN '0.67' ELSE '' END AS kemiripan_label, vl AS value_label_aktual,
  CASE WHEN status = 'tidak_tersedia' THEN 'TIDAK TERSEDIA (sesuai kamus)'
-  WHEN status = 'derivasi' AND lost = '' THEN 'DERIVASI - semua komponen OK' WHEN status = 'derivasi' THEN 'DERIVASI - komponen HILANG'
-  WHEN found IS NULL THEN 'TIDAK DITEMUKAN' WHEN sim = 1 THEN 'COCOK' ELSE 'PERLU TINJAU (label beda)' END AS status,
+  WHEN bare THEN 'DERIVASI (tanpa komponen kode)' WHEN status = 'derivasi' AND lost = '' THEN 'DERIVASI - semua komponen OK' WHEN status = 'derivasi' THEN 'DERIVASI - komponen HILANG'
+  WHEN found IS NULL THEN 'TIDAK DITEMUKAN' WHEN sim = 1 THEN 'COCOK' WHEN sim > 0 THEN 'COCOK (label agak beda)' ELSE 'PERLU TINJAU (label beda)' END AS status,
  CASE WHEN status = 'tidak_tersedia' THEN 'Tangani dengan missing_indicator_flag jika di-merge'
-  WHEN status = 'derivasi' AND lost = '' THEN '' WHEN status = 'derivasi' THEN 'Hilang: ' || lost
+  WHEN bare THEN 'Dibuat di pipeline; tidak ada kode sumber langsung' WHEN status = 'derivasi' AND lost = '' THEN '' WHEN status = 'derivasi' THEN 'Hilang: ' || lost
   WHEN found IS NULL THEN 'Kode ''' || main_code || ''' tidak ada di file. Cek codebook.'
   ELSE note || CASE WHEN star THEN '[Kode bertanda *: konfirmasi codebook] ' ELSE '' END
    || CASE WHEN sim = 0 THEN 'Verifikasi manual: konsep vs label aktual' ELSE '' END END AS keterangan

@@ -111,14 +111,14 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return derive(load(spark, sf, "part"), DICTIONARY)
 
 
-def catalogue(spark: SparkSession, sf: str) -> DataFrame:
+def catalogue(spark: SparkSession, sf: str, label: str = LABEL) -> DataFrame:
     rows = derive(
         load(spark, sf, "part"),
         {
             "source": "p_brand",
             "p_partkey": "p_partkey",
             "codes": _CODES,
-            "label": LABEL,
+            "label": label,
         },
     )
     return rows.select("source", "p_partkey", "label", F.posexplode("codes").alias("i", "code")).select(

@@ -77,6 +77,54 @@ def synthetic_cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def synthetic_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean, spread and label share of every cell of the synthetic table, as the contract has them."""
+    mean, sd, lo, hi = SHAPES["height_child_cm"]
+    share = F.avg(F.col(LABEL).cast("double"))
+    expected = _table(spark, sf).where("kohort IS NOT NULL").groupBy("kohort").agg(F.avg(F.col(LABEL).cast("double")).alias("p"))
+    made = synthetic_table(spark, sf).groupBy(*BY).agg(
+        F.count("*").alias("n"), F.avg("height_child_cm").alias("mean"), F.stddev("height_child_cm").alias("sd"), share.alias("share"),
+        F.min("height_child_cm").alias("lo"), F.max("height_child_cm").alias("hi"),
+    )
+    error = F.lit(5.0) / F.sqrt("n")
+    return made.join(expected, "kohort").select(
+        *BY, "n", (F.abs(F.col("mean") - mean) < sd * error).alias("mean_ok"), (F.abs(F.col("sd") - sd) < sd * error + 0.3).alias("sd_ok"),
+        ((F.col("lo") >= lo) & (F.col("hi") <= hi)).alias("bounds_ok"), (F.abs(F.col("share") - F.col("p")) < error).alias("share_ok"),
+    )
+
+
+def _schema_contract(spark: SparkSession, sf: str):
+    matrix = availability_matrix(spark, sf)
+    encoding = Encoding({**ENCODING.groups, "meta": tuple(BY)})
+    return ops.contract_from_schema(
+        encoding, matrix, ["A", "N", "R"], ["baduta", "balita_tua"], LABEL, {"A": 0.5, "N": 0.3, "R": 0.2}, 0.4, {"baduta": 0.2}
+    )
+
+
+def contract_of_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Contract without data: columns, types, domains and absent cells, and the cell counts."""
+    contract = _schema_contract(spark, sf)
+    rows = [
+        (c, contract.dtype[c], ",".join(map(str, contract.domains.get(c, []))), ",".join(sorted("|".join(x) for x in contract.struct_absent[c])))
+        for c in contract.columns
+    ]
+    rows += [(cell, "rows", str(n), "") for cell, n in contract.cell_counts.items()]
+    return spark.createDataFrame(rows, "name string, kind string, domain string, absent string")
+
+
+def synthetic_without_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A contract without cell counts: rows by the shares of source and cohort."""
+    contract = _schema_contract(spark, sf)
+    contract.cell_counts = {}
+    n = load(spark, sf, "orders").count()
+    shares = {(s, k): p * q for s, p in (("A", 0.5), ("N", 0.3), ("R", 0.2)) for k, q in (("baduta", 0.4), ("balita_tua", 0.6))}
+    made = synthetic.synthetic_table(spark, contract, n, 7, LABEL, frozenset(SHAPES), SHAPES, *BY, shares=shares)
+    drawn = load(spark, sf, "orders").agg(F.count("*").alias("orders"))
+    return made.groupBy(*BY).agg(F.count("*").alias("n"), F.count_if(~F.col("edu_mother").between(1, 5)).alias("strange")).crossJoin(
+        F.broadcast(drawn)
+    ).select(*BY, "n", "strange", "orders")
+
+
 def missing_flags(spark: SparkSession, sf: str) -> DataFrame:
     rows = survey(spark, sf).select("source_flag", "asset_a", "food_1")
     return synthetic.add_missing_flags(rows, ["asset_a_missing", "food_1_missing", "gone_missing"])
@@ -95,7 +143,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         contract_profile, value_domains, value_domains_whole, absent_cells, contract_conformance, synthetic_table,
-        synthetic_cells, missing_flags, cast_to_contract,
+        synthetic_cells, synthetic_moments, contract_of_schema, synthetic_without_counts, missing_flags, cast_to_contract,
     )
 }
 
@@ -145,6 +193,19 @@ SQL = {
     "synthetic_cells": f"""WITH t AS ({TABLE_SQL})
  SELECT source_flag, kohort, count(*) AS n, count(food_2) = 0 AS food_2_absent, true AS age_lo, true AS age_hi,
  CAST(0 AS BIGINT) AS strange_area, CAST(0 AS BIGINT) AS strange_flag FROM t WHERE kohort IS NOT NULL GROUP BY 1, 2""",
+    "synthetic_moments": f"""WITH t AS ({TABLE_SQL}) SELECT source_flag, kohort, count(*) AS n, true AS mean_ok, true AS sd_ok,
+ true AS bounds_ok, true AS share_ok FROM t WHERE kohort IS NOT NULL GROUP BY 1, 2""",
+    "contract_of_schema": f"""{_MATRIX}, long AS (""" + " UNION ALL ".join(
+        f"SELECT variabel, '{c.replace('_', '|', 1)}' AS cell, \"{c}\" AS share FROM matrix" for c in CELLS
+    ) + """), gone AS (SELECT variabel, string_agg(cell, ',' ORDER BY cell) AS cells FROM long WHERE share <= 0.02 GROUP BY 1),
+ c(name, kind, domain) AS (VALUES ('area_type', 'tinyint', '0,1'), ('food_1', 'tinyint', '0,1'), ('food_2', 'tinyint', '0,1'),
+   ('stunting_binary', 'tinyint', ''), ('edu_mother', 'double', '1,2,3,4,5'), ('water_source', 'double', '1,2,3,4,5,6'), ('source_flag', 'string', ''), ('kohort', 'string', ''))
+ SELECT name, kind, domain, coalesce(cells, '') AS absent FROM c LEFT JOIN gone ON variabel = name
+ UNION ALL SELECT s || '|' || k, 'rows', CAST(CAST(round_even(1000 * p * q, 0) AS INT) AS VARCHAR), '' FROM
+   (VALUES ('A', 0.5e0), ('N', 0.3e0), ('R', 0.2e0)) AS a(s, p), (VALUES ('baduta', 0.4e0), ('balita_tua', 0.6e0)) AS b(k, q)""",
+    "synthetic_without_counts": """WITH n AS (SELECT count(*) AS orders FROM orders)
+ SELECT s AS source_flag, k AS kohort, CAST(round_even(orders * p * q, 0) AS BIGINT) AS n, CAST(0 AS BIGINT) AS strange, orders FROM n,
+   (VALUES ('A', 0.5e0), ('N', 0.3e0), ('R', 0.2e0)) AS a(s, p), (VALUES ('baduta', 0.4e0), ('balita_tua', 0.6e0)) AS b(k, q)""",
     "missing_flags": f"""SELECT source_flag, asset_a, food_1, (asset_a IS NULL)::DOUBLE AS asset_a_missing,
  (food_1 IS NULL)::DOUBLE AS food_1_missing, 0::DOUBLE AS gone_missing FROM ({SURVEY_SQL})""",
     "cast_to_contract": f"""SELECT CAST(water_source AS INT) AS water_source, CAST(food_1 AS TINYINT) AS food_1,

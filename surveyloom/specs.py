@@ -43,7 +43,7 @@ class Encoding:
 
 @dataclass(frozen=True)
 class CohortRule:
-    """Two cohorts cut at an age; a null age has no cohort."""
+    """Two cohorts cut at an age; a null age has no cohort. The defaults."""
 
     age: str = "age_child_months"
     cut: float = 24.0
@@ -70,7 +70,7 @@ class Recodes:
 
 @dataclass(frozen=True)
 class Measures:
-    """Columns and cut-offs of the growth indices."""
+    """Columns and cut-offs of the growth indices. The defaults."""
 
     height: str = "height_child_cm"
     weight: str = "weight_child_kg"
@@ -92,7 +92,7 @@ class Measures:
 
 @dataclass(frozen=True)
 class Composites:
-    """Inputs of the row-wise composites, by dictionary name prefix."""
+    """Inputs of the row-wise composites, by dictionary name prefix. The defaults."""
 
     asset_prefix: str = "asset_"
     visit_prefix: str = "anc_freq_"
@@ -112,7 +112,7 @@ class Composites:
 
 @dataclass(frozen=True)
 class ImputeRule:
-    """What is imputed per cell, and how."""
+    """What is imputed per cell, and how. The defaults, but for the last four."""
 
     cell: tuple[str, str] = ("source_flag", "kohort")
     exclude: frozenset[str] = frozenset()

@@ -9,17 +9,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from surveyloom.operators import cleaning, indices, mapping
+from surveyloom.functions.columns import rewrite
+from surveyloom.operators import indices, mapping
+from surveyloom.plans.harmonise import encode_rows, prepare_rows
 from surveyloom.specs import Profile
 
 
-def harmonise_stream(stream: DataFrame, source: str, renames: Mapping[str, str], lms: DataFrame, profile: Profile) -> DataFrame:
-    """Rename, clean, assign cohorts, score, recode and encode arriving rows."""
-    df = mapping.apply_rename(stream, renames)
-    df = cleaning.null_outside(df, profile.ranges)
-    df = cleaning.assign_cohort(df, profile.cohort)
-    df = cleaning.swap_codes(df, profile.recodes, source)
-    df = indices.growth_indices(df, lms, profile.measures)
-    df = mapping.allow_list(df, {*renames.values(), *profile.computed})
-    df = cleaning.recode(df, profile.recodes, source)
-    return cleaning.encode(df, profile.encoding, profile.recodes, source, profile.special_codes)
+def harmonise_stream(
+    stream: DataFrame, source: str, renames: Mapping[str, str], lms: DataFrame, profile: Profile, mode: str = "parity"
+) -> DataFrame:
+    """Rename, clean, assign cohorts, composites, recode, encode and score arriving rows, as the batch does."""
+    names = list(renames.values())
+    df = prepare_rows(mapping.apply_rename(stream, renames), source, names, profile, mode)
+    df = encode_rows(rewrite(df, indices.growth_inputs(df, profile.measures)), source, names, profile, mode)
+    return indices.score_growth(df, lms, profile.measures)
