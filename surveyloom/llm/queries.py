@@ -76,4 +76,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeated_passages": op10_repeated_passages,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The others have no SQL form, or none that ends in time: see the tests.
+SQL: dict[str, str] = {
+    "op1_near_duplicates": f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), {_WORDS}) AS w FROM documents),
+ s AS (SELECT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+   ELSE w END) AS g FROM d),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+ common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+ link AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+ two AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+ reach(doc_id, other) AS (SELECT x, x FROM two UNION SELECT reach.doc_id, two.y FROM reach JOIN two ON two.x = reach.other),
+ part AS (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1)
+ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept
+ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN part USING (doc_id)""",
+    "op7_top_scores": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM p)
+ SELECT * FROM r WHERE rank <= 20""",
+    "op10_repeated_passages": f"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents),
+ x AS (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 19, 0))) AS s FROM d),
+ g AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 20], ' ') AS k FROM x),
+ l AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS place FROM g),
+ gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM l WHERE place > 1),
+ t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+ k AS (SELECT t.doc_id, count(*) AS n_words, count(gone.i) AS n_removed,
+   string_agg(CASE WHEN gone.i IS NULL THEN word END, ' ' ORDER BY t.i) AS kept
+   FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY 1)
+ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+ FROM d LEFT JOIN k USING (doc_id)""",
+}
