@@ -8,6 +8,7 @@ rows; every whole text is scored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,16 +24,21 @@ from surveyloom.llm.words import LOWER, NOT_LETTERS, U64, mix, split_words
 
 @dataclass(frozen=True)
 class ToxicRule:
-    """``sample`` is the most labelled rows the model is fitted on; the other numbers shape the model."""
+    """``sample`` is the most labelled rows the model is fitted on; terms in fewer than ``least`` of them say nothing.
+
+    A small sample is gone through until ``steps`` batches are done. ``prefixes`` are the lengths, in bytes, of the beginnings of words that are terms too.
+    """
 
     sample: int = 16_000
     bits: int = 18
     factors: int = 6
-    epochs: int = 6
+    epochs: int = 4
+    steps: int = 400
     batch: int = 128
     rate: float = 0.1
-    decay: float = 1e-4
-    prefix: int = 5
+    decay: float = 20.0
+    prefixes: tuple[int, ...] = (4, 6)
+    least: int = 5
     seed: int = 7
 
 
@@ -64,29 +70,39 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 def terms_of(column: pa.Array, rule: ToxicRule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct hashed terms of texts: ``(terms, first)`` for chunks of whole texts in order."""
     shift = U64(64 - rule.bits)
-    mask = U64((1 << (8 * rule.prefix)) - 1)
     for words in split_words(column, NOT_LETTERS, LOWER):
         own = words.hashes() >> shift
         eights = np.ndarray((len(words.data) - 7,), "<u8", words.data, 0, (1,))
-        longer = np.flatnonzero(words.ends - words.starts > rule.prefix)
-        begin = mix((eights[words.starts[longer]] & mask) + U64(rule.prefix)) >> shift
-        row = words.row_of().astype(U64)
-        keys = np.concatenate([row, row[longer]]) << U64(rule.bits) | np.concatenate([own, begin])
-        keys = np.unique(keys)
+        row = words.row_of().astype(U64) << U64(rule.bits)
+        keys = [row | own]
+        for size in rule.prefixes:
+            longer = np.flatnonzero(words.ends - words.starts > size)
+            begin = eights[words.starts[longer]] & U64((1 << (8 * size)) - 1)
+            keys.append(row[longer] | mix(begin + U64(size)) >> shift)
+        keys = np.unique(np.concatenate(keys))
         first = np.searchsorted(keys, np.arange(words.high - words.low + 1, dtype=U64) << U64(rule.bits))
         yield (keys & U64((1 << rule.bits) - 1)).astype(np.int64), first
 
 
 def fit(labels: np.ndarray, terms: list[np.ndarray], rule: ToxicRule) -> Machine:
-    """Log loss, AdaGrad steps over small batches in an order the seed fixes."""
+    """Log loss, AdaGrad steps over small batches in an order the seed fixes.
+
+    ``decay`` times half the square of every parameter is added to the loss of an epoch, in equal parts
+    over the rows that have its term: so a term needs many rows of one label to gain a weight.
+    """
     random = np.random.default_rng(rule.seed)
     size = 1 << rule.bits
+    often = np.zeros(size, dtype=np.int64)
+    for own in terms:
+        often[own] += 1
+    terms = [own[often[own] >= rule.least] for own in terms]
     share = (labels.sum() + 1) / (len(labels) + 20)
     machine = Machine(
         float(np.log(share / (1 - share))), np.zeros(size), random.normal(0, 0.05, (size, rule.factors))
     )
     past_w, past_v = np.full(size, 1e-2), np.full((size, rule.factors), 1e-2)
-    for _ in range(rule.epochs if len(labels) else 0):
+    rounds = max(rule.epochs, -(-rule.steps * rule.batch // max(1, len(labels))))
+    for _ in range(rounds if len(labels) else 0):
         order = random.permutation(len(labels))
         for at in range(0, len(order), rule.batch):
             part = order[at : at + rule.batch]
@@ -103,19 +119,42 @@ def fit(labels: np.ndarray, terms: list[np.ndarray], rule: ToxicRule) -> Machine
             miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[part]
             row = np.repeat(np.arange(len(part)), np.diff(first))
             used, where = np.unique(flat, return_inverse=True)
-            step_w = np.bincount(where, miss[row]) + rule.decay * machine.weights[used]
+            part_of_loss = rule.decay * np.bincount(where) / often[used]
+            step_w = np.bincount(where, miss[row]) + part_of_loss * machine.weights[used]
             each = (miss / n)[row, None] * (sums[row] - v)
             step_v = np.stack([np.bincount(where, each[:, k]) for k in range(rule.factors)], axis=1)
-            step_v += rule.decay * machine.vectors[used]
+            step_v += part_of_loss[:, None] * machine.vectors[used]
             past_w[used] += step_w**2
             past_v[used] += step_v**2
             machine.weights[used] -= rule.rate * step_w / np.sqrt(past_w[used])
             machine.vectors[used] -= rule.rate * step_v / np.sqrt(past_v[used])
             machine.bias -= 0.01 * miss.mean()
+    machine.vectors[often < rule.least] = 0
     machine.weights, machine.vectors = machine.weights.astype(np.float32), machine.vectors.astype(np.float32)
     return machine
 
 
+def fit_level(labels: np.ndarray, terms: list[np.ndarray], rule: ToxicRule) -> Machine:
+    """``fit`` on seven eighths; the last eighth sets the bias, so that 0.5 parts the labels best.
+
+    Of equally good levels the middle one. With fewer than ``least`` rows of a label there, the bias stays.
+    """
+    apart = np.arange(len(labels)) % 8 == 7
+    machine = fit(labels[~apart], [t for t, a in zip(terms, apart, strict=True) if not a], rule)
+    own, label = [t for t, a in zip(terms, apart, strict=True) if a], labels[apart]
+    if min(label.sum(), len(label) - label.sum()) < rule.least:
+        return machine
+    margin = machine.margins(np.concatenate(own), np.concatenate([[0], np.cumsum([len(t) for t in own])]))
+    order = np.argsort(margin, kind="stable")
+    margin, label = margin[order], label[order]
+    # wrong if the level lies below row i: toxic rows before it, and clean ones from it on
+    wrong = np.concatenate([[0], np.cumsum(label)]) + (len(label) - label.sum()) - np.concatenate([[0], np.cumsum(1 - label)])
+    levels = np.concatenate([[margin[0] - 1], (margin[1:] + margin[:-1]) / 2, [margin[-1] + 1]])
+    best = levels[wrong == wrong.min()]
+    machine.bias -= float(best[len(best) // 2])
+    return machine
+
+
 def _terms(rule: ToxicRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,10 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
     marked = marked.orderBy(F.xxhash64("doc_id", F.lit(rule.seed)), "doc_id").limit(rule.sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marked), "doc_id")
     found = texts.select("toxic", "text").mapInArrow(_terms(rule), "toxic int, terms binary").toPandas()
-    # the same order however the rows came
-    found = found.sort_values(["terms", "toxic"], kind="stable").iloc[: rule.sample]
+    # the same order however the rows came, and one that says nothing of their terms
+    found["order"] = [zlib.crc32(t) for t in found["terms"]]
+    found = found.sort_values(["order", "terms", "toxic"], kind="stable").iloc[: rule.sample]
     terms = [np.frombuffer(x, "<i4").astype(np.int64) for x in found["terms"]]
-    return fit(found["toxic"].to_numpy(float), terms, rule)
+    return fit_level(found["toxic"].to_numpy(float), terms, rule)
 
 
 def score(docs: DataFrame, machine: Machine, rule: ToxicRule, carried: F.Column) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from surveyloom.llm.toxicity import ToxicRule, fit, toxicity
 
-RULE = ToxicRule(bits=14)
+RULE = ToxicRule(bits=14, decay=1.0)
 
 
 def corpus(n=900):
@@ -58,7 +58,7 @@ def test_a_pair_can_take_back_what_its_words_say():
     """Toxic with exactly one of two words: no sum of weights ranks that."""
     terms = [np.array(t, dtype=np.int64) for t in ([], [0], [1], [0, 1])] * 100
     label = np.array([0.0, 1.0, 1.0, 0.0] * 100)
-    machine = fit(label, terms, ToxicRule(bits=2, epochs=60))
+    machine = fit(label, terms, ToxicRule(bits=2, decay=0.1))
     first = np.array([0, 0, 1, 2, 4])
     assert (machine.margins(np.array([0, 1, 0, 1]), first) > 0).tolist() == [False, True, True, False]
 
