@@ -183,8 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
     # the same order however the rows came, and one that says nothing of their terms
     found["order"] = [zlib.crc32(t) for t in found["terms"]]
     found = found.sort_values(["order", "terms", "toxic"], kind="stable").iloc[: rule.sample]
-    terms = [np.frombuffer(x, "<i4").astype(np.int64) for x in found["terms"]]
-    return fit_level(found["toxic"].to_numpy(float), terms, rule)
+    terms, labels = [np.frombuffer(x, "<i4") for x in found["terms"]], found["toxic"].to_numpy(float)
+    del found
+    return fit_level(labels, terms, rule)
 
 
 def score(docs: DataFrame, machine: Machine, rule: ToxicRule, carried: F.Column) -> DataFrame:
