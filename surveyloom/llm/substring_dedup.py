@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.llm.filters import either, filter_of
 from surveyloom.llm.store import Scratch
-from surveyloom.llm.words import BLANKS, U64, mix, split_words, windows
+from surveyloom.llm.words import BLANKS, U64, split_words, windows
 
 #: Smallest sets of residues whose differences are all residues, by period.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -57,12 +57,6 @@ def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column(0).to_numpy(), batch.column(1).to_numpy()
 
 
-def _per_row(values: np.ndarray, rows: np.ndarray, n: int) -> list[bytes]:
-    """Values of each row of a batch, as bytes; rows ascend."""
-    cuts = np.searchsorted(rows, np.arange(n + 1))
-    return [values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-
 class _Pack:
     """Hashes with the place of their first occurrence, until there are enough to send."""
 
