@@ -34,6 +34,7 @@ STATIC = {
 }
 
 _local_checkpoints: dict[str, str] = {}
+_folders: dict[str, set[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -70,14 +71,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
+    note_folder(df.sparkSession, path)
     return out
 
 
 def drop_table(df: DataFrame) -> None:
     """Remove a table that ``materialise`` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(df.sparkSession, df.written_to)
+
+
+def note_folder(spark: SparkSession, path: str) -> None:
+    """Remember an intermediate folder for ``release``."""
+    _folders.setdefault(spark.sparkContext.applicationId, set()).add(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _folders.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate folders this application has written and not removed.
+
+    To be called when results are written: frames that operators returned may still read them.
+    """
+    for path in sorted(_folders.get(spark.sparkContext.applicationId, ())):
+        delete_folder(spark, path)
 
 
 def join_small(left: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:

@@ -1,5 +1,7 @@
 """Availability, stacking, reports, contracts, synthetic rows, files, stream."""
 
+import os
+
 import json
 
 import pytest
@@ -151,6 +153,19 @@ def test_written_table_has_a_folder_per_cell(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 2
 
 
+def test_intermediate_folders_are_removed(spark):
+    kept = session.materialise(spark.range(5), "kept")
+    gone = session.materialise(spark.range(5), "gone")
+    session.drop_table(gone)
+    assert os.path.exists(kept.written_to) and not os.path.exists(gone.written_to)
+    mine = {kept.written_to}
+    others = session._folders[spark.sparkContext.applicationId] - mine
+    session._folders[spark.sparkContext.applicationId] = set(mine)
+    session.release(spark)
+    assert not os.path.exists(kept.written_to)
+    session._folders[spark.sparkContext.applicationId] = others
+
+
 def test_small_tables_join(spark):
     df = spark.range(50)
     joined = session.join_small(spark.range(100), df.withColumn("v", F.lit(1)), ["id"])
