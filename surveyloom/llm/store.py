@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyloom.session import checkpoint_root
+from surveyloom.session import checkpoint_root, delete_folder, note_folder
 
 
 #: Rows and bytes of a batch that goes to Python: documents are long, and a task holds several copies of a batch.
@@ -32,6 +32,7 @@ class Scratch:
         small_batches(spark)
         self.spark = spark
         self.root = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+        note_folder(spark, self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -40,12 +41,7 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            self._delete(f"{self.root}/{name}")
+            delete_folder(self.spark, f"{self.root}/{name}")
 
     def close(self) -> None:
-        self._delete(self.root)
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_folder(self.spark, self.root)
