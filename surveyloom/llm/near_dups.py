@@ -268,9 +268,13 @@ def _across(percent: int):
         sides = [block[block["left"]], block[~block["left"]]]
         docs, parts, sizes = ([x[c].to_numpy() for x in sides] for c in ("doc_id", "part", "n"))
         regs = [_matrix(list(x["registers"])) for x in sides]
+        alone = len(block) > 0 and block["own"].iloc[0] == block["other"].iloc[0]
         a, b = [], []
         for i in range(len(docs[0])):
             other = np.flatnonzero(parts[1] != parts[0][i])
+            if alone:
+                # both sides are the same block: take a pair once
+                other = other[docs[1][other] > docs[0][i]]
             equal = regs[1][other] == regs[0][i]
             keep = hopeful(equal.mean(axis=1), sizes[0][i], sizes[1][other], percent)
             in_bands = equal[keep][:, : BANDS * BAND].reshape(-1, BANDS, BAND).all(axis=2)
