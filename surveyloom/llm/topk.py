@@ -185,20 +185,20 @@ def top_scores(vectors: DataFrame, queries: DataFrame, rule: TopRule = TopRule()
 
     shards = packed(vectors, rule.shard, rule.block, "shards")
     chunks = packed(queries, rule.chunk, 0, "chunks")
-    # one row a shard; every chunk of queries meets every shard, by the shard's number
-    names = [r["no"] for r in shards.select("no").orderBy("no").collect()]
-    if not names:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    of = F.array(*[F.lit(n) for n in names])
-    forward = shards.select(
-        F.col("no").alias("shard"), F.col("ids").alias("doc_ids"), F.col("width").alias("doc_width"),
-        F.col("vectors").alias("doc_vectors"),
+    # a number for every shard: every chunk of queries meets every shard, by that number
+    numbers = shards.select("no").withColumn("one", F.lit(1))
+    numbers = numbers.withColumn("shard", F.row_number().over(Window.partitionBy("one").orderBy("no")) - 1).drop("one")
+    forward = shards.join(scratch.keep(numbers, "numbers"), "no").select(
+        F.col("shard"), F.col("ids").alias("doc_ids"), F.col("width").alias("doc_width"), F.col("vectors").alias("doc_vectors")
     )
-    empty = F.lit(None).cast("binary")
-    mine = F.element_at(of, (F.pmod(F.xxhash64("no"), F.lit(len(names))) + 1).cast("int"))
-    first = chunks.withColumn("beat", empty).withColumn("shard", mine).join(forward, "shard")
+    forward, count = scratch.keep(forward, "forward"), shards.count()
+    if not count:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    mine = F.pmod(F.xxhash64("no"), F.lit(count)).cast("int")
+    first = chunks.withColumn("beat", F.lit(None).cast("binary")).withColumn("shard", mine).join(forward, "shard")
     beat = scratch.keep(first.drop("shard").mapInArrow(_search(rule, True), "no long, beat binary"), "beat")
-    pairs = chunks.join(beat, "no").withColumn("shard", F.explode(of)).join(forward, "shard")
+    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    pairs = chunks.join(beat, "no").withColumn("shard", every).join(forward, "shard")
     found = pairs.drop("shard").mapInArrow(_search(rule, False), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rule.k)
