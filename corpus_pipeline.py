@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm.filters import either, filter_of
-from surveyloom.llm.line_dedup import drop_repeated_lines
+from surveyloom.llm.line_dedup import LineRule, drop_repeated_lines
 from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import near_duplicates
 from surveyloom.llm.packing import pack
@@ -29,8 +29,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long lines that repeat an earlier one go from the text; a document that keeps less than a tenth of it goes."""
-    cut = drop_repeated_lines(docs, carried=_row(docs))
+    """Lines that repeat an earlier one go from the text; a document that keeps less than a tenth of it goes."""
+    cut = drop_repeated_lines(docs, LineRule(short=True), _row(docs))
     cut = cut.where((F.col("n_removed") == 0) | (10 * F.char_length("kept_text") >= F.char_length("carried.text")))
     new = {"text": F.when(F.col("n_removed") == 0, F.col("carried.text")).otherwise(F.col("kept_text"))}
     if "n_chars" in docs.columns:

@@ -41,10 +41,14 @@ CHUNK_CHARS = 1 << 18
 
 @dataclass(frozen=True)
 class LineRule:
-    """Lines of ``least`` characters and more are the same within ``edits``; shorter ones are left alone."""
+    """Lines of ``least`` characters and more are the same within ``edits``.
+
+    With ``short``, shorter ones that are not blank are the same if they are equal; without, they are left alone.
+    """
 
     edits: int = 2
     least: int = 40
+    short: bool = False
 
 
 _powers: list[np.ndarray] = []
@@ -155,14 +159,29 @@ def entries(lines: Lines, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray,
                 yield keyed(hit, at[fits], sizes[i][fits], own[fits] - less, i), hit, True
 
 
+def _listed(texts: list[str], rule: LineRule) -> Iterator[Lines]:
+    """Lines that can be in a class: long ones, and with ``short`` all that are not blank."""
+    if not rule.short:
+        yield from long_lines(texts, rule.least)
+        return
+    for lines in long_lines(texts, 1):
+        blank = (lines.chars == 32) | ((lines.chars >= 9) & (lines.chars <= 13))
+        signs = np.append(0, np.cumsum(~blank))
+        size = lines.ends - lines.starts
+        keep = (size >= rule.least) | (signs[lines.ends] > signs[lines.starts])
+        for name in ("starts", "ends", "row", "number"):
+            setattr(lines, name, getattr(lines, name)[keep])
+        yield lines
+
+
 def _list(rule: LineRule):
-    """Ids of the long lines of each text, with their numbers."""
+    """Ids of the listed lines of each text, with their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             n = batch.num_rows
             ids, numbers = [b""] * n, [b""] * n
-            for lines in long_lines(_texts(batch.column(2)), rule.least):
+            for lines in _listed(_texts(batch.column(2)), rule):
                 cut = np.flatnonzero(np.append(True, lines.row[1:] != lines.row[:-1])[: len(lines.row)])
                 own = lines.ids()
                 for a, b in zip(cut, np.append(cut[1:], len(own)), strict=False):
@@ -177,7 +196,7 @@ def _list(rule: LineRule):
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each long line."""
+    """A row for each listed line."""
     for batch in batches:
         ids = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(2)]
         numbers = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(3)]
@@ -398,7 +417,7 @@ LAST = np.iinfo(np.int64).max
 
 
 def line_classes(docs: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame:
-    """Every long line that is not the first of its class.
+    """Every listed line that is not the first of its class.
 
     ``docs`` has ``doc, text_key, text``. Returns ``doc, text_key, line, class_doc, class_line, n_links``:
     the class's first line and how many other distinct lines are within the threshold of this one.
@@ -448,12 +467,12 @@ def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule(), carried: C
 
     ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are left out, but for what ``carried`` takes along.
     Returns ``doc_id, n_lines, n_removed, removed, n_links, kept_text, kept_sha256, carried``, a row per input row.
-    Lines are what ``\\n`` separates. Long lines linked within the threshold, directly or through others, are a class;
-    its line with the smallest ``doc_id`` and place stays. ``removed`` are the numbers (from 0) of the
+    Lines are what ``\\n`` separates. Long lines linked within the threshold, directly or through others, are a class,
+    and with ``rule.short`` equal shorter ones; its line with the smallest ``doc_id`` and place stays. ``removed`` are the numbers (from 0) of the
     lines taken out, ``n_links`` the links these have to other distinct lines.
 
     Defined cases: null and empty texts have one empty line; lines below ``least`` characters stay, however
-    often they occur; rows with one ``doc_id`` are one document, so equal places in them are the same
+    often they occur, unless ``rule.short``, and then blank ones do; rows with one ``doc_id`` are one document, so equal places in them are the same
     line; a null ``doc_id`` counts as the largest long. An empty table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "lines")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.llm.fingerprints import edited_fingerprints
 from surveyloom.llm.licenses import license_scan
-from surveyloom.llm.line_dedup import drop_repeated_lines
+from surveyloom.llm.line_dedup import LineRule, drop_repeated_lines
 from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import NearRule, near_duplicates
 from surveyloom.llm.packing import pack
@@ -56,7 +56,7 @@ def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf, "documents")).drop("kept_text", "carried")
+    return drop_repeated_lines(table(spark, sf, "documents"), LineRule(short=True)).drop("kept_text", "carried")
 
 
 def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:

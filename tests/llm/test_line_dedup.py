@@ -106,3 +106,22 @@ def test_odd_rows(odd, empty, spark):
     # the same place of one document stays; the copy without id comes after it
     assert by == [(1, 0, 1), (1, 0, 1), (2, 0, 1), (2, 0, 1), (7, 0, 1), (99, 0, 1), (99, 1, 1)]
     assert drop_repeated_lines(empty).collect() == []
+
+
+def test_short_lines_that_repeat_go_and_blank_ones_stay(spark):
+    rng, rule = random.Random(10), LineRule(short=True)
+    rows = []
+    for i in range(40):
+        lines = [rng.choice(["menu", "  menu", "é", "own " * 12, "", " \t", f"only {i}"]) for _ in range(12)]
+        rows.append((i, "\n".join(lines), "en", "s", 1, 1, "x", 1))
+    got = {r.doc_id: r for r in drop_repeated_lines(frame(spark, rows), rule).collect()}
+    seen, total = set(), 0
+    for d, text, *_ in rows:
+        gone = []
+        for i, line in enumerate(text.split("\n")):
+            if line.strip() and line in seen:
+                gone.append(i)
+            seen.add(line)
+        assert got[d].removed == gone
+        total += len(gone)
+    assert total > 100
