@@ -1,8 +1,8 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms are a text's distinct words and the beginnings of its longer words. A text scores
-the sum of its terms' weights and, for every pair of terms, the product of their vectors, so a
-pair counts that neither of the two gives away alone. It is fitted on a bounded sample of labelled
+the sum of its terms' weights and, for every pair of terms, the product of their vectors over the root
+of the number of terms, so a pair counts that neither of the two gives away alone. It is fitted on a bounded sample of labelled
 rows; every whole text is scored.
 """
 
@@ -56,7 +56,7 @@ class Machine:
         linear = _sums(self.weights[terms], first)
         own = self.vectors[terms]
         both = _sums(own, first) ** 2 - _sums(own**2, first)
-        return self.bias + linear + 0.5 * both.sum(axis=1) / np.maximum(n, 1)
+        return self.bias + linear + 0.5 * both.sum(axis=1) / np.sqrt(np.maximum(n, 1))
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -111,7 +111,7 @@ def fit(labels: np.ndarray, terms: list[np.ndarray], rule: ToxicRule) -> Machine
             flat = np.concatenate(own)
             if not len(flat):
                 continue
-            n = np.maximum(np.diff(first), 1)
+            n = np.sqrt(np.maximum(np.diff(first), 1))
             v = machine.vectors[flat]
             sums = _sums(v, first)
             pairs = 0.5 * (sums**2 - _sums(v**2, first)).sum(axis=1) / n

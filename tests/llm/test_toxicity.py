@@ -70,3 +70,35 @@ def test_odd_rows(odd, empty, spark):
     assert toxicity(empty, labels, RULE).collect() == []
     none = toxicity(odd, labels.limit(0), RULE).collect()
     assert len(none) == 7 and all(abs(r.score - 0.05) < 0.01 and r.predicted == 0 for r in none if r.doc_id == 7)
+
+
+def long_texts(n, seed, both):
+    """Terms of texts of 40 to 500 words; words 0 and 1 are toxic together, or else alone."""
+    rng = np.random.default_rng(seed)
+    terms, label, size = [], [], []
+    for _ in range(n):
+        size.append(rng.choice([40, 120, 200, 500]))
+        own = np.unique(2 + rng.zipf(1.3, size[-1]) % 3000)
+        a, b = rng.random() < 0.4, rng.random() < 0.4
+        terms.append(np.concatenate([[0] * a, [1] * b, own]).astype(np.int64))
+        label.append(float(a and b if both else a != b))
+    return terms, np.array(label), np.array(size)
+
+
+def test_pairs_count_in_long_texts_at_the_registered_rule():
+    terms, label, _ = long_texts(8000, 1, True)
+    machine = fit(label, terms, ToxicRule())
+    assert machine.vectors[0] @ machine.vectors[1] > 0
+    first = np.array([0, 200, 400, 600, 800])
+    rest = np.arange(4000, 4198)  # terms no row has
+    margin = machine.margins(
+        np.concatenate([*(np.concatenate([own, rest]) for own in ([0, 1], [0, 4198], [1, 4198], [4198, 4199]))]), first
+    )
+    # beyond the two weights; 0.01 if divided by the number of terms
+    assert margin[0] - margin[1] - margin[2] + margin[3] > 0.3
+    terms, label, _ = long_texts(8000, 1, False)
+    machine = fit(label, terms, ToxicRule())
+    terms, label, size = long_texts(2000, 2, False)
+    margin = machine.margins(np.concatenate(terms), np.cumsum([0, *map(len, terms)]))
+    for words, least in ((40, 0.72), (120, 0.67)):
+        assert area(margin[size == words], label[size == words]) > least
