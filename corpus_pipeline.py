@@ -29,9 +29,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one go from the text; a document that keeps less than a tenth of it goes."""
+    """Lines that repeat an earlier one go from the text; a document that keeps only blank lines goes."""
     cut = drop_repeated_lines(docs, LineRule(short=True), _row(docs))
-    cut = cut.where((F.col("n_removed") == 0) | (10 * F.char_length("kept_text") >= F.char_length("carried.text")))
+    cut = cut.where((F.col("n_removed") == 0) | F.col("kept_text").rlike(r"\S"))
     new = {"text": F.when(F.col("n_removed") == 0, F.col("carried.text")).otherwise(F.col("kept_text"))}
     if "n_chars" in docs.columns:
         size = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)

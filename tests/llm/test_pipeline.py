@@ -85,6 +85,14 @@ def test_rows_that_repeat_and_rows_without_id(spark, odd):
     assert all(stage(spark, none, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_what_is_left_of_a_text_stays_unless_it_is_blank(spark):
+    shared = "\n".join(f"{chr(97 + i) * 5} of a passage that many documents share" for i in range(20))
+    texts = [shared, f"{shared}\nits own", f"\n{shared}\n \t", "menu\nfirst", "menu"]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    kept = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.dedup_lines(spark, docs, SF).collect()}
+    assert kept == {0: (shared, len(shared)), 1: ("its own", 7), 3: ("menu\nfirst", 10)}
+
+
 def test_registered():
     found = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
