@@ -13,6 +13,7 @@ from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import NearRule, near_duplicates
 from surveyloom.llm.packing import pack
 from surveyloom.llm.pii import digests, find_personal_data
+from surveyloom.llm.quality import quality
 from surveyloom.llm.substring_dedup import remove_repeats
 from surveyloom.llm.topk import quantised, top_scores
 from surveyloom.llm.toxicity import toxicity
@@ -63,6 +64,10 @@ def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(table(spark, sf, "documents")).drop("kept_text")
 
 
+def op11_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_fingerprints": op2_fingerprints,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_line_dedup": op9_line_dedup,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_quality": op11_quality,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
