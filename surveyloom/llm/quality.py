@@ -107,7 +107,8 @@ def terms_of(column: pa.Array, rule: QualityRule) -> Iterator[tuple[np.ndarray,
                 keys.append((place[: len(gram)] | mix(gram + U64(salt + size)) >> shift)[inside])
         keys, count = np.unique(np.concatenate(keys), return_counts=True)
         first = np.searchsorted(keys, np.arange(words.high - words.low + 1, dtype=U64) << U64(rule.bits))
-        values = np.log1p(count)
+        # rounded: the last bit of a logarithm may depend on its place in an array
+        values = np.round(np.log1p(count), 6)
         values = values / np.repeat(np.sqrt(_sums(values**2, first)), np.diff(first))
         yield (keys & U64((1 << rule.bits) - 1)).astype(np.int64), values, first
 
@@ -238,7 +239,7 @@ def score(docs: DataFrame, model: tuple[float, np.ndarray], rule: QualityRule, c
             margins = [np.zeros(0)]
             for terms, values, first in terms_of(batch.column(0), rule):
                 margins.append(bias + _sums(shared.value[terms] * values, first))
-            chance = 1 / (1 + np.exp(-np.clip(np.concatenate(margins), -30, 30)))
+            chance = np.round(1 / (1 + np.exp(-np.clip(np.concatenate(margins), -30, 30))), 12)
             columns = [batch.column(1), pa.array(chance), pa.array((chance >= rule.level).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["carried", "score", "predicted"])
 
