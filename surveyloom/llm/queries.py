@@ -13,6 +13,7 @@ from surveyloom.llm.mixing import mix_sources
 from surveyloom.llm.near_dups import NearRule, near_duplicates
 from surveyloom.llm.packing import pack
 from surveyloom.llm.pii import digests, find_personal_data
+from surveyloom.llm.prefix_trie import prefix_trie
 from surveyloom.llm.quality import quality
 from surveyloom.llm.substring_dedup import remove_repeats
 from surveyloom.llm.topk import quantised, top_scores
@@ -68,6 +69,10 @@ def op11_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(table(spark, sf, "conversations"), share=True).drop("turn_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_fingerprints": op2_fingerprints,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_repeated_passages": op10_repeated_passages,
     "op11_quality": op11_quality,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -115,4 +121,23 @@ SQL: dict[str, str] = {
    FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY 1)
  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
  FROM d LEFT JOIN k USING (doc_id)""",
+    "op12_prefix_trie": """WITH t AS (SELECT conv_id AS c, turn, strlen(coalesce(text, '')) AS b,
+   sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k FROM conversations WHERE conv_id IS NOT NULL),
+ own AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) - 1 AS i, k, b FROM t),
+ ids AS (SELECT c, c - c % 5 AS g, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x))),
+   lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 9 AS h
+   FROM (SELECT DISTINCT c FROM t)),
+ whole AS (SELECT ids.c, i, k, b FROM ids JOIN own ON own.c = g AND i < h UNION ALL SELECT c, i, k, b FROM own JOIN ids USING (c) WHERE i >= h),
+ seq AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, k, b FROM whole),
+ pre AS (SELECT c, d, b, sha256(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)) AS p FROM seq UNION ALL SELECT c, 0, 0, '' FROM ids),
+ top AS (SELECT c, max(d) AS last FROM pre GROUP BY 1),
+ node AS (SELECT p, min(c) AS conv_id, min(d) AS depth, min(b) AS b, count(*) AS n_convs,
+   sha256(coalesce(string_agg(CASE WHEN d = last THEN c END, ',' ORDER BY c), '')) AS ends_sha256 FROM pre JOIN top USING (c) GROUP BY 1),
+ up AS (SELECT node.p, pre.p AS q FROM node JOIN pre ON pre.c = conv_id AND d = depth - 1),
+ kid AS (SELECT q AS p, count(*) AS n_children FROM up GROUP BY 1),
+ below AS (SELECT a.p, count(CASE WHEN n_children IS NULL THEN 1 END) AS n_leaves, sum((n_convs - 1) * n.b) AS saved
+   FROM node n LEFT JOIN kid USING (p) JOIN pre a ON a.c = n.conv_id AND a.d <= n.depth GROUP BY 1)
+ SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+   CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+ FROM node n JOIN below USING (p) LEFT JOIN kid USING (p) LEFT JOIN up USING (p) LEFT JOIN node o ON o.p = up.q""",
 }
