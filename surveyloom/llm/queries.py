@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyloom.llm.collocations import collocations
 from surveyloom.llm.fingerprints import edited_fingerprints
 from surveyloom.llm.licenses import license_scan
 from surveyloom.llm.line_dedup import LineRule, drop_repeated_lines
@@ -73,6 +74,10 @@ def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie(table(spark, sf, "conversations"), share=True).drop("turn_key")
 
 
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_fingerprints": op2_fingerprints,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeated_passages": op10_repeated_passages,
     "op11_quality": op11_quality,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_collocations": op13_collocations,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -140,4 +146,21 @@ SQL: dict[str, str] = {
  SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
    CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
  FROM node n JOIN below USING (p) LEFT JOIN kid USING (p) LEFT JOIN up USING (p) LEFT JOIN node o ON o.p = up.q""",
+    "op13_collocations": f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(coalesce({_LOWER}, ''), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+ w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+ size AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY 1),
+ x AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+   FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+ f AS (SELECT lang, k, phrase, count(*) AS a FROM x GROUP BY ALL HAVING count(*) >= 100),
+ c AS (SELECT lang, k, phrase, a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS s FROM f WHERE k > 1),
+ s AS (SELECT c.lang, c.k, c.phrase, c.a, cut, l.a AS l, r.a AS r, n,
+   (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+   FROM c JOIN size USING (lang) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.s[1:cut], ' ')
+   JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.s[cut + 1:], ' ')),
+ best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM s),
+ part AS (SELECT lang, k, a, unnest([array_to_string(s[1:k - 1], ' '), array_to_string(s[2:], ' ')]) AS phrase FROM c WHERE cut = 1),
+ gone AS (SELECT DISTINCT f.lang, f.phrase FROM f JOIN part USING (lang, phrase) WHERE 100 * part.a >= 100 * f.a)
+ SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (
+   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+   FROM best ANTI JOIN gone USING (lang, phrase) WHERE o = 1) WHERE rank <= 2000""",
 }

@@ -56,10 +56,10 @@ class Words:
     ends: np.ndarray
     first: np.ndarray
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word, eight bytes at a step."""
         size = self.ends - self.starts
-        out = size.astype(U64) * _STEP
+        out = size.astype(U64) * _STEP + U64(seed)
         if not len(out):
             return out
         eights = np.ndarray((len(self.data) - 7,), "<u8", self.data, 0, (1,))
