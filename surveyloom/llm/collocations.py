@@ -33,7 +33,7 @@ _MARKS = [(ord(c), ord(c)) for c in ".,;:!?"]
 _ENDS = byte_set((0x20, 0x20), (0x09, 0x0D), *_MARKS)
 _BREAKS = byte_set((0x0A, 0x0D), *_MARKS)
 #: Words a task puts together before it counts, and windows counted at a time.
-STRETCH = 4 << 20
+STRETCH = 1 << 20
 #: Ranges of the prefix hash: so many at least, and one for each so many words of all texts.
 RANGES, RANGE_WORDS = 64, 4 << 20
 #: Words of a phrase that its range depends on.
@@ -260,7 +260,7 @@ def _count_words(seed: int):
                     ],
                     ["label", "lang", "word", "f"],
                 )
-            if size >= STRETCH // 4:
+            if size >= STRETCH:
                 yield flush(*zip(*held, strict=True))
                 held, size = [], 0
         if held:
