@@ -9,8 +9,9 @@ share of equal registers, corrected for accidental agreement, drops those well b
 the rest is compared on full sets.
 
 Links only have to join what belongs together. So a bucket's members are first compared with the
-bucket's first one; only buckets whose members are in different parts after that are compared
-member by member, on registers, in blocks, across parts alone.
+bucket's first one. In buckets whose members are in different parts after that, every member is compared with
+the likeliest one of another part. Where parts are left that may still touch, the full sets of the members concerned are
+brought together in blocks and all pairs are counted there; what leaves a block is a forest of links, never its pairs.
 """
 
 from __future__ import annotations
@@ -41,8 +42,11 @@ ERRORS = 4.0
 PACK = 1 << 20
 RANGE_DOCS = 10_000
 RANGES = 64
-#: Members of a bucket compared with one another in one block.
+#: Members of a bucket compared with one another in one block, and shingles of a block's members together.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 21
+#: Distinct shingles counted at a time in a block.
+COLUMNS = 1 << 14
 
 _ODD = mix(np.arange(1, BUCKETS + 1, dtype=U64)) | U64(1)
 _SEED = mix(np.arange(1001, BUCKETS + 1001, dtype=U64))
@@ -239,55 +243,140 @@ def _confirm(percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scratch, name: str) -> DataFrame:
-    """Pairs that hold on full sets, which are made again from the texts concerned."""
-    left, right = (pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b"))
-    ids = scratch.keep(left.unionByName(right).distinct(), f"{name}-ids")
+def _written_sets(ids: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scratch, name: str) -> DataFrame:
+    """Full sets of the ids, made again from their texts; a few of others may be among them."""
     made = docs.where("doc_id is not null").mapInArrow(
         _sets(rule.shingle, filter_of(ids)), "doc_id long, shingles binary"
     )
-    sets = scratch.keep(made, f"{name}-sets")
-    wanted = scratch.keep(sets.join(ids, "doc_id", "left_semi"), f"{name}-wanted")
-    scratch.drop(f"{name}-sets")
-    x = wanted.select(F.col("doc_id").alias("a"), F.col("shingles").alias("p"))
-    y = wanted.select(F.col("doc_id").alias("b"), F.col("shingles").alias("q"))
-    half = scratch.keep(pairs.join(y, "b"), f"{name}-half")
-    links = half.join(x, "a").select("a", "b", "p", "q").mapInArrow(_confirm(rule.percent), "a long, b long")
+    return scratch.keep(made, f"{name}-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scratch, name: str) -> DataFrame:
+    """Pairs that hold on full sets."""
+    left, right = (pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b"))
+    sets = _written_sets(left.unionByName(right), docs, rule, scratch, name)
+    x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("p"))
+    y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("q"))
+    links = pairs.join(y, "b").join(x, "a").select("a", "b", "p", "q").mapInArrow(_confirm(rule.percent), "a long, b long")
     out = scratch.keep(links, f"{name}-links")
-    scratch.drop(f"{name}-wanted", f"{name}-half", f"{name}-ids")
+    scratch.drop(f"{name}-sets")
     return out
 
 
-def _across(percent: int):
-    """Within a block of a bucket: pairs of different parts that the estimate allows.
+def _blocks(rows: DataFrame, of: F.Column) -> DataFrame:
+    """Every member of a band to the pairs of blocks it belongs to: ``own <= other``, as ``left`` or not."""
+    rows = rows.withColumn("of", of.cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("of").cast("long")).cast("int"))
+    # a member meets the blocks from its own on as left, those up to its own as right
+    as_left = rows.withColumn("other", F.explode(F.sequence("own", F.col("of") - 1))).withColumn("left", F.lit(True))
+    as_right = (
+        rows.withColumn("other", F.col("own"))
+        .withColumn("own", F.explode(F.sequence(F.lit(0), F.col("own"))))
+        .withColumn("left", F.lit(False))
+    )
+    return as_left.unionByName(as_right)
 
-    A pair that shares several bands is looked at in the first of them only.
-    """
+
+def _hopeful_pairs(block: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each left member of a block: right members of other parts that the estimate allows, and their equal registers."""
+    left, right = block[block["left"]], block[~block["left"]]
+    parts, sizes = right["part"].to_numpy(), right["n"].to_numpy()
+    regs = _matrix(list(right["registers"]))
+    for i, (part, n, own) in enumerate(zip(left["part"], left["n"], left["registers"], strict=True)):
+        other = np.flatnonzero(parts != part)
+        equal = regs[other] == np.frombuffer(own, np.uint8)
+        share = equal.mean(axis=1)
+        keep = hopeful(share, n, sizes[other], percent)
+        yield i, other[keep], share[keep]
+
+
+def _nearest(percent: int):
+    """Within a block of a bucket: every member with the likeliest one of another part."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        sides = [block[block["left"]], block[~block["left"]]]
-        docs, parts, sizes = ([x[c].to_numpy() for x in sides] for c in ("doc_id", "part", "n"))
-        regs = [_matrix(list(x["registers"])) for x in sides]
-        alone = len(block) > 0 and block["own"].iloc[0] == block["other"].iloc[0]
+        docs = [block["doc_id"][block["left"]].to_numpy(), block["doc_id"][~block["left"]].to_numpy()]
         a, b = [], []
-        for i in range(len(docs[0])):
-            other = np.flatnonzero(parts[1] != parts[0][i])
-            if alone:
-                # both sides are the same block: take a pair once
-                other = other[docs[1][other] > docs[0][i]]
-            equal = regs[1][other] == regs[0][i]
-            keep = hopeful(equal.mean(axis=1), sizes[0][i], sizes[1][other], percent)
-            in_bands = equal[keep][:, : BANDS * BAND].reshape(-1, BANDS, BAND).all(axis=2)
-            this = (regs[0][i][: BANDS * BAND].reshape(BANDS, BAND)).astype(U64)
-            hashes = _SEED[:BANDS]
+        back, backed = np.full(len(docs[1]), -1), np.zeros(len(docs[1]))
+        for i, other, share in _hopeful_pairs(block, percent):
+            if len(other):
+                a.append(docs[0][i])
+                b.append(docs[1][other[share.argmax()]])
+                better = share > backed[other]
+                back[other[better]], backed[other[better]] = i, share[better]
+        if block["own"].iloc[0] != block["other"].iloc[0]:
+            hit = back >= 0
+            a, b = np.append(a, docs[0][back[hit]]), np.append(b, docs[1][hit])
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    return run
+
+
+def _still_open(percent: int):
+    """Within a block of a bucket: members that may touch another part. A pair that shares several bands is seen in the first."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        left, right = block[block["left"]], block[~block["left"]]
+        regs = [_matrix(list(x["registers"])) for x in (left, right)]
+        need = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
+        for i, other, _ in _hopeful_pairs(block, percent):
+            if not len(other):
+                continue
+            equal = regs[1][other, : BANDS * BAND] == regs[0][i][: BANDS * BAND]
+            first = equal.reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1)
+            hashes, this = _SEED[:BANDS], regs[0][i][: BANDS * BAND].reshape(BANDS, BAND).astype(U64)
             for k in range(BAND):
                 hashes = mix((hashes ^ this[:, k]) + U64(0x9E3779B97F4A7C15))
             here = int(np.flatnonzero(as_long(hashes) == block["band"].iloc[0])[0])
-            hit = other[keep][in_bands.argmax(axis=1) == here]
-            a.append(np.minimum(docs[0][i], docs[1][hit]))
-            b.append(np.maximum(docs[0][i], docs[1][hit]))
-        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
-        return pd.DataFrame({"a": a, "b": b})
+            hit = other[first == here]
+            need[0][i] |= len(hit) > 0
+            need[1][hit] = True
+        docs = np.unique(np.concatenate([left["doc_id"].to_numpy()[need[0]], right["doc_id"].to_numpy()[need[1]]]))
+        return pd.DataFrame({"band": np.full(len(docs), block["band"].iloc[0]), "doc_id": docs.astype(np.int64)})
+
+    return run
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each two sets have in common, in passes over the values both sides have."""
+    flat = [np.concatenate([np.zeros(0, U64), *x]) for x in (left, right)]
+    owner = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
+    values = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float64)
+    for at in range(0, len(values), COLUMNS):
+        part = values[at : at + COLUMNS]
+        sides = []
+        for x, own, n in zip(flat, owner, out.shape, strict=True):
+            inside = np.flatnonzero((x >= part[0]) & (x <= part[-1]))
+            place = np.minimum(np.searchsorted(part, x[inside]), len(part) - 1)
+            hit = part[place] == x[inside]
+            side = np.zeros((n, len(part)), np.float32)
+            side[own[inside[hit]], place[hit]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _forest(percent: int):
+    """Within a block of a bucket: links on full sets, no more than it takes to join the parts they join."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        sides = [block[block["left"]], block[~block["left"]]]
+        docs, parts = ([x[c].to_numpy() for x in sides] for c in ("doc_id", "part"))
+        sets = [[np.frombuffer(b, U64) for b in x["shingles"]] for x in sides]
+        size = [np.array([len(x) for x in own], np.int64) for own in sets]
+        common = common_counts(*sets)
+        good = (common > 0) & (100 * common >= percent * (size[0][:, None] + size[1][None, :] - common))
+        now = [p.copy() for p in parts]
+        a, b = [], []
+        for i in range(len(docs[0])):
+            while len(hit := np.flatnonzero(good[i] & (now[1] != now[0][i]))):
+                a.append(min(docs[0][i], docs[1][hit[0]]))
+                b.append(max(docs[0][i], docs[1][hit[0]]))
+                gone, to = now[1][hit[0]], now[0][i]
+                for side in now:
+                    side[side == gone] = to
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return run
 
@@ -311,14 +400,16 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         docs.mapInArrow(_sign(rule.shingle), "doc_id long, n_shingles long, key_1 long, key_2 long, registers binary"),
         "signed",
     )
-    part_of = signed.where("n_shingles > 0 and doc_id is not null")
     # equal sets first: from here on a class stands for all its copies
     classes = scratch.keep(
-        part_of.groupBy("key_1", "key_2").agg(
+        signed.where("n_shingles > 0 and doc_id is not null").groupBy("key_1", "key_2").agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")
         ),
         "classes",
     )
+    slim = scratch.keep(signed.drop("registers"), "slim")
+    scratch.drop("signed")
+    part_of = slim.where("n_shingles > 0 and doc_id is not null")
     ranges = max(RANGES, -(-classes.count() // RANGE_DOCS))
     packs = classes.select("doc_id", "registers").mapInArrow(_bands(ranges), PACKED)
     known = -1 - F.pmod(F.xxhash64("doc"), F.lit(ranges))
@@ -329,43 +420,34 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         found.groupBy("band").agg(F.min("doc_id").alias("centre"), F.count("*").alias("size")), "shared"
     )
     members = scratch.keep(found.join(shared, "band"), "members")
+    scratch.drop("found", "shared")
     # every member with the first of its bucket
     sized = classes.select("doc_id", "n", "registers")
-    stars = scratch.keep(
-        members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars"
-    )
-    likely = scratch.keep(_likely(stars, sized, rule, scratch, "stars"), "likely")
-    first = _confirmed(likely, docs, rule, scratch, "first").unionByName(_same_id(part_of, classes, scratch))
-    parts = connected(first, scratch, "parts-1")
-    # Buckets of three and more whose members are still in different parts: compare across parts.
-    named = parts.select(F.col("node").alias("doc_id"), "part")
-    open_rows = scratch.keep(
-        members.where("size > 2").join(named, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id")), "open"
-    )
-    mixed = scratch.keep(
-        open_rows.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("band"),
-        "mixed",
-    )
-    links = first
+    stars = members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    likely = scratch.keep(_likely(stars, sized, rule), "likely")
+    links = _confirmed(likely, docs, rule, scratch, "first").unionByName(_same_id(part_of, classes, scratch))
+    parts = connected(links, scratch, "parts-1")
+    members = scratch.keep(members.where("size > 2").select("band", "doc_id"), "buckets")
+    mixed = scratch.keep(_mixed(members, parts), "mixed")
     if not mixed.isEmpty():
-        rows = scratch.keep(open_rows.join(mixed, "band").select("band", "doc_id", "part", "size"), "rows")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        rows = rows.join(sized, "doc_id").withColumn("of", blocks)
-        rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("of").cast("long")).cast("int"))
-        # a member meets the blocks from its own on as left, those up to its own as right
-        as_left = rows.withColumn("other", F.explode(F.sequence("own", F.col("of") - 1))).withColumn("left", F.lit(True))
-        as_right = (
-            rows.withColumn("other", F.col("own"))
-            .withColumn("own", F.explode(F.sequence(F.lit(0), F.col("own"))))
-            .withColumn("left", F.lit(False))
-        )
-        blocked = as_left.unionByName(as_right).select("band", "own", "other", "left", "doc_id", "part", "n", "registers")
-        across = blocked.groupBy("band", "own", "other").applyInPandas(_across(rule.percent), "a long, b long")
-        second = scratch.keep(scratch.keep(across.distinct(), "pairs").join(stars, ["a", "b"], "left_anti"), "across")
-        if not second.isEmpty():
-            links = first.unionByName(_confirmed(second, docs, rule, scratch, "second"))
-            parts = connected(links, scratch, "parts-2")
-    scratch.drop("found", "members", "shared", "stars", "likely", "open", "mixed", "rows", "pairs", "across")
+        near = _blocked(mixed, sized).applyInPandas(_nearest(rule.percent), "a long, b long").distinct()
+        links = links.unionByName(_confirmed(scratch.keep(near, "near"), docs, rule, scratch, "second"))
+        parts = connected(links, scratch, "parts-2")
+        mixed = scratch.keep(_mixed(members, parts), "mixed-2")
+    if not mixed.isEmpty():
+        left = _blocked(mixed, sized).applyInPandas(_still_open(rule.percent), "band long, doc_id long").distinct()
+        left = scratch.keep(left.join(mixed.select("band", "doc_id", "part"), ["band", "doc_id"]), "left")
+        if not left.isEmpty():
+            sets = _written_sets(left.select("doc_id").distinct(), docs, rule, scratch, "third")
+            whole = left.join(sized.select("doc_id", "n"), "doc_id")
+            load = whole.groupBy("band").agg(F.count("*").alias("members"), F.sum("n").alias("shingles_in"))
+            of = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES))
+            blocks = _blocks(whole.join(load, "band"), of).select("band", "own", "other", "left", "doc_id", "part")
+            blocks = blocks.join(sets, "doc_id").groupBy("band", "own", "other")
+            forest = scratch.keep(blocks.applyInPandas(_forest(rule.percent), "a long, b long").distinct(), "forest")
+            links = links.unionByName(forest)
+            parts = connected(links, scratch, "parts-3")
+    scratch.drop("members", "buckets", "likely", "mixed", "near", "mixed-2", "left", "third-sets")
     of_class = classes.select("key_1", "key_2", "doc_id").join(
         parts.select(F.col("node").alias("doc_id"), "part"), "doc_id", "left"
     )
@@ -373,7 +455,7 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         of_class.select("key_1", "key_2", F.coalesce("part", "doc_id").alias("part")), "of-class"
     )
     scratch.drop("classes")
-    out = signed.drop("registers").join(of_class, ["key_1", "key_2"], "left")
+    out = slim.join(of_class, ["key_1", "key_2"], "left")
     out = out.withColumn(
         "component_id", F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("part", "doc_id"))
     )
@@ -392,9 +474,22 @@ def _same_id(signed: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFra
     return scratch.keep(own.join(low, "id").where("a <> doc_id").select("a", F.col("doc_id").alias("b")), "same-id")
 
 
-def _likely(pairs: DataFrame, sized: DataFrame, rule: NearRule, scratch: Scratch, name: str) -> DataFrame:
+def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members, with their part, of the buckets whose members are in several parts."""
+    named = parts.select(F.col("node").alias("doc_id"), "part")
+    rows = members.join(named, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    several = rows.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
+    return rows.join(several.where("low < high").select("band", "size"), "band").select("band", "doc_id", "part", "size")
+
+
+def _blocked(mixed: DataFrame, sized: DataFrame):
+    blocks = _blocks(mixed.join(sized, "doc_id"), F.ceil(F.col("size") / BLOCK))
+    columns = ["band", "own", "other", "left", "doc_id", "part", "n", "registers"]
+    return blocks.select(*columns).groupBy("band", "own", "other")
+
+
+def _likely(pairs: DataFrame, sized: DataFrame, rule: NearRule) -> DataFrame:
     x = sized.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     y = sized.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-    half = scratch.keep(pairs.join(y, "b"), f"{name}-half")
-    whole = half.join(x, "a").where(100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b"))
+    whole = pairs.join(y, "b").join(x, "a").where(100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b"))
     return whole.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(_estimate(rule.percent), "a long, b long")

@@ -5,7 +5,8 @@ import pytest
 from corpus import words_of
 
 from surveyloom.llm.components import connected
-from surveyloom.llm.near_dups import NearRule, likeness, near_duplicates, sketch
+from surveyloom.llm import near_dups
+from surveyloom.llm.near_dups import NearRule, common_counts, likeness, near_duplicates, sketch
 from surveyloom.llm.store import Scratch
 from surveyloom.llm.words import U64, mix
 
@@ -78,6 +79,60 @@ def test_a_family_whose_first_member_is_not_its_centre_is_whole(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def family(n, edits, seed=4):
+    """Texts with edits of their own: no two of them are linked, yet their estimates allow it."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(400)]
+    out = []
+    for k in range(n):
+        own = list(base)
+        for at in rng.choice(400, edits, replace=False):
+            own[at] = f"x{k}_{at}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("block", [near_dups.BLOCK, 20])
+def test_families_at_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dups, "BLOCK", block)
+    texts = family(90, 25) + family(40, 23, 5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {i: shingles(t, 1) for i, t in enumerate(texts)}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = parts(sets, links)
+    got = near_duplicates(df.repartition(3), NearRule(1)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_rows_of_a_family_do_not_grow_with_its_square(spark, monkeypatch):
+    """What the steps write is counted for a family of texts whose pairs lie just below the threshold."""
+    written = []
+    keep = Scratch.keep
+
+    def counted(self, df, name):
+        out = keep(self, df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    most = []
+    for n in (150, 300):
+        written.clear()
+        df = spark.createDataFrame(list(enumerate(family(n, 27))), "doc_id long, text string")
+        found = near_duplicates(df, NearRule(1))
+        assert found.where("kept").count() == n
+        most.append(sum(written))
+    assert most[1] < 2.6 * most[0]
+
+
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(near_dups, "COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    left, right = ([np.unique(rng.integers(0, 90, rng.integers(0, 40)).astype(U64)) for _ in range(n)] for n in (9, 13))
+    got = common_counts(left, right)
+    assert [[len(np.intersect1d(a, b)) for b in right] for a in left] == got.tolist()
+
+
 def test_sketches_estimate_jaccard():
     rng = np.random.default_rng(1)
     for n in (6, 50, 700, 5000):
