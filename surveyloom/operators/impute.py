@@ -8,7 +8,10 @@ the standardised features are written once, so the next one reads its start inst
 what was before. A lost executor costs a re-read of its splits.
 
 Cells are taken in batches whose matrices fit a task, however many there are; a batch holds whole cells, so
-it changes no number.
+it changes no number. Several batches are parts of one written table, each read alone, and the driver holds what one
+of them has learnt.
+
+What is learnt is either a regression on the other features or trees that ask for them (``trees``).
 """
 
 from __future__ import annotations
@@ -21,13 +24,12 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyloom.functions.columns import is_number, is_text, numeric
+from surveyloom.operators import trees as grown_trees
 from surveyloom.operators.availability import filled_counts
 from surveyloom.session import drop_table, materialise
 from surveyloom.specs import ImputeRule
@@ -129,7 +131,7 @@ def missing_indicators(
     by, columns = list(rule.cell), candidates_of(df, rule)
     profile = feature_profile(df.where(F.col(by[-1]).isNotNull()), columns, by)
     marks = materialise(profile.select(*by, *_marks(columns, rule, present)), "indicators")
-    return _add_indicators(df, marks, by, columns)
+    return _add_indicators(df, marks, by, _wanted(marks, columns))
 
 
 def _marks(columns: Sequence[str], rule: ImputeRule, present: Mapping[str, Iterable[str]] | None) -> list[Column]:
@@ -143,9 +145,13 @@ def _marks(columns: Sequence[str], rule: ImputeRule, present: Mapping[str, Itera
     return out
 
 
-def _add_indicators(df: DataFrame, marks: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _wanted(marks: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """Features that get an indicator in any cell, by the name of their mark."""
     any_cell = marks.agg(*[F.max(f"__m{i}").alias(f"__m{i}") for i in range(len(columns))]).first()
-    wanted = {f"__m{i}": c for i, c in enumerate(columns) if any_cell[f"__m{i}"]}
+    return {f"__m{i}": c for i, c in enumerate(columns) if any_cell[f"__m{i}"]}
+
+
+def _add_indicators(df: DataFrame, marks: DataFrame, by: Sequence[str], wanted: Mapping[str, str]) -> DataFrame:
     if not wanted:
         return df
     joined = df.join(marks.select(*by, *wanted), list(by), "left").select(*[F.col(f"`{c}`") for c in df.columns], *wanted)
@@ -214,8 +220,8 @@ def snap_to_codes(df: DataFrame, column: str, codes: DataFrame, value: str = "va
 #: with the share of rows up to each. A plain namespace, so that tasks can unpickle it anywhere.
 CellPlan = SimpleNamespace
 
-#: One step: position of the target within ``active``, intercept, slopes (0 for itself).
-Step = tuple[int, float, np.ndarray]
+#: One step: position of the target within ``active``, and intercept and slopes (0 for itself), or the rate and a list of trees.
+Step = tuple[int, float, "np.ndarray | list[grown_trees.Tree]"]
 
 
 def _draws(keys: np.ndarray, feature: int, seed: int) -> np.ndarray:
@@ -258,10 +264,14 @@ def start_values(plan: CellPlan, raw: np.ndarray, keys: np.ndarray, seed: int, s
 def apply_steps(z: np.ndarray, gaps: np.ndarray, steps: Sequence[Step]) -> None:
     """Update the gaps of targets one after the other, each from the values the
     ones before it left. (Updating all at once need not converge.)"""
-    for t, intercept, slopes in steps:
+    for t, number, learnt in steps:
         rows = np.flatnonzero(gaps[:, t])
-        if len(rows):
-            z[rows, t] = intercept + z[rows] @ slopes
+        if not len(rows):
+            continue
+        if isinstance(learnt, list):
+            z[rows, t] = grown_trees.predict(learnt, number, z[rows])
+        else:
+            z[rows, t] = number + z[rows] @ learnt
 
 
 def _cells(
@@ -288,13 +298,14 @@ def _nearest(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------------ passes over a batch
 
-STATE = "cell int, rows int, z binary, gaps binary"
+#: Some thousands of a cell's rows, and per target the sum of its imputed values and their number.
+STATE = "cell int, rows int, z binary, gaps binary, sums binary"
 
 
-def _state_row(cell: int, z: np.ndarray, gaps: np.ndarray) -> pa.RecordBatch:
+def _state_row(cell: int, z: np.ndarray, gaps: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
     columns = [pa.array([cell], pa.int32()), pa.array([len(z)], pa.int32())]
-    columns += [pa.array([x.tobytes()], pa.binary()) for x in (z, gaps)]
-    return pa.RecordBatch.from_arrays(columns, ["cell", "rows", "z", "gaps"])
+    columns += [pa.array([x.tobytes()], pa.binary()) for x in (z, gaps, sums)]
+    return pa.RecordBatch.from_arrays(columns, ["cell", "rows", "z", "gaps", "sums"])
 
 
 def _states(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -314,19 +325,23 @@ def _first_state(state, seed: int, start: str) -> Callable:
                 if len(plan.targets):
                     held.setdefault(cell, []).append(start_values(plan, raw, keys, seed, start))
                     if sum(len(z) for z, _ in held[cell]) >= STATE_ROWS:
-                        yield _state_row(cell, *map(np.concatenate, zip(*held.pop(cell), strict=True)))
+                        yield _state_row(cell, *map(np.concatenate, zip(*held.pop(cell), strict=True)), np.zeros(0))
         for cell, parts in held.items():
-            yield _state_row(cell, *map(np.concatenate, zip(*parts, strict=True)))
+            yield _state_row(cell, *map(np.concatenate, zip(*parts, strict=True)), np.zeros(0))
 
     return run
 
 
-def _next_state(steps) -> Callable:
+def _next_state(state, steps) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cell, z, gaps in _states(batch):
                 apply_steps(z, gaps, steps.value.get(cell, ()))
-                yield _state_row(cell, z, gaps)
+                plan = state.value[cell]
+                open_ = gaps[:, plan.targets]
+                n = open_.sum(axis=0)
+                total = np.where(open_, z[:, plan.targets], 0.0).sum(axis=0) * plan.sd[plan.targets] + n * plan.mean[plan.targets]
+                yield _state_row(cell, z, gaps, np.concatenate([total, n]))
 
     return run
 
@@ -402,6 +417,10 @@ class ChainedImputer:
         #: by batch: plans of its cells and, by sweep, their steps
         self.plans: list[dict[int, CellPlan]] = []
         self.history: list[list[dict[int, list[Step]]]] = []
+        #: with several batches: their filled rows, written
+        self.done: list[DataFrame] = []
+        #: with ``log``: sums of imputed values by cell and feature, a written table for each batch and sweep
+        self.log: list[DataFrame] = []
 
     # -- preparation
 
@@ -410,8 +429,8 @@ class ChainedImputer:
         every later pass what led to it."""
         rule, by = self.rule, list(self.rule.cell)
         self.columns = candidates_of(df, rule)
-        # the rule names what identifies a row; else its number, given once
-        key = F.xxhash64(*rule.row_key) if rule.row_key else F.monotonically_increasing_id()
+        # the rule names what identifies a row; else its values do, so that rows alike draw alike wherever they lie
+        key = F.xxhash64(*(rule.row_key or (*by, *[numeric(df, c) for c in sorted(self.columns)])))
         self.table = materialise(df.select(*[F.col(f"`{c}`") for c in df.columns], key.alias("__key")), "impute")
         profile = feature_profile(self.table.where(F.col(by[-1]).isNotNull()), self.columns, by)
         able, open_ = {}, {}
@@ -436,6 +455,7 @@ class ChainedImputer:
         marks = _marks(self.columns, rule, self.present)
         self.profile = materialise(profile.select("*", *marks).drop("__cost", "__one"), "impute-cells")
         self.cells = self.profile.select(*by, "__cell", "__batch")
+        self.wanted = _wanted(self.profile, self.columns)
         any_cell = self.profile.agg(*[F.max(f"__{k}{i}").alias(f"{k}{i}") for i in able for k in ("able", "open")]).first()
         self.features = [c for i, c in enumerate(self.columns) if any_cell[f"able{i}"]]
         self.gaps = [c for i, c in enumerate(self.columns) if any_cell[f"open{i}"]]
@@ -443,7 +463,10 @@ class ChainedImputer:
         self.keyed = self.table.join(self.cells, by, "left").select(
             *[F.col(f"`{c}`") for c in df.columns], "__key", "__cell", "__batch"
         )
-        self.names = df.columns
+        if len(self.batches) > 1:
+            # a batch then reads its own rows alone
+            self.keyed = materialise(self.keyed.hint("rebalance", "__batch"), "impute-batches", "__batch")
+            drop_table(self.table)
 
     def _inputs(self, df: DataFrame) -> list[Column]:
         return [numeric(df, c).alias(f"__x{i}") for i, c in enumerate(self.features)]
@@ -483,52 +506,67 @@ class ChainedImputer:
 
     # -- fitting
 
-    def fit(self, df: DataFrame) -> ChainedImputer:
-        """Learn all sweeps: a pass over the written features per block, and one that writes the next ones."""
+    def fit(self, df: DataFrame, log: bool = False, fill: bool = True) -> ChainedImputer:
+        """Learn all sweeps. ``log`` writes what ``trace`` needs; without ``fill`` there is no ``transform``."""
         self._prepare(df)
-        for batch in self.batches:
+        for k, batch in enumerate(self.batches):
             plans = self._plan(batch)
-            self.plans.append(plans)
-            self.history.append(self._fit(batch, plans) if any(len(p.targets) for p in plans.values()) else [])
+            history = self._fit(batch, plans, log) if any(len(p.targets) for p in plans.values()) else []
+            if len(self.batches) == 1:
+                self.plans, self.history = [plans], [history]
+            elif fill:
+                self.done.append(materialise(self._filled(self._rows(k), plans, history), "impute-filled"))
         return self
 
-    def _fit(self, batch: int, plans: dict[int, CellPlan]) -> list[dict[int, list[Step]]]:
-        rule, spark = self.rule, self.table.sparkSession
-        shared = spark.sparkContext.broadcast(plans)
-        most = max(len(p.targets) for p in plans.values())
-        size = rule.block_size or most
+    def _fit(self, batch: int, plans: dict[int, CellPlan], log: bool) -> list[dict[int, list[Step]]]:
+        """The steps of each sweep of a batch: passes over the written features, and one that writes the next ones."""
+        rule, spark = self.rule, self.keyed.sparkSession
         rows = self.keyed.where(F.col("__batch") == batch)
         rows = rows.select("__cell", "__key", *self._inputs(self.keyed))
+        shared = spark.sparkContext.broadcast(plans)
         state = materialise(rows.mapInArrow(_first_state(shared, rule.seed, rule.start), STATE), "impute-state")
+        if self._learn_scales(state, plans):
+            shared = spark.sparkContext.broadcast(plans)
         history = []
         for sweep in range(rule.sweeps):
-            steps: dict[int, list[Step]] = {}
-            for at in range(0, most, size):
-                before = spark.sparkContext.broadcast(steps)
-                block = slice(at, at + size)
-                parts = state.mapInArrow(_grams(shared, before, block), "cell int, target int, gram array<double>")
-                # two levels, so that no task receives a matrix from every task
-                vector = array_to_vector(F.col("gram"))
-                slots = parts.groupBy("cell", "target", (F.spark_partition_id() % 64).alias("slot")).agg(
-                    vector_to_array(Summarizer.sum(vector)).alias("gram")
-                )
-                summed = slots.groupBy("cell", "target").agg(vector_to_array(Summarizer.sum(vector)).alias("gram"))
-                solved = summed.groupBy("cell").applyInPandas(
-                    _solve(rule.ridge), "cell int, target int, intercept double, slopes array<double>"
-                )
-                found = {(r["cell"], r["target"]): (r["target"], r["intercept"], np.array(r["slopes"])) for r in solved.collect()}
-                steps = {k: list(v) for k, v in steps.items()}
-                for cell, plan in plans.items():
-                    steps.setdefault(cell, []).extend(found[cell, int(j)] for j in plan.targets[block])
+            steps = self._sweep(state, shared, plans)
             history.append(steps)
-            if sweep + 1 < rule.sweeps:
+            if log or sweep + 1 < rule.sweeps:
                 shared_steps = spark.sparkContext.broadcast(steps)
-                after = materialise(state.mapInArrow(_next_state(shared_steps), STATE), "impute-state")
+                after = materialise(state.mapInArrow(_next_state(shared, shared_steps), STATE), "impute-state")
                 drop_table(state)
                 state = after
+            if log:
+                sums = state.select("cell", "sums").mapInArrow(_logged(shared, tuple(self.features), sweep + 1), TRACE)
+                self.log.append(materialise(sums, "impute-log"))
         drop_table(state)
         return history
 
+    def _learn_scales(self, state: DataFrame, plans: dict[int, CellPlan]) -> bool:
+        """What a learner needs of the start values; True if it changed the plans."""
+        return False
+
+    def _sweep(self, state: DataFrame, shared, plans: dict[int, CellPlan]) -> dict[int, list[Step]]:
+        """The steps of a sweep, block by block: each block is fitted on what the ones before it leave."""
+        rule, spark = self.rule, state.sparkSession
+        most = max(len(p.targets) for p in plans.values())
+        size = rule.block_size or most
+        steps: dict[int, list[Step]] = {}
+        for at in range(0, most, size):
+            before = spark.sparkContext.broadcast(steps)
+            block = slice(at, at + size)
+            parts = state.mapInArrow(_grams(shared, before, block), "cell int, target int, gram array<double>")
+            # two levels, so that no task receives a matrix from every task
+            summed = grown_trees.summed(parts, ["cell", "target"], "gram")
+            solved = summed.groupBy("cell").applyInPandas(
+                _solve(rule.ridge), "cell int, target int, intercept double, slopes array<double>"
+            )
+            found = {(r["cell"], r["target"]): (r["target"], r["intercept"], np.array(r["slopes"])) for r in solved.collect()}
+            steps = {k: list(v) for k, v in steps.items()}
+            for cell, plan in plans.items():
+                steps.setdefault(cell, []).extend(found[cell, int(j)] for j in plan.targets[block])
+        return steps
+
     # -- applying
 
     def transform(self) -> DataFrame:
@@ -537,15 +575,20 @@ class ChainedImputer:
         Known values pass unchanged. A coded feature takes the nearest observed code. Only features go through
         Arrow, and only their filled values come back.
         """
-        marked = _add_indicators(self.keyed, self.profile, list(self.rule.cell), self.columns)
-        parts = []
-        for k, batch in enumerate(self.batches):
-            here = F.col("__batch") == batch
-            rows = marked.where(here | F.col("__batch").isNull() if k == 0 else here)
-            parts.append(self._filled(rows, self.plans[k], self.history[k]))
-        df = reduce(DataFrame.unionByName, parts) if parts else marked
+        if len(self.batches) > 1 and not self.done:
+            raise ValueError("fitted without filling")
+        parts = self.done or [self._filled(self._rows(k), p, h) for k, (p, h) in enumerate(zip(self.plans, self.history, strict=True))]
+        df = reduce(DataFrame.unionByName, parts) if parts else self._marked(self.keyed)
         return df.drop("__key", "__cell", "__batch")
 
+    def _marked(self, rows: DataFrame) -> DataFrame:
+        return _add_indicators(rows, self.profile, list(self.rule.cell), self.wanted)
+
+    def _rows(self, k: int) -> DataFrame:
+        """Rows of the k-th batch with their indicators; rows of no cell go with the first."""
+        here = F.col("__batch") == self.batches[k]
+        return self._marked(self.keyed.where(here | F.col("__batch").isNull() if k == 0 else here))
+
     def _filled(self, rows: DataFrame, plans: dict[int, CellPlan], history: list[dict[int, list[Step]]]) -> DataFrame:
         if not self.gaps:
             return rows
@@ -565,17 +608,12 @@ class ChainedImputer:
 
     def trace(self) -> DataFrame:
         """Mean of the imputed values per cell, feature and sweep, with the number of gaps and
-        the standard deviation of the known values. One pass for all sweeps."""
+        the standard deviation of the known values, from the sums written while the sweeps ran."""
         by = list(self.rule.cell)
-        if not any(self.history):
-            raise ValueError("nothing was imputed, so there is no trace")
-        parts = []
-        for batch, plans, history in zip(self.batches, self.plans, self.history, strict=True):
-            state = self.table.sparkSession.sparkContext.broadcast((plans, history))
-            rows = self.keyed.where(F.col("__batch") == batch).select("__cell", "__key", *self._inputs(self.keyed))
-            parts.append(rows.mapInArrow(_trace(state, tuple(self.features), self.rule.seed, self.rule.start), TRACE))
+        if not self.log:
+            raise ValueError("nothing was imputed, or without a log, so there is no trace")
         keys = ["__cell", "feature", "iteration", "sd_obs", "position"]
-        sums = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
+        sums = reduce(DataFrame.unionByName, self.log).groupBy(*keys).agg(
             (F.sum("total") / F.sum("n")).alias("mean_imputed"), F.sum("n").alias("n_missing")
         )
         return sums.join(self.cells, "__cell").select(
@@ -612,29 +650,24 @@ def _fill(state, places: Sequence[int], seed: int, start: str) -> Callable:
     return run
 
 
-def _trace(state, names: Sequence[str], seed: int, start: str) -> Callable:
-    """Per cell, feature and sweep the sum and number of imputed values."""
+def _logged(state, names: Sequence[str], sweep: int) -> Callable:
+    """Per cell and feature the sum and number of imputed values that a sweep left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plans, history = state.value
+        found: dict[int, np.ndarray] = {}
         for batch in batches:
-            out = []
-            for cell, _, raw, keys in _cells(batch.column(0), batch.column(1), batch.columns[2:]):
-                plan = plans[cell]
-                if not len(plan.targets):
-                    continue
-                z, gaps = start_values(plan, raw, keys, seed, start)
-                for i, steps in enumerate(history, 1):
-                    apply_steps(z, gaps, steps.get(cell, ()))
-                    for j in plan.targets:
-                        n = int(gaps[:, j].sum())
-                        if n:
-                            total = float((z[gaps[:, j], j] * plan.sd[j] + plan.mean[j]).sum())
-                            out.append((cell, names[plan.active[j]], i, float(plan.sd[j]), int(j), total, n))
-            if out:
-                kinds = (pa.int32(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.int64())
-                columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in TRACE.split(", ")])
+            for cell, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found[cell] = np.frombuffer(sums, np.float64) + found.get(cell, 0.0)
+        out = []
+        for cell, sums in found.items():
+            plan = state.value[cell]
+            for j, total, n in zip(plan.targets, *sums.reshape(2, -1), strict=True):
+                if n:
+                    out.append((cell, names[plan.active[j]], sweep, float(plan.sd[j]), int(j), float(total), int(n)))
+        if out:
+            kinds = (pa.int32(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.int64())
+            columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in TRACE.split(", ")])
 
     return run
 
@@ -653,6 +686,55 @@ def impute_linear(
 # -------------------------------------------------------------------------- tree regression
 
 
+class TreeImputer(ChainedImputer):
+    """The same chain with boosted regression trees, which each cell learns from its own rows.
+
+    The trees of all cells and targets grow a level in one pass over the written features; ``trees`` of them, each of
+    ``depth`` levels, are ``trees * depth`` passes a sweep, more if their histograms do not fit ``rule.gram_bytes``.
+    """
+
+    def __init__(self, *args, trees: int = 10, depth: int = 5, rate: float | None = None, **kwargs):
+        """``rate`` is how much of a tree's answer is taken before the next one; None: all of it if there is one tree alone."""
+        super().__init__(*args, **kwargs)
+        self.trees, self.depth = trees, depth
+        self.rate = rate if rate is not None else (1.0 if trees == 1 else 0.5)
+
+    def _learn_scales(self, state: DataFrame, plans: dict[int, CellPlan]) -> bool:
+        shared = state.sparkSession.sparkContext.broadcast(plans)
+        counts = state.mapInArrow(grown_trees.count_steps(shared, _states), "cell int, one int, counts array<double>")
+        counts = grown_trees.summed(counts, ["cell"], "counts")
+        cuts = counts.mapInArrow(grown_trees.cut_by_counts(shared, self.rule.bins), "cell int, cuts array<array<double>>")
+        for r in cuts.collect():
+            plans[r["cell"]].cuts = [np.array(c, dtype=float) for c in r["cuts"]]
+        return True
+
+    def _sweep(self, state: DataFrame, shared, plans: dict[int, CellPlan]) -> dict[int, list[Step]]:
+        rule, spark = self.rule, state.sparkSession
+        targets = {cell: [int(j) for j in plan.targets] for cell, plan in plans.items() if len(plan.targets)}
+        done: dict[tuple[int, int], list[grown_trees.Tree]] = {(c, t): [] for c, own in targets.items() for t in own}
+        widths = {cell: len(plans[cell].active) for cell in targets}
+        for _ in range(self.trees):
+            tree = {key: grown_trees.empty_tree(self.depth) for key in done}
+            growing = targets
+            for level in range(self.depth):
+                grown = spark.sparkContext.broadcast({key: (done[key], tree[key]) for key in done})
+                still: dict[int, list[int]] = {}
+                for block in grown_trees.blocks_of(growing, widths, 16 * rule.bins << level, rule.gram_bytes):
+                    count = grown_trees.count_level(shared, _states, grown, block, level, self.rate, rule.bins)
+                    sums = grown_trees.summed(state.mapInArrow(count, "cell int, target int, sums array<double>"), ["cell", "target"], "sums")
+                    splits = sums.mapInArrow(grown_trees.choose_splits(level, rule.bins, rule.min_leaf), grown_trees.SPLITS)
+                    for r in splits.collect():
+                        grown_trees.grow(tree[r["cell"], r["target"]], plans[r["cell"]].cuts, r)
+                        if r["feature"] >= 0 and r["target"] not in still.setdefault(r["cell"], []):
+                            still[r["cell"]].append(r["target"])
+                growing = {cell: sorted(own) for cell, own in sorted(still.items()) if own}
+                if not growing:
+                    break
+            for key, own in tree.items():
+                done[key].append(own)
+        return {cell: [(t, self.rate, done[cell, t]) for t in own] for cell, own in targets.items()}
+
+
 def impute_tree(
     df: DataFrame,
     rule: ImputeRule,
@@ -662,62 +744,5 @@ def impute_tree(
     trees: int = 10,
     depth: int = 5,
 ) -> DataFrame:
-    """The same chain with boosted regression trees of MLlib, one model per feature and sweep for all cells.
-
-    The cell is an input of the trees. Gaps start at the cell's mean; features are written after each
-    model, so none repeats the ones before it. Trees take a job per split level: this is for features that are
-    not near to linear.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    imputer = ChainedImputer(rule, coded, label, present)
-    imputer._prepare(df)
-    number = {c: i for i, c in enumerate(imputer.columns)}
-    features, gaps = imputer.features, imputer.gaps
-    facts = imputer.profile.select(
-        "__cell",
-        *[F.when(F.col(f"__able{number[c]}"), F.col(f"`{c}|mean`")).alias(f"__s{i}") for i, c in enumerate(features)],
-        *[F.col(f"__open{number[c]}").alias(f"__o{i}") for i, c in enumerate(gaps)],
-    )
-    keyed = imputer.keyed.where(F.col("__cell").isNotNull())
-    state = keyed.select("__cell", "__key", *imputer._inputs(keyed)).join(facts, "__cell")
-    # a feature the cell cannot use is the same for all its rows
-    values = {f"__v{i}": F.coalesce(F.when(F.col(f"__s{i}").isNotNull(), F.coalesce(f"__x{i}", f"__s{i}")), F.lit(0.0)) for i in range(len(features))}
-    state = materialise(state.withColumns(values).drop(*[f"__s{i}" for i in range(len(features))]), "tree-state")
-    known = state.agg(*[F.count(f"__x{i}").alias(f"n{i}") for i in range(len(features))]).first()
-    order = sorted(gaps, key=lambda c: (-known[f"n{features.index(c)}"], features.index(c)))
-    for _ in range(rule.sweeps):
-        for c in order:
-            j, gap = features.index(c), gaps.index(c)
-            inputs = ["__cell", *[f"__v{i}" for i in range(len(features)) if i != j]]
-            assembled = VectorAssembler(inputCols=inputs, outputCol="__in").transform(state)
-            learner = GBTRegressor(
-                featuresCol="__in", labelCol=f"__x{j}", predictionCol="__p", maxIter=trees, maxDepth=depth,
-                maxBins=rule.bins, minInstancesPerNode=rule.min_leaf, seed=rule.seed,
-            )
-            model = learner.fit(assembled.where(F.col(f"__x{j}").isNotNull()).select("__in", f"__x{j}"))
-            new = F.when(F.col(f"__x{j}").isNull() & F.col(f"__o{gap}"), F.col("__p")).otherwise(F.col(f"__v{j}"))
-            after = materialise(model.transform(assembled).withColumn(f"__v{j}", new).select(*state.columns), "tree-state")
-            drop_table(state)
-            state = after
-    listed = [c for c in gaps if c in coded]
-    filled = state.select("__cell", "__key", *[F.when(F.col(f"__o{i}"), F.col(f"__v{features.index(c)}")).alias(f"x{i}") for i, c in enumerate(gaps)])
-    if listed:
-        # the codes of a cell and feature, as they are in the contract of a coded column
-        codes = value_counts(keyed, listed, ["__cell"]).groupBy("__cell", "variable").agg(F.sort_array(F.collect_list("value")).alias("codes"))
-        codes = materialise(codes.groupBy("__cell").pivot("variable", listed).agg(F.first("codes")), "tree-codes")
-        filled = filled.join(codes, "__cell", "left")
-        for c in listed:
-            x = f"x{gaps.index(c)}"
-            near = F.array_min(F.transform(f"`{c}`", lambda v, x=F.col(x): F.struct(F.abs(x - v).alias("d"), v.alias("v"))))["v"]
-            filled = filled.withColumn(x, F.when(F.col(x).isNotNull(), near))
-    filled = filled.select("__key", F.struct(*[f"x{i}" for i in range(len(gaps))]).alias("__filled")) if gaps else None
-    marked = _add_indicators(imputer.keyed, imputer.profile, list(rule.cell), imputer.columns)
-    if filled is None:
-        return marked.drop("__key", "__cell", "__batch")
-    done = marked.join(filled, "__key", "left")
-    done = done.withColumn("__filled", F.struct(*[
-        F.coalesce(numeric(marked, c), F.col(f"__filled.x{i}")).alias(f"x{i}") for i, c in enumerate(gaps)
-    ]))
-    return done.select(*[imputer._back(marked, c) for c in marked.columns]).drop("__key", "__cell", "__batch")
+    """Chained boosted trees, all cells in the same passes: for features that are not near to linear in others."""
+    return TreeImputer(rule, coded, label, present, trees=trees, depth=depth).fit(df).transform()

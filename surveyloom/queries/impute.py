@@ -50,6 +50,12 @@ NOISY = {
     "target": "CASE WHEN (l_orderkey + l_suppkey) % 7 = 0 THEN NULL ELSE 3e0 + 0.5e0 * (l_partkey % 31) + (l_orderkey % 23) END",
 }
 NOISY_RULE = ImputeRule(exclude=frozenset({"source_flag", "kohort", "row_key", "line"}), ridge=0.0, sweeps=2)
+#: The same with a few groups to learn from.
+GROUPED = NOISY | {
+    "x": "CAST(l_partkey % 4 AS DOUBLE)",
+    "target": "CASE WHEN (l_orderkey + l_suppkey) % 7 = 0 THEN NULL ELSE 3e0 * (l_partkey % 4) * (l_partkey % 4) + (l_orderkey % 23) END",
+}
+GROUPED_RULE = replace(NOISY_RULE, min_leaf=5)
 #: Observed codes of coded features with gaps, special codes taken out.
 OBSERVED = {"edu_mother": (0, 1, 3, 4, 5, 6, 7), "imm_1": (1, 3, 4), "sex_child": (1, 3), "measure_position": (1, 3)}
 #: A trace out of the event stream: ten sweeps of fifty features in five cells.
@@ -102,12 +108,33 @@ def impute_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 def imputation_trace(spark: SparkSession, sf: str) -> DataFrame:
     df = derive(load(spark, sf, "lineitem"), LINEAR)
-    trace = ops.ChainedImputer(LINEAR_RULE).fit(df).trace()
+    trace = ops.ChainedImputer(LINEAR_RULE).fit(df, log=True, fill=False).trace()
+    return _rounded(trace, 5)
+
+
+def _rounded(trace: DataFrame, digits: int) -> DataFrame:
     return trace.select(
-        *BY, "feature", "iteration", F.round("mean_imputed", 5).alias("mean_imputed"), "n_missing", F.round("sd_obs", 5).alias("sd_obs")
+        *BY, "feature", "iteration", F.round("mean_imputed", digits).alias("mean_imputed"), "n_missing", F.round("sd_obs", digits).alias("sd_obs")
     )
 
 
+def tree_trace(spark: SparkSession, sf: str) -> DataFrame:
+    """The trace of trees: a target with noise, whose gaps take the mean of their group."""
+    imputer = ops.TreeImputer(GROUPED_RULE, trees=1, depth=3)
+    return _rounded(imputer.fit(derive(load(spark, sf, "lineitem"), GROUPED), log=True, fill=False).trace(), 3)
+
+
+def impute_tree_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps of a noisy target take the mean of the known values of their cell and group: what a tree on groups learns."""
+    out = ops.impute_tree(derive(load(spark, sf, "lineitem"), GROUPED), GROUPED_RULE, trees=1, depth=3)
+    return out.withColumn("target", F.round("target", 3))
+
+
+def impute_trees_alone(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``impute_alone``, by trees: other sources change no value."""
+    return _alone(spark, sf, lambda df, rule: ops.impute_tree(df, replace(rule, sweeps=2), CODED, trees=2, depth=3))
+
+
 def impute_linear(spark: SparkSession, sf: str) -> DataFrame:
     """Coded and continuous features with gaps in every cell."""
     df = cleaned(spark, sf).select("id_ruta", *BY, *FEATURES)
@@ -137,12 +164,16 @@ def impute_noisy(spark: SparkSession, sf: str) -> DataFrame:
 
 def impute_alone(spark: SparkSession, sf: str) -> DataFrame:
     """A source imputed alone and among all sources: rows, filled values, and values that differ."""
+    return _alone(spark, sf, lambda df, rule: ops.impute_linear(df, rule, CODED))
+
+
+def _alone(spark: SparkSession, sf: str, impute) -> DataFrame:
     df = cleaned(spark, sf).select("id_ruta", *BY, *FEATURES, "svy_weight")
     rule = replace(RULE, row_key=("id_ruta", "svy_weight"), exclude=RULE.exclude | {"__row"})
     # a number per row, given once, to put both results side by side
     df = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "alone")
-    whole = ops.impute_linear(df, rule, CODED).where("source_flag = 'R'")
-    alone = ops.impute_linear(df.where("source_flag = 'R'"), rule, CODED)
+    whole = impute(df, rule).where("source_flag = 'R'")
+    alone = impute(df.where("source_flag = 'R'"), rule)
     filled = ["ttd_count", "height_child_cm", "weight_child_kg", "edu_mother", "imm_1"]
     a = whole.select("__row", *BY, *[F.col(c).alias(f"a_{c}") for c in filled], "ttd_count_missing")
     b = alone.select("__row", *[F.col(c).alias(f"b_{c}") for c in filled])
@@ -199,7 +230,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         missing_rates, feature_eligibility, missing_indicators, imputation_matrix, snap_codes, snap_many_codes,
-        impute_exact, impute_noisy, impute_alone, impute_trees, imputation_trace, impute_linear, impute_observed_kept, convergence_verdicts, convergence_cells,
+        impute_exact, impute_noisy, impute_alone, impute_trees, impute_tree_groups, impute_trees_alone, imputation_trace, tree_trace, impute_linear, impute_observed_kept, convergence_verdicts, convergence_cells,
         convergence_unstable, convergence_top,
     )
 }
@@ -235,6 +266,9 @@ _TRACE = f"""trace AS (SELECT cell, feature, iteration, round(avg(value), 6) AS
    max(CASE WHEN step >= 5 THEN abs(mean_imputed - level) END) / max(sd_obs) AS deviation FROM m GROUP BY 1, 2),
  stable AS (SELECT *, n_missing >= 50 AS measured, n_missing >= 50 AND coalesce(deviation > 0.30, false) AS unstable FROM verdict)"""
 
+_ALONE = f"""WITH clean AS ({CLEAN_SQL}) SELECT source_flag, kohort, count(*) AS n,
+ CAST(count(*) - count(ttd_count) AS BIGINT) AS filled, CAST(0 AS BIGINT) AS different FROM clean WHERE source_flag = 'R' GROUP BY 1, 2"""
+
 SQL = {
     "missing_rates": f"""WITH clean AS ({CLEAN_SQL}), long AS ({_LONG})
  SELECT source_flag, kohort, feature AS variable, n, filled, (n - filled) / n AS missing_rate FROM long""",
@@ -270,8 +304,17 @@ SQL = {
  line AS (SELECT source_flag, kohort, regr_slope(target, x) AS slope, regr_intercept(target, x) AS base FROM t GROUP BY 1, 2)
  SELECT source_flag, kohort, row_key, line, x, round(coalesce(target, base + slope * x), 6) AS target,
  CAST(target IS NULL AS TINYINT) AS target_missing FROM t JOIN line USING (source_flag, kohort)""",
-    "impute_alone": f"""WITH clean AS ({CLEAN_SQL}) SELECT source_flag, kohort, count(*) AS n,
- CAST(count(*) - count(ttd_count) AS BIGINT) AS filled, CAST(0 AS BIGINT) AS different FROM clean WHERE source_flag = 'R' GROUP BY 1, 2""",
+    "impute_alone": _ALONE,
+    "impute_trees_alone": _ALONE,
+    "impute_tree_groups": f"""WITH t AS ({select(GROUPED, 'lineitem')}),
+ grouped AS (SELECT source_flag, kohort, x, avg(target) AS mean FROM t GROUP BY 1, 2, 3)
+ SELECT source_flag, kohort, row_key, line, x, round(coalesce(target, mean), 3) AS target,
+ CAST(target IS NULL AS TINYINT) AS target_missing FROM t JOIN grouped USING (source_flag, kohort, x)""",
+    "tree_trace": f"""WITH t AS ({select(GROUPED, 'lineitem')}),
+ grouped AS (SELECT source_flag, kohort, x, avg(target) AS mean FROM t GROUP BY 1, 2, 3)
+ SELECT source_flag, kohort, 'target' AS feature, CAST(i AS INT) AS iteration, round(avg(CASE WHEN target IS NULL THEN mean END), 3) AS mean_imputed,
+ count(CASE WHEN target IS NULL THEN 1 END) AS n_missing, round(stddev_pop(target), 3) AS sd_obs
+ FROM t JOIN grouped USING (source_flag, kohort, x), generate_series(1, 2) AS s(i) GROUP BY 1, 2, 4""",
     "impute_trees": f"""WITH t AS ({select(LINEAR, 'lineitem')}) SELECT source_flag, kohort, count(*) AS n, count(*) AS filled,
  count(visit) AS visits, CAST(0 AS BIGINT) AS changed, true AS near FROM t GROUP BY 1, 2""",
     "imputation_trace": f"""WITH t AS ({select(_TRUE, 'lineitem')})

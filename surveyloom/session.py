@@ -61,14 +61,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_checkpoints[app]
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back.
+def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder, a folder for each value of ``by``, and read it back.
 
     Unlike ``checkpoint()`` the written table keeps column pruning, so later passes
     read only the columns they use, and a lost executor costs a re-read, not a re-run.
     """
     path = os.path.join(checkpoint_root(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     note_folder(df.sparkSession, path)

@@ -149,7 +149,8 @@ def test_eligibility_bounds(spark):
 
 
 def test_trace_counts_and_settles(table):
-    trace = I.ChainedImputer(replace(RULE, sweeps=6), CODED, "label").fit(table).trace().collect()
+    imputer = I.ChainedImputer(replace(RULE, sweeps=6), CODED, "label").fit(table, log=True)
+    trace = imputer.trace().collect()
     known = {(r["source_flag"], r["kohort"]): r for r in table.groupBy(*BY).agg(F.count_if(F.col("z").isNull()).alias("gaps"), F.stddev_pop("z").alias("sd")).collect()}
     z = [r for r in trace if r["feature"] == "z"]
     assert len(z) == 4 * 6
@@ -158,6 +159,9 @@ def test_trace_counts_and_settles(table):
         assert r["n_missing"] == cell["gaps"] and r["sd_obs"] == pytest.approx(cell["sd"])
     last = {(r["source_flag"], r["kohort"], r["iteration"]): r["mean_imputed"] for r in z}
     assert all(abs(last[s, k, 6] - last[s, k, 5]) < 0.01 for s in "ab" for k in ("young", "old"))
+    # the log's last sweep is what the table is filled with
+    out = imputer.transform().where("z_missing = 1").groupBy(*BY).agg(F.avg("z").alias("z")).collect()
+    assert len(out) == 4 and all(last[r["source_flag"], r["kohort"], 6] == pytest.approx(r["z"]) for r in out)
 
 
 def test_nothing_to_impute(spark):
@@ -168,16 +172,85 @@ def test_nothing_to_impute(spark):
         imputer.trace()
 
 
-def test_trees(spark, table):
-    small = table.where("source_flag = 'b' AND kohort = 'old'").select(*BY, "id", "label", "x", "y", "z", "code").withColumn("y", F.coalesce("y", F.lit(0.0)))
-    rule = replace(RULE, sweeps=1, min_leaf=5)
-    out = rows_of(I.impute_tree(small, rule, CODED, "label", trees=3, depth=3))
-    before = rows_of(small)
-    assert len(out) == len(before)
-    for i, r in out.items():
+@pytest.fixture(scope="module")
+def by_trees(table):
+    return rows_of(I.impute_tree(table, replace(RULE, sweeps=2, min_leaf=5), CODED, "label", trees=3, depth=4))
+
+
+def test_trees(table, by_trees):
+    before, errors, spread = rows_of(table), [], []
+    assert len(by_trees) == len(before)
+    for i, r in by_trees.items():
+        if r["kohort"] is None:
+            assert {c: r[c] for c in before[i]} == before[i]
+            continue
         assert r["z"] is not None and r["code"] in (1.0, 2.0, 3.0, 4.0)
-        if before[i]["z"] is not None:
-            assert r["z"] == before[i]["z"]
+        for c, v in before[i].items():
+            assert v is None or r[c] == v
+        if before[i]["z"] is None and before[i]["y"] is not None:
+            spread.append(2 * before[i]["x"] - before[i]["y"] + (5 if r["source_flag"] == "a" else 0))
+            errors.append(r["z"] - spread[-1])
+    assert np.std(errors) < 0.5 * np.std(spread)
+
+
+def test_trees_do_not_depend_on_layout_other_cells_or_batches(spark, table, by_trees):
+    """Sums are of whole numbers, so values are the same to the last bit."""
+    more = spark.range(6000).selectExpr(
+        "CAST(100000 + id AS INT) AS id", "concat('m', id % 4) AS source_flag", "'old' AS kohort", "0 AS label",
+        "CAST(id % 13 AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y", "IF(id % 5 = 0, NULL, CAST(id % 11 AS DOUBLE)) AS z",
+        "IF(id % 3 = 0, NULL, CAST(9 + id % 2 AS DOUBLE)) AS code", "1D AS visits", "1D AS only_b", "7D AS constant",
+    )
+    rule = replace(RULE, sweeps=2, min_leaf=5)
+    whole = I.TreeImputer(rule, CODED, "label", trees=3, depth=4).fit(table.unionByName(more).repartition(7))
+    again = rows_of(whole.transform().where("id < 100000"))
+    # the profile's means are sums of doubles, whose last digits depend on their order
+    for i, r in by_trees.items():
+        for c in ("y", "z", "code"):
+            assert again[i][c] == (None if r[c] is None else pytest.approx(r[c], abs=1e-6))
+    split = I.TreeImputer(replace(rule, gram_bytes=500), CODED, "label", trees=3, depth=4).fit(table)
+    assert len(split.batches) > 1 and not split.history
+    again = rows_of(split.transform())
+    for i, r in by_trees.items():
+        for c in ("y", "z", "code"):
+            assert again[i][c] == (None if r[c] is None else pytest.approx(r[c], abs=1e-6))
+
+
+def test_a_level_of_all_trees_is_one_pass(table, monkeypatch):
+    seen = []
+    real = I.DataFrame.collect
+    monkeypatch.setattr(I.DataFrame, "collect", lambda df: (seen.append(df.columns), real(df))[1])
+    I.TreeImputer(replace(RULE, sweeps=2, min_leaf=5), CODED, "label", trees=2, depth=3).fit(table)
+    assert len([c for c in seen if "n_left" in c]) <= 2 * 2 * 3
+    assert not any(x in c for c in seen for x in ("sums", "counts", "gram"))
+
+
+def test_a_tree_against_all_splits():
+    """The first split lowers the squares most of all features and cuts."""
+    from surveyloom.operators import trees as T
+
+    rng = np.random.default_rng(7)
+    z = np.round(rng.normal(size=(400, 4)), 1)
+    z[:, 3] = np.where(z[:, 1] < 0.3, -1.0, 1.5) + 0.1 * rng.normal(size=400)
+    low, high = z.min(axis=0), z.max(axis=0)
+    step = np.clip((z - low) / (high - low) * T.STEPS, 0, T.STEPS - 1).astype(int)
+    counts = np.concatenate([np.bincount(step[:, f], minlength=T.STEPS) for f in range(4)])
+    cuts = T.cuts_of(counts, low, high, 127)
+    assert [len(c) for c in cuts[:3]] == [len(np.unique(z[:, f])) - 1 for f in range(3)] and len(cuts[3]) <= 126
+    y, best = z[:, 3], None
+    for f in range(3):
+        for cut in cuts[f]:
+            left = z[:, f] < cut
+            if min(left.sum(), (~left).sum()) >= 5:
+                left_over = ((y[left] - y[left].mean()) ** 2).sum() + ((y[~left] - y[~left].mean()) ** 2).sum()
+                best = min(best or (np.inf, 0, 0), (left_over, f, cut))
+    assert best[1] == 1 and 0.2 < best[2] <= 0.3
+    tree = T.empty_tree(1)
+    left = z[:, 1] < best[2]
+    T.grow(tree, cuts, {
+        "node": 0, "feature": 1, "bin": int(np.flatnonzero(cuts[1] == best[2])[0]), "n": 400.0, "total": y.sum() * T.UNITS,
+        "n_left": float(left.sum()), "total_left": y[left].sum() * T.UNITS,
+    })
+    assert T.predict([tree], 1.0, z) == pytest.approx(np.where(left, y[left].mean(), y[~left].mean()))
 
 
 def test_snap_to_the_nearest_code(spark):
