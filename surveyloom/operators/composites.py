@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyloom.functions.columns import double, number, numeric, rewrite
 from surveyloom.session import join_small
@@ -41,35 +43,126 @@ def all_equal(values: Sequence[str], code: float = 1.0) -> str:
     return f"CAST({' AND '.join(f'({v}) <=> {double(code)}' for v in values)} AS BIGINT)"
 
 
-def first_moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows and column means per group."""
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(numeric(df, c)).alias(f"mean_{c}") for c in columns]
-    )
+def _shifted(p: tuple, centre: np.ndarray) -> tuple:
+    """The same partial moments about another centre."""
+    n, old, both, sums, products = p
+    d = np.where(np.diag(both) > 0, old - centre, 0.0)
+    moved = products + d[:, None] * sums.T + d[None, :] * sums + both * np.outer(d, d)
+    return n, centre, both, sums + both * d[:, None], moved
+
+
+def _merged(parts: Iterable[tuple]) -> tuple:
+    """Partial moments of all rows of several; about the mean of their centres, so that no digits are lost."""
+    parts = list(parts)
+    known = np.array([np.diag(p[2]) for p in parts])
+    centres = np.array([p[1] for p in parts])
+    total = known.sum(axis=0)
+    far = np.where(known > 0, centres, np.inf).min(axis=0)
+    far = np.where(np.isfinite(far), far, 0.0)
+    centre = far + np.where(known > 0, known * (centres - far), 0.0).sum(axis=0) / np.maximum(total, 1)
+    moved = [_shifted(p, centre) for p in parts]
+    return (sum(p[0] for p in parts), centre, *(sum(p[i] for p in moved) for i in (2, 3, 4)))
+
+
+def _of_rows(x: np.ndarray) -> tuple:
+    """Of a block of rows: their number, a centre, and by pair of columns the rows that know both, the sum of the first one's
+    distances from the centre over these, and the sum of the products of both distances."""
+    known = ~np.isnan(x)
+    n = known.sum(axis=0)
+    low = np.where(n > 0, np.where(known, x, np.inf).min(axis=0, initial=np.inf), 0.0)
+    centre = low + np.where(known, x - low, 0.0).sum(axis=0) / np.maximum(n, 1)
+    off, mask = np.where(known, x - centre, 0.0), known.astype(float)
+    return len(x), centre, mask.T @ mask, off.T @ mask, off.T @ off
+
+
+def _packed(p: tuple) -> bytes:
+    return np.concatenate([[float(p[0])], *(x.ravel() for x in p[1:])]).tobytes()
+
+
+def _unpacked(body: bytes, k: int) -> tuple:
+    values = np.frombuffer(body, np.float64)
+    n, centre, rest = int(values[0]), values[1 : k + 1], values[k + 1 :].reshape(3, k, k)
+    return n, centre, *rest
+
+
+def _count(by: int, k: int):
+    """Partial moments of a task's rows, by the first ``by`` columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, tuple] = {}
+        for batch in batches:
+            code = np.zeros(batch.num_rows, dtype=np.int64)
+            for i in range(by):
+                own = batch.column(i).dictionary_encode(null_encoding="encode")
+                code = code * len(own.dictionary) + own.indices.to_numpy()
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[by:]]).astype(float)
+            for c in np.unique(code):
+                rows = np.flatnonzero(code == c)
+                key = tuple(batch.column(i)[int(rows[0])].as_py() for i in range(by))
+                part = _of_rows(x[rows])
+                total[key] = _merged([total[key], part]) if key in total else part
+        if total:
+            keys = [pa.array([key[i] for key in total], batch.schema.field(i).type) for i in range(by)]
+            body = pa.array([_packed(p) for p in total.values()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*keys, body], [*batch.schema.names[:by], "part"])
+
+    return run
+
+
+def _add_up(by: int, k: int):
+    """A list of partial moments as one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [[_unpacked(b, k) for b in parts] for parts in batch.column(by).to_pylist()]
+            body = pa.array([_packed(_merged(parts)) for parts in lists], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:by], body], [*batch.schema.names[:by], "part"])
+
+    return run
+
+
+def _in_columns(by: int, columns: Sequence[str]):
+    """Means and covariances from partial moments; unknown means null."""
+    k = len(columns)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for body in batch.column(by).to_pylist():
+                p = _unpacked(body, k)
+                known = np.diag(p[2])
+                mean = p[1] + np.diag(p[3]) / np.maximum(known, 1)
+                products = _shifted(p, mean)[4]
+                means = [float(m) if n else None for m, n in zip(mean, known, strict=True)]
+                rows.append([p[0], *means, *(float(products[i, j]) / p[0] for i, j in pairs)])
+            kinds = [pa.int64(), *[pa.float64()] * (k + len(pairs))]
+            found = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            names = ["n", *[f"mean_{c}" for c in columns], *[f"cov_{columns[i]}__{columns[j]}" for i, j in pairs]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:by], *found], [*batch.schema.names[:by], *names])
+
+    return run
 
 
 def cross_moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Per group the covariances of the columns about their means, nulls set to the mean.
 
-    Two passes, because centring first keeps the sums exact for any scale. Both shuffle
-    only one partial row per task and group. Columns: n, mean_<a> and cov_<a>__<b>.
+    One pass: a task keeps its rows' moments about a centre of its own, and what tasks found is moved to a common centre
+    and added up, in two levels, so sums are exact for any scale and a task receives few of them. Columns: n,
+    mean_<a> and cov_<a>__<b>.
     """
-    means = first_moments(df, columns, by)
-    values = df.select(*by, *[numeric(df, c).alias(c) for c in columns])
-    if by:
-        centred = join_small(values, means.drop("n"), on=list(by), how="inner")
-    else:
-        row = means.first()
-        centred = values.withColumns(
-            {f"mean_{c}": F.lit(row[f"mean_{c}"]).cast("double") for c in columns}
-        )
-    off = {c: F.coalesce(F.col(c) - F.col(f"mean_{c}"), F.lit(0.0)) for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    return centred.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.first(f"mean_{c}").alias(f"mean_{c}") for c in columns],
-        *[F.avg(off[a] * off[b]).alias(f"cov_{a}__{b}") for a, b in pairs],
-    )
+    k, columns = len(columns), list(columns)
+    values = df.select(*by, *[numeric(df, c).cast("double").alias(c) for c in columns])
+    keys = T.StructType(values.schema.fields[: len(by)])
+    one = T.StructType([*keys.fields, T.StructField("part", T.BinaryType())])
+    parts = values.mapInArrow(_count(len(by), k), one)
+    for extra in ([(F.spark_partition_id() % 64).alias("slot")], []):
+        lists = parts.groupBy(*by, *extra).agg(F.collect_list("part").alias("parts"))
+        parts = lists.select(*by, "parts").where("size(parts) > 0").mapInArrow(_add_up(len(by), k), one)
+    numbers = [T.StructField("n", T.LongType())]
+    numbers += [T.StructField(f"mean_{c}", T.DoubleType()) for c in columns]
+    numbers += [T.StructField(f"cov_{a}__{b}", T.DoubleType()) for i, a in enumerate(columns) for b in columns[i:]]
+    return parts.mapInArrow(_in_columns(len(by), columns), T.StructType([*keys.fields, *numbers]))
 
 
 def index_weights(moments: DataFrame, columns: Sequence[str], by: Sequence[str], orient: str) -> DataFrame:
@@ -117,7 +210,7 @@ def index_weights(moments: DataFrame, columns: Sequence[str], by: Sequence[str],
 def wealth_weights(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), orient: str = "code_sum"
 ) -> DataFrame:
-    """Centre and slope of every column per group, from two passes over these columns only."""
+    """Centre and slope of every column per group, from one pass over these columns only."""
     return index_weights(cross_moments(df, columns, by), columns, by, orient)
 
 
@@ -130,7 +223,8 @@ def wealth_score(
         joined = join_small(df, named, on=list(by), how="left")
     else:
         row = weights.first()
-        joined = df.withColumns({f"__{n}": F.lit(list(row[n])).cast("array<double>") for n in ("centre", "slope")})
+        found = {n: F.lit(list(row[n]) if row else None).cast("array<double>") for n in ("centre", "slope")}
+        joined = df.withColumns({f"__{n}": column for n, column in found.items()})
     score = reduce(
         add,
         [

@@ -10,6 +10,8 @@ from surveyloom.operators import composites as ops
 from surveyloom.queries.base import SURVEY_SQL, survey
 
 ASSETS = ("asset_a", "asset_b", "asset_c", "asset_d")
+#: Squares of values this size have no digits left for what differs between rows.
+FAR = 1e9
 
 
 def _values(df: DataFrame, *names: str):
@@ -41,12 +43,20 @@ def wealth_moments(spark: SparkSession, sf: str) -> DataFrame:
     return moments.select("source_flag", "n", *[F.round(c, 6).alias(c) for c in moments.columns[2:]])
 
 
+def wealth_moments_far(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of columns far from zero, each unknown in some rows."""
+    far = survey(spark, sf).select("source_flag", *[(F.col(a) + FAR).alias(a) for a in ASSETS])
+    moments = ops.cross_moments(far, ASSETS, ["source_flag"])
+    means = [F.round(F.col(f"mean_{a}") - FAR, 6).alias(f"mean_{a}") for a in ASSETS]
+    return moments.select("source_flag", "n", *means, *[F.round(c, 6).alias(c) for c in moments.columns if c.startswith("cov_")])
+
+
 def wealth_index(spark: SparkSession, sf: str) -> DataFrame:
     scored = ops.wealth_index(survey(spark, sf), ASSETS, by=["source_flag"])
     return scored.select("source_flag", "id_ruta", *ASSETS, F.round("wealth_index", 6).alias("wealth_index"))
 
 
-QUERIES = {f.__name__: f for f in (row_sum, row_count_of, threshold_flag, all_equal_flag, wealth_moments, wealth_index)}
+QUERIES = {f.__name__: f for f in (row_sum, row_count_of, threshold_flag, all_equal_flag, wealth_moments, wealth_moments_far, wealth_index)}
 
 _PAIRS = [(a, b) for i, a in enumerate(ASSETS) for b in ASSETS[i:]]
 _OFF = {a: f"coalesce({a} - mean_{a}, 0)" for a in ASSETS}
@@ -91,6 +101,8 @@ SQL = {
     "all_equal_flag": f"""SELECT id_ruta, imm_1, imm_2, CAST(coalesce(imm_1 = 1, false) AND coalesce(imm_2 = 1, false) AS BIGINT)
  AS imunisasi_lengkap FROM ({SURVEY_SQL})""",
     "wealth_moments": f"""WITH {moments_sql(SURVEY_SQL)} SELECT source_flag, n, {', '.join(f'round(mean_{a}, 6) AS mean_{a}' for a in ASSETS)},
+ {', '.join(f'round(cov_{a}__{b}, 6) AS cov_{a}__{b}' for a, b in _PAIRS)} FROM moments""",
+    "wealth_moments_far": f"""WITH {moments_sql(SURVEY_SQL)} SELECT source_flag, n, {', '.join(f'round(mean_{a}, 6) AS mean_{a}' for a in ASSETS)},
  {', '.join(f'round(cov_{a}__{b}, 6) AS cov_{a}__{b}' for a, b in _PAIRS)} FROM moments""",
     "wealth_index": f"""WITH RECURSIVE {moments_sql(SURVEY_SQL)}, {weights_sql()}
  SELECT source_flag, id_ruta, {', '.join(ASSETS)}, round({SCORE}, 6) AS wealth_index
