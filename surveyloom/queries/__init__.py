@@ -18,10 +18,11 @@ from surveyloom.queries import (
     indices,
     mapping,
     storage,
+    stored,
 )
 
 MODULES = (
-    availability, storage, mapping, cleaning, indices, composites, impute, combine, audit, contract, harmonised,
+    availability, storage, mapping, cleaning, indices, composites, impute, combine, audit, contract, harmonised, stored,
 )
 
 
