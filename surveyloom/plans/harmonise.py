@@ -6,10 +6,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.functions.columns import number, rewrite
+from surveyloom.functions.columns import number, outside, rewrite
 from surveyloom.operators import availability, cleaning, combine, composites, indices, mapping
 from surveyloom.operators.impute import impute_linear, impute_tree
 from surveyloom.session import materialise
@@ -20,6 +20,37 @@ from surveyloom.specs import Encoding, Profile
 MODES = ("parity", "clean")
 
 
+class Watch:
+    """Counts of the stages, filled by the job that evaluates their rows anyway: no scan is added for them.
+
+    A frame that is watched has to be evaluated, once, before ``counts`` is asked.
+    """
+
+    def __init__(self) -> None:
+        self.seen: list[tuple[str, str, Observation]] = []
+
+    def ranges(self, df: DataFrame, source: str, ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
+        """Rows of a source, and by variable its values outside their range."""
+        here = [c for c in ranges if c in df.columns]
+        out = [F.count_if(F.expr(outside(number(df, c), *ranges[c]))).alias(c) for c in here]
+        return self._watched(df, "outside", source, [F.count(F.lit(1)).alias("rows"), *out])
+
+    def labels(self, df: DataFrame, source: str, score: str, label: str) -> DataFrame:
+        """Rows with a valid score, and rows with a positive label."""
+        counts = [F.count(score).alias("valid"), F.count_if(F.col(label) == 1).alias("positive")]
+        return self._watched(df, "label", source, counts)
+
+    def _watched(self, df: DataFrame, stage: str, source: str, counts: list) -> DataFrame:
+        seen = Observation()
+        self.seen.append((stage, source, seen))
+        return df.observe(seen, *counts)
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """``stage, source, name, n``: a row per count."""
+        rows = [(stage, source, name, n) for stage, source, seen in self.seen for name, n in seen.get.items()]
+        return spark.createDataFrame(rows, "stage string, source string, name string, n long")
+
+
 @dataclass
 class Mapped:
     """All sources under standard names, with the outcome of the dictionary matching."""
@@ -86,11 +117,12 @@ def harmonise(
     profile: Profile,
     mode: str = "parity",
     impute: str | None = "linear",
+    watch: Watch | None = None,
 ) -> DataFrame:
     """All sources through all stages, stacked. ``impute`` is linear, tree or None.
 
-    What needs whole columns runs for all sources at once: the wealth index in two passes over
-    the assets, and the imputation of all cells. Each source keeps its own means, weights,
+    ``watch`` counts values out of range, valid scores and labels of each source as the rows pass. What needs whole columns
+    runs for all sources at once: the wealth index in one pass over the assets, and the imputation of all cells. Each source keeps its own means, weights,
     regressions and code lists, so no source learns from another.
     """
     if mode not in MODES:
@@ -104,6 +136,9 @@ def harmonise(
     raw = {s: columns for s, columns in assets.items() if len(columns) >= 3}
     frames = {}
     for s, df in prepared.items():
+        if watch is not None:
+            # only the rows that go on to the end are watched, not the passes over some of their columns
+            df = prepare_rows(watch.ranges(mapped[s], s, profile.ranges), s, names, profile, mode)
         copies = indices.growth_inputs(df, profile.measures)
         copies |= {f"__raw_{c}": number(df, c) for c in raw.get(s, ())}
         frames[s] = encode_rows(rewrite(df, copies), s, names, profile, mode)
@@ -111,6 +146,11 @@ def harmonise(
         s: [*df.columns, *profile.measures.flags, *([wealth] if s in raw else [])] for s, df in frames.items()
     }
     stacked = indices.score_growth(combine.stack(frames, tag), lms, profile.measures)
+    if watch is not None:
+        for s in frames:
+            here = F.col(tag) == s
+            own = {f"__{c}": F.when(here, F.col(c)) for c in ("haz_score", profile.measures.label)}
+            stacked = watch.labels(stacked.withColumns(own), s, "__haz_score", f"__{profile.measures.label}").drop(*own)
     stacked = cleaning.encode_binary(stacked, [profile.measures.label], profile.recodes, "")
     if raw:
         used = list(dict.fromkeys(f"__raw_{c}" for columns in raw.values() for c in columns))
@@ -127,16 +167,22 @@ def harmonise(
     return combine.fill_indicators(stacked)
 
 
-def finish(table: DataFrame, path: str, profile: Profile) -> str:
+def finish(table: DataFrame, path: str, profile: Profile, watch: Watch | None = None, keep_others: bool = False) -> str:
     """The last stage: the table by cell, the validation report, the variables one cohort lacks, and the encoding.
 
-    Written below ``path`` as ``table``, ``report``, ``gaps`` and ``encoding``; returns the table's folder.
+    Written below ``path`` as ``table``, ``report``, ``gaps`` and ``encoding``, with ``watch`` also ``counts``; returns the
+    table's folder. The table is evaluated once, to be written; the rest is read from what was written. ``keep_others``
+    replaces the cells the table has and reports on all.
     """
     tag, cohort = profile.source_column, profile.cohort
-    outputs.write_table(table, f"{path}/table", profile.impute.cell)
-    outputs.write_report(combine.validation_report(table, tag, cohort.output, profile.label), f"{path}/report")
+    spark, folder = table.sparkSession, f"{path}/table"
+    outputs.write_table(table, folder, profile.impute.cell, keep_others=keep_others)
+    written = spark.read.schema(table.schema).parquet(folder).select(*[f"`{c}`" for c in table.columns])
+    outputs.write_report(combine.validation_report(written, tag, cohort.output, profile.label), f"{path}/report")
     known = {tag, *profile.encoding["meta"], *profile.encoding["drop"]}
-    gaps = availability.structural_gaps(table, cohort.output, cohort.young, cohort.old, cohort.young_only, known)
+    gaps = availability.structural_gaps(written, cohort.output, cohort.young, cohort.old, cohort.young_only, known)
     outputs.write_report(gaps, f"{path}/gaps")
-    outputs.write_encoding(table.sparkSession, profile.encoding, f"{path}/encoding")
-    return f"{path}/table"
+    outputs.write_encoding(spark, profile.encoding, f"{path}/encoding")
+    if watch is not None:
+        outputs.write_report(watch.counts(spark), f"{path}/counts")
+    return folder

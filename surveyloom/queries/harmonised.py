@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.operators.combine import cell_counts
 from surveyloom.plans.availability import availability as availability_plan
 from surveyloom.plans.convergence import check_convergence
-from surveyloom.plans.harmonise import harmonise
+from surveyloom.plans.harmonise import Watch, finish, harmonise
 from surveyloom.queries.base import SURVEY, SURVEY_SQL, survey
 from surveyloom.queries.composites import ASSETS, SCORE, moments_sql, weights_sql
 from surveyloom.queries.indices import lms_table, scores_sql
+from surveyloom.session import checkpoint_root
+from surveyloom.sources.tables import read_source
 from surveyloom.specs import CohortRule, Composites, Encoding, ImputeRule, Profile, Recodes
 
 SOURCES = ("A", "N", "R")
@@ -104,6 +109,20 @@ def harmonised_imputed(spark: SparkSession, sf: str) -> DataFrame:
     return harmonise(raw_sources(spark, sf), spec(spark), lms_table(spark), PROFILE)
 
 
+def harmonise_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stages count of each source while the table is written: values out of range, valid scores, labels."""
+    watch, path = Watch(), os.path.join(checkpoint_root(spark), f"counted-{uuid.uuid4().hex}")
+    rows = harmonise(raw_sources(spark, sf), spec(spark), lms_table(spark), PROFILE, impute=None, watch=watch)
+    finish(rows, path, PROFILE, watch)
+    return read_source(spark, f"{path}/counts", "csv", schema="stage string, source string, name string, n bigint")
+
+
+def convergence_of_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """The verdict on chained trees: small ones, and of fewer sweeps than the lines take."""
+    rows = harmonise(raw_sources(spark, sf), spec(spark), lms_table(spark), PROFILE, impute=None)
+    return check_convergence(rows, PROFILE, sweeps=4, impute="tree", trees=1, depth=3).features
+
+
 def harmonised_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and labels per cell of the imputed table: imputation adds, loses and labels none."""
     cells = cell_counts(harmonised_imputed(spark, sf), ["source_flag", "kohort"], "stunting_binary")
@@ -125,7 +144,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         harmonised_rows, harmonised_clean_mode, harmonised_imputed, harmonised_cells, availability_of_sources,
-        convergence_of_sources,
+        convergence_of_sources, convergence_of_trees, harmonise_counts,
     )
 }
 
@@ -218,7 +237,17 @@ _AVAILABLE = f"""WITH aged AS (SELECT *, CASE WHEN age_child_months < 24 THEN 'b
  CASE {_sources_with('baduta')} WHEN 3 THEN 'kuat' WHEN 2 THEN 'sebagian' WHEN 1 THEN 'lemah' ELSE 'tidak' END AS lintas_sumber_baduta
  FROM wide"""
 
+_OUTSIDE = " UNION ALL ".join(
+    f"SELECT 'outside', source_flag, '{c}', count(CASE WHEN {c} < {lo} OR {c} > {hi} THEN 1 END) FROM ({SURVEY_SQL}) GROUP BY 2"
+    for c, (lo, hi) in PROFILE.ranges.items()
+)
+
 SQL = {
+    "harmonise_counts": f"""WITH {_PREPARED}, {scores_sql('SELECT * FROM masked')}
+ SELECT 'outside' AS stage, source_flag AS source, 'rows' AS name, count(*) AS n FROM ({SURVEY_SQL}) GROUP BY 2
+ UNION ALL {_OUTSIDE}
+ UNION ALL SELECT 'label', source_flag, 'valid', count(haz_score) FROM scored GROUP BY 2
+ UNION ALL SELECT 'label', source_flag, 'positive', count(CASE WHEN stunting_binary = 1 THEN 1 END) FROM scored GROUP BY 2""",
     "availability_of_sources": _AVAILABLE,
     "harmonised_rows": f"{_HARMONISED} SELECT * FROM encoded",
     "harmonised_clean_mode": f"""WITH RECURSIVE {_PREPARED}, cleared AS (SELECT * REPLACE ({_ALL_CLEARED}) FROM masked),

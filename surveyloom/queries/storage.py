@@ -30,6 +30,18 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_source(spark, path).withColumn("o_orderdate", F.unix_micros(F.col("o_orderdate").cast("timestamp")))
 
 
+def one_source_again(spark: SparkSession, sf: str) -> DataFrame:
+    """A table by cell of which one source is written again, changed; the others' folders stay."""
+    path = _fresh(spark, "again")
+    rows = load(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderstatus").alias("source_flag"), F.col("o_orderpriority").alias("kohort"), "o_totalprice"
+    )
+    write_table(rows, path)
+    changed = rows.where("source_flag = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    write_table(changed, path, keep_others=True)
+    return read_source(spark, path)
+
+
 def csv_report_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = _fresh(spark, "report")
     write_report(load(spark, sf, "customer"), path)
@@ -121,7 +133,7 @@ def last_stage(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        table_round_trip, csv_report_round_trip, csv_numbers_from_text, json_round_trip, orc_round_trip,
+        table_round_trip, one_source_again, csv_report_round_trip, csv_numbers_from_text, json_round_trip, orc_round_trip,
         dictionary_long, growth_files, encoding_file, value_labels, last_stage,
     )
 }
@@ -129,6 +141,8 @@ QUERIES = {
 SQL = {
     "table_round_trip": """SELECT o_orderkey, o_custkey, o_orderstatus AS source_flag, o_orderpriority AS kohort,
  o_totalprice, epoch_us(o_orderdate) AS o_orderdate FROM orders""",
+    "one_source_again": """SELECT o_orderkey, o_orderstatus AS source_flag, o_orderpriority AS kohort,
+ CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders""",
     "csv_report_round_trip": "SELECT * FROM customer",
     "csv_numbers_from_text": """SELECT CAST(s_suppkey AS DOUBLE) AS s_suppkey, s_name,
  CAST(s_nationkey AS DOUBLE) AS s_nationkey, s_acctbal FROM supplier""",
