@@ -6,7 +6,8 @@ length and place, and probes the indexes of its own and the next smaller lengths
 the substrings an equal segment may be. Whatever meets and has nearly the same bag of
 characters is compared exactly, with one bit per diagonal of the band.
 
-Index entries and probes of many lines travel together, by ranges of the entry's hash.
+Index entries and probes of many lines travel together, by ranges of the entry's hash. Lines are taken for equal
+if 128 bits agree, of hashes that mix every character before it is summed.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ RANGES = 64
 #: Pairs looked at in one go by the bag filter, and characters of a batch of comparisons.
 PAIRS = 1 << 18
 CELLS = 2 << 20
+#: Characters, or sums of characters, summed before they are mixed.
+BLOCK = 64
 #: Characters of text worked on at a time.
 CHUNK_CHARS = 1 << 18
 
@@ -43,13 +46,25 @@ CHUNK_CHARS = 1 << 18
 class LineRule:
     """Lines of ``least`` characters and more are the same within ``edits``.
 
-    With ``short``, shorter ones that are not blank are the same if they are equal; without, they are left alone.
+    With ``short``, shorter ones that are not blank are the same within fewer edits, in proportion to their length (by
+    default one from 20 characters on, none below); without, they are left alone.
     """
 
     edits: int = 2
     least: int = 40
     short: bool = False
 
+    def tiers(self) -> list[tuple[int, int, int]]:
+        """``(edits, shortest, longest)`` of the lines compared within so many edits; a pair goes by its shorter line."""
+        low = [-(-self.least * k // max(self.edits, 1)) for k in range(1, self.edits + 1)]
+        ends = [*(n - 1 + k for k, n in enumerate(low[1:], 1)), 1 << 62]
+        found = [(k, n, end) for k, (n, end) in enumerate(zip(low, ends, strict=True), 1)]
+        return found if self.short else found[-1:]
+
+    def allowed(self, size: int) -> int:
+        """Edits within which lines are the same whose shorter one has so many characters."""
+        return min(self.edits, size * self.edits // self.least) if self.short or size >= self.least else 0
+
 
 _powers: list[np.ndarray] = []
 
@@ -83,9 +98,25 @@ class Lines:
         back = _power_tables(len(self.sums))[1]
         return (self.sums[at + size] - self.sums[at]) * back[at]
 
-    def ids(self) -> np.ndarray:
+    def ids(self, seed: int = 0) -> np.ndarray:
+        """64 bits of each line: characters are mixed, summed in blocks, and blocks' sums mixed and summed again."""
         size = self.ends - self.starts
-        return mix(self.substring(self.starts, size) ^ mix(size.astype(U64)))
+        count = np.maximum(size, 1)
+        begin = np.cumsum(count) - count
+        at = np.arange(int(count.sum())) - np.repeat(begin, count) + np.repeat(self.starts, count)
+        values = mix(np.append(self.chars, np.uint32(0))[at].astype(U64) + U64(seed * 0x632BE59BD9B4E019 & (1 << 64) - 1))
+        values[begin[size == 0]] = 0
+        weights = _power_tables(BLOCK)[0][:BLOCK]
+        while len(count) and count.max() > 1:
+            begin = np.cumsum(count) - count
+            place = np.arange(len(values)) - np.repeat(begin, count)
+            first = np.flatnonzero(place % BLOCK == 0)
+            sums = mix(np.add.reduceat(values * weights[place % BLOCK], first) + U64(_BASE))
+            # a line that is one sum already does not depend on how long the others are
+            one, count = count == 1, -(-count // BLOCK)
+            sums[(np.cumsum(count) - count)[one]] = values[begin[one]]
+            values = sums
+        return mix(values ^ mix(size.astype(U64)))
 
     def bags(self) -> np.ndarray:
         """How often characters of 16 kinds occur, four bits each, as one wrapping sum."""
@@ -139,7 +170,7 @@ def entries(lines: Lines, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray,
     size = lines.ends - lines.starts
 
     def keyed(which, at, own, length, i):
-        return mix(lines.substring(lines.starts[which] + at, own) ^ mix(length.astype(U64) * U64(64) + U64(i)))
+        return mix(lines.substring(lines.starts[which] + at, own) ^ mix(length.astype(U64) * U64(64) + U64(i + 8 * edits)))
 
     everything = np.arange(len(size))
     starts, sizes = _segments(size, edits)
@@ -175,21 +206,21 @@ def _listed(texts: list[str], rule: LineRule) -> Iterator[Lines]:
 
 
 def _list(rule: LineRule):
-    """Ids of the listed lines of each text, with their numbers."""
+    """Ids of the listed lines of each text, two each, with their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             n = batch.num_rows
-            ids, numbers = [b""] * n, [b""] * n
+            ids, checks, numbers = [b""] * n, [b""] * n, [b""] * n
             for lines in _listed(_texts(batch.column(2)), rule):
                 cut = np.flatnonzero(np.append(True, lines.row[1:] != lines.row[:-1])[: len(lines.row)])
-                own = lines.ids()
+                own, other = lines.ids(), lines.ids(1)
                 for a, b in zip(cut, np.append(cut[1:], len(own)), strict=False):
-                    ids[lines.row[a]] = own[a:b].tobytes()
+                    ids[lines.row[a]], checks[lines.row[a]] = own[a:b].tobytes(), other[a:b].tobytes()
                     numbers[lines.row[a]] = lines.number[a:b].astype(np.int32).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(numbers, pa.binary())],
-                ["doc", "text_key", "ids", "numbers"],
+                [batch.column(0), batch.column(1), *(pa.array(x, pa.binary()) for x in (ids, checks, numbers))],
+                ["doc", "text_key", "ids", "checks", "numbers"],
             )
 
     return run
@@ -199,18 +230,20 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each listed line."""
     for batch in batches:
         ids = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(2)]
-        numbers = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(3)]
+        checks = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
+        numbers = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(4)]
         if not ids:
             continue
         count = [len(x) for x in ids]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate(ids)),
+                pa.array(np.concatenate(checks)),
                 pa.array(np.repeat(batch.column(0).to_numpy(), count)),
                 pa.array(np.repeat(batch.column(1).to_numpy(), count)),
                 pa.array(np.concatenate(numbers)),
             ],
-            ["id", "doc", "text_key", "line"],
+            ["id", "check", "doc", "text_key", "line"],
         )
 
 
@@ -236,14 +269,17 @@ def _index(rule: LineRule, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in slices(batches):
-            for lines in long_lines(_texts(batch.column(0)), rule.least):
+            tiers = rule.tiers()
+            for lines in long_lines(_texts(batch.column(0)), tiers[0][1] if tiers else 1 << 62):
                 ids, first = np.unique(lines.ids(), return_index=True)
                 bags = lines.bags()[first]
-                for name in ("starts", "ends"):
-                    setattr(lines, name, getattr(lines, name)[first])
-                for hashes, which, probe in entries(lines, rule.edits):
-                    parts.append((hashes, ids[which], bags[which], np.full(len(which), probe)))
-                    size += len(which)
+                starts, ends = lines.starts[first], lines.ends[first]
+                for edits, low, high in tiers:
+                    own = np.flatnonzero((ends - starts >= low) & (ends - starts <= high))
+                    lines.starts, lines.ends = starts[own], ends[own]
+                    for hashes, which, probe in entries(lines, edits):
+                        parts.append((hashes, ids[own[which]], bags[own[which]], np.full(len(which), probe)))
+                        size += len(which)
                 if size >= PACK:
                     yield from flush(parts)
                     parts, size = [], 0
@@ -356,12 +392,19 @@ def within(left: list[str], right: list[str], edits: int) -> np.ndarray:
     return out
 
 
-def _compare(edits: int):
+def _compare(rule: LineRule):
+    """Pairs of lines that are the same within the edits their shorter one allows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            if batch.num_rows:
-                mask = pa.array(within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), edits))
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            edits = np.array([rule.allowed(min(len(a), len(b))) for a, b in zip(left, right, strict=True)], dtype=int)
+            good = np.zeros(len(left), dtype=bool)
+            for k in np.unique(edits[edits > 0]):
+                at = np.flatnonzero(edits == k)
+                good[at] = within([left[i] for i in at], [right[i] for i in at], int(k))
+            mask = pa.array(good)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     return run
 
@@ -372,7 +415,7 @@ def _wanted(rule: LineRule, flags: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = _texts(batch.column(0))
-            for lines in long_lines(texts, rule.least):
+            for lines in long_lines(texts, rule.tiers()[0][1]):
                 ids = as_long(lines.ids())
                 hit = may_hold(flags, ids)
                 hit &= np.isin(np.arange(len(ids)), np.unique(ids, return_index=True)[1])
@@ -380,21 +423,27 @@ def _wanted(rule: LineRule, flags: np.ndarray):
                     lines.chars[a:b].tobytes().decode("utf-32-le", "surrogatepass")
                     for a, b in zip(lines.starts[hit], lines.ends[hit], strict=True)
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(found, pa.string())], ["id", "line_text"])
+                checks = pa.array(as_long(lines.ids(1))[hit])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), checks, pa.array(found, pa.string())], ["id", "check", "line_text"])
 
     return run
 
 
-CUT = "doc long, text_key long, n_lines long, n_removed long, removed array<int>, n_links long, kept_text string, kept_sha256 string"
+CUT = (
+    "doc long, text_key long, n_lines long, n_removed long, removed array<int>, class_doc array<bigint>, class_line array<int>, "
+    "n_links long, kept_text string, kept_sha256 string"
+)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        n_lines, removed, kept = [], [], []
+        n_lines, removed, of_doc, of_line, kept = [], [], [], [], []
         for text, drop in zip(_texts(batch.column("text")), batch.column("gone").to_pylist(), strict=True):
-            lines, gone = text.split("\n"), set(drop or ())
+            lines, gone = text.split("\n"), {g["line"]: g for g in drop or ()}
             n_lines.append(len(lines))
             removed.append(sorted(gone))
+            of_doc.append([None if gone[i]["class_doc"] == LAST else gone[i]["class_doc"] for i in removed[-1]])
+            of_line.append([gone[i]["class_line"] for i in removed[-1]])
             kept.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
         yield pa.RecordBatch.from_arrays(
             [
@@ -403,6 +452,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(n_lines, pa.int64()),
                 pa.array([len(x) for x in removed], pa.int64()),
                 pa.array(removed, pa.list_(pa.int32())),
+                pa.array(of_doc, pa.list_(pa.int64())),
+                pa.array(of_line, pa.list_(pa.int32())),
                 batch.column("n_links").fill_null(0),
                 pa.array(kept, pa.string()),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in kept], pa.string()),
@@ -417,13 +468,13 @@ LAST = np.iinfo(np.int64).max
 
 
 def line_classes(docs: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame:
-    """Every listed line that is not the first of its class.
+    """Every listed line that is not the first of its class, and first ones that are linked with other lines.
 
     ``docs`` has ``doc, text_key, text``. Returns ``doc, text_key, line, class_doc, class_line, n_links``:
     the class's first line and how many other distinct lines are within the threshold of this one.
     """
-    listed = scratch.keep(docs.mapInArrow(_list(rule), "doc long, text_key long, ids binary, numbers binary"), "listed")
-    lines = listed.mapInArrow(_occurrences, "id long, doc long, text_key long, line int")
+    listed = scratch.keep(docs.mapInArrow(_list(rule), "doc long, text_key long, ids binary, checks binary, numbers binary"), "listed")
+    lines = listed.mapInArrow(_occurrences, "id long, check long, doc long, text_key long, line int")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(RANGES, -(-size // RANGE_BYTES))
     packs = docs.select("text").mapInArrow(_index(rule, ranges), PACKED)
@@ -431,28 +482,31 @@ def line_classes(docs: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame
     pairs = scratch.keep(pairs, "pairs")
     left, right = (pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b"))
     ids = scratch.keep(left.unionByName(right).distinct(), "ids")
-    texts = docs.select("text").mapInArrow(_wanted(rule, filter_of(ids)), "id long, line_text string")
-    texts = scratch.keep(
-        texts.join(ids, "id", "left_semi").groupBy("id").agg(F.first("line_text").alias("line_text")), "texts"
-    )
+    texts = docs.select("text").mapInArrow(_wanted(rule, filter_of(ids)), "id long, check long, line_text string")
+    # should two lines have one id, the one compared is the one whose class this is
+    texts = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("check", "line_text")).alias("row"))
+    texts = scratch.keep(texts.select("id", "row.*"), "texts")
     x = texts.select(F.col("id").alias("a"), F.col("line_text").alias("p"))
     y = texts.select(F.col("id").alias("b"), F.col("line_text").alias("q"))
     half = scratch.keep(pairs.join(y, "b"), "half")
-    links = half.join(x, "a").select("a", "b", "p", "q").mapInArrow(_compare(rule.edits), "a long, b long")
+    links = half.join(x, "a").select("a", "b", "p", "q").mapInArrow(_compare(rule), "a long, b long")
     links = scratch.keep(links, "links")
-    scratch.drop("pairs", "ids", "texts", "half")
+    scratch.drop("pairs", "ids", "half")
     parts = connected(links, scratch, "line-parts")
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    parts = parts.join(degree, "node", "left")
+    parts = parts.join(degree, "node", "left").join(texts.select(F.col("id").alias("node"), "check"), "node")
     place = F.struct("doc", "line")
-    seen = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("times"))
-    seen = seen.join(parts.withColumnRenamed("node", "id"), "id", "left")
-    seen = scratch.keep(seen.where("times > 1 or part is not null").withColumn("part", F.coalesce("part", "id")), "seen")
+    seen = lines.groupBy("id", "check").agg(F.min(place).alias("first"), F.count("*").alias("times"))
+    seen = seen.join(parts.withColumnRenamed("node", "id"), ["id", "check"], "left").where("times > 1 or part is not null")
+    # a line linked with no other is a class by itself
+    own = F.struct(F.coalesce("part", "id").alias("part"), F.when(F.col("part").isNull(), F.col("check")).alias("check"))
+    seen = scratch.keep(seen.select("id", "check", "first", "n_links", own.alias("part")), "seen")
     first = seen.groupBy("part").agg(F.min("first").alias("class"))
-    first = scratch.keep(first, "first")
-    known = scratch.keep(seen.select("id", "part", "n_links").join(first, "part"), "known")
-    out = lines.join(known, "id").where(place > F.col("class"))
+    first = scratch.keep(first.select(F.col("part").alias("of"), "class"), "first")
+    known = seen.join(first, F.col("part.part").eqNullSafe(F.col("of.part")) & F.col("part.check").eqNullSafe(F.col("of.check")))
+    known = scratch.keep(known.select("id", "check", "n_links", "class"), "known")
+    out = lines.join(known, ["id", "check"]).where((place > F.col("class")) | (F.col("n_links") > 0))
     return scratch.keep(
         out.select(
             "doc", "text_key", "line", F.col("class.doc").alias("class_doc"), F.col("class.line").alias("class_line"),
@@ -466,13 +520,14 @@ def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule(), carried: C
     """Texts without the lines that repeat an earlier one, exactly or within a few edits.
 
     ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are left out, but for what ``carried`` takes along.
-    Returns ``doc_id, n_lines, n_removed, removed, n_links, kept_text, kept_sha256, carried``, a row per input row.
-    Lines are what ``\\n`` separates. Long lines linked within the threshold, directly or through others, are a class,
-    and with ``rule.short`` equal shorter ones; its line with the smallest ``doc_id`` and place stays. ``removed`` are the numbers (from 0) of the
-    lines taken out, ``n_links`` the links these have to other distinct lines.
-
-    Defined cases: null and empty texts have one empty line; lines below ``least`` characters stay, however
-    often they occur, unless ``rule.short``, and then blank ones do; rows with one ``doc_id`` are one document, so equal places in them are the same
+    Returns ``doc_id, n_lines, n_removed, removed, class_doc, class_line, n_links, kept_text, kept_sha256, carried``, a row per
+    input row. Lines are what ``\\n`` separates. Lines linked within the threshold (``LineRule``), directly or through others, and equal
+    ones are a class; its line with the smallest ``doc_id`` and place stays. ``removed`` are the numbers (from 0) of the
+    lines taken out, ``class_doc`` and ``class_line`` the lines that stand for them, ``n_links`` the links that all lines of the text,
+    kept ones included, have to other distinct lines.
+
+    Defined cases: null and empty texts have one empty line; blank lines stay, however often they occur, and without ``rule.short`` all lines
+    below ``least`` characters; rows with one ``doc_id`` are one document, so equal places in them are the same
     line; a null ``doc_id`` counts as the largest long. An empty table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "lines")
@@ -483,15 +538,17 @@ def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule(), carried: C
         (F.lit(None).cast("int") if carried is None else carried).alias("carried"),
     )
     repeats = line_classes(rows.drop("carried"), rule, scratch)
-    gone = repeats.groupBy("doc", "text_key").agg(F.collect_list("line").alias("gone"), F.sum("n_links").alias("n_links"))
+    first = (F.col("class_doc") == F.col("doc")) & (F.col("class_line") == F.col("line"))
+    taken = F.when(~first, F.struct("line", "class_doc", "class_line"))
+    gone = repeats.groupBy("doc", "text_key").agg(F.collect_list(taken).alias("gone"), F.sum("n_links").alias("n_links"))
     flags = filter_of(repeats.select("doc").distinct())
     # a text none of whose lines goes is not moved
     near = rows.mapInArrow(either(flags, True), rows.schema).join(gone, ["doc", "text_key"], "left")
     far = rows.mapInArrow(either(flags, False), rows.schema).select(
-        "*", F.lit(None).cast("array<int>").alias("gone"), F.lit(0).cast("long").alias("n_links")
+        "*", F.lit(None).cast(near.schema["gone"].dataType).alias("gone"), F.lit(0).cast("long").alias("n_links")
     )
     order = ["doc", "text_key", "text", "carried", "gone", "n_links"]
     schema = StructType.fromDDL(CUT).add(rows.schema["carried"])
     cut = near.select(order).unionByName(far.select(order)).mapInArrow(_cut, schema)
     doc = F.when(F.col("doc") != F.lit(int(LAST)), F.col("doc")).alias("doc_id")
-    return cut.select(doc, "n_lines", "n_removed", "removed", "n_links", "kept_text", "kept_sha256", "carried")
+    return cut.select(doc, "n_lines", "n_removed", "removed", "class_doc", "class_line", "n_links", "kept_text", "kept_sha256", "carried")

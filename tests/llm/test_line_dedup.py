@@ -1,6 +1,8 @@
+import hashlib
 import random
 
 import numpy as np
+import pytest
 from corpus import frame
 
 from surveyloom.llm.line_dedup import LineRule, bags_near, drop_repeated_lines, long_lines, within
@@ -49,44 +51,97 @@ def test_near_lines_have_near_bags():
 
 
 def brute(rows, rule):
+    """Lines to go with the line that stands for them, and links by line, all pairs compared."""
     seen = {}
     for r in rows:
         doc = r[0] if r[0] is not None else 1 << 62
         for i, line in enumerate((r[1] or "").split("\n")):
-            if len(line) >= rule.least:
+            if len(line) >= rule.least or (rule.short and line.strip(" \t\n\r\x0b\x0c")):
                 seen.setdefault(line, set()).add((doc, i))
     lines = sorted(seen)
-    up = {x: x for x in lines}
+    up, links = {x: x for x in lines}, dict.fromkeys(lines, 0)
 
     def top(x):
         while up[x] != x:
             x = up[x]
         return x
 
-    pairs = [(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :] if abs(len(a) - len(b)) <= rule.edits]
-    for (a, b), near in zip(pairs, within([p[0] for p in pairs], [p[1] for p in pairs], rule.edits)):
-        if near:
-            up[top(a)] = top(b)
+    pairs = {}
+    for i, a in enumerate(lines):
+        for b in lines[i + 1 :]:
+            edits = rule.allowed(min(len(a), len(b)))
+            if edits and abs(len(a) - len(b)) <= edits:
+                pairs.setdefault(edits, []).append((a, b))
+    for edits, own in pairs.items():
+        for (a, b), near in zip(own, within([p[0] for p in own], [p[1] for p in own], edits)):
+            if near:
+                up[top(a)] = top(b)
+                links[a] += 1
+                links[b] += 1
     first = {}
     for x in lines:
         first[top(x)] = min(first.get(top(x), (1 << 63, 0)), min(seen[x]))
-    return {p for x in lines for p in seen[x] if p > first[top(x)]}
+    return {p: first[top(x)] for x in lines for p in seen[x] if p > first[top(x)]}, links
 
 
 def check(got, rows, rule):
-    want = brute(rows, rule)
+    want, links = brute(rows, rule)
     for r in rows:
         g = got[r[0]]
         lines = (r[1] or "").split("\n")
         gone = [i for i in range(len(lines)) if (r[0], i) in want]
         assert (g.n_lines, g.n_removed, g.removed) == (len(lines), len(gone), gone)
+        assert list(zip(g.class_doc, g.class_line)) == [want[r[0], i] for i in gone]
+        assert g.n_links == sum(links.get(x, 0) for x in lines)
         assert g.kept_text == "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        assert g.kept_sha256 == hashlib.sha256(g.kept_text.encode()).hexdigest()
     return len(want)
 
 
-def test_lines_of_the_corpus(docs, rows):
-    got = {r.doc_id: r for r in drop_repeated_lines(docs).collect()}
-    assert check(got, rows, LineRule()) > 10
+@pytest.mark.parametrize("rule", [LineRule(), LineRule(short=True), LineRule(edits=3, least=30, short=True)])
+def test_lines_of_the_corpus(docs, rows, rule):
+    got = {r.doc_id: r for r in drop_repeated_lines(docs, rule).collect()}
+    assert check(got, rows, rule) > 10
+
+
+def test_short_lines_are_the_same_within_fewer_edits(spark):
+    rng, rule = random.Random(12), LineRule(short=True)
+    rows = []
+    for i in range(90):
+        size = rng.choice([4, 18, 19, 20, 21, 30, 36, 38, 39, 40, 41, 42])
+        line = "".join(rng.choice("abcd ") for _ in range(size))
+        rows.append((i, "\n".join([line, change(rng, line, 1), change(rng, line, 2)]), "en", "s", 1, 1, "x", 1))
+    got = {r.doc_id: r for r in drop_repeated_lines(frame(spark, rows), rule).collect()}
+    assert check(got, rows, rule) > 30
+    assert [rule.allowed(n) for n in (3, 19, 20, 39, 40, 900)] == [0, 0, 1, 1, 2, 2]
+
+
+def test_lines_that_differ_everywhere_stay(spark):
+    """A word of Thue and Morse and its complement have equal sums for any odd base."""
+    for bits in (10, 11, 13):
+        word = [bin(i).count("1") % 2 for i in range(1 << bits)]
+        left, right = ("".join("ab"[b ^ flip] for b in word) for flip in (0, 1))
+        blocks = "".join(("ab" * 32, "ba" * 32)[b] for b in word[:1024])
+        swapped = "".join(("ab" * 32, "ba" * 32)[1 - b] for b in word[:1024])
+        rows = [(1, left + "\n" + blocks, "", "", 1, 1, "", 1), (2, right + "\n" + swapped, "", "", 1, 1, "", 1)]
+        got = drop_repeated_lines(frame(spark, rows), LineRule(short=True)).collect()
+        assert [r.n_removed for r in got] == [0, 0]
+
+
+def test_ids_are_of_the_line_alone():
+    lines = ["a", "ab", "x" * 63, "x" * 64, "x" * 65, "y" * 5000, "z" * 70_000, "é" * 64]
+    alone = {x: [next(long_lines([x], 1)).ids(k)[0] for k in (0, 1)] for x in lines}
+    together = next(long_lines(["\n".join(lines)], 1))
+    assert [together.ids(k).tolist() for k in (0, 1)] == [[alone[x][k] for x in lines] for k in (0, 1)]
+    assert len({i for own in alone.values() for i in own}) == 2 * len(lines)
+
+
+def test_one_very_long_line(spark):
+    rng = random.Random(13)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(400_000))
+    rows = [(i, t, "", "", 1, 1, "", 1) for i, t in enumerate([line, line + "\nx", change(rng, line, 2), "y" + line[:-9]])]
+    got = {r.doc_id: r.n_removed for r in drop_repeated_lines(frame(spark, rows), LineRule(short=True)).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 0}
 
 
 def test_near_lines_chains_and_other_thresholds(spark):
