@@ -14,6 +14,7 @@ tasks among one another.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,10 +28,10 @@ from pyspark.sql import functions as F
 from surveyloom.llm.store import Scratch
 
 
-def _vocabulary() -> str:
+def _vocabulary(kind: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path(f"byte_bpe_50k.{kind}")
 
 
 @dataclass(frozen=True)
@@ -38,32 +39,38 @@ class PackRule:
     """Tokens of a sequence, the id that ends a document, and the vocabulary's ranks.
 
     Without ``ranks`` it is the public 50k byte-level vocabulary, whose ids are those of
-    the ``tokenizers`` file of the same name. Special tokens in a text are ordinary text.
+    the ``tokenizers`` file of the same name. Where a text spells a token that ``added``, a ``tokenizers`` file, adds to
+    its vocabulary, it has that token's id. With ``ranks`` and no ``added`` there are none.
     """
 
     window: int = 1024
     end_id: int = 0
     ranks: str | None = None
+    added: str | None = None
 
 
 _encoders: dict = {}
 
 
-def _encoder(path: str | None):
-    if path not in _encoders:
+def _encoder(rule: PackRule):
+    if rule not in _encoders:
         import public_tokenizers
         import tiktoken
 
-        with open(path or _vocabulary(), "rb") as lines:
+        with open(rule.ranks or _vocabulary("tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _encoders[path] = tiktoken.Encoding(
-            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        special = {}
+        if rule.added or not rule.ranks:
+            with open(rule.added or _vocabulary("json"), encoding="utf-8") as file:
+                special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+        _encoders[rule] = tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
-    return _encoders[path]
+    return _encoders[rule]
 
 
 def token_ids(text: str | None, rule: PackRule) -> np.ndarray:
-    ids = _encoder(rule.ranks).encode_to_numpy(text or "", disallowed_special=())
+    ids = _encoder(rule).encode_to_numpy(text or "", allowed_special="all")
     return np.append(ids, rule.end_id).astype("<u4")
 
 
@@ -263,7 +270,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def _place(shared, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan: Plan = shared.value
+        plan = Plan(**shared.value)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for r in batch.to_pylist():
@@ -312,6 +319,7 @@ def pack(docs: DataFrame, rule: PackRule = PackRule()) -> DataFrame:
     for r in tails.groupBy("tail").agg(F.sum("n").alias("n")).collect():
         histogram[r["tail"]] = r["n"]
     sequences = whole.agg(F.sum("n")).first()[0] or 0
-    plan = spark.sparkContext.broadcast(Plan.of(histogram, rule.window, sequences))
+    # plain arrays: workers without the package can read them
+    plan = spark.sparkContext.broadcast(vars(Plan.of(histogram, rule.window, sequences)))
     placed = cuts.join(tails.drop("n"), ["part", "tail"]).join(whole.drop("n"), "part")
     return placed.mapInArrow(_place(plan, rule.window), PIECES)

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from surveyloom.llm.packing import PackRule, choose, combinations, pack
+from surveyloom.llm.packing import PackRule, choose, combinations, pack, token_ids
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +45,24 @@ def test_a_small_window(docs, rows, tokenizer):
     check(pack(docs, PackRule(window=64)).collect(), {r[0]: r[1] for r in rows}, tokenizer, 64)
 
 
+def test_added_tokens(spark, tokenizer):
+    mark = "<|endoftext|>"
+    texts = [
+        f"hello {mark} world", mark, mark * 3, f"{mark}a", f"a{mark}", f" {mark} ", f"a  {mark}  b\n\n{mark}\n", "<|endoftext|", f"<{mark}>",
+        "<|ENDOFTEXT|>", f"it's{mark}'s 12{mark}34", "é" + mark + "日本",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(pack(frame).collect(), dict(enumerate(texts)), tokenizer, 1024)
+    ids = tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert token_ids(texts[0], PackRule()).tolist() == [*ids, 0] and 50256 in ids
+
+
+def test_a_very_long_text_and_clashing_columns(spark, tokenizer):
+    text = "word and " * 60_000
+    frame = spark.createDataFrame([(1, text, 5, "x"), (2, "a", 6, None)], "doc_id long, text string, part int, tail string")
+    check(pack(frame).collect(), {1: text, 2: "a"}, tokenizer, 1024)
+
+
 def test_odd_rows(odd, empty):
     got = pack(odd).collect()
     assert sum(p.length for p in got if p.doc_id == 1) == 2 * next(p.doc_tokens for p in got if p.doc_id == 1)
