@@ -3,8 +3,9 @@
 All rolling grams of a text's words are joined to the positions they have in the templates. A hit at word p
 of the text and word t of a template votes for the diagonal p - t; words of one place share a diagonal, and a
 word put in or left out moves the rest to a neighbouring one. Votes are summed by diagonal, neighbouring
-diagonals merged, and a place holds if enough of the template's grams voted for it.
-Phrases of the base hold only if every gram did, on a single diagonal.
+diagonals merged, and a place is a candidate if enough of the template's grams voted for it. Its span is then
+verified word by word: votes whose words are the template's are followed in the order of both, and the template's words they cover
+are set against the words of the span. Phrases of the base hold only if every gram voted, on a single diagonal.
 
 Everything here is DataFrame functions.
 """
@@ -52,9 +53,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class LicenseRule:
-    """Words of a gram, how far apart merged diagonals may be, and the share of grams a place needs.
+    """Words of a gram, how far apart merged diagonals may be, and the share of grams a place needs, and of words its span.
 
-    Templates of up to ``whole`` grams need all of them: in so few words, one more or less is another license.
+    Templates of up to ``whole`` grams need all their words and no other: in so few, one more or less is another license.
     """
 
     gram: int = 3
@@ -71,12 +72,17 @@ def words(text: Column) -> Column:
 
 
 def _grams(of: Column, size: int) -> Column:
-    """A hash of each word and those after it; near the end of fewer words, which no template has."""
-    return F.transform(of, lambda w, i: F.xxhash64(w, *[F.get(of, i + k) for k in range(1, size)]))
+    """Each word with those after it, and a hash of them; near the end of fewer words, which no template has."""
+    return F.transform(
+        of,
+        lambda w, i: F.struct(
+            F.xxhash64(w, *[F.get(of, i + k) for k in range(1, size)]).alias("hash"), F.slice(of, i + 1, size).alias("words")
+        ),
+    )
 
 
 def template_grams(spark: SparkSession, rule: LicenseRule) -> DataFrame:
-    """``hash, label, base, template, at, grams``: every gram of every template, and how many that has."""
+    """``hash, gram, label, base, template, at, grams``: every gram of every template, and how many that has."""
     rows = []
     for no, (text, label, base) in enumerate(
         [(t, n, True) for t, n in rule.base.items()] + [(t, n, False) for t, n in rule.templates.items()]
@@ -86,8 +92,9 @@ def template_grams(spark: SparkSession, rule: LicenseRule) -> DataFrame:
             raise ValueError(f"a template needs {rule.gram} words: {text!r}")
         for at in range(len(own) - rule.gram + 1):
             gram = F.xxhash64(*[F.lit(w) for w in own[at : at + rule.gram]])
-            values = (gram, F.lit(label), F.lit(base), F.lit(no), F.lit(at), F.lit(len(own) - rule.gram + 1))
-            names = ("hash", "label", "base", "template", "at", "grams")
+            spelt = F.array(*[F.lit(w) for w in own[at : at + rule.gram]])
+            values = (gram, spelt, F.lit(label), F.lit(base), F.lit(no), F.lit(at), F.lit(len(own) - rule.gram + 1))
+            names = ("hash", "gram", "label", "base", "template", "at", "grams")
             rows.append(F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)]))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
@@ -95,20 +102,21 @@ def template_grams(spark: SparkSession, rule: LicenseRule) -> DataFrame:
 def license_places(docs: DataFrame, rule: LicenseRule = LicenseRule()) -> DataFrame:
     """Places of templates: ``doc_id, text_key, template, label, base, first_word, last_word, score``.
 
-    A row per place and distinct text of an id; ``last_word`` is the place's last word, ``score`` the share of the template's
-    grams that voted.
+    A row per place and distinct text of an id; ``last_word`` is the place's last word, ``score`` the template's words found in
+    order, of the words of the template or, if these are more, of the place.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text"
     )
     grams = rows.select("doc_id", "text_key", words(F.col("text")).alias("words"))
-    grams = grams.select("doc_id", "text_key", F.posexplode(_grams(F.col("words"), rule.gram)).alias("word", "hash"))
+    grams = grams.select("doc_id", "text_key", F.posexplode(_grams(F.col("words"), rule.gram)).alias("word", "own"))
+    grams = grams.select("doc_id", "text_key", "word", F.col("own.hash").alias("hash"), F.col("own.words").alias("own"))
     # a fixed number of rows: the templates
     templates = F.broadcast(template_grams(docs.sparkSession, rule))
-    hits = grams.join(templates, "hash").drop("hash").distinct()
+    hits = grams.join(templates, "hash").where("own = gram").drop("hash", "own", "gram").distinct()
     place = ["doc_id", "text_key", "template", "label", "base", "grams"]
     votes = hits.groupBy(*place, (F.col("word") - F.col("at")).alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("word").alias("first"), F.max("word").alias("last")
+        F.count("*").alias("votes"), F.collect_list(F.struct("at", "word")).alias("hits")
     )
     votes = votes.where(~F.col("base") | (F.col("votes") == F.col("grams")))
     # diagonals close to the one before belong to its place, but for the base, where each is its own
@@ -117,19 +125,39 @@ def license_places(docs: DataFrame, rule: LicenseRule = LicenseRule()) -> DataFr
     merged = votes.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
     merged = merged.withColumn("place", F.sum("new").over(along))
     found = merged.groupBy(*place, "place").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("first_word"), F.max("last").alias("last")
+        F.sum("votes").alias("votes"), F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits")
     )
-    score = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
+    found = found.where(F.col("votes") >= rule.share * F.col("grams")).withColumn("span", _verified("hits", rule.gram))
+    size = F.col("grams") + rule.gram - 1
+    score = F.col("span.covered") / F.greatest(size, F.col("span.last") + rule.gram - F.col("span.first"))
     return (
         found.withColumn("score", score)
         .where((F.col("score") == 1) | ((F.col("score") >= rule.share) & (F.col("grams") > rule.whole)))
         .select(
-            "doc_id", "text_key", "template", "label", "base", F.col("first_word").cast("long").alias("first_word"),
-            (F.col("last") + rule.gram - 1).cast("long").alias("last_word"), "score",
+            "doc_id", "text_key", "template", "label", "base", F.col("span.first").cast("long").alias("first_word"),
+            (F.col("span.last") + rule.gram - 1).cast("long").alias("last_word"), "score",
         )
     )
 
 
+def _verified(hits: str, gram: int) -> Column:
+    """Of a place's votes, by place in the template: those that go on in the text as well, the first and last word where
+    they begin, and how many of the template's words they cover."""
+    none = F.lit(None).cast("int")
+    start = F.struct(none.alias("at"), none.alias("first"), none.alias("last"), F.lit(0).alias("covered"))
+
+    def follow(so_far: Column, hit: Column) -> Column:
+        further = F.coalesce((hit["at"] > so_far["at"]) & (hit["word"] > so_far["last"]), F.lit(True))
+        fresh = F.coalesce(F.least(F.lit(gram), hit["at"] - so_far["at"]), F.lit(gram))
+        after = F.struct(
+            hit["at"].alias("at"), F.coalesce(so_far["first"], hit["word"]).alias("first"), hit["word"].alias("last"),
+            (so_far["covered"] + fresh).alias("covered"),
+        )
+        return F.when(further, after).otherwise(so_far)
+
+    return F.aggregate(hits, start, follow)
+
+
 def license_scan(docs: DataFrame, rule: LicenseRule = LicenseRule()) -> DataFrame:
     """Licenses every text names: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 

@@ -49,6 +49,28 @@ def test_base_and_more(spark):
     assert [(r.first_word, r.last_word) for r in long] == [(0, 20)]
 
 
+def test_spans_are_verified(spark):
+    texts = [
+        "creative commons attribution commons attribution sharealike",
+        "creative commons attribution sharealike",
+        # all grams of a long wording, but in another order
+        "any person obtaining a copy of this software and associated documentation files permission is hereby granted free of charge to any person",
+        # and with a long insertion
+        "permission is hereby granted free of charge to any " + "person obtaining x " * 9 + "person obtaining a copy of this software and associated documentation files",
+        "gnu general public license version 2",
+    ]
+    got = license_scan(frame(spark, [(i, t, "en", "s", 1, 1, "x", 1) for i, t in enumerate(texts)])).collect()
+    assert {r.doc_id: r.labels for r in got} == {0: "", 1: "cc-by-sa", 2: "", 3: "", 4: "gpl-2"}
+
+
+def test_a_very_long_text(spark):
+    text = "word " * 400_000 + "under the MIT license " + "cc by nc " * 3000
+    got = license_scan(frame(spark, [(1, text, "en", "s", 1, 1, "x", 1)])).collect()
+    assert [(r.n_words, r.n_base, r.first_word, r.last_word, r.labels) for r in got] == [
+        (409_004, 3001, 400_000, 409_001, "cc-by-nc,mit")
+    ]
+
+
 def test_on_prose(docs, rows):
     got = {r.doc_id: r for r in license_scan(docs).collect()}
     for r in rows:
