@@ -4,14 +4,18 @@ Spans of the four base kinds are found by their formats and checks. Besides, gen
 propose what may be personal data too: numbers with other separators, addresses without a proper domain, keys
 and passwords. Boosted trees tell from a candidate's format and surroundings how likely it is
 of the kind it looks like. They learn from the corpus itself: candidates that the checks confirm, or that a
-word such as ``password`` introduces, are positive, those that fail are not; what decided the label is no
-input of the trees. By kind, a threshold that gives the wanted precision on held-out candidates selects the rest.
+word such as ``call`` or ``password`` introduces, are positive; those that fail a check, or that a word such as ``order``
+introduces, are not; others teach nothing. The words and checks that decide are no input of the trees, so they know a number
+in a format the base has not by the look of those that are introduced. By kind, a threshold that gives
+the wanted precision on held-out candidates selects the rest.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,17 +37,30 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){6,}")
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]++(?:\.[0-9]++){2,}")
 _TOKEN = re.compile(r"[A-Za-z0-9_+/=-]{12,}")
-_AROUND = re.compile(r"[^\s@<>()\",;]{1,64}$")
-_BEHIND = re.compile(r"[^\s@<>()\",;]{2,64}")
-_INTRODUCES = re.compile(r"(?:password|passwd|pwd|token|secret|api.?key|access.?key)\W{1,4}$", re.IGNORECASE)
-_CONTACT = re.compile(r"(?:phone|tel|call|mobile|fax|mail|contact|reach)\W{0,6}$", re.IGNORECASE)
+_BEHIND = re.compile(r"[^\s@<>()\",;]{2,}")
+_NOT_AROUND = frozenset(" \t\n\r\x0b\x0c@<>()\",;")
+# What introduces a candidate of a kind, and what introduces numbers that are no personal data.
+_INTRODUCES = [
+    re.compile(r"(?:e-?mail|mailto|write to|contact|reach)(?: me| us)?(?: at| via| by)?\W{0,4}$", re.IGNORECASE),
+    re.compile(r"(?:\bip|ip.?addr\w*|\bhost|\bserver)(?: at| is)?\W{1,4}$", re.IGNORECASE),
+    re.compile(r"(?:\bcard|visa|mastercard|amex|credit|debit)(?: number| no| nr)?\W{1,4}$", re.IGNORECASE),
+    re.compile(r"(?:phone|\btel|\bcall|mobile|\bcell|\bfax)(?: me| us)?(?: number| no| nr)?(?: at| on| is)?\W{0,4}$", re.IGNORECASE),
+    re.compile(r"(?:password|passwd|pwd|token|secret|api.?key|access.?key)\W{1,4}$", re.IGNORECASE),
+]
+_OTHERWISE = re.compile(
+    r"(?:\border|invoice|\bref|reference|\bid|isbn|issn|version|\bver|page|ticket|batch|serial|build|\bno|\bnr)(?: number| no| nr)?\W{1,4}$|[#$]$",
+    re.IGNORECASE,
+)
+#: Characters before a candidate in which introducing words are looked for.
+_BEFORE = 28
 
 
 @dataclass(frozen=True)
 class PiiRule:
-    """``sample`` documents at most give the candidates the trees are fitted on."""
+    """``sample`` documents at most, and ``each`` labelled candidates of one at most, teach the trees."""
 
     sample: int = 6000
+    each: int = 100
     rounds: int = 30
     depth: int = 3
     rate: float = 0.3
@@ -64,6 +81,12 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _small(digits: str) -> bool:
+    """Whether a number of any length is 255 at most."""
+    own = digits.lstrip("0")
+    return len(own) < 4 and int(own or 0) <= 255
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost addresses: what may stand before an ``@`` back to the last match, and a domain behind it."""
     done, at = 0, text.find("@")
@@ -83,9 +106,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the four base kinds, in order."""
     found = [(s, 0, e) for s, e in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p) < 4 or not p.lstrip("0")[3:] for p in m[0].split(".")) and all(
-            int(p.lstrip("0")[:4] or 0) <= 255 for p in m[0].split(".")
-        ):
+        if all(_small(p) for p in m[0].split(".")):
             found.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = _digits(m[0]) if m.end() - m.start() <= 64 else ""
@@ -98,30 +119,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
-    """``(start, kind, end)`` of all that may be personal data; they overlap."""
+    """``(start, kind, end)`` of all that may be personal data, however long; they overlap."""
     found = set()
     for m in _NUMBER.finditer(text):
-        n = len(_digits(m[0]))
-        if n <= 24:
-            found.add((m.start(), 2 if n >= 12 and m[0][0] not in "+(" else 3, m.end()))
+        found.add((m.start(), 2 if len(_digits(m[0])) >= 12 and m[0][0] not in "+(" else 3, m.end()))
     for m in _DOTTED.finditer(text):
-        if m.end() - m.start() <= 32:
-            found.add((m.start(), 1, m.end()))
+        found.add((m.start(), 1, m.end()))
     at = text.find("@")
     while at >= 0:
-        before, behind = _AROUND.search(text, max(0, at - 64), at), _BEHIND.match(text, at + 1)
-        if before and behind:
-            found.add((before.start(), 0, behind.end()))
+        start, behind = at, _BEHIND.match(text, at + 1)
+        while start and text[start - 1] not in _NOT_AROUND:
+            start -= 1
+        if behind and start < at:
+            found.add((start, 0, behind.end()))
         at = text.find("@", at + 1)
     for m in _TOKEN.finditer(text):
-        kinds = {("d" if c.isdigit() else "l") for c in m[0][:128]}
-        if len(kinds) == 2 and m.end() - m.start() <= 128:
+        if any(c.isdigit() for c in m[0]) and any(not c.isdigit() for c in m[0]):
             found.add((m.start(), 4, m.end()))
     return sorted(found)
 
 
+class Spans:
+    """Spans that may overlap, asked whether one of them touches another one."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = sorted(s for s, _, _ in spans)
+        self.ends, far = [], 0
+        for _, _, e in sorted(spans):
+            far = max(far, e)
+            self.ends.append(far)
+
+    def touch(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 def features(text: str, span: tuple[int, int, int]) -> list[float]:
-    """Format of a span and its surroundings; no check digits, and no word that introduces a secret."""
+    """Format of a span and its surroundings; no check digits, and no word that introduces it."""
     start, kind, end = span
     own = text[start:end]
     n = len(own)
@@ -139,16 +173,24 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
         own.count("."), own.count("-"), own.count(" "), float("(" in own), float(own[0] == "+"),
         float(before.isalnum()), float(after.isalnum()), float(before in ("", "\n")), float(after in ("", "\n", ".", ",")),
         float(all(c in "0123456789abcdef" for c in own)), float("." in tail and len(tail) > 3), float(tail[:1].isalnum()),
-        float(bool(_CONTACT.search(text, max(0, start - 20), start))),
     ]
 
 
-def weak_label(text: str, span: tuple[int, int, int], known: list[tuple[int, int, int]]) -> int:
-    """1 if a check confirms the candidate or a word introduces it, 0 otherwise."""
+def weak_label(text: str, span: tuple[int, int, int], known: dict[int, Spans]) -> int | None:
+    """1 if a check confirms the candidate or a word introduces it, 0 if a check or a word speaks against it, else None."""
     start, kind, end = span
-    if kind == 4:
-        return int(bool(_INTRODUCES.search(text, max(0, start - 24), start)) or text[start : start + 4] == "AKIA")
-    return int(any(k == kind and s < end and start < e for s, k, e in known))
+    low = max(0, start - _BEFORE)
+    if kind in known and known[kind].touch(start, end):
+        return 1
+    if kind == 4 and text.startswith("AKIA", start) or _INTRODUCES[kind].search(text, low, start):
+        return 1
+    if kind == 4 or _OTHERWISE.search(text, low, start):
+        return 0
+    if kind == 1 and any(not _small(p) for p in text[start:end].split(".")):
+        return 0
+    if kind == 2 and not (12 <= len(d := _digits(text[start:end])) <= 19 and luhn(d)):
+        return 0
+    return 0 if any(other.touch(start, end) for k, other in known.items() if k != kind) else None
 
 
 @dataclass
@@ -220,7 +262,9 @@ def fit(x: np.ndarray, y: np.ndarray, rule: PiiRule) -> Trees:
         last = np.append(np.diff(margin[order]) != 0, True)[: len(order)]
         good = np.flatnonzero((right >= rule.precision) & last)
         if len(good) and label[order[: good[-1] + 1]].sum() >= rule.least / 5:
-            trees.threshold[kind] = float(margin[order[good[-1]]])
+            # halfway to the next candidate below; if there is none, all that is as likely as not
+            low, below = margin[order[good[-1]]], margin[order[good[-1] + 1 :]]
+            trees.threshold[kind] = float((low + below[0]) / 2 if len(below) else min(low, 0.0))
     return trees
 
 
@@ -231,46 +275,71 @@ def _may_hold(text: str) -> bool:
 _HINT = re.compile(r"[0-9]")
 
 
-def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, labels = [], []
-        for text in batch.column(0).to_pylist():
-            if text and _may_hold(text):
-                known = base_spans(text)
-                for span in candidates(text):
-                    rows.append(features(text, span))
-                    labels.append(weak_label(text, span, known))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32())], ["x", "y"]
-        )
+def _by_kind(spans: list[tuple[int, int, int]]) -> dict[int, Spans]:
+    return {k: Spans([s for s in spans if s[1] == k]) for k in {s[1] for s in spans}}
+
+
+def _learn(each: int):
+    """Labelled candidates of each text; of a text with very many, those with the smallest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, labels, keys = [], [], []
+            for text in batch.column(1).to_pylist():
+                x, y = [], []
+                if text and _may_hold(text):
+                    known = _by_kind(base_spans(text))
+                    labelled = [(c, weak_label(text, c, known)) for c in candidates(text)]
+                    labelled = [(c, label) for c, label in labelled if label is not None]
+                    if len(labelled) > each:
+                        labelled.sort(key=lambda p: (zlib.crc32(repr(p[0]).encode()), p))
+                    for c, label in labelled[:each]:
+                        x.append(features(text, c))
+                        y.append(label)
+                rows.append(x)
+                labels.append(y)
+                keys.append(zlib.crc32((text or "").encode()))
+            columns = [batch.column(0), pa.array(keys, pa.int64()), pa.array(rows, pa.list_(pa.list_(pa.float64()))), pa.array(labels, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "x", "y"])
+
+    return run
 
 
 def train(docs: DataFrame, rule: PiiRule = PiiRule()) -> Trees:
-    """Fit on the candidates of at most ``rule.sample`` documents, chosen by a hash of their id."""
+    """Fit on labelled candidates of at most ``rule.sample`` documents, chosen by a hash of their id, and ``rule.each`` of
+    each: so many rows reach the driver at most. Of several texts of an id one teaches."""
     ids = docs.where("doc_id is not null").select("doc_id").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id", F.lit(rule.seed)), "doc_id").limit(rule.sample)
     # the bound of the sample is the bound of what is broadcast
-    texts = docs.join(F.broadcast(ids), "doc_id").select("text")
-    found = texts.mapInArrow(_learn, "x array<double>, y int").toPandas()
+    texts = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text")
+    found = texts.mapInArrow(_learn(rule.each), "doc_id long, key long, x array<array<double>>, y array<int>").where("size(y) > 0")
+    found = found.groupBy("doc_id").agg(F.min(F.struct("key", "x", "y")).alias("row")).select("row.x", "row.y").toPandas()
     if not len(found):
         return Trees()
-    x = np.array(found["x"].tolist(), dtype=float)
-    order = np.lexsort((found["y"], *x.T))
-    return fit(x[order], found["y"].to_numpy(float)[order], rule)
+    x = np.array([row for rows in found["x"] for row in rows], dtype=float)
+    y = np.concatenate([np.asarray(v, dtype=float) for v in found["y"]])
+    order = np.lexsort((y, *x.T))
+    return fit(x[order], y[order], rule)
 
 
 def select(text: str, known: list[tuple[int, int, int]], trees: Trees) -> list[tuple[int, int, int]]:
     """Candidates over the threshold that touch no span chosen before them, the likeliest first."""
     if not np.isfinite(trees.threshold).any():
         return []
-    free = [c for c in candidates(text) if not any(s < c[2] and c[0] < e for s, _, e in known)]
+    base = Spans(known)
+    free = [c for c in candidates(text) if np.isfinite(trees.threshold[c[1]]) and not base.touch(c[0], c[2])]
     if not free:
         return []
     margin = trees.margins(np.array([features(text, c) for c in free], dtype=float))
     chosen: list[tuple[int, int, int]] = []
     for i in np.argsort(-margin, kind="stable"):
-        if margin[i] >= trees.threshold[free[i][1]] and not any(s < free[i][2] and free[i][0] < e for s, _, e in chosen):
-            chosen.append(free[i])
+        start, kind, end = free[i]
+        if margin[i] < trees.threshold[kind]:
+            continue
+        # chosen spans do not overlap: only the neighbours can touch
+        at = bisect_left(chosen, (start, kind, end))
+        if (at == 0 or chosen[at - 1][2] <= start) and (at == len(chosen) or chosen[at][0] >= end):
+            insort(chosen, free[i])
     return chosen
 
 
@@ -284,25 +353,26 @@ def find_personal_data(docs: DataFrame, rule: PiiRule = PiiRule()) -> DataFrame:
     are code points, the end exclusive; spans go by start, then kind. Base spans are those of the formats
     and checks; spans of different base kinds may overlap. Others are those the trees select.
 
-    Defined cases: null and empty texts have no spans; a corpus with too few confirmed or failed candidates
-    adds none to the base; a null ``doc_id`` teaches nothing. An empty table gives an empty one.
+    Candidates are proposed and judged at any length. Defined cases: null and empty texts have no spans; a corpus with too few
+    confirmed or failed candidates adds none to the base; a null ``doc_id`` teaches nothing. An empty table gives an empty one.
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, rule))
+    # plain arrays: workers without the package can read them
+    shared = docs.sparkSession.sparkContext.broadcast(vars(train(docs, rule)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(
             pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
         )
         for batch in batches:
-            out = []
+            out, trees = [], Trees(**shared.value)
             for text in batch.column(1).to_pylist():
                 if not text or not _may_hold(text):
                     out.append([])
                     continue
                 known = base_spans(text)
-                more = select(text, known, shared.value)
+                more = select(text, known, trees)
                 spans = sorted([(*s, True) for s in known] + [(*s, False) for s in more])
                 out.append([{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in spans])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["doc_id", "spans"])

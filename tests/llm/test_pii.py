@@ -6,7 +6,7 @@ import time
 import numpy as np
 from corpus import frame
 
-from surveyloom.llm.pii import KINDS, base_spans, candidates, digests, find_personal_data, luhn
+from surveyloom.llm.pii import KINDS, Spans, Trees, base_spans, candidates, digests, find_personal_data, luhn, select
 
 
 def plain(text):
@@ -87,3 +87,51 @@ def test_odd_rows(odd, empty):
     got = digests(find_personal_data(odd)).collect()
     assert len(got) == 7 and all(r.spans == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got)
     assert find_personal_data(empty).collect() == []
+
+
+def test_numbers_in_a_format_of_their_own_are_added(spark):
+    """National numbers that a word introduces teach the trees to know others; numbers of orders do not become phones."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(900):
+        number = f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        order = f"{rng.randint(10**6, 10**9)}"
+        text = [f"please call {number} soon", f"my phone: {number}.", f"order {order} came", f"invoice {order}, paid", f"+1 {number} or so"][i % 5]
+        rows.append((i, text, "en", "s", 1, 1, "x", 1))
+    asked = ["we met at (555) 123-4567 then", "there were 8812345 of them", "write joe@localhost"]
+    rows += [(1000 + i, t, "en", "s", 1, 1, "x", 1) for i, t in enumerate(asked)]
+    got = {r.doc_id: r for r in digests(find_personal_data(frame(spark, rows))).collect()}
+    assert got[1000].spans == "phone:10:24" and got[1000].n_phone == 0
+    assert got[1001].spans == ""
+    assert all(got[i].spans == "" for i in range(900) if i % 5 in (2, 3))
+
+
+def test_nothing_is_too_long_to_be_proposed():
+    token, number = "a1" * 100, "12345678" * 4
+    dotted, local = ".".join(["123"] * 12), "x" * 300
+    text = f"{token} and {number} and {dotted} and {local}@host {local}"
+    found = {(k, text[s:e]) for s, k, e in candidates(text)}
+    assert {(4, token), (2, number), (1, dotted), (0, local + "@host")} <= found
+
+
+def test_spans_that_touch():
+    rng = random.Random(3)
+    for _ in range(300):
+        spans = [(s, 0, s + rng.randint(1, 9)) for s in (rng.randint(0, 60) for _ in range(rng.randint(0, 8)))]
+        asked = Spans(spans)
+        for start in range(0, 62, 3):
+            end = start + rng.randint(1, 5)
+            assert asked.touch(start, end) == any(s < end and start < e for s, _, e in spans)
+
+
+def test_very_many_numbers_in_a_text():
+    """Time grows with the text, not with pairs of its spans."""
+    trees = Trees(threshold=np.full(len(KINDS), -1.0))
+    took = []
+    for n in (4000, 16_000):
+        text = " x ".join(f"555 {i:07d}" if i % 2 else f"+1 555 {i:07d}" for i in range(n))
+        start = time.perf_counter()
+        chosen = select(text, base_spans(text), trees)
+        took.append(time.perf_counter() - start)
+        assert len(chosen) == n // 2
+    assert took[1] < 8 * took[0]
