@@ -24,12 +24,14 @@ from surveyloom.llm.words import LOWER, NOT_LETTERS, U64, mix, split_words
 
 @dataclass(frozen=True)
 class ToxicRule:
-    """``sample`` is the most labelled rows the model is fitted on; terms in fewer than ``least`` of them say nothing.
+    """``sample`` is the most labelled rows the model is fitted on, ``terms`` the most terms of these rows together; terms in
+    fewer than ``least`` rows say nothing.
 
     A small sample is gone through until ``steps`` batches are done. ``prefixes`` are the lengths, in bytes, of the beginnings of words that are terms too.
     """
 
     sample: int = 16_000
+    terms: int = 24_000_000
     bits: int = 18
     factors: int = 6
     epochs: int = 4
@@ -159,9 +161,25 @@ def _terms(rule: ToxicRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for terms, first in terms_of(batch.column(1), rule):
+            for terms, first in terms_of(batch.column(2), rule):
                 out += [terms[a:b].astype("<i4").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["toxic", "terms"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "toxic", "terms"])
+
+    return run
+
+
+def _bounded(terms: int):
+    """For one task: rows in order, until they have so many terms together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = terms
+        for batch in batches:
+            upto = np.cumsum([len(t.as_buffer()) // 4 for t in batch.column(1)])
+            keep = int(np.searchsorted(upto, left, "right"))
+            yield batch.slice(0, keep)
+            if keep < batch.num_rows:
+                return
+            left -= int(upto[-1]) if len(upto) else 0
 
     return run
 
@@ -176,13 +194,18 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
     small_batches(docs.sparkSession)
     marked = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # the bound of the sample is the bound of what is broadcast
-    marked = marked.orderBy(F.xxhash64("doc_id", F.lit(rule.seed)), "doc_id").limit(rule.sample)
+    # the bound of the sample is the bound of what is broadcast and of the rows that come back
+    order = F.xxhash64("doc_id", F.lit(rule.seed))
+    marked = marked.orderBy(order, "doc_id").limit(rule.sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marked), "doc_id")
-    found = texts.select("toxic", "text").mapInArrow(_terms(rule), "toxic int, terms binary").toPandas()
+    found = texts.select("doc_id", "toxic", "text").mapInArrow(_terms(rule), "doc_id long, toxic int, terms binary")
+    # one text of an id, the same however the rows come
+    found = found.groupBy("doc_id").agg(F.min(F.struct("terms", "toxic")).alias("row"))
+    found = found.select(order.alias("at"), "doc_id", "row.*").repartition(1).sortWithinPartitions("at", "doc_id")
+    found = found.select("toxic", "terms").mapInArrow(_bounded(rule.terms), "toxic int, terms binary").toPandas()
     # the same order however the rows came, and one that says nothing of their terms
     found["order"] = [zlib.crc32(t) for t in found["terms"]]
-    found = found.sort_values(["order", "terms", "toxic"], kind="stable").iloc[: rule.sample]
+    found = found.sort_values(["order", "terms", "toxic"], kind="stable")
     terms, labels = [np.frombuffer(x, "<i4") for x in found["terms"]], found["toxic"].to_numpy(float)
     del found
     return fit_level(labels, terms, rule)
@@ -190,12 +213,14 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
 
 def score(docs: DataFrame, machine: Machine, rule: ToxicRule, carried: F.Column) -> DataFrame:
     """``carried, score`` (0 to 1) and ``predicted`` (1 from 0.5 on) of column ``text``, a row per input row."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    # plain arrays: workers without the package can read them
+    shared = docs.sparkSession.sparkContext.broadcast(vars(machine))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = Machine(**shared.value)
         for batch in batches:
             margins = [np.zeros(0)]
-            margins += [shared.value.margins(t, f) for t, f in terms_of(batch.column(0), rule)]
+            margins += [machine.margins(t, f) for t, f in terms_of(batch.column(0), rule)]
             chance = 1 / (1 + np.exp(-np.clip(np.concatenate(margins).astype(float), -30, 30)))
             columns = [batch.column(1), pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["carried", "score", "predicted"])
@@ -211,8 +236,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule())
     ``docs`` needs ``doc_id`` (integer) and ``text``, ``labels`` ``doc_id`` and ``toxic`` (0 or 1); other
     columns are left out and no input of a score. Held-out rows teach nothing.
 
-    Defined cases: null and empty texts score the model's bias, the share of toxic rows; labels
-    that are null or neither 0 nor 1 are left out, and of several labels of an id the largest holds; without
+    Defined cases: null and empty texts score the model's bias, which is where its level lies; labels
+    that are null or neither 0 nor 1 are left out, of several labels of an id the largest holds, and of several texts one teaches; without
     labels every text scores one in twenty; a null ``doc_id`` is not held out. An empty table gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
