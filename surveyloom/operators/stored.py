@@ -71,7 +71,8 @@ def merge_profiles(profiles: Iterable[DataFrame], by: Sequence[str]) -> DataFram
         F.aggregate(F.array_sort(F.collect_list(number)), nothing, _joined).alias("p"),
     )
     alike = [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]
-    out = merged.alias("m").join(rows.alias("r"), alike)
+    # without cells there is one row to join
+    out = merged.alias("m").join(rows.alias("r"), alike or F.lit(True))
     known = F.col("p.known") > 0
     return out.select(
         *[F.col(f"m.{c}") for c in by], "column", "dtype", "r.n", "filled", F.col("p.known").alias("known"), "min", "max",
