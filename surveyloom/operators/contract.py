@@ -45,6 +45,10 @@ class Contract:
         return Contract(**json.loads(text))
 
 
+#: Codes of all columns that a contract, which is one document, may list.
+MOST_CODES = 1_000_000
+
+
 def contract_profile(df: DataFrame, source: str, cohort: str) -> DataFrame:
     """Long profile (column, dtype, source, cohort, n, filled, absent) from one scan.
 
@@ -84,7 +88,10 @@ def contract_from_data(
     coded = [c for c in columns if c in encoding.coded and c != label]
     domains: dict[str, list[int]] = {c: [] for c in coded}
     if coded:
-        for r in value_domains(df, coded, [], whole=True).collect():
+        listed = value_domains(df, coded, [], whole=True).limit(MOST_CODES + 1).collect()
+        if len(listed) > MOST_CODES:
+            raise ValueError(f"coded columns hold more than {MOST_CODES} values, too many for a document: use value_domains")
+        for r in listed:
             domains[r["variable"]].append(int(r["value"]))
     shares = df.where(F.col(cohort).isNotNull()).groupBy(cohort).agg(F.avg(F.col(label).cast("double")).alias("p"))
     prevalence = dict(defaults)

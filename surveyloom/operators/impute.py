@@ -36,6 +36,8 @@ from surveyloom.specs import ImputeRule
 
 #: Ranges that distinct values and codes are sorted in when values snap to codes.
 RANGES = 200
+#: Codes that are sent to tasks as one array (800 kB).
+FEW_CODES = 100_000
 #: Rows of one cell kept together in the written state.
 STATE_ROWS = 8192
 
@@ -179,10 +181,14 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str], whole
 def snap_to_codes(df: DataFrame, column: str, codes: DataFrame, value: str = "value") -> DataFrame:
     """Replace each value of ``column`` by the nearest code, the lower one on a tie.
 
-    Distinct values and codes are sorted together in ranges; a value's neighbours are the last code
+    Up to ``FEW_CODES`` codes are sent to the tasks as one sorted array, in which a value's neighbours are found by halving. More
+    are never brought together: distinct values and codes are sorted in ranges; a value's neighbours are the last code
     up to it and the first from it on. The distinct values are joined back: Spark broadcasts them if they are few.
     """
     listed = codes.select(F.col(value).cast("double").alias("v")).where("v is not null").distinct()
+    few = listed.limit(FEW_CODES + 1).toPandas()["v"].to_numpy(float)
+    if 0 < len(few) <= FEW_CODES:
+        return _snap_to_few(df, column, np.sort(few))
     own = df.select(numeric(df, column).alias("v")).where("v is not null").distinct()
     both = own.withColumn("code", F.lit(None).cast("double")).unionByName(listed.withColumn("code", F.col("v")))
     cuts = both.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0]
@@ -212,6 +218,18 @@ def snap_to_codes(df: DataFrame, column: str, codes: DataFrame, value: str = "va
     return joined.select(*[F.col("__snapped").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
 
 
+def _snap_to_few(df: DataFrame, column: str, codes: np.ndarray) -> DataFrame:
+    shared = df.sparkSession.sparkContext.broadcast(codes)
+
+    def nearest(values: pa.Array) -> pa.Array:
+        own = values.to_numpy(zero_copy_only=False).astype(float)
+        none = np.isnan(own)
+        return pa.array(np.where(none, np.nan, _nearest(shared.value, np.where(none, 0.0, own))), mask=none)
+
+    snapped = F.arrow_udf(nearest, T.DoubleType())(numeric(df, column).cast("double"))
+    return df.select(*[snapped.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
+
+
 # ----------------------------------------------------------------------- start and steps
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.columns import hash_normal, hash_uniform
 from surveyloom.operators.contract import Contract
+from surveyloom.session import materialise
 
 # Household number base per source position and members per household, upper
 # ends of design codes, and shape and bounds of sampling weights.
@@ -91,8 +92,8 @@ def synthetic_table(
     key, width = F.col("id"), max(1, -(-rows // BUCKETS))
     cells = quota_table(spark, contract, quotas, absent)
     numbered = spark.range(rows).withColumn("__bucket", F.floor(key / F.lit(width)))
-    # the table has a bounded number of rows beyond the cells of the contract
-    joined = numbered.join(F.broadcast(cells), "__bucket").where((key >= F.col("__lo")) & (key < F.col("__hi")))
+    # written first: Spark broadcasts it by its bytes, or shuffles by bucket if the contract has very many cells
+    joined = numbered.join(materialise(cells, "quotas"), "__bucket").where((key >= F.col("__lo")) & (key < F.col("__hi")))
 
     def index(name: str, size: Column) -> Column:
         return F.floor(hash_uniform(key, name, seed) * size)

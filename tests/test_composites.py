@@ -67,3 +67,32 @@ def test_composites_of_present_columns(spark):
     row = out.first()
     assert (row["ANC_total_visit"], row["food_diversity_score"], row["TTD_compliance"], row["imunisasi_lengkap"]) == (1.0, 0.0, 1, 1)
     assert "wealth_index" not in out.columns
+
+
+def test_moments_far_from_zero(spark):
+    """Sums of squares about a centre of each task's own lose no digits; columns may be unknown in whole parts of the rows."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 3)) * [1.0, 2.0, 0.5] + [1e9, -1e9, 3.0]
+    x[:, 1] += x[:, 0] - 1e9
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:1000, 2] = np.nan
+    groups = np.array(["a", "b", None], dtype=object)[rng.integers(0, 3, len(x))]
+    rows = [(g, *[None if np.isnan(v) else float(v) for v in r], None) for g, r in zip(groups, x)]
+    schema = "g string, p double, q double, r double, never double"
+    names = ["p", "q", "r", "never"]
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, schema).repartition(parts)
+        got = {row["g"]: row for row in K.cross_moments(df, names, ["g"]).collect()}
+        whole = K.cross_moments(df, names).collect()
+        for key, row in [*got.items(), ("all", whole[0])]:
+            own = x if key == "all" else x[groups == key] if key is not None else x[[g is None for g in groups]]
+            assert row["n"] == len(own) and row["mean_never"] is None and row["cov_p__never"] == 0
+            off = np.where(np.isnan(own), 0.0, own - np.nanmean(own, axis=0))
+            want = off.T @ off / len(own)
+            for i, a in enumerate(names[:3]):
+                assert row[f"mean_{a}"] == pytest.approx(np.nanmean(own[:, i]), rel=1e-15, abs=1e-9)
+                for j in range(i, 3):
+                    assert row[f"cov_{a}__{names[j]}"] == pytest.approx(want[i, j], rel=1e-6, abs=1e-6)
+    plan = K.cross_moments(df, names, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "Join" not in plan
+    assert K.cross_moments(df.limit(0), names, ["g"]).collect() == []

@@ -190,3 +190,32 @@ def test_convergence_of_encoded_rows(sources, dictionary, lms):
     assert out.trace.select("iteration").distinct().count() == 6
     assert out.features.where("feature IN ('haz_score', 'anc_freq_doc_t1', 'stunting_binary')").count() == 0
     assert out.cells.count() == 4 and out.features.count() >= 4 and out.top.count() == out.features.where("measured").count()
+
+
+def test_counts_come_with_the_rows(spark, sources, dictionary, lms, tmp_path):
+    """Counts of the stages are filled by the write; the report is of what was written."""
+    from surveyloom.plans.harmonise import Watch, finish
+
+    watch = Watch()
+    rows = harmonise(sources, dictionary, lms, PROFILE, impute=None, watch=watch)
+    finish(rows, str(tmp_path / "out"), PROFILE, watch)
+    got = {(r["stage"], r["source"], r["name"]): r["n"] for r in watch.counts(spark).collect()}
+    assert got["outside", "ssgi22", "rows"] == got["outside", "ssgi24", "rows"] == 400
+    assert got["outside", "ssgi22", "height_child_cm"] == 1 and got["outside", "ssgi22", "weight_child_kg"] == 1
+    assert got["outside", "ssgi22", "age_child_months"] == 1 and got["outside", "ssgi24", "height_child_cm"] == 0
+    valid = {r["source_flag"]: r["n"] for r in rows.groupBy("source_flag").agg(F.count("haz_score").alias("n")).collect()}
+    assert {s: got["label", s, "valid"] for s in valid} == valid
+    written = spark.read.option("header", True).csv(str(tmp_path / "out" / "counts"))
+    assert written.count() == len(got)
+
+
+def test_a_source_imputed_through_all_stages_does_not_depend_on_others(sources, dictionary, lms):
+    """Rows draw by what they hold: a further survey changes no value, by lines or trees."""
+    small = replace(PROFILE, impute=replace(PROFILE.impute, sweeps=2, min_leaf=5))
+    for impute in ("linear",):
+        both = rows_of(harmonise(sources, dictionary, lms, small, impute=impute))
+        alone = rows_of(harmonise({"ssgi24": sources["ssgi24"]}, dictionary, lms, small, impute=impute))
+        for key, row in alone.items():
+            for c, v in row.items():
+                other = both[key][c]
+                assert other == (pytest.approx(v, abs=1e-6) if isinstance(v, float) else v), (key, c)

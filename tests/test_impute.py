@@ -253,7 +253,9 @@ def test_a_tree_against_all_splits():
     assert T.predict([tree], 1.0, z) == pytest.approx(np.where(left, y[left].mean(), y[~left].mean()))
 
 
-def test_snap_to_the_nearest_code(spark):
+@pytest.mark.parametrize("few", [I.FEW_CODES, 0])
+def test_snap_to_the_nearest_code(spark, monkeypatch, few):
+    monkeypatch.setattr(I, "FEW_CODES", few)
     rng = np.random.default_rng(1)
     codes = sorted({float(v) for v in np.round(rng.gamma(1.0, 20.0, 60), 1)})
     values = [*rng.uniform(-10, 120, 500), *codes, *[(a + b) / 2 for a, b in zip(codes, codes[1:])]]

@@ -153,6 +153,18 @@ def test_written_table_has_a_folder_per_cell(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 2
 
 
+def test_one_source_is_written_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(s, k, i) for i, (s, k) in enumerate([("a", "x"), ("a", "y"), ("b", "x"), ("b", None)])]
+    df = spark.createDataFrame(rows, "source_flag string, kohort string, v int")
+    outputs.write_table(df, path)
+    outputs.write_table(df.where("source_flag = 'b'").withColumn("v", F.col("v") + 100), path, keep_others=True)
+    got = spark.read.schema(df.schema).parquet(path).collect()
+    assert sorted((r["source_flag"], r["kohort"] or "", r["v"]) for r in got) == [("a", "x", 0), ("a", "y", 1), ("b", "", 103), ("b", "x", 102)]
+    with pytest.raises(ValueError, match="cells"):
+        outputs.write_table(df.select("v"), path, keep_others=True)
+
+
 def test_intermediate_folders_are_removed(spark):
     kept = session.materialise(spark.range(5), "kept")
     gone = session.materialise(spark.range(5), "gone")
