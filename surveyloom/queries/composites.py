@@ -47,7 +47,8 @@ def wealth_moments_far(spark: SparkSession, sf: str) -> DataFrame:
     """The same of columns far from zero, each unknown in some rows."""
     far = survey(spark, sf).select("source_flag", *[(F.col(a) + FAR).alias(a) for a in ASSETS])
     moments = ops.cross_moments(far, ASSETS, ["source_flag"])
-    means = [F.round(F.col(f"mean_{a}") - FAR, 6).alias(f"mean_{a}") for a in ASSETS]
+    # doubles of this size lie a ten-millionth apart
+    means = [F.round(F.col(f"mean_{a}") - FAR, 4).alias(f"mean_{a}") for a in ASSETS]
     return moments.select("source_flag", "n", *means, *[F.round(c, 6).alias(c) for c in moments.columns if c.startswith("cov_")])
 
 
@@ -102,7 +103,7 @@ SQL = {
  AS imunisasi_lengkap FROM ({SURVEY_SQL})""",
     "wealth_moments": f"""WITH {moments_sql(SURVEY_SQL)} SELECT source_flag, n, {', '.join(f'round(mean_{a}, 6) AS mean_{a}' for a in ASSETS)},
  {', '.join(f'round(cov_{a}__{b}, 6) AS cov_{a}__{b}' for a, b in _PAIRS)} FROM moments""",
-    "wealth_moments_far": f"""WITH {moments_sql(SURVEY_SQL)} SELECT source_flag, n, {', '.join(f'round(mean_{a}, 6) AS mean_{a}' for a in ASSETS)},
+    "wealth_moments_far": f"""WITH {moments_sql(SURVEY_SQL)} SELECT source_flag, n, {', '.join(f'round(mean_{a}, 4) AS mean_{a}' for a in ASSETS)},
  {', '.join(f'round(cov_{a}__{b}, 6) AS cov_{a}__{b}' for a, b in _PAIRS)} FROM moments""",
     "wealth_index": f"""WITH RECURSIVE {moments_sql(SURVEY_SQL)}, {weights_sql()}
  SELECT source_flag, id_ruta, {', '.join(ASSETS)}, round({SCORE}, 6) AS wealth_index
