@@ -168,18 +168,24 @@ def _terms(rule: ToxicRule):
     return run
 
 
-def _bounded(terms: int):
-    """For one task: rows in order, until they have so many terms together."""
+def _machine(rule: ToxicRule):
+    """For one task: the machine of the rows that come, as long as they have so many terms together at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = terms
+        rows, left = [], rule.terms
         for batch in batches:
-            upto = np.cumsum([len(t.as_buffer()) // 4 for t in batch.column(1)])
-            keep = int(np.searchsorted(upto, left, "right"))
-            yield batch.slice(0, keep)
-            if keep < batch.num_rows:
-                return
-            left -= int(upto[-1]) if len(upto) else 0
+            for toxic, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                left -= len(terms) // 4
+                if left >= 0:
+                    rows.append((zlib.crc32(terms), terms, toxic))
+            if left < 0:
+                break
+        # an order that says nothing of the rows' terms
+        rows.sort()
+        fitted = fit_level(np.array([t for _, _, t in rows], dtype=float), [np.frombuffer(t, "<i4") for _, t, _ in rows], rule)
+        columns = [pa.array([fitted.bias])]
+        columns += [pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (fitted.weights, fitted.vectors)]
+        yield pa.RecordBatch.from_arrays(columns, ["bias", "weights", "vectors"])
 
     return run
 
@@ -194,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
     small_batches(docs.sparkSession)
     marked = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # the bound of the sample is the bound of what is broadcast and of the rows that come back
+    # the bound of the sample is the bound of what is broadcast and of what one task fits; the machine alone comes back
     order = F.xxhash64("doc_id", F.lit(rule.seed))
     marked = marked.orderBy(order, "doc_id").limit(rule.sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marked), "doc_id")
@@ -202,13 +208,11 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule()) ->
     # one text of an id, the same however the rows come
     found = found.groupBy("doc_id").agg(F.min(F.struct("terms", "toxic")).alias("row"))
     found = found.select(order.alias("at"), "doc_id", "row.*").repartition(1).sortWithinPartitions("at", "doc_id")
-    found = found.select("toxic", "terms").mapInArrow(_bounded(rule.terms), "toxic int, terms binary").toPandas()
-    # the same order however the rows came, and one that says nothing of their terms
-    found["order"] = [zlib.crc32(t) for t in found["terms"]]
-    found = found.sort_values(["order", "terms", "toxic"], kind="stable")
-    terms, labels = [np.frombuffer(x, "<i4") for x in found["terms"]], found["toxic"].to_numpy(float)
-    del found
-    return fit_level(labels, terms, rule)
+    fitted = found.select("toxic", "terms").mapInArrow(_machine(rule), "bias double, weights binary, vectors binary").first()
+    if fitted is None:
+        return fit_level(np.zeros(0), [], rule)
+    weights, vectors = (np.frombuffer(fitted[c], "<f4") for c in ("weights", "vectors"))
+    return Machine(fitted.bias, weights, vectors.reshape(-1, rule.factors))
 
 
 def score(docs: DataFrame, machine: Machine, rule: ToxicRule, carried: F.Column) -> DataFrame:
