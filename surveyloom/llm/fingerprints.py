@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveyloom.llm.store import Scratch
+
 #: Lanes of 32 bits of the exact part, and of 20 bits (five hex digits) of the part for likeness.
 EXACT = 16
 LIKE = 126
@@ -22,9 +24,13 @@ _LIKE_SPAN = 1 << (4 * _LIKE_HEX)
 #: Three lanes are summed in one long, 21 bits apart: a bit of the hash for each, and room for one carry.
 _TRIPLE = 1 | 1 << 21 | 1 << 42
 _ROOM = (_LIKE_SPAN - 1) * _TRIPLE
-#: Bytes of text in a range of ids, and ranges at least.
+#: Bytes of text in a range of places, ranges at least, and at most: their first places, 24 bytes each, go to every task.
+#: A range is sorted, so a larger one spills.
 RANGE_BYTES = 8 << 20
 RANGES = 64
+MOST_RANGES = 1 << 16
+#: A document's place: null ids first, then by id, then by a hash of the text.
+PLACE = ("known", "doc", "key")
 #: Where a sentence ends.
 SENTENCE = r"(?<=[.!?])\s+|\n+"
 
@@ -106,13 +112,28 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return df.withColumn(name, F.expr(share)).drop(x, y)
 
 
-def _range_of(doc: Column, bounds: list[int], low: int = 0) -> Column:
-    """The number of the range an id falls in, by halving."""
-    if not bounds:
-        return F.lit(low)
-    mid = len(bounds) // 2
-    left = _range_of(doc, bounds[:mid], low)
-    return F.when(doc < bounds[mid], left).otherwise(_range_of(doc, bounds[mid + 1 :], low + mid + 1))
+def _first_places(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """One row: the first places of ranges of about equally many documents, ascending.
+
+    Spark cuts the ranges; only their number is known on the driver.
+    """
+    places = scratch.keep(rows.select(*PLACE, F.octet_length("text").alias("size")), "places")
+    size = places.agg(F.sum("size")).first()[0] or 0
+    n = min(MOST_RANGES, max(RANGES, -(-size // RANGE_BYTES)))
+    cut = places.repartitionByRange(n, *PLACE).select(F.spark_partition_id().alias("part"), F.struct(*PLACE).alias("place"))
+    firsts = cut.groupBy("part").agg(F.min("place").alias("place")).agg(F.sort_array(F.collect_list("place")).alias("firsts"))
+    return scratch.keep(firsts.withColumn("one", F.lit(0).cast("long")), "firsts")
+
+
+def _range_of(place: str, firsts: str) -> Column:
+    """The number of the range a place falls in, by halving."""
+    mid = "shiftright(s.low + s.high, 1)"
+    step = (
+        f"IF(s.high - s.low <= 1, s, IF({firsts}[{mid}] <= {place}, "
+        f"named_struct('low', {mid}, 'high', s.high), named_struct('low', s.low, 'high', {mid})))"
+    )
+    halvings = f"sequence(1, {MOST_RANGES.bit_length()})"
+    return F.expr(f"aggregate({halvings}, named_struct('low', 0, 'high', size({firsts})), (s, i) -> {step}, s -> s.low)")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -123,30 +144,32 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     document, ascending ``doc_id``; after the last comes the first. Returns ``doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next``, a row per input row.
 
-    Texts are dealt once, by ranges of the id; the first document of a range is also put at the end of the range
+    Texts are dealt once, by ranges of id and text; the first document of a range is also put at the end of the range
     before it. Defined cases: a null text is empty; a null ``doc_id`` comes before all others; rows that repeat a
-    ``doc_id`` follow each other by text; a single row is its own next. An empty table gives an empty one.
+    ``doc_id`` follow each other by a hash of the text and the text; a single row is its own next. Rows that repeat id and
+    text are in one range. An empty table gives an empty one.
     """
-    missing = -(1 << 63)
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(missing))
-    rows = docs.select(doc.alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    facts = rows.agg(F.min("doc").alias("low"), F.sum(F.octet_length("text")).alias("size")).first()
-    n = max(RANGES, -(-(facts["size"] or 0) // RANGE_BYTES))
-    shares = [i / n for i in range(1, n)]
-    found = rows.agg(F.percentile_approx("doc", shares, max(10_000, 10 * n)).alias("bounds")).first()["bounds"]
-    # ids of the table itself: each is the first of its range
-    bounds = sorted({b for b in found or [] if b > facts["low"]})
-    firsts = [facts["low"] if facts["low"] is not None else 0, *bounds]
-    own = _range_of(F.col("doc"), bounds)
-    before = F.pmod(own - 1, F.lit(len(firsts)))
-    ranges = F.array(F.struct(own.alias("range"), F.lit(False).alias("guest")))
-    with_guest = F.concat(ranges, F.array(F.struct(before.alias("range"), F.lit(True).alias("guest"))))
-    first = F.element_at(F.array(*[F.lit(b) for b in firsts]), own + 1) == F.col("doc")
-    marked = with_fingerprint(rows, "text", "mark")
-    dealt = marked.select("*", F.inline(F.when(first, with_guest).otherwise(ranges)))
-    order = Window.partitionBy("range").orderBy("guest", "doc", F.xxhash64("text"), "text")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        F.col("doc_id").isNotNull().alias("known"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc"),
+        F.xxhash64(text).alias("key"), text.alias("text"),
+    )
+    firsts = _first_places(rows, Scratch(docs.sparkSession, "fingerprints"))
+    # the one row of first places is of bounded size
+    marked = with_fingerprint(rows, "text", "mark").withColumn("place", F.struct(*PLACE))
+    placed = marked.join(F.broadcast(firsts), F.pmod("key", F.lit(1)) == F.col("one")).withColumn("own", _range_of("place", "firsts"))
+    first = F.get("firsts", F.col("own")) == F.col("place")
+    count = F.size("firsts")
+    placed = placed.select(
+        *PLACE, "text", "mark", "own", F.when(first, F.pmod(F.col("own") - 1, count)).alias("before")
+    )
+    ranges = F.array(F.struct(F.col("own").alias("range"), F.lit(False).alias("guest")))
+    with_guest = F.concat(ranges, F.array(F.struct(F.col("before").alias("range"), F.lit(True).alias("guest"))))
+    dealt = placed.select(*PLACE, "text", "mark", F.inline(F.when(F.col("before").isNotNull(), with_guest).otherwise(ranges)))
+    order = Window.partitionBy("range").orderBy("guest", *PLACE, "text")
     paired = dealt.select(
-        "doc", "guest", "text", "mark", F.lead("text").over(order).alias("next_text"), F.lead("mark").over(order).alias("next_mark")
+        "known", "doc", "guest", "text", "mark",
+        F.lead("text").over(order).alias("next_text"), F.lead("mark").over(order).alias("next_mark"),
     ).where(~F.col("guest"))
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
@@ -157,7 +180,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     out = with_likeness(out, "mark", "edited_mark", "near_edited")
     out = with_likeness(out, "mark", "next_mark", "near_next")
     return out.select(
-        F.when(F.col("doc") != missing, F.col("doc")).alias("doc_id"),
+        F.when(F.col("known"), F.col("doc")).alias("doc_id"),
         size.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.col("mark").alias("fingerprint"),

@@ -63,3 +63,30 @@ def test_plan_has_no_python_and_one_shuffle(docs):
 def test_a_text_with_more_sentences_than_a_lane_counts(spark):
     df = spark.range(1).select(F.expr("repeat('a b. ', 1100000)").alias("t"))
     assert len(with_fingerprint(df, "t", "f").first().f) == 16 * 8 + 126 * 5
+
+
+def test_repeated_and_smallest_ids_are_split_and_keep_their_order(spark):
+    low = -(1 << 63)
+    data = [(5, f"text {i}. of one id.\nline") for i in range(300)] + [(low, "least"), (None, "none"), (9, "last")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    key = F.xxhash64("text").alias("key")
+    known = F.col("doc_id").isNotNull()
+    order = [(r.doc_id, r.text) for r in df.orderBy(known, "doc_id", key, "text").collect()]
+    want = []
+    for k, (d, text) in enumerate(order):
+        half, after = len(text) // 2, order[(k + 1) % len(order)][1]
+        want.append((d, hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()))
+    got = [(r.doc_id, r.edited_sha256) for r in edited_fingerprints(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_plan_does_not_grow_with_the_ranges(docs, monkeypatch):
+    from surveyloom.llm import fingerprints
+
+    def size():
+        return len(edited_fingerprints(docs)._jdf.queryExecution().optimizedPlan().toString())
+
+    few = size()
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 40)
+    assert abs(size() - few) < 200
+    assert edited_fingerprints(docs).count() == docs.count()
