@@ -4,7 +4,7 @@ A window is a run of ``length`` consecutive words. The cover holds residues modu
 such that any two positions have a common shift, smaller than the period, that brings both onto
 it. So two equal windows share an anchor: a shorter gram at cover positions of both.
 Only grams at cover positions are hashed and compared; a window without a repeated
-anchor has no equal. The others are extended to their full length and compared as a whole.
+anchor has no equal. The others are extended to their full length and compared as a whole, by 128 bits.
 
 Grams and windows travel as packs: a task puts the hashes of many documents together, each
 hash once, split by ranges of the hash. A passage in a third of all documents is then one
@@ -34,6 +34,8 @@ PACK = 1 << 18
 RANGE_BYTES = 8 << 20
 #: Ranges at least, so that a small input is spread as well.
 RANGES = 64
+#: Seed of the words and base of the windows of the second 64 bits of a window's hash.
+CHECK, CHECK_BASE = 1, 0xD6E8FEB86659FD93
 #: Stands for a missing doc_id: after all others.
 LAST = np.iinfo(np.int64).max
 
@@ -75,11 +77,15 @@ class _Pack:
         return out
 
 
-def _order(high: np.ndarray, *ties: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by hash and then place, and where a new hash begins in it."""
-    order = np.lexsort((*reversed(ties), high))
-    sorted_high = high[order]
-    return order, np.flatnonzero(np.append(True, sorted_high[1:] != sorted_high[:-1])[: len(order)])
+def _order(high: np.ndarray, check: np.ndarray | None = None, *ties: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order by hash, its second half if there is one and then place, and where a new hash begins in it."""
+    hashes = (high,) if check is None else (high, check)
+    order = np.lexsort((*reversed(ties), *reversed(hashes)))
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for part in hashes:
+        new[1:] |= part[order[1:]] != part[order[:-1]]
+    return order, np.flatnonzero(new)
 
 
 def _ranges(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -88,17 +94,17 @@ def _ranges(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, bounds), [len(hashes)]])
 
 
-PACK_NAMES = ["part", "hash", "doc", "text_key", "start"]
-PACKED = "part int, hash binary, doc binary, text_key binary, start binary"
+PACK_NAMES = ["part", "hash", "check", "doc", "text_key", "start"]
+PACKED = "part int, hash binary, check binary, doc binary, text_key binary, start binary"
 
 
-def _send(hashes, doc, key, start, n) -> Iterator[pa.RecordBatch]:
-    """Rows of a pack, its hashes sorted, one for each range with hashes."""
+def _send(hashes, check, doc, key, start, n) -> Iterator[pa.RecordBatch]:
+    """Rows of a pack, its hashes sorted, one for each range with hashes. Anchors have no second half."""
     cuts = _ranges(hashes, n)
     filled = np.flatnonzero(np.diff(cuts))
     columns = [
         pa.array([c[cuts[i] : cuts[i + 1]].tobytes() for i in filled], pa.binary())
-        for c in (hashes, doc, key, start.astype(np.int32))
+        for c in (hashes, hashes[:0] if check is None else check, doc, key, start.astype(np.int32))
     ]
     yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), *columns], PACK_NAMES)
 
@@ -106,7 +112,7 @@ def _send(hashes, doc, key, start, n) -> Iterator[pa.RecordBatch]:
 def _known(doc, key, start) -> Iterator[pa.RecordBatch]:
     """A row of places that need no other pack to be known."""
     if len(doc):
-        columns = [pa.array([c.tobytes()], pa.binary()) for c in (doc[:0], doc, key, start.astype(np.int32))]
+        columns = [pa.array([c.tobytes()], pa.binary()) for c in (doc[:0], doc[:0], doc, key, start.astype(np.int32))]
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *columns], PACK_NAMES)
 
 
@@ -121,7 +127,7 @@ def _anchors(rule: RepeatRule, ranges: int):
         again = order[np.repeat(count > 1, count)]
         yield from _known(doc[again], key[again], start[again])
         one = order[new]
-        yield from _send(hashes[one], doc[one], key[one], start[one], ranges)
+        yield from _send(hashes[one], None, doc[one], key[one], start[one], ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = _Pack()
@@ -145,8 +151,8 @@ def _anchors(rule: RepeatRule, ranges: int):
 
 
 def _unpack(rows: pd.DataFrame) -> list[np.ndarray]:
-    kinds = (U64, np.int64, np.int64, np.int32)
-    names = ("hash", "doc", "text_key", "start")
+    kinds = (U64, U64, np.int64, np.int64, np.int32)
+    names = ("hash", "check", "doc", "text_key", "start")
     return [np.frombuffer(b"".join(rows[n]), k) for n, k in zip(names, kinds, strict=True)]
 
 
@@ -172,23 +178,23 @@ def _answer(pick):
     """What a range of hashes answers to its packs; known places go on as they are."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        hashes, doc, key, start = _unpack(rows)
-        hit = slice(None) if len(rows) and rows["part"].iloc[0] < 0 else pick(hashes, doc, start)
+        hashes, check, doc, key, start = _unpack(rows)
+        hit = slice(None) if len(rows) and rows["part"].iloc[0] < 0 else pick(hashes, check, doc, start)
         return _places(doc[hit], key[hit], start[hit])
 
     return run
 
 
-def _repeated(hashes: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+def _repeated(hashes: np.ndarray, check: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Grams that more than one pack holds."""
     order, new = _order(hashes)
     count = np.diff(np.append(new, len(order)))
     return order[np.repeat(count > 1, count)]
 
 
-def _later(hashes: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+def _later(hashes: np.ndarray, check: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Windows that also start earlier."""
-    order, new = _order(hashes, doc, start)
+    order, new = _order(hashes, check, doc, start)
     lead = np.repeat(order[new], np.diff(np.append(new, len(order))))
     return order[(doc[order] > doc[lead]) | ((doc[order] == doc[lead]) & (start[order] > start[lead]))]
 
@@ -202,14 +208,14 @@ def _extend(rule: RepeatRule, ranges: int):
     """Packs of the windows a repeated anchor lets through; those later in a pack are known at once."""
 
     def flush(pack: _Pack) -> Iterator[pa.RecordBatch]:
-        hashes, doc, key, start = pack.take()
-        late = _later(hashes, doc, start)
+        hashes, check, doc, key, start = pack.take()
+        late = _later(hashes, check, doc, start)
         yield from _known(doc[late], key[late], start[late])
         rest = np.ones(len(hashes), dtype=bool)
         rest[late] = False
         rest = np.flatnonzero(rest)
         rest = rest[np.argsort(hashes[rest], kind="stable")]
-        yield from _send(hashes[rest], doc[rest], key[rest], start[rest], ranges)
+        yield from _send(hashes[rest], check[rest], doc[rest], key[rest], start[rest], ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = _Pack()
@@ -218,6 +224,7 @@ def _extend(rule: RepeatRule, ranges: int):
             starts = _starts(batch.column(3))
             for words in split_words(batch.column(2), BLANKS):
                 grams = windows(words.hashes(), rule.length)
+                checks = windows(words.hashes(CHECK), rule.length, CHECK_BASE)
                 for i in range(words.high - words.low):
                     a, b = words.first[i], words.first[i + 1]
                     n = b - a - rule.length + 1
@@ -230,7 +237,7 @@ def _extend(rule: RepeatRule, ranges: int):
                     np.add.at(edge, p + 1, -1)
                     at = np.flatnonzero(np.cumsum(edge)[:n] > 0)
                     row = words.low + i
-                    pack.add(grams[a + at], np.full(len(at), doc[row]), np.full(len(at), key[row]), at)
+                    pack.add(grams[a + at], checks[a + at], np.full(len(at), doc[row]), np.full(len(at), key[row]), at)
                 if pack.size >= PACK:
                     yield from flush(pack)
         if pack.size:

@@ -1,5 +1,7 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import frame, words_of
 
@@ -55,3 +57,23 @@ def test_odd_rows(odd, empty):
         [(1, 60, 0), (1, 60, 0), (2, 60, 58), (2, 61, 60), (None, 60, 60), (None, 0, 0), (7, 0, 0)], key=str
     )
     assert remove_repeats(empty).collect() == []
+
+
+def test_windows_are_told_apart_by_the_second_half(docs, rows, monkeypatch):
+    real = substring_dedup.windows
+
+    def coarse(values, size, *base):
+        found = real(values, size, *base)
+        # the first half is the same for many windows
+        return found if base else found & np.uint64(7)
+
+    monkeypatch.setattr(substring_dedup, "windows", coarse)
+    hashes = np.array([3, 3, 3, 3], np.uint64)
+    check = np.array([8, 9, 8, 9], np.uint64)
+    doc, start = np.array([1, 1, 2, 2]), np.array([0, 4, 0, 9], np.int32)
+    assert sorted(substring_dedup._later(hashes, check, doc, start)) == [2, 3]
+    words = pa.array([" ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))])
+    starts = pa.array([[np.arange(60, dtype=np.int32).tobytes()]] * 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([1, 2]), words, starts], ["doc", "text_key", "text", "starts"])
+    sent = list(substring_dedup._extend(RepeatRule(), 4)(iter([batch])))
+    assert all(part >= 0 for b in sent for part in b.column(0).to_pylist())
