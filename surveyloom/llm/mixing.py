@@ -23,6 +23,8 @@ from surveyloom.llm.words import U64, mix
 
 #: Documents of a bucket on average, and what is left of buckets that meets in the next level.
 BUCKET = 2048
+#: Rows that are alike and numbered by one task.
+ALIKE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -75,13 +77,19 @@ def pivot(chance: np.ndarray, size: np.ndarray, coins: np.ndarray) -> np.ndarray
     return out
 
 
-ROW = "source_no int, bucket long, doc_id long, text_key long, size long, chance double"
+ROW = "source_no int, bucket long, doc_id long, text_key long, ordinal long, size long, chance double"
+
+
+def _key(rows: pd.DataFrame) -> np.ndarray:
+    """What a row's coins hang on: id, text, and its number among rows alike."""
+    doc, text, ordinal = (rows[c].fillna(-1).to_numpy(np.int64).view(U64) for c in ("doc_id", "text_key", "ordinal"))
+    return doc ^ text ^ mix(ordinal)
 
 
 def _level(seed: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        key = rows["doc_id"].fillna(-1).to_numpy(np.int64).view(U64) ^ rows["text_key"].to_numpy(np.int64).view(U64)
-        order = np.lexsort((rows["size"], rows["text_key"], rows["doc_id"].fillna(-1), mix(key ^ U64(seed))))
+        key = _key(rows)
+        order = np.lexsort((rows["ordinal"], rows["size"], rows["text_key"], rows["doc_id"].fillna(-1), mix(key ^ U64(seed))))
         rows = rows.iloc[order].reset_index(drop=True)
         coins = (mix(key[order] ^ mix(np.full(len(order), seed + 1, dtype=U64))) >> U64(11)) / 2.0**53
         chance, size = rows["chance"].to_numpy(float), rows["size"].to_numpy(float)
@@ -96,7 +104,7 @@ def _level(seed: int):
 
 def _last(seed: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        key = rows["doc_id"].fillna(-1).to_numpy(np.int64).view(U64) ^ rows["text_key"].to_numpy(np.int64).view(U64)
+        key = _key(rows)
         coins = (mix(key ^ mix(np.full(len(rows), seed + 2, dtype=U64))) >> U64(11)) / 2.0**53
         rows["chance"] = (coins < rows["chance"].to_numpy(float)).astype(float)
         return rows
@@ -104,12 +112,27 @@ def _last(seed: int):
     return run
 
 
+def _numbered(sized: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows with their number among rows alike, however they are split: rows alike are counted and dealt out again."""
+    alike = scratch.keep(sized.groupBy(*sized.columns).agg(F.count("*").alias("alike")), "alike")
+    number = F.sequence(F.lit(0).cast("long"), F.col("alike") - 1)
+    few = alike.where(F.col("alike") <= ALIKE).withColumn("ordinal", F.explode(number)).drop("alike")
+    # many rows alike are numbered in several tasks
+    last = F.floor((F.col("alike") - 1) / ALIKE)
+    blocks = alike.where(F.col("alike") > ALIKE).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    blocks = blocks.repartition(*[c for c in blocks.columns if c != "alike"])
+    ends = F.least(F.col("alike"), (F.col("block") + 1) * ALIKE) - 1
+    many = blocks.withColumn("ordinal", F.explode(F.sequence(F.col("block") * ALIKE, ends))).drop("alike", "block")
+    return few.unionByName(many)
+
+
 def mix_sources(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     """Copies of every document: ``doc_id, text_key, source, size, source_size, target, copies, taken``.
 
     ``docs`` needs ``doc_id`` (integer), ``text`` and ``source``; other columns are left out. A row per input
     row. Size is the number of words ``[^\\x20\\x09-\\x0D]+``; ``taken`` is ``copies * size``. Coins are
-    hashes of id and text, so reruns agree however the rows are split.
+    hashes of id, text and the number among rows alike, so reruns agree however the rows are split, and rows alike
+    are dealt to all buckets of their source.
 
     Defined cases: null and empty texts have size 0 and take nothing; a null source is a source,
     the last one; a source without words has target 0 and no copies; rows that repeat id and text are
@@ -123,7 +146,7 @@ def mix_sources(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
         "source",
         F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")).cast("long"), F.lit(0)).alias("size"),
     )
-    sized = scratch.keep(sized, "sized")
+    sized = scratch.keep(_numbered(sized, scratch), "sized")
     # a row per source
     found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()
     sizes = {r["source"]: r["size"] for r in found}
@@ -135,9 +158,9 @@ def mix_sources(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     ]
     kind = "source_no int, source string, source_size long, target double, owed double, buckets long"
     sources = scratch.keep(spark.createDataFrame(per_source, kind), "sources")
-    own = F.pmod(F.xxhash64("doc_id", "text_key", F.lit(rule.seed)), F.col("buckets"))
+    own = F.pmod(F.xxhash64("doc_id", "text_key", F.lit(rule.seed)).bitwiseXOR(F.col("ordinal")), F.col("buckets"))
     rows = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).select(
-        "source_no", own.alias("bucket"), "doc_id", "text_key", "size", (F.col("owed") - F.floor("owed")).alias("chance")
+        "source_no", own.alias("bucket"), "doc_id", "text_key", "ordinal", "size", (F.col("owed") - F.floor("owed")).alias("chance")
     )
     done, most, level = [], max(buckets.values(), default=1), 0
     open_ = (F.col("chance") > 0) & (F.col("chance") < 1)

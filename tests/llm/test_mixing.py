@@ -78,3 +78,40 @@ def test_odd_rows(odd, empty):
     assert len(got) == 7
     assert all(r.taken == 0 for r in got if r.size == 0)
     assert mix_sources(empty).collect() == []
+
+
+def test_rows_alike_are_dealt_to_all_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 16)
+    monkeypatch.setattr(mixing, "ALIKE", 50)
+    data = [(None, "three words here", "a")] * 301 + [(None, None, "a")] * 120 + [(i, "w " * (i % 9), "b") for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    largest = []
+    real = mixing._level
+
+    def level(seed):
+        run = real(seed)
+        return lambda rows: run(rows).assign(bucket=len(rows))
+
+    monkeypatch.setattr(mixing, "_level", level)
+    kept = mixing.Scratch.keep
+
+    def keep(self, frame, name):
+        out = kept(self, frame, name)
+        if name == "level-1":
+            largest.append(out.agg({"bucket": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(mixing.Scratch, "keep", keep)
+    got = mix_sources(df).collect()
+    assert len(got) == len(data) and largest and largest[0] < 80
+    sizes = {"a": 903, "b": sum(i % 9 for i in range(200))}
+    aims = targets(sizes, MixRule())
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.taken
+    assert len([r for r in got if r.size == 3 and r.source == "a" and r.doc_id is None]) == 301
+    monkeypatch.undo()
+    again = Counter()
+    for r in mix_sources(df.repartition(3)).collect():
+        again[r.source] += r.taken
+    assert all(abs(again[s] - aims[s]) <= 8 for s in sizes)
