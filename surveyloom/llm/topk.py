@@ -4,7 +4,9 @@ Vectors in ranges of their id make a shard; within it like vectors are put next
 cut into blocks. A block keeps the largest and smallest value of every term (component) and its vectors as a
 forward index. A query bounds what any vector of a block can score by the sum of its terms' best products,
 takes the blocks in order of the bound and stops when the bound is below the kth score so far.
-A first pass over one shard gives every query a score to beat in all others.
+A first pass over the shard of the highest bound gives every query a score to beat in all others. Shards keep the
+largest and smallest value of every term as well; a chunk of queries is sent only to shards whose bound is not below the
+score to beat of all its queries.
 """
 
 from __future__ import annotations
@@ -28,13 +30,15 @@ class TopRule:
     shard: int = 8192
     block: int = 128
     chunk: int = 1024
+    #: shards whose extremes are looked at together
+    group: int = 256
 
 
 #: No score: lower than any, and safe to negate.
 FLOOR = -(1 << 62)
 
 
-def _dense(vectors: list[list[int]]) -> np.ndarray:
+def _dense(vectors: list) -> np.ndarray:
     width = max((len(v) for v in vectors), default=0)
     out = np.zeros((len(vectors), width), dtype=np.int64)
     for i, v in enumerate(vectors):
@@ -55,7 +59,7 @@ def _neighbours(matrix: np.ndarray, groups: int) -> np.ndarray:
     return np.argsort(near, kind="stable")
 
 
-PACKED = "no long, ids binary, width int, vectors binary"
+PACKED = "no long, ids binary, width int, vectors binary, high binary, low binary"
 
 
 def _pack(size: int, block: int):
@@ -66,9 +70,10 @@ def _pack(size: int, block: int):
         if block:
             order = _neighbours(matrix, -(-len(ids) // block))
             ids, matrix = ids[order], matrix[order]
-        values = [[int(ids.min())], [ids.tobytes()], [matrix.shape[1]], [matrix.tobytes()]]
-        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
-        names = ["no", "ids", "width", "vectors"]
+        extremes = [[matrix.max(axis=0).tobytes()], [matrix.min(axis=0).tobytes()]]
+        values = [[int(ids.min())], [ids.tobytes()], [matrix.shape[1]], [matrix.tobytes()], *extremes]
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        names = ["no", "ids", "width", "vectors", "high", "low"]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +143,37 @@ def _matrix(ids: bytes, width: int, vectors: bytes) -> tuple[np.ndarray, np.ndar
     return docs, np.frombuffer(vectors, np.int64).reshape(len(docs), width)
 
 
+MEETS = "no long, shard int, bound double"
+
+
+def _meets(first: bool):
+    """Shards of a group that a chunk of queries has to see; or only the one of the highest bounds, for the first pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                _, queries = _matrix(r["ids"], r["width"], r["vectors"])
+                limits = r["limits"]
+                high, low = (_dense([np.frombuffer(x[c], np.int64) for x in limits]) for c in ("high", "low"))
+                bound = _products(np.maximum(queries, 0), high) + _products(np.minimum(queries, 0), low)
+                total = bound.astype(float).sum(axis=0)
+                if first:
+                    take = np.array([int(np.argmax(total))])
+                else:
+                    take = np.flatnonzero((bound >= np.frombuffer(r["beat"], np.int64)[:, None]).any(axis=0))
+                shard = np.array([x["shard"] for x in limits], np.int32)[take]
+                columns = [pa.array(np.full(len(take), r["no"])), pa.array(shard), pa.array(total[take])]
+                yield pa.RecordBatch.from_arrays(columns, ["no", "shard", "bound"])
+
+    return run
+
+
+def meetings(chunks: DataFrame, limits: DataFrame, groups: int, first: bool) -> DataFrame:
+    """``no, shard, bound``: the shards that chunks of queries meet. Vectors go to each group of shards' extremes, not to shards."""
+    spread = chunks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return spread.join(limits, "group").mapInArrow(_meets(first), MEETS)
+
+
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -184,21 +220,26 @@ def top_scores(vectors: DataFrame, queries: DataFrame, rule: TopRule = TopRule()
         return scratch.keep(rows.mapInArrow(_pack(size, block), PACKED), name)
 
     shards = packed(vectors, rule.shard, rule.block, "shards")
-    chunks = packed(queries, rule.chunk, 0, "chunks")
-    # a number for every shard: every chunk of queries meets every shard, by that number
+    chunks = packed(queries, rule.chunk, 0, "chunks").drop("high", "low")
+    # a number for every shard
     numbers = shards.select("no").withColumn("one", F.lit(1))
     numbers = numbers.withColumn("shard", F.row_number().over(Window.partitionBy("one").orderBy("no")) - 1).drop("one")
     forward = shards.join(scratch.keep(numbers, "numbers"), "no").select(
-        F.col("shard"), F.col("ids").alias("doc_ids"), F.col("width").alias("doc_width"), F.col("vectors").alias("doc_vectors")
+        "shard", F.col("ids").alias("doc_ids"), F.col("width").alias("doc_width"), F.col("vectors").alias("doc_vectors"), "high", "low"
     )
     forward, count = scratch.keep(forward, "forward"), shards.count()
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    mine = F.pmod(F.xxhash64("no"), F.lit(count)).cast("int")
-    first = chunks.withColumn("beat", F.lit(None).cast("binary")).withColumn("shard", mine).join(forward, "shard")
+    limit = F.collect_list(F.struct("shard", "high", "low")).alias("limits")
+    limits = forward.groupBy(F.floor(F.col("shard") / rule.group).cast("int").alias("group")).agg(limit)
+    limits, groups = scratch.keep(limits, "limits"), -(-count // rule.group)
+    forward = forward.drop("high", "low")
+    mine = meetings(chunks, limits, groups, True).groupBy("no").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard"))
+    first = chunks.withColumn("beat", F.lit(None).cast("binary")).join(scratch.keep(mine, "mine"), "no").join(forward, "shard")
     beat = scratch.keep(first.drop("shard").mapInArrow(_search(rule, True), "no long, beat binary"), "beat")
-    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    pairs = chunks.join(beat, "no").withColumn("shard", every).join(forward, "shard")
+    eager = scratch.keep(chunks.join(beat, "no"), "eager")
+    met = scratch.keep(meetings(eager, limits, groups, False), "meetings")
+    pairs = met.drop("bound").join(eager, "no").join(forward, "shard")
     found = pairs.drop("shard").mapInArrow(_search(rule, False), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rule.k)

@@ -73,3 +73,27 @@ def test_blocks_are_skipped(monkeypatch):
     assert scored < 1280 * 4
     want = np.sort(np.where(docs[None, :] == docs[:8, None], topk.FLOOR, vectors[:8] @ vectors.T), axis=1)[:, ::-1][:, :10]
     assert (best == want).all()
+
+
+def test_shards_that_cannot_reach_are_not_met(spark, monkeypatch):
+    from surveyloom.llm import topk
+
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-60, 60, (10, 24))
+    vectors = np.repeat(centres, 60, axis=0) + rng.integers(-2, 3, (600, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    met, kept = [], topk.Scratch.keep
+
+    def keep(self, frame, name):
+        out = kept(self, frame, name)
+        if name == "meetings":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(topk.Scratch, "keep", keep)
+    rule = TopRule(k=5, shard=60, block=20, chunk=3, group=4)
+    got = grouped(top_scores(df, df.where("vec_id % 20 = 0"), rule).collect())
+    assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
+    # 30 queries in chunks of one cluster each, 10 shards
+    assert met[0] <= 60
