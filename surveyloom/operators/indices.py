@@ -2,8 +2,9 @@
 
 The lookup is a range join. It is laid out as an equi-join: the reference points become
 half-open segments, spread over buckets of the key, so Spark hash-joins on (indicator, sex,
-bucket) and checks the range as a residual condition. The reference table is small; its
-size is checked before it is broadcast.
+bucket) and checks the range as a residual condition. A small reference is broadcast by its bytes.
+One that is not shares few keys among all rows, and a month of age may hold a third of them:
+segments are then repeated once per salt and rows of a key are spread over the salts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from surveyloom.functions.columns import double, lms_z, number, ref, rewrite
 from surveyloom.session import materialise
@@ -39,30 +41,50 @@ def segments(lms: DataFrame, bucket: float = 1.0) -> DataFrame:
     return ends.withColumn("bucket", F.explode(buckets))
 
 
+#: Salts of a key when the reference is joined by a shuffle.
+SALTS = 16
+
+
+def _shuffled(table: DataFrame) -> bool:
+    """Whether a written table is above the bytes that Spark broadcasts."""
+    most = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > most
+
+
+def _salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` by a row's own values, so that rows with one key get different ones."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    return F.pmod(F.xxhash64(*[F.col(ref(c)) for c in plain]), F.lit(salts)).cast("int")
+
+
 #: A lookup to make: column with the indicator, column with the key.
 Lookup = tuple[str, str]
 
 
 def lookup(
-    df: DataFrame, segs: DataFrame, sex: str, wanted: Mapping[str, Lookup], bucket: float = 1.0
+    df: DataFrame, segs: DataFrame, sex: str, wanted: Mapping[str, Lookup], bucket: float = 1.0, salts: int = SALTS
 ) -> DataFrame:
     """For each prefix in ``wanted`` add ``<prefix>_l``, ``_m``, ``_s`` of the reference at the
     key; null outside the table. ``sex`` names a column of 1 or 2. Rows are kept: a key
     meets at most one segment. The segments are written first: Spark broadcasts them by their bytes, or
-    shuffles both sides if they are too many.
+    shuffles both sides if they are too many; the rows of a key then go to ``salts`` tasks.
     """
     segs = materialise(segs, "segments")
+    salted = _shuffled(segs)
     keys = {
         f"__b_{p}": f"CAST(floor({ref(x)} / {double(bucket)}) AS BIGINT)" for p, (_, x) in wanted.items()
     }
     out = rewrite(df, {"__sex": f"CASE WHEN {ref(sex)} IN (1D, 2D) THEN CAST({ref(sex)} AS INT) END", **keys})
+    if salted:
+        out = out.withColumn("__salt", _salt(df, salts))
+        segs = segs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     added = []
     for p, (indicator, x) in wanted.items():
         r = f"__r_{p}_"
         right = segs.toDF(*[r + c for c in segs.columns])
         on = F.expr(
             f"{ref(indicator)} = {r}indicator AND __sex = {r}sex AND __b_{p} = {r}bucket AND {ref(x)} >= {r}x "
-            f"AND ({ref(x)} < {r}x1 OR ({r}x1 IS NULL AND {ref(x)} = {r}x))"
+            f"AND ({ref(x)} < {r}x1 OR ({r}x1 IS NULL AND {ref(x)} = {r}x))" + (f" AND __salt = {r}salt" if salted else "")
         )
         out = out.join(right, on, "left")
         share = f"try_divide({ref(x)} - {r}x, {r}x1 - {r}x)"

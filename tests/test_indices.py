@@ -114,3 +114,25 @@ def test_large_reference_joins_by_shuffle(spark, lms):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert by_shuffle == sorted(map(str, I.growth_indices(df, lms, Measures()).collect()))
+
+
+def test_a_hot_month_is_spread_when_the_reference_is_shuffled(spark, lms):
+    rows = spark.range(4000).selectExpr("id", "'haz_h' AS ind", "1D AS sex", "CASE WHEN id < 3600 THEN 30D ELSE 24D + id % 30 END AS x")
+    fixed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in fixed}
+
+    def largest(salts):
+        out = I.lookup(rows, I.segments(lms), "sex", {"r": ("ind", "x")}, salts=salts)
+        return out, out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    try:
+        for k, v in fixed.items():
+            spark.conf.set(k, v)
+        _, alone = largest(1)
+        out, spread = largest(16)
+        by_salt = sorted(map(str, out.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert alone >= 3600 and spread < 1600
+    assert by_salt == sorted(map(str, I.lookup(rows, I.segments(lms), "sex", {"r": ("ind", "x")}).collect()))
