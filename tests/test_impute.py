@@ -1,8 +1,11 @@
 """Properties of the imputation, its indicators and its trace."""
 
 from dataclasses import replace
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,3 +280,27 @@ def test_value_domains_of_any_codes(spark):
     ]
     whole = sorted((r["variable"], r["value"]) for r in I.value_domains(df, ["q"], [], whole=True).collect())
     assert whole == [("q", -1.0), ("q", 2.0)]
+
+
+def test_written_rows_are_bounded_in_bytes(spark, tmp_path):
+    """A row of the state, and what a reader holds of it at once, stay small however wide the cell is."""
+    width, n = 60, 20_000
+    plan = I.CellPlan(
+        active=np.arange(width), targets=np.array([0]), mean=np.zeros(width), sd=np.ones(width), low=np.zeros(width), high=np.ones(width), codes={},
+    )
+    raw = np.random.default_rng(1).random((n, width))
+    raw[::3, 0] = np.nan
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(np.zeros(m)), pa.array(np.arange(at, at + m)), *map(pa.array, raw[at : at + m].T)], names=[str(i) for i in range(width + 2)])
+        for at, m in ((0, 12_000), (12_000, 100), (12_100, 7_900))
+    ]
+    out = list(I._first_state(SimpleNamespace(value={0: plan}), 1, "mean")(iter(batches)))
+    assert max(b.column("z")[0].as_buffer().size for b in out) <= I.STATE_BYTES
+    z = np.concatenate([z for b in out for _, z, _ in I._states(b)])
+    gaps = np.concatenate([g for b in out for _, _, g in I._states(b)])
+    assert np.array_equal(z, np.nan_to_num(raw)) and np.array_equal(gaps, np.isnan(raw))
+    table = spark.createDataFrame(pa.Table.from_batches(out * 20).to_pandas(), I.STATE).coalesce(1)
+    table.write.options(**I.STATE_FILES).parquet(str(tmp_path / "state"))
+    (file,) = (tmp_path / "state").glob("*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 16 << 20
