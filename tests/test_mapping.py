@@ -61,6 +61,15 @@ def test_audit_match_order(spark):
     assert got == {"AB": "AB", "ab_c": "A B_C", "zz": None, None: None}
 
 
+def test_audit_match_of_a_name_that_many_share(spark):
+    """A row meets one row per key, not every column that has the name."""
+    wanted = spark.createDataFrame([("s", k) for k in ["id", "I_D", "Id ", None] * 50], "source string, k string")
+    found = M.match_audit(wanted, columns(spark, ["ID", "id", "iD"] * 200 + ["I D"]), "k")
+    assert {(r["k"], r["found"]) for r in found.collect()} == {("id", "id"), ("I_D", "I D"), ("Id ", "I D"), (None, None)}
+    assert found.count() == 200
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rename_and_privacy(spark):
     df = spark.createDataFrame([(1, 2, 3, "n")], ["K1", "K2", "extra", "NIK"])
     d = spec(spark, [("a", "k1", "F"), ("b", "K2*", "F"), ("pii", "NIK", "HAPUS_PRIVASI"), ("p2", "—", "HAPUS_PRIVASI")])
