@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.operators import impute as I
+from surveyloom.session import materialise
 from surveyloom.specs import ImputeRule
 
 BY = ["source_flag", "kohort"]
@@ -304,3 +305,18 @@ def test_written_rows_are_bounded_in_bytes(spark, tmp_path):
     (file,) = (tmp_path / "state").glob("*.parquet")
     meta = pq.ParquetFile(file).metadata
     assert max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 16 << 20
+
+
+def test_few_sweeps_write_their_features_once(table, monkeypatch):
+    """Sweeps are repeated on rows as they are read, with the numbers that writing each of them gives."""
+    written = []
+    monkeypatch.setattr(I, "materialise", lambda df, name, *a, **k: written.append(name) or materialise(df, name, *a, **k))
+    got = I.ChainedImputer(RULE, CODED, "label").fit(table)
+    assert written.count("impute-state") == 1
+    monkeypatch.setattr(I.ChainedImputer, "replayed", 1)
+    each = I.ChainedImputer(RULE, CODED, "label").fit(table)
+    assert written.count("impute-state") == 1 + RULE.sweeps
+    for a, b in zip(got.history[0], each.history[0], strict=True):
+        for cell in a:
+            for (t, base, slopes), (u, other, others) in zip(a[cell], b[cell], strict=True):
+                assert t == u and np.isclose(base, other, rtol=1e-9, atol=1e-12) and np.allclose(slopes, others, rtol=1e-9, atol=1e-12)
