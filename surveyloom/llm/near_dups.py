@@ -16,7 +16,7 @@ brought together in blocks and all pairs are counted there; what leaves a block
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -267,14 +267,11 @@ def _blocks(rows: DataFrame, of: F.Column) -> DataFrame:
     """Every member of a band to the pairs of blocks it belongs to: ``own <= other``, as ``left`` or not."""
     rows = rows.withColumn("of", of.cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("of").cast("long")).cast("int"))
-    # a member meets the blocks from its own on as left, those up to its own as right
-    as_left = rows.withColumn("other", F.explode(F.sequence("own", F.col("of") - 1))).withColumn("left", F.lit(True))
-    as_right = (
-        rows.withColumn("other", F.col("own"))
-        .withColumn("own", F.explode(F.sequence(F.lit(0), F.col("own"))))
-        .withColumn("left", F.lit(False))
-    )
-    return as_left.unionByName(as_right)
+    # a member meets the blocks from its own on as left, those up to its own as right; one pass over the rows makes both
+    as_left = F.transform(F.sequence("own", F.col("of") - 1), lambda k: F.struct(F.col("own"), k.alias("other"), F.lit(True).alias("left")))
+    as_right = F.transform(F.sequence(F.lit(0), F.col("own")), lambda k: F.struct(k.alias("own"), F.col("own").alias("other"), F.lit(False).alias("left")))
+    rows = rows.withColumn("at", F.explode(F.concat(as_left, as_right)))
+    return rows.select(*[c for c in rows.columns if c not in ("own", "of", "at")], "at.*")
 
 
 def _hopeful_pairs(block: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -290,15 +287,48 @@ def _hopeful_pairs(block: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.
         yield i, other[keep], share[keep]
 
 
+def _met_first(block: pd.DataFrame) -> tuple[list[np.ndarray], Callable]:
+    """Marks of the left and right members of a block, and what marks a left one with some of the right ones as far as
+    they meet in this bucket: a pair that shares several bands is seen in the first."""
+    sides = [block[block["left"]], block[~block["left"]]]
+    regs = [_matrix(list(x["registers"]))[:, : BANDS * BAND] for x in sides]
+    need = [np.zeros(len(x), bool) for x in sides]
+
+    def mark(i: int, other: np.ndarray) -> None:
+        equal = regs[1][other] == regs[0][i]
+        first = equal.reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1)
+        hashes, this = _SEED[:BANDS], regs[0][i].reshape(BANDS, BAND).astype(U64)
+        for k in range(BAND):
+            hashes = mix((hashes ^ this[:, k]) + U64(0x9E3779B97F4A7C15))
+        here = int(np.flatnonzero(as_long(hashes) == block["band"].iloc[0])[0])
+        hit = other[first == here]
+        need[0][i] |= len(hit) > 0
+        need[1][hit] = True
+
+    return need, mark
+
+
+def _open_members(block: pd.DataFrame, need: list[np.ndarray]) -> pd.DataFrame:
+    sides = [block[block["left"]][need[0]], block[~block["left"]][need[1]]]
+    return pd.concat(sides)[["band", "doc_id", "part", "n"]].drop_duplicates("doc_id")
+
+
+NEAR = "band long, doc_id long, a long, b long"
+OPEN = "band long, doc_id long, part long, n long"
+
+
 def _nearest(percent: int):
-    """Within a block of a bucket: every member with the likeliest one of another part."""
+    """Within a block of a bucket: every member with the likeliest one of another part (``a, b``), and the
+    members that may touch another part at all (``band, doc_id``). Parts only grow together, so no others will."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         docs = [block["doc_id"][block["left"]].to_numpy(), block["doc_id"][~block["left"]].to_numpy()]
         a, b = [], []
         back, backed = np.full(len(docs[1]), -1), np.zeros(len(docs[1]))
+        need, mark = _met_first(block)
         for i, other, share in _hopeful_pairs(block, percent):
             if len(other):
+                mark(i, other)
                 a.append(docs[0][i])
                 b.append(docs[1][other[share.argmax()]])
                 better = share > backed[other]
@@ -307,32 +337,23 @@ def _nearest(percent: int):
             hit = back >= 0
             a, b = np.append(a, docs[0][back[hit]]), np.append(b, docs[1][hit])
         a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        # whole numbers before either side gets nulls: a float does not hold a band
+        found = pd.concat([pairs.astype("Int64"), _open_members(block, need)[["band", "doc_id"]].astype("Int64")])
+        return found[["band", "doc_id", "a", "b"]]
 
     return run
 
 
 def _still_open(percent: int):
-    """Within a block of a bucket: members that may touch another part. A pair that shares several bands is seen in the first."""
+    """Within a block of a bucket: members that may touch another part."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        left, right = block[block["left"]], block[~block["left"]]
-        regs = [_matrix(list(x["registers"])) for x in (left, right)]
-        need = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
+        need, mark = _met_first(block)
         for i, other, _ in _hopeful_pairs(block, percent):
-            if not len(other):
-                continue
-            equal = regs[1][other, : BANDS * BAND] == regs[0][i][: BANDS * BAND]
-            first = equal.reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1)
-            hashes, this = _SEED[:BANDS], regs[0][i][: BANDS * BAND].reshape(BANDS, BAND).astype(U64)
-            for k in range(BAND):
-                hashes = mix((hashes ^ this[:, k]) + U64(0x9E3779B97F4A7C15))
-            here = int(np.flatnonzero(as_long(hashes) == block["band"].iloc[0])[0])
-            hit = other[first == here]
-            need[0][i] |= len(hit) > 0
-            need[1][hit] = True
-        docs = np.unique(np.concatenate([left["doc_id"].to_numpy()[need[0]], right["doc_id"].to_numpy()[need[1]]]))
-        return pd.DataFrame({"band": np.full(len(docs), block["band"].iloc[0]), "doc_id": docs.astype(np.int64)})
+            if len(other):
+                mark(i, other)
+        return _open_members(block, need)
 
     return run
 
@@ -430,20 +451,24 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     members = scratch.keep(members.where("size > 2").select("band", "doc_id"), "buckets")
     mixed = scratch.keep(_mixed(members, parts), "mixed")
     if not mixed.isEmpty():
-        near = _blocked(mixed, sized).applyInPandas(_nearest(rule.percent), "a long, b long").distinct()
-        links = links.unionByName(_confirmed(scratch.keep(near, "near"), docs, rule, scratch, "second"))
+        near = scratch.keep(_blocked(mixed, sized).applyInPandas(_nearest(rule.percent), NEAR).distinct(), "near")
+        pairs = near.where("a is not null").select("a", "b").distinct()
+        links = links.unionByName(_confirmed(pairs, docs, rule, scratch, "second"))
         parts = connected(links, scratch, "parts-2")
+        # only members that had somebody to touch are looked at again
+        members = near.where("band is not null").select("band", "doc_id").distinct()
         mixed = scratch.keep(_mixed(members, parts), "mixed-2")
     if not mixed.isEmpty():
-        left = _blocked(mixed, sized).applyInPandas(_still_open(rule.percent), "band long, doc_id long").distinct()
-        left = scratch.keep(left.join(mixed.select("band", "doc_id", "part"), ["band", "doc_id"]), "left")
+        left = _blocked(mixed, sized).applyInPandas(_still_open(rule.percent), OPEN).distinct()
+        left = scratch.keep(left, "left")
         if not left.isEmpty():
             sets = _written_sets(left.select("doc_id").distinct(), docs, rule, scratch, "third")
-            whole = left.join(sized.select("doc_id", "n"), "doc_id")
-            load = whole.groupBy("band").agg(F.count("*").alias("members"), F.sum("n").alias("shingles_in"))
+            load = left.groupBy("band").agg(F.count("*").alias("members"), F.sum("n").alias("shingles_in"))
             of = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES))
-            blocks = _blocks(whole.join(load, "band"), of).select("band", "own", "other", "left", "doc_id", "part")
-            blocks = blocks.join(sets, "doc_id").groupBy("band", "own", "other")
+            # sets are joined to members, not to their copies in blocks
+            whole = left.join(load, "band").join(sets, "doc_id")
+            blocks = _blocks(whole, of).select("band", "own", "other", "left", "doc_id", "part", "shingles")
+            blocks = blocks.groupBy("band", "own", "other")
             forest = scratch.keep(blocks.applyInPandas(_forest(rule.percent), "a long, b long").distinct(), "forest")
             links = links.unionByName(forest)
             parts = connected(links, scratch, "parts-3")

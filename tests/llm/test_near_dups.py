@@ -154,3 +154,30 @@ def test_components_of_paths_stars_and_rings(spark):
     for node, part in got.items():
         groups[part].add(node)
     assert sorted(map(len, groups.values())) == [3, 61, 200]
+
+
+def test_members_of_a_family_are_joined_once(spark, monkeypatch):
+    """Joins of members with their registers or sets make a row for each, not one for each block or pass that reads them."""
+    monkeypatch.setattr(near_dups, "BLOCK", 10)
+    looked = []
+    kept = Scratch.keep
+
+    def counted(self, df, name):
+        if name in ("near", "left", "forest"):
+            looked.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        out = kept(self, df, name)
+        if name in ("mixed", "mixed-2"):
+            looked.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    df = spark.createDataFrame(list(enumerate(family(60, 25) + family(40, 60, 5))), "doc_id long, text string")
+    assert near_duplicates(df, NearRule(1)).count() == 100
+    # one join with the registers, however many blocks a member is in, and one with the sets
+    for name in ("near", "left", "forest"):
+        plan = dict(looked)[name]
+        assert sum("Join Inner" in x and "doc_id" in x for x in plan.splitlines()) == 1, plan
+        blocks = min(i for i, x in enumerate(plan.splitlines()) if "Generate" in x)
+        assert all("doc_id" not in x for x in plan.splitlines()[:blocks] if "Join" in x), plan
+    # the second pass reads those that had somebody to touch
+    assert dict(looked)["mixed-2"] < dict(looked)["mixed"]
