@@ -118,6 +118,10 @@ def _cut(rule: PackRule):
     return run
 
 
+#: Combinations looked at together for those that still fit.
+CHOSEN = 1 << 12
+
+
 def combinations(window: int, lengths: np.ndarray) -> np.ndarray:
     """Combinations of two to four of the lengths that add up to the window, zero-padded to four.
 
@@ -173,23 +177,26 @@ def choose(histogram: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     left = histogram.astype(np.int64).copy()
     left[0] = 0
     taken = np.zeros(len(combos), dtype=np.int64)
-    needs = []
-    for row in combos:
-        length, times = np.unique(row[row > 0], return_counts=True)
-        needs.append((length, times))
+    # how often each length occurs in its combination; padding never limits one
+    times = np.where(combos > 0, (combos[:, :, None] == combos[:, None, :]).sum(axis=2), 1)
     whole = np.floor(fitted).astype(np.int64)
+
+    def fitting(some: np.ndarray) -> np.ndarray:
+        return np.where(combos[some] > 0, left[combos[some]] // times[some], np.iinfo(np.int64).max).min(axis=1)
+
     # rounded down, the fullest first; then one more by what rounding took; then whatever still fits
     for order, most in (
         (np.argsort(-whole, kind="stable"), whole),
         (np.argsort(whole - fitted, kind="stable"), np.ones_like(whole)),
         (np.argsort(-fitted, kind="stable"), np.full_like(whole, np.iinfo(np.int64).max)),
     ):
-        for i in order:
-            if most[i]:
-                length, times = needs[i]
-                n = min(int(most[i]), int((left[length] // times).min()))
+        for at in range(0, len(order), CHOSEN):
+            some = order[at : at + CHOSEN]
+            # what is left only shrinks, so what does not fit now is passed by
+            for i in some[(most[some] > 0) & (fitting(some) > 0)]:
+                n = min(int(most[i]), int(fitting(i[None])[0]))
                 if n:
-                    left[length] -= n * times
+                    np.subtract.at(left, combos[i][combos[i] > 0], n)
                     taken[i] += n
     return combos[taken > 0], taken[taken > 0]
 

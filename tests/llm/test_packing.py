@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -6,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from surveyloom.llm import packing
 from surveyloom.llm.packing import PackRule, choose, combinations, pack, token_ids
 
 
@@ -86,3 +88,33 @@ def test_counts_never_take_more_than_there_is_and_leave_little():
     used[0] = 0
     assert (used <= histogram).all()
     assert used.sum() > 0.9 * histogram.sum()
+
+
+def test_choosing_is_as_one_by_one():
+    """The same choice as trying all combinations singly, without an object for each of them."""
+    rng = np.random.default_rng(5)
+    histogram = np.bincount(rng.integers(1, 64, 900), minlength=65)
+    combos = packing.combinations(64, np.flatnonzero(histogram[:64]))
+    fitted = packing.repeat_counts(combos, histogram)
+    left, taken, whole = histogram.copy(), np.zeros(len(combos), int), np.floor(fitted).astype(int)
+    left[0] = 0
+    for order, most in (
+        (np.argsort(-whole, kind="stable"), whole),
+        (np.argsort(whole - fitted, kind="stable"), np.ones_like(whole)),
+        (np.argsort(-fitted, kind="stable"), np.full_like(whole, 1 << 60)),
+    ):
+        for i in order:
+            length, times = np.unique(combos[i][combos[i] > 0], return_counts=True)
+            n = min(int(most[i]), int((left[length] // times).min()))
+            left[length] -= n * times
+            taken[i] += n
+    tracemalloc.start()
+    got, counts = packing.choose(histogram, 64)
+    assert got.tolist() == combos[taken > 0].tolist() and counts.tolist() == taken[taken > 0].tolist()
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    packing.choose(np.full(513, 40), 512)
+    peak = (tracemalloc.get_traced_memory()[1] - before) / len(packing.combinations(512, np.arange(1, 512)))
+    tracemalloc.stop()
+    # bytes for each combination: four lengths and a few arrays as large
+    assert peak < 350
