@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.operators import impute as I
+from surveyloom.operators import impute as I, trees
 from surveyloom.session import materialise
 from surveyloom.specs import ImputeRule
 
@@ -320,3 +320,35 @@ def test_few_sweeps_write_their_features_once(table, monkeypatch):
         for cell in a:
             for (t, base, slopes), (u, other, others) in zip(a[cell], b[cell], strict=True):
                 assert t == u and np.isclose(base, other, rtol=1e-9, atol=1e-12) and np.allclose(slopes, others, rtol=1e-9, atol=1e-12)
+
+
+def test_a_level_is_counted_without_copies_of_its_rows():
+    """Counts and sums are those of one row at a time; rows of a target are not picked out, and the two are added up together."""
+    rng = np.random.default_rng(6)
+    place, here = rng.integers(0, 40, (3, 500)), rng.random(500) < 0.7
+    for scale in (1e6, 1e13):
+        values = np.where(here, np.rint(rng.normal(0, scale, 500)), 0.0)
+        n, s = trees.counts_and_sums(place.ravel(), here, values, 3, 40)
+        want_n, want_s = np.zeros(40), [0] * 40
+        for f, r in np.ndindex(3, 500):
+            want_n[place[f, r]] += here[r]
+            want_s[place[f, r]] += int(values[r])
+        assert n.tolist() == want_n.tolist() and s.tolist() == [float(x) for x in want_s]
+
+    class Counted(np.ndarray):
+        """Features that tell when rows of them are picked out."""
+
+        picked = 0
+
+        def __getitem__(self, at):
+            if isinstance(at, np.ndarray):
+                Counted.picked += 1
+            return np.asarray(self)[at]
+
+    z, gaps = rng.normal(size=(500, 3)).view(Counted), rng.random((500, 3)) < 0.2
+    shared = SimpleNamespace(value={0: SimpleNamespace(cuts=[np.array([-0.5, 0.5])] * 3)})
+    grown = SimpleNamespace(value={(0, t): ([trees.empty_tree(2)], trees.empty_tree(2)) for t in range(3)})
+    run = trees.count_level(shared, lambda batch: [(0, z, gaps)], grown, {0: [0, 1, 2]}, 0, 0.5, 4)
+    found = list(run(iter([None])))
+    assert Counted.picked == 0
+    assert [sum(x.column(2)[0].as_py()[:4]) for x in found] == (~gaps).sum(axis=0).tolist()
