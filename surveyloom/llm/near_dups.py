@@ -9,9 +9,10 @@ share of equal registers, corrected for accidental agreement, drops those well b
 the rest is compared on full sets.
 
 Links only have to join what belongs together. So a bucket's members are first compared with the
-bucket's first one. In buckets whose members are in different parts after that, every member is compared with
-the likeliest one of another part. Where parts are left that may still touch, the full sets of the members concerned are
-brought together in blocks and all pairs are counted there; what leaves a block is a forest of links, never its pairs.
+bucket's first one. In buckets whose members are in different parts after that, every member outside the bucket's largest
+part is compared with the likeliest one of another part. Where parts are left that may still touch, the full sets of the members
+concerned are brought together in blocks and all pairs are counted there; what leaves a block is a forest of links, never its
+pairs. Two members of the largest part are never looked at together, so they are not copied for one another.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ ERRORS = 4.0
 PACK = 1 << 20
 RANGE_DOCS = 10_000
 RANGES = 64
-#: Members of a bucket compared with one another in one block, and shingles of a block's members together.
-BLOCK = 512
+#: Members on a side of a block of registers, those on a side of a block of full sets, and shingles of such a side together.
+BLOCK = 4096
+BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 21
 #: Distinct shingles counted at a time in a block.
 COLUMNS = 1 << 14
@@ -263,26 +265,42 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule, scratch: Scrat
     return out
 
 
-def _blocks(rows: DataFrame, of: F.Column) -> DataFrame:
-    """Every member of a band to the pairs of blocks it belongs to: ``own <= other``, as ``left`` or not."""
-    rows = rows.withColumn("of", of.cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("of").cast("long")).cast("int"))
-    # a member meets the blocks from its own on as left, those up to its own as right; one pass over the rows makes both
-    as_left = F.transform(F.sequence("own", F.col("of") - 1), lambda k: F.struct(F.col("own"), k.alias("other"), F.lit(True).alias("left")))
-    as_right = F.transform(F.sequence(F.lit(0), F.col("own")), lambda k: F.struct(k.alias("own"), F.col("own").alias("other"), F.lit(False).alias("left")))
-    rows = rows.withColumn("at", F.explode(F.concat(as_left, as_right)))
-    return rows.select(*[c for c in rows.columns if c not in ("own", "of", "at")], "at.*")
+def _blocks(rows: DataFrame, left_of: F.Column, right_of: F.Column) -> DataFrame:
+    """Every member of a band to the blocks it belongs to, as ``left``, as ``right`` or both.
+
+    Left are the members outside the band's largest part (``outside``), right are all members. So a member of the largest part
+    is copied once for each block of left ones, not for each block of its band.
+    """
+    rows = rows.withColumns({"left_of": left_of.cast("int"), "right_of": right_of.cast("int")})
+    place = F.xxhash64("doc_id")
+    rows = rows.withColumns({"i": F.pmod(place, F.col("left_of")).cast("int"), "j": F.pmod(place, F.col("right_of")).cast("int")})
+    as_left = F.transform(
+        F.sequence(F.lit(0), F.col("right_of") - 1),
+        lambda k: F.struct(F.col("i").alias("own"), k.alias("other"), F.lit(True).alias("left"), (k == F.col("j")).alias("right")),
+    )
+    as_right = F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("left_of") - 1), lambda k: ~F.col("outside") | (k != F.col("i"))),
+        lambda k: F.struct(k.alias("own"), F.col("j").alias("other"), F.lit(False).alias("left"), F.lit(True).alias("right")),
+    )
+    rows = rows.withColumn("at", F.explode(F.when(F.col("outside"), F.concat(as_left, as_right)).otherwise(as_right)))
+    return rows.select(*[c for c in rows.columns if c not in ("i", "j", "left_of", "right_of", "at")], "at.*")
+
+
+def equal_registers(many: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """How many registers each row has in common with one: eight counters in a word, none of which can pass a byte."""
+    words = (many == one).view(np.uint64).sum(axis=1, dtype=np.uint64)
+    return words.view(np.uint8).reshape(-1, 8).sum(axis=1, dtype=np.int64)
 
 
 def _hopeful_pairs(block: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each left member of a block: right members of other parts that the estimate allows, and their equal registers."""
-    left, right = block[block["left"]], block[~block["left"]]
+    left, right = block[block["left"]], block[block["right"]]
     parts, sizes = right["part"].to_numpy(), right["n"].to_numpy()
     regs = _matrix(list(right["registers"]))
     for i, (part, n, own) in enumerate(zip(left["part"], left["n"], left["registers"], strict=True)):
-        other = np.flatnonzero(parts != part)
-        equal = regs[other] == np.frombuffer(own, np.uint8)
-        share = equal.mean(axis=1)
+        near = 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
+        other = np.flatnonzero(near & (parts != part))
+        share = equal_registers(regs[other], np.frombuffer(own, np.uint8)) / BUCKETS
         keep = hopeful(share, n, sizes[other], percent)
         yield i, other[keep], share[keep]
 
@@ -290,7 +308,7 @@ def _hopeful_pairs(block: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.
 def _met_first(block: pd.DataFrame) -> tuple[list[np.ndarray], Callable]:
     """Marks of the left and right members of a block, and what marks a left one with some of the right ones as far as
     they meet in this bucket: a pair that shares several bands is seen in the first."""
-    sides = [block[block["left"]], block[~block["left"]]]
+    sides = [block[block["left"]], block[block["right"]]]
     regs = [_matrix(list(x["registers"]))[:, : BANDS * BAND] for x in sides]
     need = [np.zeros(len(x), bool) for x in sides]
 
@@ -309,7 +327,7 @@ def _met_first(block: pd.DataFrame) -> tuple[list[np.ndarray], Callable]:
 
 
 def _open_members(block: pd.DataFrame, need: list[np.ndarray]) -> pd.DataFrame:
-    sides = [block[block["left"]][need[0]], block[~block["left"]][need[1]]]
+    sides = [block[block["left"]][need[0]], block[block["right"]][need[1]]]
     return pd.concat(sides)[["band", "doc_id", "part", "n"]].drop_duplicates("doc_id")
 
 
@@ -318,24 +336,18 @@ OPEN = "band long, doc_id long, part long, n long"
 
 
 def _nearest(percent: int):
-    """Within a block of a bucket: every member with the likeliest one of another part (``a, b``), and the
+    """Within a block of a bucket: every left member with the likeliest one of another part (``a, b``), and the
     members that may touch another part at all (``band, doc_id``). Parts only grow together, so no others will."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        docs = [block["doc_id"][block["left"]].to_numpy(), block["doc_id"][~block["left"]].to_numpy()]
+        docs = [block["doc_id"][block[side]].to_numpy() for side in ("left", "right")]
         a, b = [], []
-        back, backed = np.full(len(docs[1]), -1), np.zeros(len(docs[1]))
         need, mark = _met_first(block)
         for i, other, share in _hopeful_pairs(block, percent):
             if len(other):
                 mark(i, other)
                 a.append(docs[0][i])
                 b.append(docs[1][other[share.argmax()]])
-                better = share > backed[other]
-                back[other[better]], backed[other[better]] = i, share[better]
-        if block["own"].iloc[0] != block["other"].iloc[0]:
-            hit = back >= 0
-            a, b = np.append(a, docs[0][back[hit]]), np.append(b, docs[1][hit])
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
         # whole numbers before either side gets nulls: a float does not hold a band
@@ -382,7 +394,7 @@ def _forest(percent: int):
     """Within a block of a bucket: links on full sets, no more than it takes to join the parts they join."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        sides = [block[block["left"]], block[~block["left"]]]
+        sides = [block[block["left"]], block[block["right"]]]
         docs, parts = ([x[c].to_numpy() for x in sides] for c in ("doc_id", "part"))
         sets = [[np.frombuffer(b, U64) for b in x["shingles"]] for x in sides]
         size = [np.array([len(x) for x in own], np.int64) for own in sets]
@@ -463,11 +475,13 @@ def near_duplicates(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         left = scratch.keep(left, "left")
         if not left.isEmpty():
             sets = _written_sets(left.select("doc_id").distinct(), docs, rule, scratch, "third")
-            load = left.groupBy("band").agg(F.count("*").alias("members"), F.sum("n").alias("shingles_in"))
-            of = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES))
+            sides = [
+                F.greatest(F.ceil(F.col(m) / min(BLOCK, BLOCK_SETS)), F.ceil(F.col(n) / BLOCK_SHINGLES))
+                for m, n in (("others", "others_n"), ("size", "size_n"))
+            ]
             # sets are joined to members, not to their copies in blocks
-            whole = left.join(load, "band").join(sets, "doc_id")
-            blocks = _blocks(whole, of).select("band", "own", "other", "left", "doc_id", "part", "shingles")
+            blocks = _blocks(_outside(left).join(sets, "doc_id"), *sides)
+            blocks = blocks.select("band", "own", "other", "left", "right", "doc_id", "part", "shingles")
             blocks = blocks.groupBy("band", "own", "other")
             forest = scratch.keep(blocks.applyInPandas(_forest(rule.percent), "a long, b long").distinct(), "forest")
             links = links.unionByName(forest)
@@ -499,17 +513,33 @@ def _same_id(signed: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFra
     return scratch.keep(own.join(low, "id").where("a <> doc_id").select("a", F.col("doc_id").alias("b")), "same-id")
 
 
+def _outside(rows: DataFrame) -> DataFrame:
+    """Members ``band, doc_id, part`` and others of the buckets whose members are in several parts: whether they are ``outside`` the
+    largest part, how many members there are and are outside (``size``, ``others``), and the sums of ``n``, if there."""
+    sized = "n" in rows.columns
+    count = [F.count("*").alias("m"), *([F.sum("n").alias("n")] if sized else [])]
+    parts = rows.groupBy("band", "part").agg(*count)
+    # the largest part by members, of equal ones the one of the largest name
+    main = F.max(F.struct("m", "part", *(["n"] if sized else [])))
+    whole = [F.sum("m").alias("size"), *([F.sum("n").alias("size_n")] if sized else [])]
+    several = parts.groupBy("band").agg(main.alias("main"), F.count("*").alias("parts"), *whole).where("parts > 1")
+    known = ["band", F.col("main.part").alias("main"), "size", (F.col("size") - F.col("main.m")).alias("others")]
+    if sized:
+        known += ["size_n", (F.col("size_n") - F.col("main.n")).alias("others_n")]
+    out = rows.join(several.select(*known), "band").withColumn("outside", F.col("part") != F.col("main"))
+    return out.drop("main")
+
+
 def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members, with their part, of the buckets whose members are in several parts."""
     named = parts.select(F.col("node").alias("doc_id"), "part")
     rows = members.join(named, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
-    several = rows.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
-    return rows.join(several.where("low < high").select("band", "size"), "band").select("band", "doc_id", "part", "size")
+    return _outside(rows.select("band", "doc_id", "part"))
 
 
 def _blocked(mixed: DataFrame, sized: DataFrame):
-    blocks = _blocks(mixed.join(sized, "doc_id"), F.ceil(F.col("size") / BLOCK))
-    columns = ["band", "own", "other", "left", "doc_id", "part", "n", "registers"]
+    blocks = _blocks(mixed.join(sized, "doc_id"), F.ceil(F.col("others") / BLOCK), F.ceil(F.col("size") / BLOCK))
+    columns = ["band", "own", "other", "left", "right", "doc_id", "part", "n", "registers"]
     return blocks.select(*columns).groupBy("band", "own", "other")
 
 

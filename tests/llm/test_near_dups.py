@@ -181,3 +181,32 @@ def test_members_of_a_family_are_joined_once(spark, monkeypatch):
         assert all("doc_id" not in x for x in plan.splitlines()[:blocks] if "Join" in x), plan
     # the second pass reads those that had somebody to touch
     assert dict(looked)["mixed-2"] < dict(looked)["mixed"]
+
+
+def test_a_large_part_is_not_copied_for_its_own_members(spark, monkeypatch):
+    """Rows made for blocks: the largest part of a bucket meets the few others, and grows no faster than itself."""
+    monkeypatch.setattr(near_dups, "BLOCK", 20)
+    made = {}
+    for n in (200, 400):
+        rows = [(7, k, 0 if k >= 10 else 1 + k) for k in range(n)]
+        mixed = near_dups._outside(spark.createDataFrame(rows, "band long, doc_id long, part long"))
+        sized = spark.createDataFrame([(k, 5, bytes(near_dups.BUCKETS)) for k in range(n)], "doc_id long, n long, registers binary")
+        blocks = near_dups._blocked(mixed, sized)._df.collect()
+        met = defaultdict(lambda: (set(), set()))
+        for r in blocks:
+            for side, there in zip(met[r.own, r.other], (r.left, r.right), strict=True):
+                side |= {r.doc_id} if there else set()
+        # every two members of different parts meet once and more
+        pairs = {(min(a, b), max(a, b)) for left, right in met.values() for a in left for b in right if a != b}
+        assert pairs == {(a, b) for a in range(10) for b in range(a + 1, n)}
+        made[n] = len(blocks)
+    # the ten others are copied to each block of twenty; a member of the largest part is there once
+    assert made == {200: 190 + 10 * 10, 400: 390 + 10 * 20}
+
+
+def test_equal_registers():
+    rng = np.random.default_rng(5)
+    many = rng.integers(0, 3, (50, near_dups.BUCKETS)).astype(np.uint8)
+    many[7] = many[3]
+    got = near_dups.equal_registers(many, many[3])
+    assert got.tolist() == (many == many[3]).sum(axis=1).tolist() and got[7] == near_dups.BUCKETS
