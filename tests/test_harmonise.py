@@ -1,10 +1,12 @@
 """The stages together, on two small raw sources with hand-computed results."""
 
+import re
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from surveyloom.functions.columns import cut_code
 from surveyloom.operators.mapping import names_where
 from surveyloom.plans.availability import availability
 from surveyloom.plans.convergence import check_convergence
@@ -219,3 +221,26 @@ def test_a_source_imputed_through_all_stages_does_not_depend_on_others(sources,
             for c, v in row.items():
                 other = both[key][c]
                 assert other == (pytest.approx(v, abs=1e-6) if isinstance(v, float) else v), (key, c)
+
+
+@pytest.mark.parametrize("name", ["harmonised_rows", "harmonised_clean_mode"])
+def test_generated_code_is_short_enough_to_be_compiled(spark, monkeypatch, name):
+    """Above 8000 bytes a method is not compiled, and rows are copied from projection to projection."""
+    from surveyloom.queries.harmonised import QUERIES
+    from surveyloom.session import DEFAULTS, configure
+
+    with monkeypatch.context() as m:
+        # the adaptive plan shows its code only after it has run
+        m.setitem(DEFAULTS, "spark.sql.adaptive.enabled", "false")
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        code = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    configure(spark)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert len(sizes) > 3 and max(sizes) <= int(DEFAULTS["spark.sql.codegen.hugeMethodLimit"])
+
+
+def test_a_cut_keeps_rows_and_parts(spark):
+    df = spark.range(100).repartition(7)
+    cut = cut_code(df)
+    assert cut.rdd.getNumPartitions() == 7
+    assert sorted(r["id"] for r in cut.collect()) == list(range(100))
