@@ -352,3 +352,82 @@ def test_a_level_is_counted_without_copies_of_its_rows():
     found = list(run(iter([None])))
     assert Counted.picked == 0
     assert [sum(x.column(2)[0].as_py()[:4]) for x in found] == (~gaps).sum(axis=0).tolist()
+
+
+def test_sweeps_read_what_stands_for_rows_with_the_same_gaps(spark, monkeypatch):
+    """The state does not grow with the rows, and the trace is that of the chain written out for each row."""
+    written = []
+    monkeypatch.setattr(I, "materialise", lambda df, name, *a, **k: written.append((name, materialise(df, name, *a, **k))) or written[-1][1])
+    monkeypatch.setattr(I, "drop_table", lambda df: None)
+    df = spark.range(30_000).selectExpr(
+        "'s' AS source_flag", "IF(id % 2 = 0, 'young', 'old') AS kohort", "CAST(id % 101 AS DOUBLE) AS a",
+        "IF(hash(id, 1) % 4 = 0, NULL, (id % 101) * 2 + pmod(hash(id, 2), 17)) AS b",
+        "IF(hash(id, 3) % 5 = 0, NULL, pmod(hash(id, 2), 17) - (id % 101) / 10D) AS c", "IF(hash(id, 4) % 3 = 0, NULL, CAST(id % 7 AS DOUBLE)) AS d",
+    ).cache()
+    rule = ImputeRule(exclude=frozenset(BY), sweeps=3, start="mean")
+    got = {(r["kohort"], r["feature"], r["iteration"]): r for r in I.ChainedImputer(rule).fit(df, log=True, fill=False).trace().collect()}
+    sizes = [t.agg(F.sum("rows")).first()[0] for name, t in written if name == "impute-state"]
+    assert len(sizes) == 1 + rule.sweeps and max(sizes) <= 2 * 2**3 * 5
+    assert len(got) == 2 * 3 * rule.sweeps
+    for cell in ("young", "old"):
+        raw = df.where(F.col("kohort") == cell).select(*"abcd").toPandas().to_numpy(float)
+        gaps, mean, sd = np.isnan(raw), np.nanmean(raw, axis=0), np.nanstd(raw, axis=0)
+        z = np.where(gaps, 0.0, (raw - mean) / sd)
+        order = sorted((1, 2, 3), key=lambda j: (gaps[:, j].sum(), j))
+        for sweep in range(rule.sweeps):
+            lines = {}
+            for j in order:
+                x = np.column_stack([np.ones(len(z)), np.delete(z, j, axis=1)])[~gaps[:, j]]
+                lines[j] = np.linalg.solve(x.T @ x + rule.ridge * len(x) * np.diag([0, 1, 1, 1]), x.T @ z[~gaps[:, j], j])
+            for j in order:
+                own = np.column_stack([np.ones(len(z)), np.delete(z, j, axis=1)])[gaps[:, j]]
+                z[gaps[:, j], j] = own @ lines[j]
+                r = got[cell, "abcd"[j], sweep + 1]
+                assert r["n_missing"] == gaps[:, j].sum()
+                assert r["mean_imputed"] == pytest.approx(z[gaps[:, j], j].mean() * sd[j] + mean[j], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("held", [1, 200_000, I.HELD_BYTES])
+def test_rows_put_together_keep_their_sums(monkeypatch, held):
+    """Whatever a task holds, each pattern's rows are written once: as rows or as their sum of outer products."""
+    monkeypatch.setattr(I, "HELD_BYTES", held)
+    width, n, rng = 70, 9000, np.random.default_rng(2)
+    plan = I.CellPlan(
+        active=np.arange(width), targets=np.arange(width), mean=np.zeros(width), sd=np.ones(width), low=np.zeros(width), high=np.ones(width), codes={},
+    )
+    raw = rng.random((n, width))
+    raw[rng.random(n) < 0.5, 69] = np.nan
+    raw[rng.random(n) < 0.3, 3] = np.nan
+    raw[:300][rng.random((300, width)) < 0.5] = np.nan
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(np.zeros(500)), pa.array(np.arange(at, at + 500)), *map(pa.array, raw[at : at + 500].T)], names=[str(i) for i in range(width + 2)])
+        for at in range(0, n, 500)
+    ]
+    out = list(I._first_moments(SimpleNamespace(value={0: plan}), 1, "mean")(iter(batches)))
+    found: dict[bytes, np.ndarray] = {}
+
+    def add(gaps, gram):
+        found[gaps] = found.get(gaps, 0.0) + gram
+
+    for row in out:
+        if row.column("gram")[0].is_valid:
+            add(row.column("gaps")[0].as_py(), row.column("gram").values.to_numpy().reshape(width + 1, -1))
+        else:
+            assert row.column("z")[0].as_buffer().size <= I.STATE_BYTES
+            for _, full, gaps in I._states(row):
+                for one, mask in zip(full, gaps, strict=True):
+                    add(mask.tobytes(), np.outer(one, one))
+    want: dict[bytes, np.ndarray] = {}
+    for one, mask in zip(np.column_stack([np.ones(n), np.nan_to_num(raw)]), np.isnan(raw), strict=True):
+        want[mask.tobytes()] = want.get(mask.tobytes(), 0.0) + np.outer(one, one)
+    assert found.keys() == want.keys() and all(np.allclose(found[k], want[k], rtol=1e-12) for k in want)
+    sums = pa.RecordBatch.from_arrays(
+        [pa.array([0] * len(want), pa.int32()), pa.array(list(want), pa.binary()), pa.array([g.ravel() for g in want.values()], pa.list_(pa.float64()))],
+        names=["cell", "gaps", "gram"],
+    )
+    back: dict[bytes, np.ndarray] = {}
+    for row in I._stand_ins(iter([sums])):
+        for _, full, gaps in I._states(row):
+            for one, mask in zip(full, gaps, strict=True):
+                back[mask.tobytes()] = back.get(mask.tobytes(), 0.0) + np.outer(one, one)
+    assert back.keys() == want.keys() and all(np.allclose(back[k], want[k], rtol=1e-11, atol=1e-11) for k in want)
