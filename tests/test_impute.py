@@ -431,3 +431,60 @@ def test_rows_put_together_keep_their_sums(monkeypatch, held):
             for one, mask in zip(full, gaps, strict=True):
                 back[mask.tobytes()] = back.get(mask.tobytes(), 0.0) + np.outer(one, one)
     assert back.keys() == want.keys() and all(np.allclose(back[k], want[k], rtol=1e-11, atol=1e-11) for k in want)
+
+
+def test_bins_are_looked_up_as_they_are_found_by_halving():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 3, 4, 5, 49, 126, 500):
+        for own in (rng.normal(size=n), np.arange(n) / 7.0, np.exp(rng.normal(0, 5, n)), np.round(rng.normal(size=n), 1) + 1e4):
+            cuts = np.unique(own)
+            near = [cuts, np.nextafter(cuts, -np.inf), np.nextafter(cuts, np.inf)]
+            values = np.concatenate([*near, rng.normal(0, 3, 500), rng.uniform(0, n / 7 + 1, 500), [1e300, -1e300, 1e9]])
+            assert np.array_equal(trees.binner(cuts)(values), np.searchsorted(cuts, values, "right"))
+
+
+def test_features_of_few_bins_are_counted_as_one(monkeypatch):
+    """A place for several features at once, rows of a cell together, and still the counts and sums of a row and feature at a time."""
+    rng, bins, n = np.random.default_rng(3), 16, 700
+    z = np.column_stack([rng.integers(0, 2, (n, 6)), rng.integers(0, 3, (n, 2)), rng.normal(size=(n, 2))]).astype(float)
+    gaps = rng.random((n, 10)) < 0.2
+    cuts = [np.array([0.5])] * 6 + [np.array([0.5, 1.5])] * 2 + [np.linspace(-2, 2, 15), np.zeros(0)]
+    shared = SimpleNamespace(value={c: SimpleNamespace(cuts=cuts) for c in (4, 5)})
+    tree = (np.array([8, 0, -1, 6, 9, -1, -1]), np.array([0.1, 0.5, 0, 1.5, 0.2, 0, 0]), np.linspace(-1, 1, 7))
+    states = [(4 + (at // 50) % 2, z[at : at + 50], gaps[at : at + 50]) for at in range(0, n, 50)]
+    calls, real = [], np.bincount
+    for level in range(3):
+        for done in ([], [tree, tree]):
+            calls.clear()
+            grown = SimpleNamespace(value={(c, t): (done, tree) for c in (4, 5) for t in (0, 8)})
+            monkeypatch.setattr(trees.np, "bincount", lambda *a: calls.append(len(a[0])) or real(*a))
+            out = list(trees.count_level(shared, lambda batch: states, grown, {4: [0, 8], 5: [8]}, level, 0.5, bins)(iter([None])))
+            monkeypatch.undo()
+            # per target a place for each of four tables, however many features and written rows there are
+            assert len(calls) <= 3 * len(trees.together([len(c) + 1 for c in cuts], bins)) and max(calls) <= n / 2
+            got = {(r.column(0)[0].as_py(), r.column(1)[0].as_py()): np.array(r.column(2)[0].as_py()).reshape(2, 10, 1 << level, bins) for r in out}
+            assert set(got) == {(4, 0), (4, 8), (5, 8)}
+            for (cell, t), found in got.items():
+                want = np.zeros_like(found)
+                for c, own, open_ in states:
+                    node = trees.node_of(tree, own, level) - (1 << level) + 1
+                    value = np.rint((own[:, t] - trees.predict(done, 0.5, own)) * trees.UNITS)
+                    for i in np.flatnonzero(~open_[:, t] & (node >= 0)) if c == cell else ():
+                        for f in range(10):
+                            at = f, node[i], np.searchsorted(cuts[f], own[i, f], "right")
+                            want[(0, *at)] += 1
+                            want[(1, *at)] += value[i]
+                assert np.array_equal(found, want)
+    assert sum(trees.together([len(c) + 1 for c in cuts], bins), []) != [] and len(trees.together([2] * 9, 127)) == 1
+
+
+def test_a_table_that_is_not_filled_is_written_without_what_no_pass_reads(table):
+    imputer = I.ChainedImputer(replace(RULE, sweeps=1), CODED, "label").fit(table, log=True, fill=False)
+    assert {"label", "id"}.isdisjoint(imputer.keyed.columns) and {*BY, "x", "y", "z", "code"} <= set(imputer.keyed.columns)
+    filled = I.ChainedImputer(replace(RULE, sweeps=1), CODED, "label").fit(table, log=True)
+    assert {"label", "id"} <= set(filled.transform().columns)
+    with pytest.raises(ValueError, match="without filling"):
+        imputer.transform()
+    key = lambda r: (r["source_flag"], r["kohort"], r["feature"], r["iteration"])
+    a, b = ({key(r): r["mean_imputed"] for r in x.trace().collect()} for x in (imputer, filled))
+    assert a.keys() == b.keys() and all(b[k] == pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in a.items())
